@@ -1,0 +1,25 @@
+"""Dimension lookups with a checked broadcast.
+
+The pipelines attach small reference tables (cluster names for nodes). A
+side is broadcast only after its row count is checked against a bound; a
+larger side is left to the optimizer, which plans a shuffle join (and AQE
+may still switch to broadcast from runtime sizes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows above which a lookup side is not broadcast by us.
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is within ``max_rows``, else ``df``."""
+    return F.broadcast(df) if has_at_most(df, max_rows) else df

@@ -12,7 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.plans import text
+from strandline.plans import logs, text
+from strandline.plans.oracle_sql import LOGS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,15 @@ QUERIES: dict[str, Query] = {
     "doc_tokens": text.doc_tokens,
     "dump_load": text.dump_load,
     "dump_article_count": text.dump_article_count,
+    "log_lines": logs.log_lines,
+    "log_parse": logs.log_parse,
+    "log_quarantine": logs.log_quarantine,
+    "log_anonymize": logs.log_anonymize,
+    "log_ua_category": logs.log_ua_category,
+    "log_ua_counts": logs.log_ua_counts,
+    "log_keyed": logs.log_keyed,
+    "log_render": logs.log_render,
+    "log_process": logs.log_process,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -47,3 +57,4 @@ SELECT source || '-' || CAST(doc_id AS VARCHAR) AS title, text FROM documents"""
     "dump_article_count": """
 SELECT count(*) AS articles FROM documents""",
 }
+ORACLE_SQL.update(LOGS)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strandline.functions.text import tokenize
 from strandline.functions.xml import extract_first_elements
 from strandline.operators.aggregate import count_per_key
+from strandline.operators.barrier import evaluate_once
 from strandline.operators.ordering import key_partitioned_sorted
 from strandline.session import scratch_path
 from strandline.sources.articles import read_articles, tsv_lines, write_articles
@@ -34,7 +35,7 @@ def parse_pages(fragments: DataFrame) -> DataFrame:
     heads = (fragments.where(F.col("unclosed_head").isNotNull())
              .select(F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("text"),
                      F.col("unclosed_head").alias("fragment"), F.lit("unclosed_page").alias("reason")))
-    return pages.unionByName(heads)
+    return evaluate_once(pages).unionByName(heads)
 
 
 def load_dump(spark: SparkSession, path: str) -> DataFrame:

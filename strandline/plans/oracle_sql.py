@@ -96,3 +96,47 @@ FROM ({LOG_VALID})""",
     "log_render": f"SELECT event_id, {record_sql('ip', 'user_agent')} AS record FROM ({LOG_VALID})",
     "log_process": LOG_PROCESS,
 }
+
+_NODES = """
+SELECT r_name AS cluster, s_name AS node, s_suppkey, s_acctbal
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
+
+_NODE_MEM = f"""
+SELECT cluster, node, CAST(floor(abs(s_acctbal)) AS BIGINT) AS used_mb, CAST(16384 AS BIGINT) AS capacity_mb
+FROM ({_NODES})"""
+
+
+def _pct(num: str, den: str) -> str:
+    x100 = f"CAST(coalesce(({num} * 10000) // nullif({den}, 0), 0) AS BIGINT)"
+    return f"{x100} AS pct_x100, CAST({x100} AS DOUBLE) / 100 AS pct"
+
+
+_UTIL = f"""
+SELECT cluster, CAST(sum(used_mb) AS BIGINT) AS used_mb, CAST(sum(capacity_mb) AS BIGINT) AS capacity_mb,
+       {_pct('sum(used_mb)', 'sum(capacity_mb)')}
+FROM ({_NODE_MEM}) GROUP BY cluster"""
+
+_SAMPLES = """
+SELECT ts, event_type AS cluster, CAST(floor(value * 10) AS BIGINT) AS used_mb,
+       CAST(CASE WHEN event_type = 'signup' THEN 0 ELSE 4096 END AS BIGINT) AS capacity_mb
+FROM events"""
+
+_BY_WINDOW = f"""
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+       cluster, CAST(sum(used_mb) AS BIGINT) AS used_mb, CAST(sum(capacity_mb) AS BIGINT) AS capacity_mb,
+       {_pct('sum(used_mb)', 'sum(capacity_mb)')}
+FROM ({_SAMPLES}) GROUP BY 1, 2, 3"""
+
+_DFS = "SELECT r_name AS cluster, CAST(r_regionkey AS DOUBLE) + 0.25 AS dfs_used_pct FROM region"
+
+METRICS: dict[str, str] = {
+    "report_fields": _NODE_MEM,
+    "report_first_match": _DFS,
+    "utilisation": _UTIL,
+    "utilisation_by_window": _BY_WINDOW,
+    "metric_points": f"""
+SELECT 'YarnMemUsage' AS metric, 'HadoopClusters' AS namespace, 'Percent' AS unit, pct AS value,
+       'Cluster' AS dim_name, cluster AS dim_value FROM ({_UTIL})
+UNION ALL
+SELECT 'DFSUsed', 'HadoopClusters', 'Percent', dfs_used_pct, 'Cluster', cluster FROM ({_DFS})""",
+}

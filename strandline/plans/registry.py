@@ -12,8 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.plans import logs, text
-from strandline.plans.oracle_sql import LOGS
+from strandline.plans import logs, metrics, text
+from strandline.plans.oracle_sql import LOGS, METRICS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,11 @@ QUERIES: dict[str, Query] = {
     "log_keyed": logs.log_keyed,
     "log_render": logs.log_render,
     "log_process": logs.log_process,
+    "report_fields": metrics.report_fields,
+    "report_first_match": metrics.report_first_match,
+    "utilisation": metrics.utilisation,
+    "utilisation_by_window": metrics.utilisation_by_window,
+    "metric_points": metrics.metric_points,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -58,3 +63,4 @@ SELECT source || '-' || CAST(doc_id AS VARCHAR) AS title, text FROM documents"""
 SELECT count(*) AS articles FROM documents""",
 }
 ORACLE_SQL.update(LOGS)
+ORACLE_SQL.update(METRICS)

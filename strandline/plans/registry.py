@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.plans import logs, metrics, text
+from strandline.plans import logs, metrics, streams, text
 from strandline.plans.oracle_sql import LOGS, METRICS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,9 @@ QUERIES: dict[str, Query] = {
     "utilisation": metrics.utilisation,
     "utilisation_by_window": metrics.utilisation_by_window,
     "metric_points": metrics.metric_points,
+    "stream_log_process": streams.stream_log_process,
+    "stream_log_quarantine": streams.stream_log_quarantine,
+    "stream_utilisation": streams.stream_utilisation,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -64,3 +67,6 @@ SELECT count(*) AS articles FROM documents""",
 }
 ORACLE_SQL.update(LOGS)
 ORACLE_SQL.update(METRICS)
+ORACLE_SQL["stream_log_process"] = ORACLE_SQL["log_process"]
+ORACLE_SQL["stream_log_quarantine"] = ORACLE_SQL["log_quarantine"]
+ORACLE_SQL["stream_utilisation"] = ORACLE_SQL["utilisation_by_window"]

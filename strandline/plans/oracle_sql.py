@@ -140,3 +140,23 @@ SELECT 'YarnMemUsage' AS metric, 'HadoopClusters' AS namespace, 'Percent' AS uni
 UNION ALL
 SELECT 'DFSUsed', 'HadoopClusters', 'Percent', dfs_used_pct, 'Cluster', cluster FROM ({_DFS})""",
 }
+
+
+def _sampling_sql() -> str:
+    from strandline.functions.sampling import sql_hash32, sql_weighted_choice
+    from strandline.plans.sampling import ATTRIBUTES, BYTES_SALT, MAX_BYTES
+
+    cols = [f"{sql_weighted_choice(sql_hash32('event_id', salt), items)} AS {name}"
+            for name, items, salt in ATTRIBUTES]
+    cols.append(f"CAST(({sql_hash32('event_id', BYTES_SALT)}) % {MAX_BYTES} AS BIGINT) AS bytes")
+    return "SELECT event_id, " + ",\n       ".join(cols) + " FROM events"
+
+
+_TITLE = "regexp_extract(html, '<title>([^<]*)</title>', 1)"
+for _ent, _ch in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]:
+    _TITLE = f"replace({_TITLE}, {_q(_ent)}, {_q(_ch)})"
+
+TEXT_EXTRA: dict[str, str] = {
+    "weighted_assign": _sampling_sql(),
+    "page_titles": f"SELECT page_id, {_TITLE} AS title FROM pages",
+}

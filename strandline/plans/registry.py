@@ -12,8 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.plans import logs, metrics, streams, text
-from strandline.plans.oracle_sql import LOGS, METRICS
+from strandline.plans import logs, metrics, sampling, streams, text
+from strandline.plans.oracle_sql import LOGS, METRICS, TEXT_EXTRA
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,7 @@ QUERIES: dict[str, Query] = {
     "doc_tokens": text.doc_tokens,
     "dump_load": text.dump_load,
     "dump_article_count": text.dump_article_count,
+    "page_titles": text.page_titles,
     "log_lines": logs.log_lines,
     "log_parse": logs.log_parse,
     "log_quarantine": logs.log_quarantine,
@@ -45,6 +46,7 @@ QUERIES: dict[str, Query] = {
     "stream_log_process": streams.stream_log_process,
     "stream_log_quarantine": streams.stream_log_quarantine,
     "stream_utilisation": streams.stream_utilisation,
+    "weighted_assign": sampling.weighted_assign,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -67,6 +69,7 @@ SELECT count(*) AS articles FROM documents""",
 }
 ORACLE_SQL.update(LOGS)
 ORACLE_SQL.update(METRICS)
+ORACLE_SQL.update(TEXT_EXTRA)
 ORACLE_SQL["stream_log_process"] = ORACLE_SQL["log_process"]
 ORACLE_SQL["stream_log_quarantine"] = ORACLE_SQL["log_quarantine"]
 ORACLE_SQL["stream_utilisation"] = ORACLE_SQL["utilisation_by_window"]

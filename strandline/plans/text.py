@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.functions.text import tokenize
+from strandline.functions.text import extract_title, tokenize
 from strandline.functions.xml import extract_first_elements
 from strandline.operators.aggregate import count_per_key
 from strandline.operators.barrier import evaluate_once
@@ -121,3 +121,12 @@ def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("t").cast("bigint").alias("n_tokens"),
         F.size(F.filter("t", lambda x: x == F.lit(""))).cast("bigint").alias("n_empty"),
     )
+
+
+# ---------------------------------------------------------------- page titles
+
+
+def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First ``<title>`` of each raw web page, entities decoded: ``(page_id, title)``."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "html")
+    return pages.select("page_id", extract_title("html").alias("title"))

@@ -1,0 +1,29 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.join(ROOT, "tests"))
+
+SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from strandline.session import checkpoint_root, get_spark
+
+    s = get_spark("local[4]", 8, app_name="strandline-tests",
+                  extra={"spark.sql.session.timeZone": "UTC"})
+    checkpoint_root(s)  # sets a local folder only when the session names none
+    yield s
+    s.stop()
+
+
+@pytest.fixture
+def tmp_dir(tmp_path):
+    return str(tmp_path)

@@ -1,0 +1,34 @@
+"""Every registered query equals its DuckDB statement at sf0.01 (the driver's check)."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import SF001, SF01
+from oracle import compare, duck
+
+import __spark_entry__ as se
+
+NAMES = sorted(se.queries())
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF01)
+
+
+def test_every_query_has_oracle():
+    assert set(se.oracle_sql()) == set(se.queries())
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_matches_oracle(spark, con, name):
+    df = se.queries()[name](spark, SF01)
+    ok, msg = compare(df, con, se.oracle_sql()[name])
+    assert ok, msg
+
+
+def test_entry_smoke(spark):
+    df = se.entry(spark)
+    assert df.columns == ["word", "n"]
+    assert df.count() > 0
+    assert SF001 in se.SMOKE_DIR

@@ -19,6 +19,7 @@ from strandline.functions.logs import (
     row_key,
 )
 from strandline.operators.aggregate import count_per_key
+from strandline.operators.partitioning import spread
 from strandline.operators.quarantine import quarantined_rows, valid_rows
 from strandline.sources.tables import read_table
 
@@ -61,7 +62,7 @@ def events_to_log_lines(events: DataFrame) -> DataFrame:
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    return events_to_log_lines(events)
+    return events_to_log_lines(spread(events, "event_id"))
 
 
 def parsed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

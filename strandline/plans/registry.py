@@ -28,6 +28,7 @@ QUERIES: dict[str, Query] = {
     "doc_tokens": text.doc_tokens,
     "dump_load": text.dump_load,
     "dump_article_count": text.dump_article_count,
+    "dump_word_count": text.dump_word_count,
     "page_titles": text.page_titles,
     "log_lines": logs.log_lines,
     "log_parse": logs.log_parse,
@@ -70,6 +71,7 @@ SELECT count(*) AS articles FROM documents""",
 ORACLE_SQL.update(LOGS)
 ORACLE_SQL.update(METRICS)
 ORACLE_SQL.update(TEXT_EXTRA)
+ORACLE_SQL["dump_word_count"] = ORACLE_SQL["word_count"]
 ORACLE_SQL["stream_log_process"] = ORACLE_SQL["log_process"]
 ORACLE_SQL["stream_log_quarantine"] = ORACLE_SQL["log_quarantine"]
 ORACLE_SQL["stream_utilisation"] = ORACLE_SQL["utilisation_by_window"]

@@ -10,6 +10,7 @@ from strandline.functions.xml import extract_first_elements
 from strandline.operators.aggregate import count_per_key
 from strandline.operators.barrier import evaluate_once
 from strandline.operators.ordering import key_partitioned_sorted
+from strandline.operators.partitioning import spread
 from strandline.session import scratch_path
 from strandline.sources.articles import read_articles, tsv_lines, write_articles
 from strandline.sources.tables import read_table
@@ -54,7 +55,7 @@ def render_documents_dump(spark: SparkSession, sf_dir: str, root: str | None = "
     Title ``{source}-{doc_id}``, text the document text. One file per input
     split, written in parallel.
     """
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id")
     pages = docs.select(render_page(F.concat_ws("-", "source", F.col("doc_id").cast("string")), F.col("text"))
                         .alias("page"))
     path = scratch_path(spark, "dump")
@@ -96,7 +97,8 @@ def count_words(texts: DataFrame, col: str = "text") -> DataFrame:
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word count over the document texts."""
-    return count_words(read_table(spark, sf_dir, "documents").select("text"))
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return count_words(docs.select("text"))
 
 
 def word_count_articles(spark: SparkSession, articles_path: str) -> DataFrame:
@@ -104,6 +106,14 @@ def word_count_articles(spark: SparkSession, articles_path: str) -> DataFrame:
     return count_words(read_articles(spark, articles_path))
 
 
+def dump_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two-job chain: dump -> loader -> article table -> word count job."""
+    dump = render_documents_dump(spark, sf_dir)
+    table = scratch_path(spark, "articles")
+    dump_load_to_table(spark, dump, table)
+    return word_count_articles(spark, table)
+
+
 def word_count_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write ``word<TAB>n`` files hash-partitioned and sorted by word; read back ``line``."""
     counts = key_partitioned_sorted(word_count(spark, sf_dir), "word")
@@ -114,7 +124,7 @@ def word_count_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: token count and empty-token count (leading blank runs)."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     toks = docs.select("doc_id", tokenize(F.col("text")).alias("t"))
     return toks.select(
         "doc_id",

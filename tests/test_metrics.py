@@ -80,3 +80,16 @@ def test_weighted_assign_follows_weights(spark):
     assert b[0] >= 0 and b[1] <= 9999
     again = sampling.weighted_assign(spark, "/root/testdata/sf0.01")
     assert df.exceptAll(again).count() == 0
+
+
+def test_cli_utilisation_writes_points(spark, tmp_dir):
+    import os
+
+    from strandline.cli import main
+
+    nodes, storage, out = (os.path.join(tmp_dir, x) for x in ("nodes", "storage", "out"))
+    metrics.node_report(spark, SF001).write.parquet(nodes)
+    metrics.storage_report(spark, SF001).write.parquet(storage)
+    assert main(["utilisation", nodes, out, "--storage", storage]) == 0
+    got = read_metrics(spark, out)
+    assert got.count() == 10 and {r.metric for r in got.collect()} == {"YarnMemUsage", "DFSUsed"}

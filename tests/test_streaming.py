@@ -110,3 +110,12 @@ def test_stream_utilisation_append_drops_late_rows(spark, tmp_dir):
     assert got == [(day, 30), (day + dt.timedelta(days=3), 35)]
     dropped = sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in q.recentProgress)
     assert dropped == 1
+
+
+def test_cli_publish_and_process(spark, tmp_dir):
+    from strandline.cli import main
+
+    recs, out, ckpt = (os.path.join(tmp_dir, x) for x in ("recs", "out", "ckpt"))
+    assert main(["publish-lines", f"{SF001}/events.parquet", recs]) == 0
+    assert main(["log-process", recs, out, ckpt, "--available-now", "--max-files-per-trigger", "2"]) == 0
+    assert read_processed(spark, out).count() == 980

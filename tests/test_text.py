@@ -29,16 +29,29 @@ def test_tokenize_null_gives_no_rows(spark):
 
 
 def test_word_count_plan_has_one_exchange_and_partial_aggregate(spark):
-    df = text.word_count(spark, SF001)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("text")
+    plan = text.count_words(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(word") == 1 and plan.count("Exchange") == 1
     assert "partial_count" in plan
 
 
+def test_spread_only_when_under_partitioned(spark):
+    from strandline.operators.partitioning import spread
+
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    assert spread(docs, "doc_id", min_partitions=1) is docs
+    spread_plan = spread(docs, "doc_id", min_partitions=64)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" in spread_plan
+
+
 def test_word_count_reads_only_text(spark):
     df = text.word_count(spark, SF001)
     scan = df._jdf.queryExecution().sparkPlan().toString()
-    assert "ReadSchema: struct<text:string>" in scan
+    # doc_id is read only for the local spread; without it Catalyst prunes it
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in scan or "ReadSchema: struct<text:string>" in scan
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    pruned = text.count_words(docs.select("text"))._jdf.queryExecution().sparkPlan().toString()
+    assert "ReadSchema: struct<text:string>" in pruned
 
 
 def test_word_count_tsv_sorted_within_files(spark, tmp_dir):
@@ -138,3 +151,24 @@ def test_xml_escape_and_title(spark):
     r = df.select(xml_escape("s").alias("e"), extract_title("h").alias("t"),
                   extract_title("h", decode=False).alias("raw")).first()
     assert (r.e, r.t, r.raw) == ("&lt;a&amp;b&gt;", "x & y", "x &amp; y")
+
+
+def test_cli_dump_load_then_word_count(spark, tmp_dir):
+    from strandline.cli import main
+
+    dump = text.render_documents_dump(spark, SF001)
+    arts, tsv = os.path.join(tmp_dir, "arts"), os.path.join(tmp_dir, "tsv")
+    assert main(["dump-load", dump, arts]) == 0
+    assert main(["word-count", arts, tsv, "--partitions", "3"]) == 0
+    lines = spark.read.text(tsv)
+    assert lines.count() == text.word_count(spark, SF001).count()
+
+
+def test_sequencefile_interop(spark, tmp_dir):
+    from strandline.sources.articles import read_articles_sequencefile, write_articles_sequencefile
+
+    src = spark.createDataFrame([("t1", "a b"), ("t2", "c")], "title string, text string")
+    path = os.path.join(tmp_dir, "seq")
+    write_articles_sequencefile(src, path)
+    back = read_articles_sequencefile(spark, path)
+    assert sorted(tuple(r) for r in back.collect()) == [("t1", "a b"), ("t2", "c")]

@@ -28,19 +28,21 @@ def tokenize(text: Column | str) -> Column:
 
     ``split(text, '\\s+')`` keeps a trailing empty string and returns
     ``['', '']`` for an all-blank text; a blank run merges, so an empty part
-    can only be first or last, which is all the fix-up has to look at. One
-    regex pass per row; ``slice``/``get`` are code-generated.
+    can only be first or last, which is all the fix-up has to look at.
+
+    The common case (no trailing blank) is the first condition: that
+    condition is always evaluated, so Spark's subexpression elimination
+    computes the split once and reuses it in every branch. With the array
+    only inside later branches, each branch would split the text again.
     """
     text = _col(text)
     parts = F.split(text, r"\s+")
     n = F.size(parts)
-    last_empty = F.get(parts, n - 1) == F.lit("")
-    all_blank = (n == 2) & (F.get(parts, 0) == F.lit(""))
     return (
-        F.when(text == F.lit(""), F.array(F.lit("")))
-        .when(last_empty & all_blank, F.array().cast("array<string>"))
-        .when(last_empty, F.slice(parts, 1, n - 1))
-        .otherwise(parts)
+        F.when(F.get(parts, n - 1) != F.lit(""), parts)
+        .when(text == F.lit(""), F.array(F.lit("")))
+        .when((n == 2) & (F.get(parts, 0) == F.lit("")), F.array().cast("array<string>"))
+        .otherwise(F.slice(parts, 1, n - 1))
     )
 
 

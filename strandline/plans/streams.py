@@ -1,9 +1,10 @@
 """Registered streaming queries: run a stream to completion, return its output.
 
 Input is first published to a stream folder below the checkpoint root
-(records ordered by time across a few files, as they would arrive), then a
-streaming query drains it with ``availableNow`` in bounded micro-batches,
-and the returned DataFrame reads what the sink wrote.
+(records ordered by time across files, as they would arrive), then a
+streaming query drains it with ``availableNow`` in a few bounded
+micro-batches of one file per core each (``maxFilesPerTrigger``), and the
+returned DataFrame reads what the sink wrote.
 """
 
 from __future__ import annotations
@@ -19,16 +20,23 @@ from strandline.streaming.logstream import process_stream, read_processed, run_u
 from strandline.streaming.sources import RECORD_SCHEMA, publish_lines, read_records, read_table_stream
 from strandline.streaming.utilisation import start_utilisation_stream
 
-STREAM_FILES = 4  # files the test stream is cut into; one per micro-batch
+STREAM_BATCHES = 4  # micro-batches the published input is drained in
 STREAM_TIMEOUT_S = 3600
 
 
+def _layout(spark: SparkSession) -> tuple[int, int]:
+    """(files to publish, files per trigger): each batch gets one file per core."""
+    par = spark.sparkContext.defaultParallelism
+    return STREAM_BATCHES * par, par
+
+
 def stream_log_process(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log lines through the streaming processor; the good rows it wrote."""
     base = scratch_path(spark, "logstream")
     src, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
-    publish_lines(log_lines(spark, sf_dir), "parquet", src, files=STREAM_FILES, order_by="event_id")
-    records = read_records(spark, "parquet", src, RECORD_SCHEMA, max_files_per_trigger=1)
+    files, per_trigger = _layout(spark)
+    publish_lines(log_lines(spark, sf_dir), "parquet", src, files=files, order_by="event_id")
+    records = read_records(spark, "parquet", src, RECORD_SCHEMA, max_files_per_trigger=per_trigger)
     q = write_log_stream(process_stream(records), out, ckpt, available_now=True)
     run_until_stopped(q, STREAM_TIMEOUT_S)
     return read_processed(spark, out).select(
@@ -39,8 +47,9 @@ def stream_log_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same stream; the quarantined rows with their reason."""
     base = scratch_path(spark, "logstream")
     src, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
-    publish_lines(log_lines(spark, sf_dir), "parquet", src, files=STREAM_FILES, order_by="event_id")
-    records = read_records(spark, "parquet", src, RECORD_SCHEMA, max_files_per_trigger=1)
+    files, per_trigger = _layout(spark)
+    publish_lines(log_lines(spark, sf_dir), "parquet", src, files=files, order_by="event_id")
+    records = read_records(spark, "parquet", src, RECORD_SCHEMA, max_files_per_trigger=per_trigger)
     run_until_stopped(write_log_stream(process_stream(records), out, ckpt, available_now=True), STREAM_TIMEOUT_S)
     df = spark.read.parquet(out)
     return df.where(F.col("outcome") != "valid").select("event_id", "line", "reason")
@@ -51,8 +60,10 @@ def stream_utilisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "utilstream")
     src, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
     ev = read_table(spark, sf_dir, "events").select("ts", "event_type", "value")
-    ev.repartitionByRange(STREAM_FILES, "ts").write.parquet(src)
-    stream = events_to_samples(read_table_stream(spark, src, ev.schema, max_files_per_trigger=1))
-    q = start_utilisation_stream(stream, out, ckpt, output_mode="complete", available_now=True)
+    files, per_trigger = _layout(spark)
+    ev.repartitionByRange(files, "ts").write.parquet(src)
+    stream = events_to_samples(read_table_stream(spark, src, ev.schema, max_files_per_trigger=per_trigger))
+    q = start_utilisation_stream(stream, out, ckpt, output_mode="complete", available_now=True,
+                                 state_partitions=per_trigger)
     run_until_stopped(q, STREAM_TIMEOUT_S)
     return spark.read.parquet(out)

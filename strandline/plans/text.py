@@ -49,11 +49,12 @@ def articles(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reason").isNull()).select("title", "text")
 
 
-def render_documents_dump(spark: SparkSession, sf_dir: str, root: str | None = "mediawiki") -> str:
+def render_documents_dump(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
     """Write ``documents`` as an XML dump below the checkpoint root; return its path.
 
     Title ``{source}-{doc_id}``, text the document text. One file per input
-    split, written in parallel.
+    split, written in parallel, JVM-side. ``root`` wraps each file in a root
+    element (an Arrow pass in Python); the loader does not need it.
     """
     docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id")
     pages = docs.select(render_page(F.concat_ws("-", "source", F.col("doc_id").cast("string")), F.col("text"))

@@ -59,9 +59,10 @@ def stream_utilisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Node samples from ``events`` through the streaming gauge (complete mode)."""
     base = scratch_path(spark, "utilstream")
     src, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
-    ev = read_table(spark, sf_dir, "events").select("ts", "event_type", "value")
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     files, per_trigger = _layout(spark)
-    ev.repartitionByRange(files, "ts").write.parquet(src)
+    # time order across files; the id splits a timestamp shared by many rows
+    ev.repartitionByRange(files, "ts", "event_id").write.parquet(src)
     stream = events_to_samples(read_table_stream(spark, src, ev.schema, max_files_per_trigger=per_trigger))
     q = start_utilisation_stream(stream, out, ckpt, output_mode="complete", available_now=True,
                                  state_partitions=per_trigger)

@@ -52,14 +52,16 @@ def get_spark(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; set only where unset (local tests), in which case
-    the folder is also registered as the RDD checkpoint directory so that
+    Read from the session; set only where unset in local mode (tests), in
+    which case the folder is also registered as the RDD checkpoint directory so that
     ``DataFrame.checkpoint()`` and our written tables share one place.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/NFS) every executor sees")
         root = tempfile.mkdtemp(prefix="strandline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)

@@ -172,3 +172,20 @@ def test_sequencefile_interop(spark, tmp_dir):
     write_articles_sequencefile(src, path)
     back = read_articles_sequencefile(spark, path)
     assert sorted(tuple(r) for r in back.collect()) == [("t1", "a b"), ("t2", "c")]
+
+
+def test_dump_scan_correct_across_many_small_splits(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    path = text.render_documents_dump(spark, SF001)
+    try:
+        spark.conf.set(key, str(16 * 1024))  # pages straddle split boundaries
+        frags = scan_fragments(spark, path)
+        assert frags.rdd.getNumPartitions() > 8
+        got = sorted(tuple(r) for r in text.articles(text.load_dump(spark, path)).collect())
+    finally:
+        spark.conf.set(key, old)
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    want = sorted(tuple(r) for r in docs.select(
+        F.concat_ws("-", "source", F.col("doc_id").cast("string")).alias("title"), "text").collect())
+    assert got == want

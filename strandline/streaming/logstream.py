@@ -31,7 +31,12 @@ def process_stream(records: DataFrame, id_cols: list[str] | None = None) -> Data
     and ``record`` (rendered); bad rows keep their line and reason. Stateless
     and narrow: every micro-batch is processed where it is read.
     """
-    id_cols = id_cols if id_cols is not None else [c for c in ["event_id"] if c in records.columns]
+    if id_cols is None:
+        # what identifies a record: our file records carry event_id, Kafka
+        # records their position; with neither, equal lines share a key
+        kafka = ["topic", "partition", "offset"]
+        id_cols = (["event_id"] if "event_id" in records.columns
+                   else kafka if set(kafka) <= set(records.columns) else [])
     lines = records.select(*id_cols, decode_line("value").alias("line"))
     parsed = parse_access_log(lines, "line")
     good = F.col("reason").isNull()
@@ -78,8 +83,17 @@ def write_log_stream(processed: DataFrame, path: str, checkpoint: str, fmt: str
 
 
 def preview(stream: DataFrame, n: int = 10, interval_ms: int | None = None) -> StreamingQuery:
-    """Print the first ``n`` rows of every micro-batch on the driver console."""
-    w = stream.writeStream.format("console").option("numRows", str(n)).option("truncate", "false")
+    """Print the first ``n`` rows of every micro-batch on the driver console.
+
+    ``show(n)`` fetches only the rows it prints (partitions are scanned
+    until ``n + 1`` rows are found). Spark's ``console`` sink would instead
+    send every row of the batch to the driver before printing.
+    """
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"-------- batch {batch_id} --------")
+        batch.show(n, truncate=False)
+
+    w = stream.writeStream.foreachBatch(show)
     if interval_ms:
         w = w.trigger(processingTime=f"{int(interval_ms)} milliseconds")
     return w.start()

@@ -17,7 +17,7 @@ import sys
 
 from pyspark.sql import functions as F
 
-from strandline.session import get_spark
+from strandline.session import get_spark, scale_settings
 
 
 def _dump_load(spark, a) -> int:
@@ -43,6 +43,9 @@ def _log_process(spark, a) -> int:
     from strandline.streaming.sources import read_records
 
     opts = dict(kv.split("=", 1) for kv in a.option)
+    if a.format == "kafka":
+        opts.setdefault("subscribe", a.source)        # the stream name
+        opts.setdefault("startingOffsets", "latest")  # start at the newest records
     recs = read_records(spark, a.format, None if a.format == "kafka" else a.source, options=opts,
                         max_files_per_trigger=a.max_files_per_trigger)
     q = write_log_stream(process_stream(recs), a.output, a.checkpoint, fmt=a.sink_format,
@@ -56,7 +59,10 @@ def _publish(spark, a) -> int:
     from strandline.streaming.sources import publish_lines
 
     events = spark.read.parquet(a.input).select("event_id", "ts", "user_id", "event_type", "value")
-    publish_lines(events_to_log_lines(events), a.format, a.output)
+    opts = dict(kv.split("=", 1) for kv in a.option)
+    if a.format == "kafka":
+        opts.setdefault("topic", a.output)
+    publish_lines(events_to_log_lines(events), a.format, None if a.format == "kafka" else a.output, opts)
     return 0
 
 
@@ -81,6 +87,8 @@ def _utilisation(spark, a) -> int:
 def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="strandline")
     p.add_argument("--master", default=None)
+    p.add_argument("--input-gb", type=float, default=None, help="input volume, to size partitions")
+    p.add_argument("--cores", type=int, default=None, help="total executor cores, with --input-gb")
     sub = p.add_subparsers(dest="cmd", required=True)
 
     d = sub.add_parser("dump-load", help="XML dump -> (title, text) table")
@@ -111,6 +119,7 @@ def build_parser() -> argparse.ArgumentParser:
     pb.add_argument("input")
     pb.add_argument("output")
     pb.add_argument("--format", default="parquet")
+    pb.add_argument("--option", action="append", default=[], help="sink option key=value")
     pb.set_defaults(fn=_publish)
 
     u = sub.add_parser("utilisation", help="node report lines -> metric points")
@@ -123,7 +132,8 @@ def build_parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     a = build_parser().parse_args(argv)
-    spark = get_spark(a.master)
+    extra = scale_settings(int(a.input_gb * (1 << 30)), a.cores or 8) if a.input_gb else None
+    spark = get_spark(a.master, extra=extra)
     return a.fn(spark, a)
 
 

@@ -49,6 +49,27 @@ def get_spark(
     return spark
 
 
+def scale_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Settings sized to an input volume, for ``get_spark(extra=...)``.
+
+    * input splits of 128 MiB: the per-row work (regex, XPath, tokenising)
+      is CPU-bound, so many moderate tasks balance better than few big ones;
+    * AQE starts from one shuffle partition per 512 MiB of input (at least
+      two per core) and coalesces them to ~128 MiB after the map side has
+      run; the partial aggregates usually shrink the shuffle far below that;
+    * skewed shuffle partitions are split (skew join) rather than left to
+      one task.
+    """
+    initial = max(2 * total_cores, input_bytes // (512 << 20))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

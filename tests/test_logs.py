@@ -185,3 +185,15 @@ def test_parse_is_narrow_and_runs_once(spark):
     # the parse runs once: a single regexp_replace, below the generator, filter above it
     assert plan.count("regexp_replace(") == 1
     assert plan.index("Filter") < plan.index("Generate")
+
+
+def test_split_write_is_one_pass_partitioned_by_outcome(spark, tmp_dir):
+    from strandline.operators.quarantine import write_split
+
+    parsed = parse_access_log(logs.log_lines(spark, SF001), "line")
+    write_split(parsed, tmp_dir)
+    assert sorted(d for d in __import__("os").listdir(tmp_dir) if d.startswith("outcome=")) == [
+        "outcome=no_match", "outcome=valid"]
+    back = spark.read.parquet(tmp_dir)
+    assert back.where("outcome = 'valid'").count() == 980
+    assert back.where("outcome = 'no_match'").count() == 20

@@ -19,8 +19,8 @@ def _tokens(spark, values):
 
 
 def test_tokenize_java_split_rules(spark):
-    got = _tokens(spark, ["", "   ", "  a b  ", "a\tb\n", "a b", None, "x", " y", "z "])
-    assert got == [[""], [], ["", "a", "b"], ["a", "b"], ["a b"], None, ["x"], ["", "y"], ["z"]]
+    got = _tokens(spark, ["", "   ", "  a b  ", "a\tb\n", "a\u00a0b", None, "x", " y", "z "])
+    assert got == [[""], [], ["", "a", "b"], ["a", "b"], ["a\u00a0b"], None, ["x"], ["", "y"], ["z"]]
 
 
 def test_tokenize_null_gives_no_rows(spark):

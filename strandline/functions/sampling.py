@@ -36,8 +36,20 @@ def hash32(key: Column, salt: int = 0) -> Column:
     return h.bitwiseXOR(F.shiftright(h, 15))
 
 
-def weighted_choice(h: Column, items: list[tuple[str, int]]) -> Column:
+def integer_weights(items: list[tuple[str, float]]) -> list[tuple[str, int]]:
+    """Scale decimal weights by the smallest power of ten that makes them whole.
+
+    Comparisons then stay in exact integer arithmetic in every engine.
+    """
+    scale = 1
+    while any(abs(w * scale - round(w * scale)) > 1e-9 for _, w in items):
+        scale *= 10
+    return [(v, int(round(w * scale))) for v, w in items]
+
+
+def weighted_choice(h: Column, items: list[tuple[str, float]]) -> Column:
     """Pick ``items[k][0]`` with probability ``w_k / sum(w)`` from a 32-bit hash."""
+    items = integer_weights(items)
     total = sum(w for _, w in items)
     expr = None
     cum = 0
@@ -65,7 +77,8 @@ def sql_hash32(key: str, salt: int = 0) -> str:
     return f"xor({h3}, ({h3}) >> 15)"
 
 
-def sql_weighted_choice(h: str, items: list[tuple[str, int]]) -> str:
+def sql_weighted_choice(h: str, items: list[tuple[str, float]]) -> str:
+    items = integer_weights(items)
     total = sum(w for _, w in items)
     cum, parts = 0, []
     for value, w in items[:-1]:

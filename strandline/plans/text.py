@@ -124,13 +124,18 @@ def word_count_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: token count and empty-token count (leading blank runs)."""
+    """Per document: token count and empty-token count.
+
+    The tokenizer can only produce an empty token in first place (a leading
+    blank run, or the one token of an empty text), so the empty count is a
+    test of the first token; no per-element lambda.
+    """
     docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     toks = docs.select("doc_id", tokenize(F.col("text")).alias("t"))
     return toks.select(
         "doc_id",
         F.size("t").cast("bigint").alias("n_tokens"),
-        F.size(F.filter("t", lambda x: x == F.lit(""))).cast("bigint").alias("n_empty"),
+        F.coalesce((F.get("t", 0) == F.lit("")).cast("bigint"), F.lit(0).cast("bigint")).alias("n_empty"),
     )
 
 

@@ -93,3 +93,21 @@ def test_cli_utilisation_writes_points(spark, tmp_dir):
     assert main(["utilisation", nodes, out, "--storage", storage]) == 0
     got = read_metrics(spark, out)
     assert got.count() == 10 and {r.metric for r in got.collect()} == {"YarnMemUsage", "DFSUsed"}
+
+
+def test_hot_cluster_sums_stay_exact(spark):
+    # a third of all nodes report to one cluster: partial sums before the exchange
+    report = metrics.node_report(spark, "/root/testdata/sf0.01")
+    hot = report.withColumn(
+        "cluster", F.when(F.abs(F.hash("node")) % 3 == 0, F.lit("HOT")).otherwise(F.col("cluster")))
+    from strandline.operators.aggregate import ratio_of_sums
+
+    util = ratio_of_sums(metrics.node_memory(hot), ["cluster"], "used_mb", "capacity_mb")
+    plan = util._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan
+    direct = (metrics.cluster_nodes(spark, "/root/testdata/sf0.01")
+              .withColumn("cluster", F.when(F.abs(F.hash("node")) % 3 == 0, F.lit("HOT")).otherwise(F.col("cluster")))
+              .groupBy("cluster").agg(F.sum(F.floor(F.abs("s_acctbal"))).alias("u"), F.count("*").alias("n")))
+    want = {r.cluster: (r.u, 16384 * r.n) for r in direct.collect()}
+    got = {r.cluster: (r.used_mb, r.capacity_mb) for r in util.collect()}
+    assert got == want and "HOT" in got

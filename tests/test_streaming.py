@@ -119,3 +119,29 @@ def test_cli_publish_and_process(spark, tmp_dir):
     assert main(["publish-lines", f"{SF001}/events.parquet", recs]) == 0
     assert main(["log-process", recs, out, ckpt, "--available-now", "--max-files-per-trigger", "2"]) == 0
     assert read_processed(spark, out).count() == 980
+
+
+def test_failed_batch_is_replayed_without_duplicates(spark, tmp_dir):
+    from strandline.streaming.logstream import _batch_writer
+
+    src, out, ckpt = (os.path.join(tmp_dir, x) for x in ("in", "out", "ckpt"))
+    _publish(spark, src)
+    good = _batch_writer(out, "parquet")
+
+    def crash_on_second(batch, batch_id):
+        good(batch, batch_id)  # output of the batch is written ...
+        if batch_id == 1:
+            raise RuntimeError("executor lost")  # ... but the batch never commits
+
+    recs = read_records(spark, "parquet", src, RECORD_SCHEMA, max_files_per_trigger=1)
+    q = (process_stream(recs).writeStream.foreachBatch(crash_on_second)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    try:
+        q.awaitTermination(600)
+    except Exception:
+        pass
+    assert q.exception() is not None
+    recs2 = read_records(spark, "parquet", src, RECORD_SCHEMA, max_files_per_trigger=1)
+    run_until_stopped(write_log_stream(process_stream(recs2), out, ckpt, available_now=True), 600)
+    got = read_processed(spark, out)
+    assert got.count() == 980 and got.select("event_id").distinct().count() == 980

@@ -189,3 +189,23 @@ def test_dump_scan_correct_across_many_small_splits(spark):
     want = sorted(tuple(r) for r in docs.select(
         F.concat_ws("-", "source", F.col("doc_id").cast("string")).alias("title"), "text").collect())
     assert got == want
+
+
+def test_bzip2_dump_is_split_and_loads_whole(spark, tmp_dir):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    pages = docs.select(render_page(F.concat_ws("-", "source", F.col("doc_id").cast("string")),
+                                    F.col("text")).alias("page"))
+    path = os.path.join(tmp_dir, "bz2")
+    pages.coalesce(1).write.option("compression", "bzip2").text(path)
+    assert any(f.endswith(".bz2") for f in os.listdir(path))
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, str(32 * 1024))
+        assert scan_fragments(spark, path).rdd.getNumPartitions() > 1
+        got = sorted(tuple(r) for r in text.articles(text.load_dump(spark, path)).collect())
+    finally:
+        spark.conf.set(key, old)
+    want = sorted(tuple(r) for r in docs.select(
+        F.concat_ws("-", "source", F.col("doc_id").cast("string")).alias("title"), "text").collect())
+    assert got == want

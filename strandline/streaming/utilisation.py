@@ -11,7 +11,7 @@ later than the watermark are dropped and counted in the query progress.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -48,23 +48,32 @@ def _append_writer(path: str):
     return write
 
 
+def state_session(spark: SparkSession, state_partitions: int) -> SparkSession:
+    """A child session (same context, own SQL settings) for a stateful stream.
+
+    A new streaming query takes its number of state store partitions from
+    ``spark.sql.shuffle.partitions`` and keeps it in its checkpoint for good.
+    The gauge's state is one row per open (window, cluster), so a few
+    partitions suffice, and every extra one costs a task and a state file
+    per micro-batch. Build the stream on this session; the caller's own
+    settings stay untouched.
+    """
+    child = spark.newSession()
+    child.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    return child
+
+
 def start_utilisation_stream(samples: DataFrame, path: str, checkpoint: str, output_mode: str = "append",
                              width: str = "1 day", watermark: str = "1 day",
-                             available_now: bool = False, interval_ms: int | None = None,
-                             state_partitions: int | None = None) -> StreamingQuery:
+                             available_now: bool = False, interval_ms: int | None = None) -> StreamingQuery:
     """Run the gauge into ``path``.
 
     ``complete``: the folder always holds the whole current table
     (overwritten per batch). ``append``/``update``: one folder per batch with
     the windows emitted by it; a replayed batch overwrites its own folder.
-
-    ``state_partitions`` fixes the number of state store partitions. A new
-    query takes it from ``spark.sql.shuffle.partitions`` and keeps it in its
-    checkpoint for good; the state here is one row per open (window,
-    cluster), so a few partitions suffice, and every extra one costs a task
-    and a state file per micro-batch.
+    The state partitioning comes from the session ``samples`` was built on
+    (see :func:`state_session`).
     """
-    spark = samples.sparkSession
     agg = windowed_utilisation(samples, width, watermark)
     writer = _overwrite_writer(path) if output_mode == "complete" else _append_writer(path)
     w = (agg.writeStream.outputMode(output_mode).foreachBatch(writer)
@@ -73,12 +82,4 @@ def start_utilisation_stream(samples: DataFrame, path: str, checkpoint: str, out
         w = w.trigger(availableNow=True)
     elif interval_ms:
         w = w.trigger(processingTime=f"{int(interval_ms)} milliseconds")
-    if not state_partitions:
-        return w.start()
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        return w.start()  # the query clones the session settings here
-    finally:
-        spark.conf.set(key, old)
+    return w.start()

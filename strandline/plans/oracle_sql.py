@@ -156,7 +156,13 @@ _TITLE = "regexp_extract(html, '<title>([^<]*)</title>', 1)"
 for _ent, _ch in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]:
     _TITLE = f"replace({_TITLE}, {_q(_ent)}, {_q(_ch)})"
 
+_UA_OF = UA_CASE.replace("user_agent", "ua")
+
 TEXT_EXTRA: dict[str, str] = {
     "weighted_assign": _sampling_sql(),
+    "traffic_categories": f"""
+SELECT {_UA_OF} AS ua_category, method, status, count(*) AS n
+FROM (SELECT method, status, user_agent AS ua FROM ({_sampling_sql()}))
+GROUP BY ALL""",
     "page_titles": f"SELECT page_id, {_TITLE} AS title FROM pages",
 }

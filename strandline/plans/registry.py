@@ -48,6 +48,7 @@ QUERIES: dict[str, Query] = {
     "stream_log_quarantine": streams.stream_log_quarantine,
     "stream_utilisation": streams.stream_utilisation,
     "weighted_assign": sampling.weighted_assign,
+    "traffic_categories": sampling.traffic_categories,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -10,7 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.functions.logs import categorize_ua, parse_access_log, render_log_line
 from strandline.functions.sampling import bounded_uniform, hash32, weighted_choice
+from strandline.operators.aggregate import count_per_key
+from strandline.operators.partitioning import spread
+from strandline.operators.quarantine import valid_rows
 from strandline.sources.tables import read_table
 
 # The request mix with its relative weights (they need not sum
@@ -48,3 +52,25 @@ def assign(df: DataFrame, key: str) -> DataFrame:
 def weighted_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events").select("event_id")
     return assign(events, "event_id")
+
+
+GENERATED_REFERER = "http://example.com/"
+
+
+def generated_lines(events: DataFrame) -> DataFrame:
+    """``(event_id, line)``: generated traffic, one access-log line per event."""
+    drawn = assign(events, "event_id")
+    ip = F.concat(F.lit("10.1."), F.pmod(F.col("user_id"), F.lit(256)).cast("string"), F.lit("."),
+                  F.pmod(F.col("event_id"), F.lit(256)).cast("string"))
+    line = render_log_line(ip, F.col("ts"), F.col("method"), F.col("resource"), F.col("status"),
+                           F.col("bytes"), F.lit(GENERATED_REFERER), F.col("user_agent"))
+    return drawn.select("event_id", line.alias("line"))
+
+
+def traffic_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generated traffic through the log processor: lines per (browser, method, status)."""
+    events = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id"), "event_id")
+    parsed = valid_rows(parse_access_log(generated_lines(events), "line"))
+    cats = parsed.select(categorize_ua("user_agent").alias("ua_category"), "method",
+                         F.col("status").cast("string").alias("status"))
+    return cats.groupBy("ua_category", "method", "status").agg(F.count(F.lit(1)).alias("n"))

@@ -12,7 +12,7 @@ from strandline.operators.barrier import evaluate_once
 from strandline.operators.ordering import key_partitioned_sorted
 from strandline.operators.partitioning import spread
 from strandline.session import scratch_path
-from strandline.sources.articles import read_articles, tsv_lines, write_articles
+from strandline.sources.articles import read_articles, tsv_lines, write_pages
 from strandline.sources.tables import read_table
 from strandline.sources.xmldump import render_page, scan_fragments, write_dump
 
@@ -70,9 +70,13 @@ def dump_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dump_load_to_table(spark: SparkSession, dump_path: str, out_path: str) -> int:
-    """The loader job: dump in, article table out; returns the article count."""
-    counter = Observation("articles")
-    write_articles(articles(load_dump(spark, dump_path)), out_path, counter)
+    """The loader job: dump in, page table out; returns the article count.
+
+    One pass writes good articles (``outcome=valid``) and quarantined pages
+    (``outcome=<reason>``); both counts ride on that write.
+    """
+    counter = Observation("pages")
+    write_pages(load_dump(spark, dump_path), out_path, counter)
     return int(counter.get["articles"])
 
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-ARTICLE_SCHEMA = "title STRING, text STRING"
-
 
 def write_articles(df: DataFrame, path: str, counter: Observation | None = None) -> None:
     """Write ``(title, text)`` as Parquet; optionally count rows on the way.
@@ -19,9 +17,31 @@ def write_articles(df: DataFrame, path: str, counter: Observation | None = None)
     out.write.mode("overwrite").parquet(path)
 
 
+def write_pages(parsed: DataFrame, path: str, counter: Observation | None = None) -> None:
+    """Write parsed pages in one pass, partitioned by outcome.
+
+    Good pages land in ``outcome=valid`` as ``(title, text)``; bad ones in
+    ``outcome=<reason>`` with the raw fragment kept for inspection. The
+    counter gets ``articles`` and ``quarantined`` from the same pass.
+    """
+    good = F.col("reason").isNull()
+    out = parsed.select("title", "text", F.when(~good, F.col("fragment")).alias("fragment"),
+                        F.coalesce(F.col("reason"), F.lit("valid")).alias("outcome"))
+    if counter is not None:
+        out = out.observe(counter, F.count_if(F.col("outcome") == "valid").alias("articles"),
+                          F.count_if(F.col("outcome") != "valid").alias("quarantined"))
+    out.write.mode("overwrite").partitionBy("outcome").parquet(path)
+
+
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
-    """Read an article table written by :func:`write_articles`."""
-    return spark.read.schema(ARTICLE_SCHEMA).parquet(path)
+    """Read ``(title, text)`` from :func:`write_articles` or :func:`write_pages` output.
+
+    For the partitioned form only the ``outcome=valid`` folder is read.
+    """
+    df = spark.read.parquet(path)
+    if "outcome" in df.columns:
+        df = df.where(F.col("outcome") == "valid")
+    return df.select("title", "text")
 
 
 def write_articles_sequencefile(df: DataFrame, path: str) -> None:

@@ -109,6 +109,23 @@ def test_dump_edge_cases(spark, tmp_dir):
                               "no_text", "bad_xml"])
 
 
+def test_loader_job_keeps_quarantine_and_counts_both(spark, tmp_dir):
+    from strandline.sources.articles import read_articles
+
+    dump = os.path.join(tmp_dir, "d")
+    os.makedirs(dump)
+    with open(os.path.join(dump, "x.xml"), "w") as fh:
+        fh.write("<page><title>A</title><text>a b</text></page>\n<page><title>B<text>x</text></page>\n"
+                 "<page><text>no title</text></page>\n")
+    out = os.path.join(tmp_dir, "out")
+    assert text.dump_load_to_table(spark, dump, out) == 1
+    assert sorted(d for d in os.listdir(out) if d.startswith("outcome=")) == [
+        "outcome=bad_xml", "outcome=no_title", "outcome=valid"]
+    assert [tuple(r) for r in read_articles(spark, out).collect()] == [("A", "a b")]
+    bad = spark.read.parquet(out).where("outcome != 'valid'").collect()
+    assert all(r.fragment.startswith("<page>") for r in bad)
+
+
 def test_dump_without_root_gives_same_rows(spark, tmp_dir):
     pages = "<page><title>A</title><revision><text>1</text></revision></page>\n" * 2
     with_root = _load_strings(spark, tmp_dir, "<mediawiki>\n" + pages + "</mediawiki>\n", "a")
@@ -127,7 +144,9 @@ def test_dump_round_trip_and_article_table(spark, tmp_dir):
     assert n == 3
     back = text.word_count_articles(spark, out)
     assert back.count() > 0
-    got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    from strandline.sources.articles import read_articles
+
+    got = sorted(tuple(r) for r in read_articles(spark, out).collect())
     assert got == sorted(tuple(r) for r in src.collect())
 
 

@@ -82,11 +82,14 @@ def test_edge_lines(spark):
         _line(base_t, ua="with\u0001ctl"),            # 9 exact path, still valid
         "bad line",                                   # 10 no_match
         _line("05/Nov/2017:01:30:00 +1960"),          # 11 bad offset: bad_time
+        _line(base_t) + "\r\n",                       # 12 CRLF end: valid (Java $)
+        _line(base_t) + "\n\n",                       # 13 two newlines: no_match
     ]
     got = _parse(spark, lines)
     reasons = [got[i].reason for i in range(len(lines))]
     assert reasons == [None, None, "no_match", "no_match", "no_match", "bad_number", "bad_time", "bad_time",
-                       "bad_number", None, "no_match", "bad_time"]
+                       "bad_number", None, "no_match", "bad_time", None, "no_match"]
+    assert got[12].user_agent == "MyBrowser"
     assert got[1].user_agent == "MyBrowser"
     assert got[9].user_agent == "with\u0001ctl" and got[9].bytes == 123
     assert got[0].ts == dt.datetime(2017, 11, 5, 6, 30)

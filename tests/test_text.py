@@ -228,3 +228,9 @@ def test_bzip2_dump_is_split_and_loads_whole(spark, tmp_dir):
     want = sorted(tuple(r) for r in docs.select(
         F.concat_ws("-", "source", F.col("doc_id").cast("string")).alias("title"), "text").collect())
     assert got == want
+
+
+def test_tokenize_java_whitespace_class(spark):
+    # Java's \s: space, tab, newline, vertical tab, form feed, carriage return; not NBSP
+    got = _tokens(spark, ["a\x0bb\x0cc\rd", "a b"])
+    assert got == [["a", "b", "c", "d"], ["a b"]]

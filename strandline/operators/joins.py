@@ -3,7 +3,9 @@
 The pipelines attach small reference tables (cluster names for nodes). A
 side is broadcast only after its row count is checked against a bound; a
 larger side is left to the optimizer, which plans a shuffle join (and AQE
-may still switch to broadcast from runtime sizes).
+may still switch to broadcast from runtime sizes). The bound is on rows, so
+callers project the lookup side to its key and a few narrow columns first;
+the broadcast size is then rows x a fixed width.
 """
 
 from __future__ import annotations
@@ -12,12 +14,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows above which a lookup side is not broadcast by us.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_ROWS = 100_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    ``take`` scans partitions incrementally (one, then more as needed) and
+    stops at ``max_rows + 1`` rows, so a large table costs a few tasks, not
+    one per partition; each row fetched is a single integer.
+    """
+    return len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

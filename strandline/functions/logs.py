@@ -56,12 +56,13 @@ def parse_clf_time(s: Column | str) -> tuple[Column, Column]:
     off_h = F.substring(s, 23, 2).try_cast("int")
     off_m = F.substring(s, 25, 2).try_cast("int")
     offset = F.when(shape & (off_h <= 18) & (off_m <= 59), sign * (off_h * 60 + off_m))
+    sec = F.substring(s, 19, 2).try_cast("int")
+    # make_timestamp would roll second 60 into the next minute; the layout allows 0-59
     local = F.when(
-        shape & (month > 0) & offset.isNotNull(),
+        shape & (month > 0) & offset.isNotNull() & (sec <= 59),
         F.try_make_timestamp_ntz(
             F.substring(s, 8, 4).try_cast("int"), month.cast("int"), F.substring(s, 1, 2).try_cast("int"),
-            F.substring(s, 13, 2).try_cast("int"), F.substring(s, 16, 2).try_cast("int"),
-            F.substring(s, 19, 2).try_cast("int"),
+            F.substring(s, 13, 2).try_cast("int"), F.substring(s, 16, 2).try_cast("int"), sec,
         ),
     )
     return local, offset

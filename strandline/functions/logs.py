@@ -55,7 +55,8 @@ def parse_clf_time(s: Column | str) -> tuple[Column, Column]:
     sign = F.when(F.substring(s, 22, 1) == "-", F.lit(-1)).otherwise(F.lit(1))
     off_h = F.substring(s, 23, 2).try_cast("int")
     off_m = F.substring(s, 25, 2).try_cast("int")
-    offset = F.when(shape & (off_h <= 18) & (off_m <= 59), sign * (off_h * 60 + off_m))
+    # offsets run from -18:00 to +18:00
+    offset = F.when(shape & (off_m <= 59) & (off_h * 60 + off_m <= 18 * 60), sign * (off_h * 60 + off_m))
     sec = F.substring(s, 19, 2).try_cast("int")
     # make_timestamp would roll second 60 into the next minute; the layout allows 0-59
     local = F.when(

@@ -11,6 +11,7 @@ from strandline.operators.aggregate import count_per_key
 from strandline.operators.barrier import evaluate_once
 from strandline.operators.ordering import key_partitioned_sorted
 from strandline.operators.partitioning import spread
+from strandline.operators.quarantine import valid_rows
 from strandline.session import scratch_path
 from strandline.sources.articles import read_articles, tsv_lines, write_pages
 from strandline.sources.tables import read_table
@@ -44,9 +45,9 @@ def load_dump(spark: SparkSession, path: str) -> DataFrame:
     return parse_pages(scan_fragments(spark, path))
 
 
-def articles(parsed: DataFrame) -> DataFrame:
-    """Good pages only, as ``(title, text)``."""
-    return parsed.where(F.col("reason").isNull()).select("title", "text")
+def articles(parsed: DataFrame, fail_fast: bool = False) -> DataFrame:
+    """Good pages only, as ``(title, text)``; ``fail_fast`` fails on the first bad page."""
+    return valid_rows(parsed, fail_fast=fail_fast).select("title", "text")
 
 
 def render_documents_dump(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:

@@ -234,3 +234,15 @@ def test_tokenize_java_whitespace_class(spark):
     # Java's \s: space, tab, newline, vertical tab, form feed, carriage return; not NBSP
     got = _tokens(spark, ["a\x0bb\x0cc\rd", "a b"])
     assert got == [["a", "b", "c", "d"], ["a b"]]
+
+
+def test_loader_fail_fast(spark, tmp_dir):
+    import pytest
+
+    dump = os.path.join(tmp_dir, "d")
+    os.makedirs(dump)
+    with open(os.path.join(dump, "x.xml"), "w") as fh:
+        fh.write("<page><title>A</title><text>a</text></page>\n<page><title>B<text>x</text></page>\n")
+    assert text.articles(text.load_dump(spark, dump)).count() == 1
+    with pytest.raises(Exception, match="bad record: bad_xml"):
+        text.articles(text.load_dump(spark, dump), fail_fast=True).collect()

@@ -246,3 +246,35 @@ def test_loader_fail_fast(spark, tmp_dir):
     assert text.articles(text.load_dump(spark, dump)).count() == 1
     with pytest.raises(Exception, match="bad record: bad_xml"):
         text.articles(text.load_dump(spark, dump), fail_fast=True).collect()
+
+
+def test_extraction_equals_direct_xpath(spark):
+    from strandline.functions.xml import extract_first_elements
+
+    pages = [
+        "<page><title>T</title><revision><text>plain</text></revision></page>",
+        "<page><title> T </title><revision id='1'><text xml:space='preserve' bytes='5'>  a b \n </text>"
+        "</revision></page>",
+        "<page><title>A &amp; B &#65;</title><revision><text>x &lt;ref&gt; y</text></revision></page>",
+        "<page><title></title><revision><text></text></revision></page>",
+        "<page><title>T</title><revision><text>a<b>c</b>d</text></revision></page>",
+        "<page><title>T</title><revision><text>x<![CDATA[y<]]>z</text></revision></page>",
+        "<page><title>T</title><revision><text>x<!-- c -->z</text></revision></page>",
+        "<page><title>T</title><revision><text>one</text></revision><revision><text>two</text></revision></page>",
+        "<page><title>T1</title><title>T2</title><revision><text>t</text></revision></page>",
+        "<page><revision><title>inner</title><text>t</text></revision></page>",
+        "<page><titlex>no</titlex><title>T</title><revision><text>t</text></revision></page>",
+        "<page><title>T</title><text>direct</text></page>",
+        "<page><title>T</title><revision><text/></revision></page>",
+        "<page><x:title xmlns:x='u'>ns</x:title><title>T</title><revision><text>t</text></revision></page>",
+        "<page><title>T</title><!-- <title>c</title> --><revision><text>t</text></revision></page>",
+        "<page><title>T</title><revision><text>a\r\nb</text></revision></page>",
+    ]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, f string")
+    got = extract_first_elements(df, "f", ["title", "text"])
+    xp = "concat(count(//title), '|', count(//text), '|', string((//title)[1]), '|', string((//text)[1]))"
+    want = df.select("i", F.xpath_string("f", F.lit(xp)).alias("x"))
+    w = {r.i: r.x for r in want.collect()}
+    for r in got.collect():
+        assert r.ok
+        assert f"{r.n_title}|{r.n_text}|{r.title}|{r.text}" == w[r.i], pages[r.i]

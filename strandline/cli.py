@@ -3,6 +3,7 @@
     spark-submit -m strandline.cli dump-load  <dump dir> <article table>
     spark-submit -m strandline.cli word-count <article table> <tsv dir>
     spark-submit -m strandline.cli log-process <record source> <out dir> <checkpoint> [--interval-ms N]
+    spark-submit -m strandline.cli log-batch <log text files> <out dir>
     spark-submit -m strandline.cli publish-lines <events table> <record dir>
     spark-submit -m strandline.cli utilisation <node report table> <metric table> [--storage <table>]
 
@@ -54,6 +55,23 @@ def _log_process(spark, a) -> int:
     return 0
 
 
+def _log_batch(spark, a) -> int:
+    from strandline.functions.logs import anonymize, categorize_ua, parse_access_log, render_record, row_key
+    from strandline.operators.quarantine import write_split
+
+    lines = spark.read.text(a.input).select(F.input_file_name().alias("file"), F.col("value").alias("line"))
+    parsed = parse_access_log(lines, "line")
+    good = F.col("reason").isNull()
+    out = parsed.select(
+        "line", "reason", F.when(good, row_key("file", "line")).alias("row_key"),
+        F.when(good, anonymize("ip")).alias("ip"), "ts", "local_ts", "offset_min", "method", "resource",
+        "status", "bytes", F.when(good, categorize_ua("user_agent")).alias("user_agent"))
+    record = render_record(F.col("ip"), F.col("local_ts"), F.col("offset_min"), F.col("method"),
+                           F.col("resource"), F.col("status"), F.col("bytes"), F.col("user_agent"))
+    write_split(out.withColumn("record", F.when(good, record)), a.output)
+    return 0
+
+
 def _publish(spark, a) -> int:
     from strandline.plans.logs import events_to_log_lines
     from strandline.streaming.sources import publish_lines
@@ -115,6 +133,11 @@ def build_parser() -> argparse.ArgumentParser:
     lp.add_argument("--timeout-s", type=float, default=None)
     lp.set_defaults(fn=_log_process)
 
+    lb = sub.add_parser("log-batch", help="access-log text files -> records and quarantine, one pass")
+    lb.add_argument("input")
+    lb.add_argument("output")
+    lb.set_defaults(fn=_log_batch)
+
     pb = sub.add_parser("publish-lines", help="events table -> access-log records on a stream")
     pb.add_argument("input")
     pb.add_argument("output")

@@ -204,3 +204,18 @@ def test_split_write_is_one_pass_partitioned_by_outcome(spark, tmp_dir):
     back = spark.read.parquet(tmp_dir)
     assert back.where("outcome = 'valid'").count() == 980
     assert back.where("outcome = 'no_match'").count() == 20
+
+
+def test_cli_log_batch(spark, tmp_dir):
+    import os
+
+    from strandline.cli import main
+
+    src, out = os.path.join(tmp_dir, "logs"), os.path.join(tmp_dir, "out")
+    logs.log_lines(spark, SF001).select(F.col("line").alias("value")).write.text(src)
+    assert main(["log-batch", src, out]) == 0
+    back = spark.read.parquet(out)
+    assert back.where("outcome = 'valid'").count() == 980
+    assert back.where("outcome = 'no_match'").count() == 20
+    r = back.where("outcome = 'valid'").first()
+    assert r.user_agent in {"CHROME", "FIREFOX", "SAFARI", "OPERA", "IE", "OTHER"} and len(r.row_key) == 64

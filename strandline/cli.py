@@ -56,19 +56,11 @@ def _log_process(spark, a) -> int:
 
 
 def _log_batch(spark, a) -> int:
-    from strandline.functions.logs import anonymize, categorize_ua, parse_access_log, render_record, row_key
     from strandline.operators.quarantine import write_split
+    from strandline.plans.logs import process_lines
 
     lines = spark.read.text(a.input).select(F.input_file_name().alias("file"), F.col("value").alias("line"))
-    parsed = parse_access_log(lines, "line")
-    good = F.col("reason").isNull()
-    out = parsed.select(
-        "line", "reason", F.when(good, row_key("file", "line")).alias("row_key"),
-        F.when(good, anonymize("ip")).alias("ip"), "ts", "local_ts", "offset_min", "method", "resource",
-        "status", "bytes", F.when(good, categorize_ua("user_agent")).alias("user_agent"))
-    record = render_record(F.col("ip"), F.col("local_ts"), F.col("offset_min"), F.col("method"),
-                           F.col("resource"), F.col("status"), F.col("bytes"), F.col("user_agent"))
-    write_split(out.withColumn("record", F.when(good, record)), a.output)
+    write_split(process_lines(lines, ["file"]), a.output)
     return 0
 
 

@@ -99,19 +99,30 @@ def log_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid_rows(parsed_lines(spark, sf_dir)).select("event_id", row_key("event_id", "line").alias("row_key"))
 
 
-def process_records(parsed: DataFrame, id_cols: list[str], line: str = "line") -> DataFrame:
-    """Good parsed lines -> anonymised, categorised, keyed, rendered records.
-
-    The reference chain decode -> parse -> anonymise -> categorise -> key, as
-    column replacements on one narrow projection.
+def process_lines(lines: DataFrame, id_cols: list[str], line: str = "line") -> DataFrame:
+    """Lines -> every row with its ``reason``; good rows fully processed.
+
+    The reference chain parse -> anonymise -> categorise -> key -> render as
+    column replacements on one narrow projection over the parsed rows. Good
+    rows carry ``row_key``, the anonymised ``ip``, the ``user_agent``
+    category and the rendered ``record``; bad rows keep ``line`` and
+    ``reason``. Batch jobs, the streaming job and the command line share it.
     """
-    good = valid_rows(parsed)
-    good = good.withColumn("row_key", row_key(*id_cols, line))
-    good = good.withColumn("ip", anonymize("ip")).withColumn("user_agent", categorize_ua("user_agent"))
+    parsed = parse_access_log(lines.select(*id_cols, line), line)
+    good = F.col("reason").isNull()
+    out = parsed.select(
+        *id_cols, line, "reason", F.when(good, row_key(*id_cols, line)).alias("row_key"),
+        F.when(good, anonymize("ip")).alias("ip"), "ts", "local_ts", "offset_min", "method", "resource",
+        "status", "bytes", F.when(good, categorize_ua("user_agent")).alias("user_agent"))
     record = render_record(F.col("ip"), F.col("local_ts"), F.col("offset_min"), F.col("method"),
                            F.col("resource"), F.col("status"), F.col("bytes"), F.col("user_agent"))
-    return good.select(*id_cols, "row_key", "ip", "ts", "method", "resource", "status", "bytes",
-                       "user_agent", record.alias("record"))
+    return out.withColumn("record", F.when(good, record))
+
+
+def process_records(lines: DataFrame, id_cols: list[str], line: str = "line") -> DataFrame:
+    """Good lines only, as processed records."""
+    return valid_rows(process_lines(lines, id_cols, line)).select(
+        *id_cols, "row_key", "ip", "ts", "method", "resource", "status", "bytes", "user_agent", "record")
 
 
 def log_render(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,4 +135,4 @@ def log_render(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def log_process(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole batch log job: parse, anonymise, categorise, key, render."""
-    return process_records(parsed_lines(spark, sf_dir), ["event_id"])
+    return process_records(log_lines(spark, sf_dir), ["event_id"])

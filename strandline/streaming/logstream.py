@@ -13,15 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strandline.functions.logs import (
-    anonymize,
-    categorize_ua,
-    decode_line,
-    parse_access_log,
-    render_record,
-    row_key,
-)
+from strandline.functions.logs import decode_line
 from strandline.operators.quarantine import outcome
+from strandline.plans.logs import process_lines
 
 
 def process_stream(records: DataFrame, id_cols: list[str] | None = None) -> DataFrame:
@@ -38,17 +32,7 @@ def process_stream(records: DataFrame, id_cols: list[str] | None = None) -> Data
         id_cols = (["event_id"] if "event_id" in records.columns
                    else kafka if set(kafka) <= set(records.columns) else [])
     lines = records.select(*id_cols, decode_line("value").alias("line"))
-    parsed = parse_access_log(lines, "line")
-    good = F.col("reason").isNull()
-    ip = F.when(good, anonymize("ip"))
-    ua = F.when(good, categorize_ua("user_agent"))
-    out = parsed.select(
-        *id_cols, "line", "reason", F.when(good, row_key(*id_cols, "line")).alias("row_key"),
-        ip.alias("ip"), "ts", "local_ts", "offset_min", "method", "resource", "status", "bytes",
-        ua.alias("user_agent"))
-    record = render_record(F.col("ip"), F.col("local_ts"), F.col("offset_min"), F.col("method"),
-                           F.col("resource"), F.col("status"), F.col("bytes"), F.col("user_agent"))
-    return outcome(out.withColumn("record", F.when(good, record)))
+    return outcome(process_lines(lines, id_cols))
 
 
 def _batch_writer(path: str, fmt: str):

@@ -186,7 +186,7 @@ def test_quarantine_keeps_every_bad_line(spark):
 
 def test_parse_is_narrow_and_runs_once(spark):
     ev = spark.read.parquet(f"{SF001}/events.parquet")
-    df = logs.process_records(parse_access_log(logs.events_to_log_lines(ev), "line"), ["event_id"])
+    df = logs.process_records(logs.events_to_log_lines(ev), ["event_id"])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     # the parse runs once: a single regexp_replace, below the generator, filter above it

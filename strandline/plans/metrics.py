@@ -46,9 +46,9 @@ def cluster_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_name").alias("cluster"), F.col("s_name").alias("node"), "s_suppkey", "s_acctbal")
 
 
-def node_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def node_report(spark: SparkSession, sf_dir: str, nodes: DataFrame | None = None) -> DataFrame:
     """``(cluster, node, line_no, line)``: node list header, total, memory used and capacity."""
-    nodes = cluster_nodes(spark, sf_dir)
+    nodes = nodes if nodes is not None else cluster_nodes(spark, sf_dir)
     used = F.floor(F.abs(F.col("s_acctbal"))).cast("bigint").cast("string")
     return nodes.select("cluster", "node", _lines(
         (0, F.lit("Node-Id             Node-State")),
@@ -58,7 +58,7 @@ def node_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
-def storage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def storage_report(spark: SparkSession, sf_dir: str, nodes: DataFrame | None = None) -> DataFrame:
     """``(cluster, line_no, line)``: a cluster summary first, then one section per data node.
 
     Every section repeats ``DFS Used%``; only the first line of the report
@@ -68,7 +68,7 @@ def storage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = reg.select(
         F.col("r_name").alias("cluster"), F.lit(0).cast("bigint").alias("line_no"),
         F.concat(F.lit("DFS Used%: "), F.col("r_regionkey").cast("string"), F.lit(".25%")).alias("line"))
-    nodes = cluster_nodes(spark, sf_dir)
+    nodes = nodes if nodes is not None else cluster_nodes(spark, sf_dir)
     pct = F.concat(F.pmod(F.col("s_suppkey"), F.lit(100)).cast("string"), F.lit("."),
                    F.lpad(F.pmod(F.col("s_suppkey"), F.lit(97)).cast("string"), 2, "0"), F.lit("%"))
     sections = nodes.select(
@@ -145,10 +145,11 @@ def metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     :func:`strandline.sources.metrics.write_metrics` for the stored form with
     a dimensions map.
     """
-    mem = utilisation(spark, sf_dir).select(F.lit(YARN_METRIC).alias("metric"), F.col("pct").alias("value"),
-                                            "cluster")
-    dfs = report_first_match(spark, sf_dir).select(F.lit(DFS_METRIC).alias("metric"),
-                                                   F.col("dfs_used_pct").alias("value"), "cluster")
+    nodes = cluster_nodes(spark, sf_dir)  # one lookup (and size check) for both reports
+    util = ratio_of_sums(node_memory(node_report(spark, sf_dir, nodes)), ["cluster"], "used_mb", "capacity_mb")
+    mem = util.select(F.lit(YARN_METRIC).alias("metric"), F.col("pct").alias("value"), "cluster")
+    dfs = dfs_used(storage_report(spark, sf_dir, nodes)).select(
+        F.lit(DFS_METRIC).alias("metric"), F.col("dfs_used_pct").alias("value"), "cluster")
     return mem.unionByName(dfs).select(
         "metric", F.lit(NAMESPACE).alias("namespace"), F.lit(UNIT).alias("unit"), "value",
         F.lit(DIMENSION).alias("dim_name"), F.col("cluster").alias("dim_value"))

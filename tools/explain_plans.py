@@ -8,6 +8,8 @@ Usage: python tools/explain_plans.py [sf_dir] [out.md]
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import re
 import sys
@@ -17,8 +19,10 @@ sys.path.insert(0, ROOT)
 
 
 def outline(df) -> tuple[str, list[str], list[str]]:
-    text = df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    text = buf.getvalue()
     tree = text.split("\n\n\n", 1)[0].replace("== Physical Plan ==\n", "")
     scans = sorted({m for m in re.findall(r"(ReadSchema: .*|PushedFilters: .*)", text)})
     exchanges = re.findall(r"\(\d+\) (Exchange|ShuffleExchange)[^\n]*\n[^\n]*\n(Arguments: [^\n]*)", text)

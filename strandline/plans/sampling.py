@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from strandline.functions.logs import categorize_ua, parse_access_log, render_log_line
 from strandline.functions.sampling import bounded_uniform, hash32, weighted_choice
-from strandline.operators.aggregate import count_per_key
 from strandline.operators.partitioning import spread
 from strandline.operators.quarantine import valid_rows
 from strandline.sources.tables import read_table

@@ -58,11 +58,13 @@ def parse_clf_time(s: Column | str) -> tuple[Column, Column]:
     # offsets run from -18:00 to +18:00
     offset = F.when(shape & (off_m <= 59) & (off_h * 60 + off_m <= 18 * 60), sign * (off_h * 60 + off_m))
     sec = F.substring(s, 19, 2).try_cast("int")
-    # make_timestamp would roll second 60 into the next minute; the layout allows 0-59
+    year = F.substring(s, 8, 4).try_cast("int")
+    # make_timestamp would roll second 60 into the next minute and accept year
+    # 0; the layout allows seconds 0-59 and years of the era from 1
     local = F.when(
-        shape & (month > 0) & offset.isNotNull() & (sec <= 59),
+        shape & (month > 0) & offset.isNotNull() & (sec <= 59) & (year >= 1),
         F.try_make_timestamp_ntz(
-            F.substring(s, 8, 4).try_cast("int"), month.cast("int"), F.substring(s, 1, 2).try_cast("int"),
+            year, month.cast("int"), F.substring(s, 1, 2).try_cast("int"),
             F.substring(s, 13, 2).try_cast("int"), F.substring(s, 16, 2).try_cast("int"), sec,
         ),
     )

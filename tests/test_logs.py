@@ -88,11 +88,14 @@ def test_edge_lines(spark):
         _line("05/Nov/2017:24:00:00 +0000"),          # 15 hour 24: bad_time
         _line("05/Nov/2017:01:30:00 +1830"),          # 16 beyond +18:00: bad_time
         _line("05/Nov/2017:01:30:00 -1800"),          # 17 -18:00: valid
+        _line("01/Jan/0000:00:00:00 +0000"),          # 18 year 0: bad_time
+        _line("29/Feb/2017:00:00:00 +0000"),          # 19 no 29 Feb: bad_time
+        _line("29/Feb/2016:00:00:00 +0000"),          # 20 leap day: valid
     ]
     got = _parse(spark, lines)
     reasons = [got[i].reason for i in range(len(lines))]
     assert reasons == [None, None, "no_match", "no_match", "no_match", "bad_number", "bad_time", "bad_time",
-                       "bad_number", None, "no_match", "bad_time", None, "no_match", "bad_time", "bad_time", "bad_time", None]
+                       "bad_number", None, "no_match", "bad_time", None, "no_match", "bad_time", "bad_time", "bad_time", None, "bad_time", "bad_time", None]
     assert got[12].user_agent == "MyBrowser"
     assert got[1].user_agent == "MyBrowser"
     assert got[9].user_agent == "with\u0001ctl" and got[9].bytes == 123

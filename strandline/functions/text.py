@@ -46,11 +46,18 @@ def tokenize(text: Column | str) -> Column:
     )
 
 
-def xml_escape(c: Column | str) -> Column:
-    """Escape ``&``, ``<`` and ``>`` (in that order) for XML element content."""
+def xml_escape(c: Column | str, keep_cr: bool = False) -> Column:
+    """Escape ``&``, ``<`` and ``>`` (in that order) for XML element content.
+
+    With ``keep_cr`` a carriage return becomes ``&#13;``: a parser turns a raw
+    one into a line feed, the reference survives. Characters XML 1.0 cannot
+    carry at all (most C0 controls) are left as they are; such a page fails
+    to parse and is quarantined.
+    """
     c = _col(c)
-    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
-                     F.lit(">"), F.lit("&gt;"))
+    out = F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                    F.lit(">"), F.lit("&gt;"))
+    return F.replace(out, F.lit("\r"), F.lit("&#13;")) if keep_cr else out
 
 
 def xml_unescape(c: Column | str) -> Column:

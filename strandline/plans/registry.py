@@ -22,6 +22,10 @@ _SQL_TOKENS = r"""CASE WHEN text = '' THEN ['']
        WHEN regexp_full_match(text, '\s+') THEN []::VARCHAR[]
        ELSE regexp_split_to_array(regexp_replace(text, '\s+$', ''), '\s+') END"""
 
+# Texts XML 1.0 can carry: no C0 control other than tab, line feed and
+# carriage return, and no U+FFFE / U+FFFF (other pages are quarantined).
+_SQL_XML_TEXT = r"NOT regexp_matches(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]')"
+
 QUERIES: dict[str, Query] = {
     "word_count": text.word_count,
     "word_count_tsv": text.word_count_tsv,
@@ -64,15 +68,15 @@ GROUP BY word""",
 SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens,
        CAST(len(list_filter(t, lambda x: x = '')) AS BIGINT) AS n_empty
 FROM (SELECT doc_id, {_SQL_TOKENS} AS t FROM documents)""",
-    "dump_load": """
-SELECT source || '-' || CAST(doc_id AS VARCHAR) AS title, text FROM documents""",
-    "dump_article_count": """
-SELECT count(*) AS articles FROM documents""",
+    "dump_load": f"""
+SELECT source || '-' || CAST(doc_id AS VARCHAR) AS title, text FROM documents WHERE {_SQL_XML_TEXT}""",
+    "dump_article_count": f"""
+SELECT count(*) AS articles FROM documents WHERE {_SQL_XML_TEXT}""",
 }
 ORACLE_SQL.update(LOGS)
 ORACLE_SQL.update(METRICS)
 ORACLE_SQL.update(TEXT_EXTRA)
-ORACLE_SQL["dump_word_count"] = ORACLE_SQL["word_count"]
+ORACLE_SQL["dump_word_count"] = ORACLE_SQL["word_count"].replace("FROM documents", f"FROM documents WHERE {_SQL_XML_TEXT}")
 ORACLE_SQL["stream_log_process"] = ORACLE_SQL["log_process"]
 ORACLE_SQL["stream_log_quarantine"] = ORACLE_SQL["log_quarantine"]
 ORACLE_SQL["stream_utilisation"] = ORACLE_SQL["utilisation_by_window"]

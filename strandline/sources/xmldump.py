@@ -49,8 +49,8 @@ def scan_fragments(
 def render_page(title: Column, text: Column) -> Column:
     """``<page><title>..</title><revision><text>..</text></revision></page>``."""
     return F.concat(
-        F.lit("<page><title>"), xml_escape(title), F.lit("</title><revision><text>"),
-        xml_escape(text), F.lit("</text></revision></page>"),
+        F.lit("<page><title>"), xml_escape(title, keep_cr=True), F.lit("</title><revision><text>"),
+        xml_escape(text, keep_cr=True), F.lit("</text></revision></page>"),
     )
 
 

@@ -278,3 +278,13 @@ def test_extraction_equals_direct_xpath(spark):
     for r in got.collect():
         assert r.ok
         assert f"{r.n_title}|{r.n_text}|{r.title}|{r.text}" == w[r.i], pages[r.i]
+
+
+def test_dump_round_trip_keeps_carriage_returns_and_quarantines_controls(spark, tmp_dir):
+    src = spark.createDataFrame([("cr", "a\r\nb\rc"), ("ctl", "bad\x01char"), ("ok", "plain")],
+                                "title string, text string")
+    dump = os.path.join(tmp_dir, "dump")
+    write_dump(src.select(render_page(F.col("title"), F.col("text")).alias("page")), dump, root=None)
+    rows = {r.title or r.reason: r for r in text.load_dump(spark, dump).collect()}
+    assert rows["cr"].text == "a\r\nb\rc" and rows["ok"].text == "plain"
+    assert rows["bad_xml"].reason == "bad_xml"

@@ -17,10 +17,12 @@ from strandline.plans.oracle_sql import LOGS, METRICS, TEXT_EXTRA
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# DuckDB form of the Java whitespace split (trailing empties dropped).
-_SQL_TOKENS = r"""CASE WHEN text = '' THEN ['']
-       WHEN regexp_full_match(text, '\s+') THEN []::VARCHAR[]
-       ELSE regexp_split_to_array(regexp_replace(text, '\s+$', ''), '\s+') END"""
+# DuckDB form of the Java whitespace split (trailing empties dropped). Java's
+# \s is [ \t\n\x0B\f\r]; the RE2 \s lacks the vertical tab, so the class is spelled out.
+_WS = r"[ \t\n\x0B\f\r]"
+_SQL_TOKENS = f"""CASE WHEN text = '' THEN ['']
+       WHEN regexp_full_match(text, '{_WS}+') THEN []::VARCHAR[]
+       ELSE regexp_split_to_array(regexp_replace(text, '{_WS}+$', ''), '{_WS}+') END"""
 
 # Texts XML 1.0 can carry: no C0 control other than tab, line feed and
 # carriage return, and no U+FFFE / U+FFFF (other pages are quarantined).

@@ -92,7 +92,12 @@ def dump_article_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def words(texts: DataFrame, col: str = "text") -> DataFrame:
-    """One row per token: ``word``."""
+    """One row per token: ``word``.
+
+    The tokenizer stays inside ``explode``: computed in a projection of its
+    own, Spark would infer a ``size(tokens) > 0`` filter and push it below
+    any exchange, tokenizing every text twice.
+    """
     return texts.select(F.explode(tokenize(F.col(col))).alias("word"))
 
 

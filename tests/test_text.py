@@ -288,3 +288,11 @@ def test_dump_round_trip_keeps_carriage_returns_and_quarantines_controls(spark,
     rows = {r.title or r.reason: r for r in text.load_dump(spark, dump).collect()}
     assert rows["cr"].text == "a\r\nb\rc" and rows["ok"].text == "plain"
     assert rows["bad_xml"].reason == "bad_xml"
+
+
+def test_tokenizing_stays_inside_the_generator(spark):
+    # With tokens computed in a projection below the explode, Spark infers a
+    # size(tokens) > 0 filter and pushes it under the exchange: the text is
+    # then tokenized twice. words() keeps the tokenizer inside the generator.
+    plan = text.word_count(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" not in plan

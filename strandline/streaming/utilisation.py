@@ -48,18 +48,24 @@ def _append_writer(path: str):
     return write
 
 
-def state_session(spark: SparkSession, state_partitions: int) -> SparkSession:
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def state_session(spark: SparkSession, state_partitions: int, rocksdb: bool = False) -> SparkSession:
     """A child session (same context, own SQL settings) for a stateful stream.
 
     A new streaming query takes its number of state store partitions from
     ``spark.sql.shuffle.partitions`` and keeps it in its checkpoint for good.
     The gauge's state is one row per open (window, cluster), so a few
     partitions suffice, and every extra one costs a task and a state file
-    per micro-batch. Build the stream on this session; the caller's own
-    settings stay untouched.
+    per micro-batch. With ``rocksdb`` the state lives in RocksDB (off the
+    JVM heap), for many keys or long windows. Build the stream on this
+    session; the caller's own settings stay untouched.
     """
     child = spark.newSession()
     child.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    if rocksdb:
+        child.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     return child
 
 

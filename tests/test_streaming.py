@@ -145,3 +145,22 @@ def test_failed_batch_is_replayed_without_duplicates(spark, tmp_dir):
     run_until_stopped(write_log_stream(process_stream(recs2), out, ckpt, available_now=True), 600)
     got = read_processed(spark, out)
     assert got.count() == 980 and got.select("event_id").distinct().count() == 980
+
+
+def test_stream_utilisation_on_rocksdb_state(spark, tmp_dir):
+    from strandline.streaming.utilisation import ROCKSDB_PROVIDER, state_session
+
+    src, out, ckpt = (os.path.join(tmp_dir, x) for x in ("in", "out", "ckpt"))
+    ev = spark.read.parquet(f"{SF001}/events.parquet").select("ts", "event_type", "value")
+    ev.repartitionByRange(3, "ts").write.parquet(src)
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    child = state_session(spark, 2, rocksdb=True)
+    stream = metrics.events_to_samples(read_table_stream(child, src, ev.schema, 1))
+    run_until_stopped(start_utilisation_stream(stream, out, ckpt, "complete", available_now=True), 600)
+    got = spark.read.parquet(out)
+    want = metrics.utilisation_by_window(spark, SF001)
+    assert got.select(*want.columns).exceptAll(want).count() == 0 and got.count() == want.count()
+    with open(os.path.join(ckpt, "offsets", "0")) as fh:
+        logged = fh.read()
+    assert ROCKSDB_PROVIDER in logged and '"spark.sql.shuffle.partitions":"2"' in logged
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before

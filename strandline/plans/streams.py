@@ -30,28 +30,26 @@ def _layout(spark: SparkSession) -> tuple[int, int]:
     return STREAM_BATCHES * par, par
 
 
-def stream_log_process(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log lines through the streaming processor; the good rows it wrote."""
+def _run_log_stream(spark: SparkSession, sf_dir: str) -> str:
+    """Publish the log lines, drain them through the streaming processor; the sink folder."""
     base = scratch_path(spark, "logstream")
     src, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
     files, per_trigger = _layout(spark)
     publish_lines(log_lines(spark, sf_dir), "parquet", src, files=files, order_by="event_id")
     records = read_records(spark, "parquet", src, RECORD_SCHEMA, max_files_per_trigger=per_trigger)
-    q = write_log_stream(process_stream(records), out, ckpt, available_now=True)
-    run_until_stopped(q, STREAM_TIMEOUT_S)
-    return read_processed(spark, out).select(
+    run_until_stopped(write_log_stream(process_stream(records), out, ckpt, available_now=True), STREAM_TIMEOUT_S)
+    return out
+
+
+def stream_log_process(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log lines through the streaming processor; the good rows it wrote."""
+    return read_processed(spark, _run_log_stream(spark, sf_dir)).select(
         "event_id", "row_key", "ip", "ts", "method", "resource", "status", "bytes", "user_agent", "record")
 
 
 def stream_log_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same stream; the quarantined rows with their reason."""
-    base = scratch_path(spark, "logstream")
-    src, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
-    files, per_trigger = _layout(spark)
-    publish_lines(log_lines(spark, sf_dir), "parquet", src, files=files, order_by="event_id")
-    records = read_records(spark, "parquet", src, RECORD_SCHEMA, max_files_per_trigger=per_trigger)
-    run_until_stopped(write_log_stream(process_stream(records), out, ckpt, available_now=True), STREAM_TIMEOUT_S)
-    df = spark.read.parquet(out)
+    df = spark.read.parquet(_run_log_stream(spark, sf_dir))
     return df.where(F.col("outcome") != "valid").select("event_id", "line", "reason")
 
 

@@ -1,8 +1,9 @@
 """Access-log pipelines (B2-B8, B11-B13, C1) over log lines derived from ``events``.
 
 ``log_lines`` renders one access-log line per event; every other query
-parses those lines again, so the parse does real work on every row. All
-plans here are narrow (no exchange) except the category count.
+parses those lines again, so the parse does real work on every row. The
+processing is narrow; the only exchanges are the category count's and,
+for an input with fewer partitions than cores, the ``spread`` after the scan.
 """
 
 from __future__ import annotations

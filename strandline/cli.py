@@ -5,7 +5,7 @@
     spark-submit -m strandline.cli log-process <record source> <out dir> <checkpoint> [--interval-ms N]
     spark-submit -m strandline.cli log-batch <log text files> <out dir>
     spark-submit -m strandline.cli publish-lines <events table> <record dir>
-    spark-submit -m strandline.cli utilisation <node report table> <metric table> [--storage <table>]
+    spark-submit -m strandline.cli utilisation <node reports> <metric table> [--storage <reports>] [--text]
 
 Paths are any Spark filesystem URI (HDFS, S3A, local). Each job builds a
 plan and lets Spark run it; nothing is collected to the driver.
@@ -81,11 +81,16 @@ def _utilisation(spark, a) -> int:
     from strandline.plans import metrics as m
     from strandline.sources.metrics import write_metrics
 
-    nodes = m.node_memory(spark.read.parquet(a.input))
+    from strandline.sources.reports import read_report_files
+
+    def lines(path):
+        return read_report_files(spark, path) if a.text else spark.read.parquet(path)
+
+    nodes = m.node_memory(lines(a.input))
     util = ratio_of_sums(nodes, ["cluster"], "used_mb", "capacity_mb")
     pts = util.select(F.lit(m.YARN_METRIC).alias("metric"), F.col("pct").alias("value"), "cluster")
     if a.storage:
-        dfs = m.dfs_used(spark.read.parquet(a.storage))
+        dfs = m.dfs_used(lines(a.storage))
         pts = pts.unionByName(dfs.select(F.lit(m.DFS_METRIC).alias("metric"),
                                          F.col("dfs_used_pct").alias("value"), "cluster"))
     write_metrics(pts.select("metric", F.lit(m.NAMESPACE).alias("namespace"), F.lit(m.UNIT).alias("unit"),
@@ -141,6 +146,8 @@ def build_parser() -> argparse.ArgumentParser:
     u.add_argument("input")
     u.add_argument("output")
     u.add_argument("--storage", default=None)
+    u.add_argument("--text", action="store_true",
+                   help="inputs are folders of report files: cluster=<c>/node=<n>/<file>, cluster=<c>/<file>")
     u.set_defaults(fn=_utilisation)
     return p
 

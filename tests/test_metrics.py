@@ -111,3 +111,59 @@ def test_hot_cluster_sums_stay_exact(spark):
     want = {r.cluster: (r.u, 16384 * r.n) for r in direct.collect()}
     got = {r.cluster: (r.used_mb, r.capacity_mb) for r in util.collect()}
     assert got == want and "HOT" in got
+
+
+def test_report_text_files_round_trip(spark, tmp_dir):
+    import os
+
+    from strandline.sources.reports import read_report_files
+
+    report = metrics.node_report(spark, SF001)
+    path = os.path.join(tmp_dir, "nodes")
+    for r in report.groupBy("cluster", "node").agg(
+            F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("ls")).collect():
+        d = os.path.join(path, f"cluster={r.cluster}", f"node={r.node}")
+        os.makedirs(d)
+        with open(os.path.join(d, "status.txt"), "w") as fh:
+            fh.write("".join(x.line + "\n" for x in r.ls))
+    back = read_report_files(spark, path)
+    assert sorted(tuple(r) for r in back.select("cluster", "node", "line_no", "line").collect()) == \
+        sorted(tuple(r) for r in report.select("cluster", "node", "line_no", "line").collect())
+    util_text = {r.cluster: r.pct_x100 for r in ratio_of_sums_from(back).collect()}
+    util_table = {r.cluster: r.pct_x100 for r in metrics.utilisation(spark, SF001).collect()}
+    assert util_text == util_table
+
+
+def ratio_of_sums_from(report):
+    from strandline.operators.aggregate import ratio_of_sums
+
+    return ratio_of_sums(metrics.node_memory(report), ["cluster"], "used_mb", "capacity_mb")
+
+
+def test_storage_report_text_file_first_match(spark, tmp_dir):
+    import os
+
+    from strandline.sources.reports import read_report_files
+
+    d = os.path.join(tmp_dir, "storage", "cluster=c1")
+    os.makedirs(d)
+    with open(os.path.join(d, "report.txt"), "w") as fh:
+        fh.write("Configured Capacity: 1\r\nDFS Used%: 12.5%\r\nName: dn1\r\nDFS Used%: 99.99%\r\n")
+    got = metrics.dfs_used(read_report_files(spark, os.path.join(tmp_dir, "storage"))).collect()
+    assert [(r.cluster, r.dfs_used_pct) for r in got] == [("c1", 12.5)]
+
+
+def test_cli_utilisation_from_text_reports(spark, tmp_dir):
+    import os
+
+    from strandline.cli import main
+
+    nodes, out = os.path.join(tmp_dir, "nodes"), os.path.join(tmp_dir, "out")
+    for c, n, used in [("c1", "n1", 100), ("c1", "n2", 300), ("c2", "n3", 7)]:
+        d = os.path.join(nodes, f"cluster={c}", f"node={n}")
+        os.makedirs(d)
+        with open(os.path.join(d, "status.txt"), "w") as fh:
+            fh.write(f"Node Report :\n\tMemory-Used : {used}MB\n\tMemory-Capacity : 1000MB\n")
+    assert main(["utilisation", nodes, out, "--text"]) == 0
+    got = {r.dimensions["Cluster"]: r.value for r in read_metrics(spark, out).collect()}
+    assert got == {"c1": 20.0, "c2": 0.7}

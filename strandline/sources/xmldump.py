@@ -35,7 +35,7 @@ def scan_fragments(
     Records without a begin tag (file header, footer, blanks) are dropped.
     No shuffle: a map-only plan over the text splits.
     """
-    raw = spark.read.option("lineSep", end).text(path)
+    raw = spark.read.text(path, lineSep=end)
     value = F.col("value")
     first = F.instr(value, begin)
     body = F.substring_index(value, begin, -1)

@@ -164,3 +164,23 @@ def test_stream_utilisation_on_rocksdb_state(spark, tmp_dir):
         logged = fh.read()
     assert ROCKSDB_PROVIDER in logged and '"spark.sql.shuffle.partitions":"2"' in logged
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
+
+
+def test_ntz_instant_round_trip_in_any_session_zone(spark):
+    from strandline.functions.timeutil import instant_to_ntz, ntz_to_instant
+
+    values = [dt.datetime(2017, 3, 12, 2, 30, 0, 123456),  # New York DST gap
+              dt.datetime(2017, 11, 5, 1, 30),              # New York DST overlap
+              dt.datetime(1969, 12, 31, 23, 59, 59, 999999), dt.datetime(2024, 1, 1)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ["America/New_York", "Asia/Kathmandu", "UTC"]:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([(v,) for v in values], "ts timestamp_ntz")
+            out = df.select("ts", F.unix_micros(ntz_to_instant(F.col("ts"))).alias("us"),
+                            instant_to_ntz(ntz_to_instant(F.col("ts"))).alias("back")).collect()
+            for r in out:
+                want = (r.ts - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+                assert r.us == want and r.back == r.ts, (zone, r)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -98,7 +98,7 @@ def parse_access_log(df: DataFrame, line: str = "line") -> DataFrame:
     out = df.withColumn("_p", parts)
     p = F.col("_p")
     matched = F.when(p.isNotNull(), F.size(p) == len(CLF_FIELDS) + 2).otherwise(ln.rlike(CLF_PATTERN))
-    out = out.withColumn("_m", matched)
+    out = out.withColumn("_m", F.coalesce(matched, F.lit(False)))  # a NULL line does not match
     groups = {
         name: F.when(F.col("_m"), F.when(p.isNotNull(), F.get(p, i + 1))
                      .otherwise(F.regexp_extract(ln, CLF_PATTERN, i + 1)))

@@ -119,6 +119,12 @@ def test_time_is_session_zone_free(spark, zone):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
+def test_null_line_is_no_match(spark):
+    df = spark.createDataFrame([(0, None)], "id bigint, line string")
+    r = parse_access_log(df, "line").first()
+    assert r.reason == "no_match" and r.ip is None
+
+
 def test_bad_utf8_becomes_replacement_char(spark):
     df = spark.createDataFrame([(bytearray(b"a\xff"),)], "value binary")
     assert df.select(decode_line("value").alias("s")).first().s == "a�"

@@ -62,7 +62,7 @@ def extract_first_elements(df: DataFrame, fragment: str, names: list[str], root:
     """
     ok, xp = f"{prefix}ok", f"{prefix}_xp"
     path = _first_texts_xpath(names)
-    out = df.withColumn(ok, well_formed(F.col(fragment), root))
+    out = df.withColumn(ok, F.coalesce(well_formed(F.col(fragment), root), F.lit(False)))  # NULL: not ok
     out = out.withColumn(xp, F.split(F.when(F.col(ok), F.xpath_string(F.col(fragment), F.lit(path))),
                                      SEP, 2 * len(names)))
     cols = [F.get(F.col(xp), i).cast("int").alias(f"{prefix}n_{n}") for i, n in enumerate(names)]

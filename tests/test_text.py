@@ -165,6 +165,12 @@ def test_scan_fragments_begin_tag_is_exact(spark, tmp_dir):
     assert frags == ["<page><title>yes</title><text>t</text></page>"]
 
 
+def test_null_fragment_is_bad_xml(spark):
+    frags = spark.createDataFrame([(None, None)], "fragment string, unclosed_head string")
+    r = text.parse_pages(frags).first()
+    assert r.reason == "bad_xml" and r.title is None
+
+
 def test_xml_escape_and_title(spark):
     df = spark.createDataFrame([("<a&b>", "<html><title>x &amp; y</title><title>z</title>")], "s string, h string")
     r = df.select(xml_escape("s").alias("e"), extract_title("h").alias("t"),

@@ -1,7 +1,7 @@
 """Command-line jobs, one per pipeline, taking input and output paths.
 
-    spark-submit -m strandline.cli dump-load  <dump dir> <article table>
-    spark-submit -m strandline.cli word-count <article table> <tsv dir>
+    spark-submit -m strandline.cli dump-load  <dump dir> <page table>
+    spark-submit -m strandline.cli word-count <page table> <tsv dir>
     spark-submit -m strandline.cli log-process <record source> <out dir> <checkpoint> [--interval-ms N]
     spark-submit -m strandline.cli log-batch <log text files> <out dir>
     spark-submit -m strandline.cli publish-lines <events table> <record dir>
@@ -106,12 +106,12 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--cores", type=int, default=None, help="total executor cores, with --input-gb")
     sub = p.add_subparsers(dest="cmd", required=True)
 
-    d = sub.add_parser("dump-load", help="XML dump -> (title, text) table")
+    d = sub.add_parser("dump-load", help="XML dump -> page table (articles under outcome=valid)")
     d.add_argument("input")
     d.add_argument("output")
     d.set_defaults(fn=_dump_load)
 
-    w = sub.add_parser("word-count", help="article table -> word<TAB>count files")
+    w = sub.add_parser("word-count", help="page or article table -> word<TAB>count files")
     w.add_argument("input")
     w.add_argument("output")
     w.add_argument("--partitions", type=int, default=None)

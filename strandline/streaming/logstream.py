@@ -39,10 +39,18 @@ def _batch_writer(path: str, fmt: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         target = f"{path}/batch={batch_id}"
         if fmt == "text":
-            # the reference layout: one folder per batch, ``key<TAB>record`` lines
-            (batch.where(F.col("outcome") == "valid")
-             .select(F.concat_ws("\t", "row_key", "record").alias("value"))
-             .write.mode("overwrite").text(target))
+            # the reference layout: one folder per batch of ``key<TAB>record``
+            # lines; quarantined rows go to a sibling folder. The batch is
+            # cached for the two writes so that it is parsed once.
+            batch.persist()
+            try:
+                (batch.where(F.col("outcome") == "valid")
+                 .select(F.concat_ws("\t", "row_key", "record").alias("value"))
+                 .write.mode("overwrite").text(target))
+                (batch.where(F.col("outcome") != "valid").drop("outcome")
+                 .write.mode("overwrite").parquet(f"{path}/quarantine/batch={batch_id}"))
+            finally:
+                batch.unpersist()
         else:
             batch.write.mode("overwrite").partitionBy("outcome").format(fmt).save(target)
     return write

@@ -49,8 +49,10 @@ def test_text_layout_per_batch(spark, tmp_dir):
     _publish(spark, src)
     recs = read_records(spark, "parquet", src, RECORD_SCHEMA)
     run_until_stopped(write_log_stream(process_stream(recs), out, ckpt, fmt="text", available_now=True), 600)
-    lines = spark.read.text(out).collect()
+    lines = spark.read.text(os.path.join(out, "batch=*")).collect()
     assert len(lines) == 980
+    q = spark.read.parquet(os.path.join(out, "quarantine"))
+    assert q.count() == 20 and q.where("event_id % 50 = 49 AND reason = 'no_match'").count() == 20
     key, record = lines[0].value.split("\t")
     assert len(key) == 64 and len(record.split(" ")) >= 7
 

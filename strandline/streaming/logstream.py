@@ -61,6 +61,11 @@ def write_log_stream(processed: DataFrame, path: str, checkpoint: str, fmt: str
                      query_name: str | None = None) -> StreamingQuery:
     """Start the sink: one folder ``batch=<id>`` per micro-batch under ``path``.
 
+    ``fmt="parquet"``: each batch folder holds all rows, partitioned by
+    ``outcome``. ``fmt="text"``: each batch folder holds ``key<TAB>record``
+    lines of the good rows (read them as ``path/batch=*``), and the
+    quarantined rows go to ``path/quarantine/batch=<id>`` as Parquet.
+
     ``interval_ms`` sets a processing-time trigger (the batch interval);
     ``available_now`` drains what is there in bounded batches and stops.
     """

@@ -18,7 +18,7 @@ from strandline.session import scratch_path
 from strandline.sources.tables import read_table
 from strandline.streaming.logstream import process_stream, read_processed, run_until_stopped, write_log_stream
 from strandline.streaming.sources import RECORD_SCHEMA, publish_lines, read_records, read_table_stream
-from strandline.streaming.utilisation import start_utilisation_stream, state_session
+from strandline.streaming.utilisation import read_complete, start_utilisation_stream, state_session
 
 STREAM_BATCHES = 4  # micro-batches the published input is drained in
 STREAM_TIMEOUT_S = 3600
@@ -65,4 +65,4 @@ def stream_utilisation(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  max_files_per_trigger=per_trigger))
     q = start_utilisation_stream(stream, out, ckpt, output_mode="complete", available_now=True)
     run_until_stopped(q, STREAM_TIMEOUT_S)
-    return spark.read.parquet(out)
+    return read_complete(spark, out)

@@ -36,16 +36,21 @@ def finish(agg: DataFrame) -> DataFrame:
     return pct_columns(out, "used_mb", "capacity_mb")
 
 
-def _overwrite_writer(path: str):
+def _batch_writer(path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        finish(batch).write.mode("overwrite").parquet(path)
+        finish(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
     return write
 
 
-def _append_writer(path: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        finish(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-    return write
+def read_complete(spark: SparkSession, path: str) -> DataFrame:
+    """The whole current table of a ``complete``-mode run: its last batch folder.
+
+    Every batch folder holds a full table, so the previous one stays whole
+    while the next is written or replayed.
+    """
+    df = spark.read.parquet(path)
+    last = df.agg(F.max("batch").alias("batch"))  # one row
+    return df.join(F.broadcast(last), "batch").drop("batch")
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -74,15 +79,15 @@ def start_utilisation_stream(samples: DataFrame, path: str, checkpoint: str, out
                              available_now: bool = False, interval_ms: int | None = None) -> StreamingQuery:
     """Run the gauge into ``path``.
 
-    ``complete``: the folder always holds the whole current table
-    (overwritten per batch). ``append``/``update``: one folder per batch with
-    the windows emitted by it; a replayed batch overwrites its own folder.
+    One folder ``batch=<id>`` per micro-batch; a replayed batch overwrites its
+    own folder. ``complete``: each folder holds the whole table as of that
+    batch (read it with :func:`read_complete`). ``append``/``update``: each
+    folder holds the windows that batch emitted.
     The state partitioning comes from the session ``samples`` was built on
     (see :func:`state_session`).
     """
     agg = windowed_utilisation(samples, width, watermark)
-    writer = _overwrite_writer(path) if output_mode == "complete" else _append_writer(path)
-    w = (agg.writeStream.outputMode(output_mode).foreachBatch(writer)
+    w = (agg.writeStream.outputMode(output_mode).foreachBatch(_batch_writer(path))
          .option("checkpointLocation", checkpoint))
     if available_now:
         w = w.trigger(availableNow=True)

@@ -17,7 +17,7 @@ from strandline.streaming.logstream import (
     write_log_stream,
 )
 from strandline.streaming.sources import RECORD_SCHEMA, publish_lines, read_records, read_table_stream
-from strandline.streaming.utilisation import start_utilisation_stream
+from strandline.streaming.utilisation import read_complete, start_utilisation_stream
 
 
 def _publish(spark, path):
@@ -83,7 +83,7 @@ def test_stream_utilisation_complete_equals_batch(spark, tmp_dir):
     ev.repartitionByRange(3, "ts").write.parquet(src)
     stream = metrics.events_to_samples(read_table_stream(spark, src, ev.schema, 1))
     run_until_stopped(start_utilisation_stream(stream, out, ckpt, "complete", available_now=True), 600)
-    got = spark.read.parquet(out)
+    got = read_complete(spark, out)
     want = metrics.utilisation_by_window(spark, SF001)
     assert got.count() == want.count()
     assert got.select(*want.columns).exceptAll(want).count() == 0
@@ -108,7 +108,7 @@ def test_stream_utilisation_append_drops_late_rows(spark, tmp_dir):
         read_table_stream(spark, os.path.join(src, "*"), schema, 1))
     q = start_utilisation_stream(stream, out, ckpt, "append", watermark="1 day", available_now=True)
     run_until_stopped(q, 600)
-    got = sorted((r.window_start, r.used_mb) for r in spark.read.parquet(out).collect())
+    got = sorted((r.window_start, r.used_mb) for r in spark.read.parquet(out).drop("batch").collect())
     assert got == [(day, 30), (day + dt.timedelta(days=3), 35)]
     dropped = sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in q.recentProgress)
     assert dropped == 1
@@ -159,7 +159,7 @@ def test_stream_utilisation_on_rocksdb_state(spark, tmp_dir):
     child = state_session(spark, 2, rocksdb=True)
     stream = metrics.events_to_samples(read_table_stream(child, src, ev.schema, 1))
     run_until_stopped(start_utilisation_stream(stream, out, ckpt, "complete", available_now=True), 600)
-    got = spark.read.parquet(out)
+    got = read_complete(spark, out)
     want = metrics.utilisation_by_window(spark, SF001)
     assert got.select(*want.columns).exceptAll(want).count() == 0 and got.count() == want.count()
     with open(os.path.join(ckpt, "offsets", "0")) as fh:

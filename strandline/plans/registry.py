@@ -55,6 +55,7 @@ QUERIES: dict[str, Query] = {
     "stream_utilisation": streams.stream_utilisation,
     "weighted_assign": sampling.weighted_assign,
     "traffic_categories": sampling.traffic_categories,
+    "stream_traffic_categories": streams.stream_traffic_categories,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -82,3 +83,4 @@ ORACLE_SQL["dump_word_count"] = ORACLE_SQL["word_count"].replace("FROM documents
 ORACLE_SQL["stream_log_process"] = ORACLE_SQL["log_process"]
 ORACLE_SQL["stream_log_quarantine"] = ORACLE_SQL["log_quarantine"]
 ORACLE_SQL["stream_utilisation"] = ORACLE_SQL["utilisation_by_window"]
+ORACLE_SQL["stream_traffic_categories"] = ORACLE_SQL["traffic_categories"]

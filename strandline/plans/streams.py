@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.plans.logs import log_lines
+from strandline.operators.partitioning import spread
 from strandline.plans.metrics import events_to_samples
+from strandline.plans.sampling import generated_lines
 from strandline.session import scratch_path
 from strandline.sources.tables import read_table
 from strandline.streaming.logstream import process_stream, read_processed, run_until_stopped, write_log_stream
@@ -53,6 +55,24 @@ def stream_log_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.where(F.col("outcome") != "valid").select("event_id", "line", "reason")
 
 
+def stream_traffic_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generated traffic -> stream -> log processor; lines per (browser, method, status).
+
+    The generator, the stream and the stateless processor of the reference's
+    streaming system, over one generated line per event.
+    """
+    base = scratch_path(spark, "trafficstream")
+    src, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
+    events = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id"), "event_id")
+    files, per_trigger = _layout(spark)
+    publish_lines(generated_lines(events), "parquet", src, files=files, order_by="event_id")
+    records = read_records(spark, "parquet", src, RECORD_SCHEMA, max_files_per_trigger=per_trigger)
+    run_until_stopped(write_log_stream(process_stream(records), out, ckpt, available_now=True), STREAM_TIMEOUT_S)
+    done = read_processed(spark, out)
+    return done.groupBy(F.col("user_agent").alias("ua_category"), "method",
+                        F.col("status").cast("string").alias("status")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def stream_utilisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Node samples from ``events`` through the streaming gauge (complete mode)."""
     base = scratch_path(spark, "utilstream")

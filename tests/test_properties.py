@@ -75,3 +75,24 @@ def test_render_parse_round_trip(spark, recs):
         assert (g.ip, g.method, g.resource, g.status, g.bytes, g.user_agent) == (ip, m, r, s, b, ua)
         assert g.local_ts == t and g.offset_min == off
         assert g.ts == t - dt.timedelta(minutes=off)
+
+
+_xml_char = st.characters(blacklist_categories=("Cs",), min_codepoint=9,
+                          blacklist_characters=[chr(c) for c in range(0x0B, 0x0D)] + [chr(c) for c in range(0x0E, 0x20)]
+                          + ["\ufffe", "\uffff"])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.text(alphabet=_xml_char, max_size=15), st.text(alphabet=_xml_char, max_size=60)),
+                min_size=1, max_size=25))
+def test_dump_round_trip_any_text(spark, tmp_path_factory, pages):
+    import os
+
+    from strandline.plans.text import articles, load_dump
+    from strandline.sources.xmldump import render_page, write_dump
+
+    df = spark.createDataFrame(pages, "title string, text string")
+    path = os.path.join(str(tmp_path_factory.mktemp("dump")), "d")
+    write_dump(df.select(render_page(F.col("title"), F.col("text")).alias("page")), path, root=None)
+    got = sorted(tuple(r) for r in articles(load_dump(spark, path)).collect())
+    assert got == sorted(pages)

@@ -96,3 +96,34 @@ def test_dump_round_trip_any_text(spark, tmp_path_factory, pages):
     write_dump(df.select(render_page(F.col("title"), F.col("text")).alias("page")), path, root=None)
     got = sorted(tuple(r) for r in articles(load_dump(spark, path)).collect())
     assert got == sorted(pages)
+
+
+def cut_model(line: str, n: int) -> str:
+    """``cut -d ' ' -f n``: a line without the delimiter is printed whole."""
+    if " " not in line:
+        return line
+    parts = line.split(" ")
+    return parts[n - 1] if n <= len(parts) else ""
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet=["a", "1", " ", ":", "M", "B", "%"], max_size=14), min_size=1, max_size=40))
+def test_cut_field_matches_cut(spark, lines):
+    from strandline.functions.metrics import cut_field
+
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(lines)], "i int, l string")
+    got = {r.i: r.f for r in df.select("i", cut_field("l", 3).alias("f")).collect()}
+    for i, s in enumerate(lines):
+        assert got[i] == cut_model(s, 3), repr(s)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 10**12), st.integers(0, 10**12)), min_size=1, max_size=40))
+def test_percent_is_truncated_like_scale_4(spark, pairs):
+    from strandline.operators.aggregate import pct_columns
+
+    df = spark.createDataFrame([(i, u, a) for i, (u, a) in enumerate(pairs)], "i int, u bigint, a bigint")
+    got = {r.i: (r.pct_x100, r.pct) for r in pct_columns(df, "u", "a").collect()}
+    for i, (u, a) in enumerate(pairs):
+        want = 0 if a == 0 else (u * 10000) // a
+        assert got[i] == (want, want / 100)

@@ -127,3 +127,33 @@ def test_percent_is_truncated_like_scale_4(spark, pairs):
     for i, (u, a) in enumerate(pairs):
         want = 0 if a == 0 else (u * 10000) // a
         assert got[i] == (want, want / 100)
+
+
+def category_model(ua: str) -> str:
+    for needle, name in [("OPR", "OPERA"), ("Chrome", "CHROME"), ("Safari", "SAFARI"),
+                         ("Firefox", "FIREFOX"), ("Trident", "IE")]:
+        if needle in ua:
+            return name
+    return "OTHER"
+
+
+_ua_bits = st.sampled_from(["OPR", "Chrome", "Safari", "Firefox", "Trident", "chrome", "Opera", " ", "/5.0", "é"])
+
+
+@SETTINGS
+@given(st.lists(st.lists(_ua_bits, max_size=5).map("".join), min_size=1, max_size=40),
+       st.lists(st.text(alphabet=st.characters(blacklist_categories=("Cs",)), max_size=20), min_size=1, max_size=20))
+def test_categories_and_anonymisation(spark, uas, ips):
+    import base64
+    import hashlib
+
+    from strandline.functions.logs import anonymize, categorize_ua
+
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(uas)], "i int, ua string")
+    got = {r.i: r.c for r in df.select("i", categorize_ua("ua").alias("c")).collect()}
+    assert all(got[i] == category_model(u) for i, u in enumerate(uas))
+    dg = spark.createDataFrame([(i, s) for i, s in enumerate(ips)], "i int, ip string")
+    anon = {r.i: r.a for r in dg.select("i", anonymize("ip").alias("a")).collect()}
+    for i, s in enumerate(ips):
+        want = base64.b64encode(hashlib.md5(s.encode("utf-8")).digest()).decode()
+        assert anon[i] == want, repr(s)

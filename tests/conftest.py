@@ -17,8 +17,9 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from strandline.session import checkpoint_root, get_spark
 
+    zone = os.environ.get("STRANDLINE_TEST_TZ", "UTC")  # results must not depend on it
     s = get_spark("local[4]", 8, app_name="strandline-tests",
-                  extra={"spark.sql.session.timeZone": "UTC"})
+                  extra={"spark.sql.session.timeZone": zone})
     checkpoint_root(s)  # sets a local folder only when the session names none
     yield s
     s.stop()

@@ -167,3 +167,18 @@ def test_cli_utilisation_from_text_reports(spark, tmp_dir):
     assert main(["utilisation", nodes, out, "--text"]) == 0
     got = {r.dimensions["Cluster"]: r.value for r in read_metrics(spark, out).collect()}
     assert got == {"c1": 20.0, "c2": 0.7}
+
+
+def test_size_check_and_scale_settings(spark):
+    from strandline.operators.joins import broadcast_if_small, has_at_most
+    from strandline.session import scale_settings
+
+    nation = spark.read.parquet(f"{SF001}/nation.parquet")
+    lineitem = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    assert has_at_most(nation, 25) and not has_at_most(nation, 24)
+    assert not has_at_most(lineitem, 100)
+    keys = lineitem.select("l_orderkey").distinct()
+    assert broadcast_if_small(keys, 10) is keys  # over the bound: no hint, the optimizer decides
+    s = scale_settings(100 << 40, 8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == (100 << 40) // (512 << 20)
+    assert int(scale_settings(1 << 30, 8)["spark.sql.shuffle.partitions"]) == 16

@@ -186,3 +186,14 @@ def test_ntz_instant_round_trip_in_any_session_zone(spark):
                 assert r.us == want and r.back == r.ts, (zone, r)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_cli_log_process_text_sink(spark, tmp_dir):
+    from strandline.cli import main
+
+    recs, out, ckpt = (os.path.join(tmp_dir, x) for x in ("recs", "out", "ckpt"))
+    assert main(["publish-lines", f"{SF001}/events.parquet", recs]) == 0
+    assert main(["log-process", recs, out, ckpt, "--available-now", "--sink-format", "text"]) == 0
+    lines = [r.value for r in spark.read.text(os.path.join(out, "batch=*")).collect()]
+    assert len(lines) == 980 and all(len(v.split("\t")[0]) == 64 for v in lines)
+    assert spark.read.parquet(os.path.join(out, "quarantine")).count() == 20

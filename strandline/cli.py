@@ -59,8 +59,12 @@ def _log_batch(spark, a) -> int:
     from strandline.operators.quarantine import write_split
     from strandline.plans.logs import process_lines
 
+    from pyspark.sql import Observation
+
     lines = spark.read.text(a.input).select(F.input_file_name().alias("file"), F.col("value").alias("line"))
-    write_split(process_lines(lines, ["file"]), a.output)
+    counts = Observation("lines")
+    write_split(process_lines(lines, ["file"]), a.output, counter=counts)
+    print(f"VALID={counts.get['valid']} QUARANTINED={counts.get['quarantined']}")
     return 0
 
 

@@ -8,7 +8,7 @@ restores the stop-on-first-bad-record behaviour.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 VALID = "valid"
@@ -35,6 +35,15 @@ def quarantined_rows(df: DataFrame, reason: str = "reason") -> DataFrame:
     return df.where(F.col(reason).isNotNull())
 
 
-def write_split(df: DataFrame, path: str, reason: str = "reason", fmt: str = "parquet") -> None:
-    """Write valid and quarantined rows in one pass, partitioned by outcome."""
-    outcome(df, reason).write.mode("overwrite").partitionBy("outcome").format(fmt).save(path)
+def write_split(df: DataFrame, path: str, reason: str = "reason", fmt: str = "parquet",
+                counter: Observation | None = None) -> None:
+    """Write valid and quarantined rows in one pass, partitioned by outcome.
+
+    With ``counter`` the numbers of ``valid`` and ``quarantined`` rows ride on
+    the same write (``DataFrame.observe``), no second pass.
+    """
+    out = outcome(df, reason)
+    if counter is not None:
+        out = out.observe(counter, F.count_if(F.col("outcome") == VALID).alias("valid"),
+                          F.count_if(F.col("outcome") != VALID).alias("quarantined"))
+    out.write.mode("overwrite").partitionBy("outcome").format(fmt).save(path)

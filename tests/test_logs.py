@@ -206,8 +206,12 @@ def test_parse_is_narrow_and_runs_once(spark):
 def test_split_write_is_one_pass_partitioned_by_outcome(spark, tmp_dir):
     from strandline.operators.quarantine import write_split
 
+    from pyspark.sql import Observation
+
     parsed = parse_access_log(logs.log_lines(spark, SF001), "line")
-    write_split(parsed, tmp_dir)
+    counts = Observation("split")
+    write_split(parsed, tmp_dir, counter=counts)
+    assert counts.get == {"valid": 980, "quarantined": 20}
     assert sorted(d for d in __import__("os").listdir(tmp_dir) if d.startswith("outcome=")) == [
         "outcome=no_match", "outcome=valid"]
     back = spark.read.parquet(tmp_dir)

@@ -157,3 +157,39 @@ def test_categories_and_anonymisation(spark, uas, ips):
     for i, s in enumerate(ips):
         want = base64.b64encode(hashlib.md5(s.encode("utf-8")).digest()).decode()
         assert anon[i] == want, repr(s)
+
+
+_word = st.text(alphabet=["a", "b", " ", "é"], min_size=1, max_size=6)
+_segment = st.one_of(
+    st.tuples(st.just("good"), _word, _word),
+    st.tuples(st.just("junk"), st.text(alphabet=["x", " ", "\n", "<", ">"], max_size=8), st.just("")),
+    st.tuples(st.just("unclosed"), _word, st.just("")),
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(_segment, min_size=1, max_size=12))
+def test_scan_reads_every_closed_page_once(spark, tmp_path_factory, segments):
+    import os
+
+    from strandline.plans.text import load_dump
+
+    parts = []
+    for kind, a, b in segments:
+        if kind == "good":
+            parts.append(f"<page><title>{a}</title><text>{b}</text></page>")
+        elif kind == "junk":
+            parts.append(b.replace("<", "").replace(">", "") + a.replace("<", "").replace(">", ""))
+        else:
+            parts.append(f"<page><title>{a}</title>")
+    parts.append("<page><title>end</title><text>z</text></page>\n")  # a file ends with a closed page
+    path = str(tmp_path_factory.mktemp("scan"))
+    with open(os.path.join(path, "dump.xml"), "w", encoding="utf-8") as fh:
+        fh.write("".join(parts))
+    rows = load_dump(spark, path).collect()
+    good = sorted((r.title, r.text) for r in rows if r.reason is None)
+    want = sorted([(a, b) for k, a, b in segments if k == "good"] + [("end", "z")])
+    assert good == want
+    # every unclosed page ends up in a quarantined head (several in a row share one)
+    heads = "".join(r.fragment for r in rows if r.reason == "unclosed_page")
+    assert heads.count("<page>") == sum(1 for k, _, _ in segments if k == "unclosed")

@@ -85,12 +85,13 @@ def _utilisation(spark, a) -> int:
     from strandline.plans import metrics as m
     from strandline.sources.metrics import write_metrics
 
-    from strandline.sources.reports import read_report_files
+    from strandline.sources.reports import read_report_files, read_reports
 
     def lines(path):
         return read_report_files(spark, path) if a.text else spark.read.parquet(path)
 
-    nodes = m.node_memory(lines(a.input))
+    # a report file is one node: pick its values in the row, no node-level exchange
+    nodes = m.node_memory_from_reports(read_reports(spark, a.input)) if a.text else m.node_memory(lines(a.input))
     util = ratio_of_sums(nodes, ["cluster"], "used_mb", "capacity_mb")
     pts = util.select(F.lit(m.YARN_METRIC).alias("metric"), F.col("pct").alias("value"), "cluster")
     if a.storage:

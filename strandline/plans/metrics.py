@@ -93,6 +93,20 @@ def node_memory(report: DataFrame) -> DataFrame:
     return first_and_last_by(mem, ["cluster", "node"], "mb", "line_no", "used_mb", "capacity_mb")
 
 
+def node_memory_from_reports(reports: DataFrame) -> DataFrame:
+    """``(cluster, node, used_mb, capacity_mb)`` from whole node reports, one row each.
+
+    A report file holds one node, so its first and last ``Memory-`` line are
+    picked inside the row (a short array): no exchange on (cluster, node),
+    unlike the line-table form in :func:`node_memory`.
+    """
+    mem = F.filter("lines", lambda line: line.contains("Memory-"))
+    return reports.select(
+        "cluster", "node",
+        F.when(F.size(mem) > 0, report_value(F.get(mem, 0), 3, "MB")).alias("used_mb"),
+        F.when(F.size(mem) > 0, report_value(F.element_at(mem, -1), 3, "MB")).alias("capacity_mb"))
+
+
 def report_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return node_memory(node_report(spark, sf_dir))
 

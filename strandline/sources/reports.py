@@ -14,6 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def read_reports(spark: SparkSession, path: str) -> DataFrame:
+    """``(cluster, [node,] lines)``: one row per report file, its lines in order."""
+    files = spark.read.text(path, wholetext=True)  # the keyword, or text() resets it
+    keys = [c for c in ("cluster", "node") if c in files.columns]
+    body = F.regexp_replace(F.col("value"), r"\r?\n$", "")
+    return files.select(*[F.col(k).cast("string").alias(k) for k in keys],
+                        F.split(body, r"\r?\n").alias("lines"))
+
+
 def read_report_files(spark: SparkSession, path: str) -> DataFrame:
     """``(cluster, [node,] line_no, line)`` from a folder of report files.
 

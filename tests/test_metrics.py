@@ -132,6 +132,11 @@ def test_report_text_files_round_trip(spark, tmp_dir):
     util_text = {r.cluster: r.pct_x100 for r in ratio_of_sums_from(back).collect()}
     util_table = {r.cluster: r.pct_x100 for r in metrics.utilisation(spark, SF001).collect()}
     assert util_text == util_table
+    from strandline.sources.reports import read_reports
+
+    in_row = metrics.node_memory_from_reports(read_reports(spark, path))
+    assert sorted(tuple(r) for r in in_row.collect()) == sorted(tuple(r) for r in metrics.node_memory(back).collect())
+    assert "Exchange" not in in_row._jdf.queryExecution().executedPlan().toString()
 
 
 def ratio_of_sums_from(report):

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import strandline
+
 from strandline.session import checkpoint_root, scratch_path
 
 #: A word: a run of characters other than space, tab, line feed, vertical tab, form feed, return.
@@ -16,6 +22,22 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*cols)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session, for tasks that run its Python code."""
+    sc = spark.sparkContext
+    if getattr(sc, "_strandline_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(strandline.__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="strandline-ship-"), "strandline.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for d, _, names in os.walk(os.path.join(root, "strandline")):
+            for n in names:
+                if n.endswith(".py"):
+                    z.write(os.path.join(d, n), os.path.relpath(os.path.join(d, n), root))
+    sc.addPyFile(path)
+    sc._strandline_shipped = True
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the cluster's shared folder and read it back.
 

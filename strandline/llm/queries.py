@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from strandline.llm import chat_format, quality_rules
+from strandline.llm import chat_format, quality_rules, simhash
 
 QUERIES = {
+    "op5_simhash": simhash.op5_simhash,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op10_chat_format": chat_format.op10_chat_format,
 }

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from strandline.llm import chat_format, packing, quality_rules, simhash
+from strandline.llm import chat_format, packing, pii_crf, quality_rules, simhash
 
 QUERIES = {
+    "op8_pii": pii_crf.op8_pii,
     "op9_packing": packing.op9_packing,
     "op5_simhash": simhash.op5_simhash,
     "op2_quality_rules": quality_rules.op2_quality_rules,

@@ -189,6 +189,10 @@ EXAMPLES = (
     "count 99 999 999 people",
     "the id 9999999999 is a row",
     "row 99999999999999999999999 of the list",
+    "the sum 9999999999999999 is wrong",
+    "4999999999999999 is only a number",
+    "numbers 9999999999999999 4999999999999999 in a row",
+    "key 999999999999999999 and 99999999999999, both plain",
     "a 9 b 99 c 999 d 9999",
     "model X99-9 and model T999",
     "follow @someone9 or @other",
@@ -219,6 +223,8 @@ def labelled(lines: tuple[str, ...] = EXAMPLES, copies: int = 8, seed: int = 7)
                     at = max(i for i, c in enumerate(body) if c.isdigit())
                     tries = [body[:at] + d + body[at + 1:] for d in "0123456789"]
                     body = next(t for t in tries if luhn(re.sub("[^0-9]", "", t)))
+                if not kind:  # a plain number of a card's length is one that fails the check digit
+                    body = re.sub("[0-9]{14,19}", lambda m: m[0][:-1] + str((int(m[0][-1]) + luhn(m[0])) % 10), body)
                 if kind:
                     spans.append((len(text), len(text) + len(body), kind))
                 text += body

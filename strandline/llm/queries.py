@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from strandline.llm import chat_format, packing, pii_crf, quality_rules, simhash
+from strandline.llm import chat_format, langid, packing, pii_crf, quality_rules, simhash
 
 QUERIES = {
+    "op6_language_id": langid.op6_language_id,
     "op8_pii": pii_crf.op8_pii,
     "op9_packing": packing.op9_packing,
     "op5_simhash": simhash.op5_simhash,

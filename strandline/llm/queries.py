@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from strandline.llm import chat_format, langid, packing, pii_crf, quality_rules, simhash
+from strandline.llm import chat_format, langid, line_dedup, packing, pii_crf, quality_rules, simhash
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op6_language_id": langid.op6_language_id,
     "op8_pii": pii_crf.op8_pii,
     "op9_packing": packing.op9_packing,
@@ -14,5 +15,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_line_dedup": line_dedup.OP1_SQL,
     "op10_chat_format": chat_format.OP10_SQL,
 }

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from strandline.llm import chat_format, langid, line_dedup, packing, pii_crf, quality_rules, simhash
+from strandline.llm import chat_format, langid, line_dedup, packing, pii_crf, quality_rules, simhash, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op6_language_id": langid.op6_language_id,
     "op8_pii": pii_crf.op8_pii,
     "op9_packing": packing.op9_packing,
+    "op3_warc": warc.op3_warc,
     "op5_simhash": simhash.op5_simhash,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op10_chat_format": chat_format.op10_chat_format,
 }
 
 ORACLE_SQL = {
+    "op3_warc": warc.OP3_SQL,
     "op1_line_dedup": line_dedup.OP1_SQL,
     "op10_chat_format": chat_format.OP10_SQL,
 }

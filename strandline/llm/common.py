@@ -63,3 +63,15 @@ def words_of(text: Column) -> Column:
 def text_key(text: Column) -> Column:
     """64-bit key that tells rows of one document id with different texts apart."""
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
+
+
+def with_rows(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns, whatever their names), ``_id``, ``_key`` of each document."""
+    return docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id"), text_key(F.col("text")).alias("_key"))
+
+
+def matching(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` whose ``(doc_id, text_key)`` is (``left_semi``) or is not (``left_anti``) in ``found``."""
+    f = found.select(F.col("doc_id").alias("_id2"), F.col("text_key").alias("_key2"))
+    d = with_rows(docs)
+    return d.join(f, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_key") == F.col("_key2")), how).select("row.*")

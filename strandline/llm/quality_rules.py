@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.llm.common import WORD, stored, table, text_key, words_of
+from strandline.llm.common import WORD, matching, stored, table, text_key, words_of
 
 WINDOW = 8
 POOLED = "*"
@@ -220,7 +220,5 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
     """The rows of ``docs`` (all columns) that are kept."""
-    kept = verdicts(docs.select("doc_id", "text", "lang"), labels, risk).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    d = docs.withColumn("_text_key", text_key(F.col("text")))
-    return d.join(kept, d["doc_id"].eqNullSafe(kept["_id"]) & (d["_text_key"] == kept["_key"]), "left_semi").drop("_text_key")
+    kept = verdicts(docs.select("doc_id", "text", "lang"), labels, risk).where("kept")
+    return matching(docs, kept.select("doc_id", "text_key").distinct(), "left_semi")

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import ship, stored, table, text_key
+from strandline.llm.common import matching, ship, stored, table, text_key
 from strandline.llm.components import components
 
 SEED = 42
@@ -233,15 +233,18 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
-    """``(doc_id, text)`` -> ``(doc_id, text_key, fp, component_id)``, one row per input row."""
+    """``(doc_id, text)`` -> ``(doc_id, text_key, fp, root, component_id)``, one row per input row.
+
+    ``root`` is the component's smallest fingerprint, ``component_id`` its smallest id.
+    """
     ship(docs.sparkSession)
     fps = stored(fingerprints(docs, words), "simhash-fingerprints")
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
     found = components(links(distinct.select("fp"), max_bits), "simhash")
     rooted = distinct.join(found.select(F.col("a").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(least, "root").select("fp", "component_id")
-    return fps.join(classes, "fp").select("doc_id", "text_key", "fp", "component_id")
+    classes = rooted.join(least, "root").select("fp", "root", "component_id")
+    return fps.join(classes, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,11 +256,12 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_first(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
     """The rows of ``docs`` (all columns) that stay when each component keeps one document.
 
-    The document with the component's smallest id stays; of rows with that id,
-    the one with the smallest fingerprint and text key.
+    The document with the component's smallest id stays; of several rows with
+    that id, those of the smallest fingerprint and text key, and one of them if
+    they repeat id and text.
     """
     found = stored(near_duplicates(docs.select("doc_id", "text"), words, max_bits), "simhash-classes")
-    best = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "text_key")).alias("m"))
-    keep = best.select(F.col("m.doc_id").alias("_id"), F.col("m.text_key").alias("_key")).distinct()
-    d = docs.withColumn("_text_key", text_key(F.col("text"))).dropDuplicates(["doc_id", "_text_key"])
-    return d.join(keep, d["doc_id"].eqNullSafe(keep["_id"]) & (d["_text_key"] == keep["_key"]), "left_semi").drop("_text_key")
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "text_key")).alias("m"))
+    kept = matching(docs, best.select("m.doc_id", "m.text_key").distinct(), "left_semi")
+    twice = found.groupBy("doc_id", "text_key").count().where("count > 1").limit(1).count()
+    return kept.dropDuplicates(["doc_id", "text"]) if twice else kept

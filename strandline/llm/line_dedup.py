@@ -22,7 +22,7 @@ is hot.
 Defined cases: a null text has no lines; documents with a null id come last;
 rows with the same id are separate texts, and a row repeated with id and text
 is the same occurrence, so its lines don't remove each other; an empty table
-gives no rows; other columns are kept.
+gives no rows; other columns are kept or ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import ship, stored, table, text_key, words_of
+from strandline.llm.common import ship, stored, table, text_key, with_rows, words_of
 
 MIN_WORDS = 3
 NEAR_WORDS = 8
@@ -43,25 +43,27 @@ _LAST = 2**63 - 1
 
 def occurrences(docs: DataFrame) -> DataFrame:
     """``(doc_id, text)`` -> one row per line of at least ``MIN_WORDS`` words, with its hashes; no text."""
-    lines = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    lines = lines.select("doc_id", "text_key", "line_no", words_of(F.col("line")).alias("w"))
-    n = F.size("w")
-    near = n >= NEAR_WORDS
-    short, long = F.floor(n / 2).cast("int"), F.floor((n + 1) / 2).cast("int")
+    # words joined by single spaces, so that a line's first or last words are a piece of one string
+    flat = F.regexp_replace("text", r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]", " ")
+    lines = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), F.posexplode(F.split(flat, "\n")).alias("line_no", "line"))
+    lines = lines.select("doc_id", "text_key", "line_no", F.trim("line").alias("w"))
+    lines = lines.withColumn("n", F.length("w") - F.length(F.replace("w", F.lit(" "))) + 1)
+    short, long = F.floor(F.col("n") / 2).cast("int"), F.floor((F.col("n") + 1) / 2).cast("int")
+    ends = lambda k: F.call_function("substring_index", F.col("w"), F.lit(" "), k)
     halves = F.array_distinct(F.array(
-        *[F.xxhash64(F.lit("head"), F.slice("w", F.lit(1), k)) for k in (short, long)],
-        *[F.xxhash64(F.lit("tail"), F.slice("w", n - k + 1, k)) for k in (short, long)]))
-    return lines.where(n >= MIN_WORDS).select(
+        *[F.xxhash64(F.lit("head"), ends(k)) for k in (short, long)],
+        *[F.xxhash64(F.lit("tail"), ends(-k)) for k in (short, long)]))
+    return lines.where(F.col("n") >= MIN_WORDS).select(
         "doc_id", "text_key", "line_no", F.coalesce("doc_id", F.lit(_LAST)).alias("doc"),
-        F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), "w").alias("h2"), F.when(near, halves).alias("halves"))
+        F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), "w").alias("h2"), F.when(F.col("n") >= NEAR_WORDS, halves).alias("halves"))
 
 
 def _variants(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Hashes of a line and of its one-word deletions; ``at`` is the deleted word, -1 for none."""
     base = 0x9E3779B97F4A7C15
     for pdf in batches:
-        out = []
-        for words, h1, doc, line in zip(pdf["wh"], pdf["h1"], pdf["doc"], pdf["line_no"]):
+        out, sizes = [], []
+        for words in pdf["wh"]:
             x = np.asarray(words, dtype=np.int64).view(np.uint64)
             n = len(x)
             none, power = np.zeros(1, np.uint64), np.full(n + 1, base, np.uint64)
@@ -75,9 +77,13 @@ def _variants(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 keys = (keys ^ (keys >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
                 keys[0] ^= np.uint64(n)
                 keys[1:] ^= np.uint64(n - 1)
-            out.append(pd.DataFrame({"v": keys.view(np.int64), "at": np.arange(-1, n, dtype=np.int32), "h1": h1, "doc": doc, "line_no": line}))
+            out.append(keys.view(np.int64))
+            sizes.append(n + 1)
         if out:
-            yield pd.concat(out)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            at = np.arange(len(row)) - np.repeat(np.cumsum([0, *sizes[:-1]]), sizes) - 1
+            columns = {c: pdf[c].to_numpy()[row] for c in ("h1", "doc", "line_no")}
+            yield pd.DataFrame({"v": np.concatenate(out), "at": at.astype(np.int32), **columns})
 
 
 def within_one(a: F.Column, b: F.Column) -> F.Column:
@@ -138,27 +144,38 @@ def removals(docs: DataFrame) -> DataFrame:
             .select("doc_id", "text_key", "line_no", (~later).alias("near")).distinct())
 
 
+def _left(docs: DataFrame) -> DataFrame:
+    """``row`` of each document with what is left of its text, and counts."""
+    gone = stored(removals(docs.select("doc_id", "text")), "lines-gone").groupBy("doc_id", "text_key").agg(
+        F.collect_list("line_no").alias("gone"), F.sum((~F.col("near")).cast("long")).alias("n_exact"),
+        F.sum(F.col("near").cast("long")).alias("n_near"))
+    gone = gone.select(F.col("doc_id").alias("_id2"), F.col("text_key").alias("_key2"), "gone", "n_exact", "n_near")
+    d = with_rows(docs).join(gone, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_key") == F.col("_key2")), "left")
+    lines = F.split("row.text", "\n")
+    kept = F.filter(lines, lambda x, i: ~F.array_contains("gone", i))
+    long = lambda x: F.size(words_of(x)) >= MIN_WORDS
+    count = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    return d.select(
+        "row", F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+        count(F.size(F.filter(lines, lambda x: x.rlike(r"[^\x20\x09-\x0D]")))).alias("n_lines"),
+        count(F.col("n_exact")).alias("n_exact"), count(F.col("n_near")).alias("n_near"),
+        (F.col("gone").isNotNull() & (F.size(F.filter(kept, long)) == 0)).alias("copied"))
+
+
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` (all columns) with ``text`` rid of its removed lines, and ``n_lines``, ``n_exact``, ``n_near``, ``n_left``.
+    """``(doc_id, text)`` -> ``(doc_id, text, n_lines, n_exact, n_near, copied)``, one row per input row.
 
-    ``n_lines`` counts lines with a word; ``n_left`` those of at least
-    ``MIN_WORDS`` words that stay.
+    ``text`` is rid of its removed lines; ``n_lines`` counts lines with a word.
+    ``copied``: lines were removed and none of ``MIN_WORDS`` words is left.
     """
-    gone = stored(removals(docs.select("doc_id", "text")), "lines-gone").groupBy("doc_id", "text_key").agg(
-        F.collect_list("line_no").alias("_gone"), F.sum((~F.col("near")).cast("long")).alias("n_exact"),
-        F.sum(F.col("near").cast("long")).alias("n_near"))
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_gone", "n_exact", "n_near")
-    d = docs.withColumn("_text_key", text_key(F.col("text")))
-    d = d.join(gone, d["doc_id"].eqNullSafe(gone["_id"]) & (d["_text_key"] == gone["_key"]), "left")
-    lines = F.split("text", "\n")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    d = d.withColumn("n_lines", F.coalesce(F.size(F.filter(lines, lambda x: x.rlike(r"[^\x20\x09-\x0D]"))), F.lit(0)).cast("long"))
-    d = d.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept))
-    words = lambda x: F.size(words_of(x)) >= MIN_WORDS
-    d = d.withColumn("n_left", F.when(F.col("_gone").isNotNull(), F.size(F.filter(F.split("text", "\n"), words))).cast("long"))
-    return (d.withColumn("n_exact", F.coalesce("n_exact", F.lit(0)).cast("long"))
-            .withColumn("n_near", F.coalesce("n_near", F.lit(0)).cast("long"))
-            .drop("_gone", "_id", "_key", "_text_key"))
+    return _left(docs).select("row.doc_id", "text", "n_lines", "n_exact", "n_near", "copied")
+
+
+def clean_lines(docs: DataFrame) -> DataFrame:
+    """``docs`` (all columns) without removed lines and without documents that were copies throughout; ``n_chars`` follows."""
+    d = _left(docs).where("NOT copied")
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast(dict(docs.dtypes).get("n_chars", "long"))}
+    return d.select(*[new[c].alias(c) if c in new else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ plan and lets Spark run it; nothing is collected to the driver.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import sys
 
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ def _word_count(spark, a) -> int:
 
 
 def _log_process(spark, a) -> int:
-    from strandline.streaming.logstream import process_stream, run_until_stopped, write_log_stream
+    from strandline.streaming.logstream import StreamCut, drain, process_stream, run_for, write_log_stream
     from strandline.streaming.sources import read_records
 
     opts = dict(kv.split("=", 1) for kv in a.option)
@@ -51,7 +52,14 @@ def _log_process(spark, a) -> int:
                         max_files_per_trigger=a.max_files_per_trigger)
     q = write_log_stream(process_stream(recs), a.output, a.checkpoint, fmt=a.sink_format,
                          interval_ms=a.interval_ms, available_now=a.available_now)
-    run_until_stopped(q, a.timeout_s)
+    if not a.available_now:
+        run_for(q, a.timeout_s)
+        return 0
+    try:
+        drain(q, a.timeout_s)
+    except StreamCut as e:
+        print(f"INCOMPLETE: {e}", file=sys.stderr)
+        return 1
     return 0
 
 
@@ -63,7 +71,8 @@ def _log_batch(spark, a) -> int:
 
     lines = spark.read.text(a.input).select(F.input_file_name().alias("file"), F.col("value").alias("line"))
     counts = Observation("lines")
-    write_split(process_lines(lines, ["file"]), a.output, counter=counts)
+    # a file name does not tell equal lines of a file apart: keys are random
+    write_split(process_lines(lines, [], keep=["file"]), a.output, counter=counts)
     print(f"VALID={counts.get['valid']} QUARANTINED={counts.get['quarantined']}")
     return 0
 
@@ -81,6 +90,7 @@ def _publish(spark, a) -> int:
 
 
 def _utilisation(spark, a) -> int:
+    a.run = a.run or a.time.strftime("%Y%m%dT%H%M%S")
     from strandline.operators.aggregate import ratio_of_sums
     from strandline.plans import metrics as m
     from strandline.sources.metrics import write_metrics
@@ -100,7 +110,7 @@ def _utilisation(spark, a) -> int:
                                          F.col("dfs_used_pct").alias("value"), "cluster"))
     write_metrics(pts.select("metric", F.lit(m.NAMESPACE).alias("namespace"), F.lit(m.UNIT).alias("unit"),
                              "value", F.lit(m.DIMENSION).alias("dim_name"),
-                             F.col("cluster").alias("dim_value")), a.output)
+                             F.col("cluster").alias("dim_value")), a.output, run=a.run, time=a.time)
     return 0
 
 
@@ -151,6 +161,9 @@ def build_parser() -> argparse.ArgumentParser:
     u.add_argument("input")
     u.add_argument("output")
     u.add_argument("--storage", default=None)
+    u.add_argument("--time", type=dt.datetime.fromisoformat, default=dt.datetime.now(dt.UTC).replace(tzinfo=None),
+                   help="time of the points (UTC, ISO 8601); now if not given")
+    u.add_argument("--run", default=None, help="name of the run; a repeated run replaces its points; the time if not given")
     u.add_argument("--text", action="store_true",
                    help="inputs are folders of report files: cluster=<c>/node=<n>/<file>, cluster=<c>/<file>")
     u.set_defaults(fn=_utilisation)

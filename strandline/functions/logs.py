@@ -46,8 +46,10 @@ def parse_clf_time(s: Column | str) -> tuple[Column, Column]:
     """``dd/MMM/yyyy:HH:mm:ss +hhmm`` -> (local wall clock NTZ, offset minutes).
 
     Built from the fields, so no session time zone is involved anywhere.
-    Shape is checked first (two-digit fields, case-sensitive month); an
-    impossible date or time gives NULL. NULL for NULL input.
+    Shape is checked first (two-digit fields, case-sensitive month). As the
+    usual resolver of the Java time library does, a day up to 31 that its
+    month lacks becomes the month's last, and ``24:00:00`` the next midnight;
+    any other field out of range gives NULL. NULL for NULL input.
     """
     s = _col(s)
     shape = s.rlike(CLF_TIME_SHAPE)
@@ -61,12 +63,18 @@ def parse_clf_time(s: Column | str) -> tuple[Column, Column]:
     year = F.substring(s, 8, 4).try_cast("int")
     # make_timestamp would roll second 60 into the next minute and accept year
     # 0; the layout allows seconds 0-59 and years of the era from 1
+    day = F.substring(s, 1, 2).try_cast("int")
+    hour = F.substring(s, 13, 2).try_cast("int")
+    minute = F.substring(s, 16, 2).try_cast("int")
+    leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
+    length = F.when(month == 2, F.when(leap, 29).otherwise(28)).when(month.isin(4, 6, 9, 11), 30).otherwise(31)
+    midnight = (hour == 24) & (minute == 0) & (sec == 0)
+    at = F.try_make_timestamp_ntz(
+        year, month.cast("int"), F.when((day >= 1) & (day <= 31), F.least(day, length)),
+        F.when(midnight, 0).otherwise(hour), minute, sec)
     local = F.when(
         shape & (month > 0) & offset.isNotNull() & (sec <= 59) & (year >= 1),
-        F.try_make_timestamp_ntz(
-            year, month.cast("int"), F.substring(s, 1, 2).try_cast("int"),
-            F.substring(s, 13, 2).try_cast("int"), F.substring(s, 16, 2).try_cast("int"), sec,
-        ),
+        F.when(midnight, at + F.make_dt_interval(F.lit(1))).otherwise(at),
     )
     return local, offset
 

@@ -64,24 +64,3 @@ def weighted_choice(h: Column, items: list[tuple[str, float]]) -> Column:
 def bounded_uniform(h: Column, n: int) -> Column:
     """Integer in ``[0, n)`` from a 32-bit hash."""
     return F.pmod(h, F.lit(n))
-
-
-def sql_hash32(key: str, salt: int = 0) -> str:
-    """The same hash as DuckDB SQL text (used by the oracle)."""
-    def mul(x: str, m: int) -> str:
-        return (f"((((({x}) // {TWO16}) * {m}) % {TWO16}) * {TWO16} + (({x}) % {TWO16}) * {m}) % {TWO32}")
-    x = f"((({key}) % {TWO32} + {TWO32}) % {TWO32} + {(salt * GOLDEN) % TWO32}) % {TWO32}"
-    h1 = mul(x, MULTIPLIERS[0])
-    h2 = f"xor({h1}, ({h1}) >> 16)"
-    h3 = mul(h2, MULTIPLIERS[1 + salt % (len(MULTIPLIERS) - 1)])
-    return f"xor({h3}, ({h3}) >> 15)"
-
-
-def sql_weighted_choice(h: str, items: list[tuple[str, float]]) -> str:
-    items = integer_weights(items)
-    total = sum(w for _, w in items)
-    cum, parts = 0, []
-    for value, w in items[:-1]:
-        cum += w
-        parts.append(f"WHEN ({h}) * {total} < {cum * TWO32} THEN '{value}'")
-    return "CASE " + " ".join(parts) + f" ELSE '{items[-1][0]}' END"

@@ -68,11 +68,33 @@ def xml_unescape(c: Column | str) -> Column:
     return c
 
 
+def _code_point(number: Column, base: int) -> Column:
+    """The character of a numeric reference; U+FFFD for one that names none."""
+    digits = F.regexp_replace(number, "^0+(?=.)", "")
+    n = F.when(F.length(digits) <= 7, F.conv(digits, base, 10).cast("bigint"))
+    known = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+    return F.when(known, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise("�")
+
+
+def decode_references(c: Column | str) -> Column:
+    """Decode numeric character references and the five predefined entities, once each."""
+    c = _col(c)
+    parts = F.regexp_extract_all(c, F.lit(r"&#[xX][0-9A-Fa-f]+;|&#[0-9]+;|[^&]+|&"), F.lit(0))
+    # an ampersand that a reference stands for must not start an entity of its own
+    mark = "&amp;"
+    one = lambda ch: F.when(ch == "&", F.lit(mark)).otherwise(ch)
+    text = F.array_join(F.transform(parts, lambda p: F.when(
+        p.rlike("^&#[xX]"), one(_code_point(F.regexp_extract(p, r"^&#[xX]([0-9A-Fa-f]+);$", 1), 16)))
+        .when(p.rlike("^&#[0-9]"), one(_code_point(F.regexp_extract(p, r"^&#([0-9]+);$", 1), 10))).otherwise(p)), "")
+    return xml_unescape(F.when(F.instr(c, "&#") > 0, text).otherwise(c))
+
+
 def extract_title(html: Column | str, decode: bool = True) -> Column:
     """Text of the first ``<title>`` element of markup that need not be XML.
 
-    A page without one gives ``''``. With ``decode`` the predefined entities
-    are decoded, as a DOM's text content would be.
+    Tag names in any case, with or without attributes; NULL when there is no
+    such element. With ``decode`` numeric references and the predefined
+    entities are decoded, as a DOM's text content would be.
     """
-    raw = F.regexp_extract(_col(html), r"<title>([^<]*)</title>", 1)
-    return xml_unescape(raw) if decode else raw
+    raw = F.get(F.regexp_extract_all(_col(html), F.lit(r"(?is)<title(?:\s[^>]*)?>(.*?)</title[\s>]"), F.lit(1)), 0)
+    return decode_references(raw) if decode else raw

@@ -21,12 +21,12 @@ def pct_columns(df: DataFrame, num: str, den: str) -> DataFrame:
 
     ``(num*10000) div den`` in integers, so the quotient is truncated exactly
     as a ``scale=4`` calculator division would be (3 of 7 -> 42.85, not
-    42.86); ``den = 0`` gives 0. ``pct`` is that value divided by 100.
+    42.86); ``den = 0`` gives 0. ``pct`` is that value divided by 100, as DECIMAL(20,2).
     """
     return df.withColumn(
         "pct_x100",
         F.expr(f"coalesce((cast(`{num}` as bigint) * 10000) div nullif(cast(`{den}` as bigint), 0), 0)"),
-    ).withColumn("pct", F.col("pct_x100").cast("double") / F.lit(100))
+    ).withColumn("pct", (F.col("pct_x100").cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(20,2)"))
 
 
 def ratio_of_sums(df: DataFrame, keys: list[str | Column], num: str, den: str,

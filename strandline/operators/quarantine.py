@@ -8,10 +8,30 @@ restores the stop-on-first-bad-record behaviour.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 VALID = "valid"
+OUTCOMES = 16  # files a task keeps open at once; above the number of outcomes
+
+
+@contextmanager
+def concurrent_writers(spark: SparkSession, n: int = OUTCOMES) -> Iterator[None]:
+    """Let a write keep a file open per outcome, instead of sorting whole rows by it first.
+
+    Beyond ``n`` outcomes in one task Spark sorts the rest, so the result is
+    the same for any number of them.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def outcome(df: DataFrame, reason: str = "reason") -> DataFrame:
@@ -46,4 +66,5 @@ def write_split(df: DataFrame, path: str, reason: str = "reason", fmt: str = "pa
     if counter is not None:
         out = out.observe(counter, F.count_if(F.col("outcome") == VALID).alias("valid"),
                           F.count_if(F.col("outcome") != VALID).alias("quarantined"))
-    out.write.mode("overwrite").partitionBy("outcome").format(fmt).save(path)
+    with concurrent_writers(df.sparkSession):
+        out.write.mode("overwrite").partitionBy("outcome").format(fmt).save(path)

@@ -2,8 +2,7 @@
 
 ``log_lines`` renders one access-log line per event; every other query
 parses those lines again, so the parse does real work on every row. The
-processing is narrow; the only exchanges are the category count's and,
-for an input with fewer partitions than cores, the ``spread`` after the scan.
+processing is narrow; the only exchange is the category count's.
 """
 
 from __future__ import annotations
@@ -15,14 +14,14 @@ from strandline.functions.logs import (
     anonymize,
     categorize_ua,
     parse_access_log,
+    random_row_key,
     render_log_line,
     render_record,
     row_key,
 )
 from strandline.operators.aggregate import count_per_key
-from strandline.operators.partitioning import spread
 from strandline.operators.quarantine import quarantined_rows, valid_rows
-from strandline.sources.tables import read_table
+from strandline.sources.tables import read_table, spread
 
 # Test fixture values: one agent per ``event_id % 7``; 0 and 6 are Chrome
 # family (6 is an Edge agent that also names Chrome), 3 is Opera (names
@@ -63,7 +62,7 @@ def events_to_log_lines(events: DataFrame) -> DataFrame:
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    return events_to_log_lines(spread(events, "event_id"))
+    return events_to_log_lines(spread(events))
 
 
 def parsed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,19 +99,26 @@ def log_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid_rows(parsed_lines(spark, sf_dir)).select("event_id", row_key("event_id", "line").alias("row_key"))
 
 
-def process_lines(lines: DataFrame, id_cols: list[str], line: str = "line") -> DataFrame:
+def process_lines(lines: DataFrame, id_cols: list[str], line: str = "line",
+                  keep: list[str] | None = None) -> DataFrame:
     """Lines -> every row with its ``reason``; good rows fully processed.
 
+    ``id_cols`` identify a record: its key is then the same on every replay.
+    Without them (``[]``) each record gets a random key, so that equal lines
+    stay apart. ``keep`` names more columns to carry along.
+
     The reference chain parse -> anonymise -> categorise -> key -> render as
     column replacements on one narrow projection over the parsed rows. Good
     rows carry ``row_key``, the anonymised ``ip``, the ``user_agent``
     category and the rendered ``record``; bad rows keep ``line`` and
     ``reason``. Batch jobs, the streaming job and the command line share it.
     """
-    parsed = parse_access_log(lines.select(*id_cols, line), line)
+    carried = [*id_cols, *(keep or [])]
+    parsed = parse_access_log(lines.select(*carried, line), line)
     good = F.col("reason").isNull()
+    key = row_key(*id_cols, line) if id_cols else random_row_key()
     out = parsed.select(
-        *id_cols, line, "reason", F.when(good, row_key(*id_cols, line)).alias("row_key"),
+        *carried, line, "reason", F.when(good, key).alias("row_key"),
         F.when(good, anonymize("ip")).alias("ip"), "ts", "local_ts", "offset_min", "method", "resource",
         "status", "bytes", F.when(good, categorize_ua("user_agent")).alias("user_agent"))
     record = render_record(F.col("ip"), F.col("local_ts"), F.col("offset_min"), F.col("method"),

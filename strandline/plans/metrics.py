@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from strandline.functions.metrics import report_value
 from strandline.operators.aggregate import first_and_last_by, first_by, ratio_of_sums
-from strandline.operators.filters import include_lines
-from strandline.operators.joins import broadcast_if_small
+from strandline.operators.filters import exclude_lines, include_lines
+from strandline.session import scratch_path
+from strandline.sources.metrics import read_metrics, write_metrics
 from strandline.sources.tables import read_table
 
 # Metric names, namespace, unit and dimension of the published points.
@@ -28,7 +29,6 @@ DIMENSION = "Cluster"
 NODE_CAPACITY_MB = 16384
 SAMPLE_CAPACITY_MB = 4096
 ZERO_CAPACITY_CLUSTER = "signup"
-DIM_ROWS_BOUND = 10_000  # nations/regions are broadcast only below this
 
 
 def _lines(*pairs: tuple[int, F.Column]) -> F.Column:
@@ -40,12 +40,26 @@ def cluster_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     nat = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     reg = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    dims = broadcast_if_small(nat.join(broadcast_if_small(reg, DIM_ROWS_BOUND),
-                                       F.col("n_regionkey") == F.col("r_regionkey")), DIM_ROWS_BOUND)
+    dims = nat.join(reg, F.col("n_regionkey") == F.col("r_regionkey"))
     return sup.join(dims, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("r_name").alias("cluster"), F.col("s_name").alias("node"), "s_suppkey", "s_acctbal")
 
 
+def node_list(spark: SparkSession, sf_dir: str, nodes: DataFrame | None = None) -> DataFrame:
+    """``(cluster, line)``: each cluster's node listing, a line per node below its header lines."""
+    nodes = nodes if nodes is not None else cluster_nodes(spark, sf_dir)
+    reg = read_table(spark, sf_dir, "region").select(F.col("r_name").alias("cluster"))
+    head = reg.select("cluster", F.explode(F.array(
+        F.lit("Total Nodes:many"), F.lit("         Node-Id\t     Node-State\tNode-Http-Address"))).alias("line"))
+    return head.unionByName(nodes.select("cluster", F.concat("node", F.lit("\t        RUNNING\t"), "node").alias("line")))
+
+
+def listed_nodes(listing: DataFrame) -> DataFrame:
+    """``(cluster, node)``: first tab-separated field of the listing's lines, without ``Total`` and ``Node-Id`` lines."""
+    rows = exclude_lines(exclude_lines(listing, "Total"), "Node-Id")
+    return rows.select("cluster", F.trim(F.split_part("line", F.lit("\t"), F.lit(1))).alias("node")).where("node <> ''")
+
+
 def node_report(spark: SparkSession, sf_dir: str, nodes: DataFrame | None = None) -> DataFrame:
     """``(cluster, node, line_no, line)``: node list header, total, memory used and capacity."""
     nodes = nodes if nodes is not None else cluster_nodes(spark, sf_dir)
@@ -107,14 +121,23 @@ def node_memory_from_reports(reports: DataFrame) -> DataFrame:
         F.when(F.size(mem) > 0, report_value(F.element_at(mem, -1), 3, "MB")).alias("capacity_mb"))
 
 
+def listed_report(spark: SparkSession, sf_dir: str, nodes: DataFrame | None = None) -> DataFrame:
+    """Report lines of the nodes that the cluster's listing names.
+
+    Both sides are dealt by (cluster, node), as the values are gathered.
+    """
+    report, listing = node_report(spark, sf_dir, nodes), node_list(spark, sf_dir, nodes)
+    return report.join(listed_nodes(listing), ["cluster", "node"], "left_semi")
+
+
 def report_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return node_memory(node_report(spark, sf_dir))
+    return node_memory(listed_report(spark, sf_dir))
 
 
 def dfs_used(report: DataFrame) -> DataFrame:
     """``(cluster, dfs_used_pct)``: the first ``DFS Used%`` line of each report."""
     hits = include_lines(report, "DFS Used%").select(
-        "cluster", "line_no", report_value("line", 3, "%", "double").alias("pct"))
+        "cluster", "line_no", report_value("line", 3, "%", "decimal(20,2)").alias("pct"))
     return first_by(hits, ["cluster"], "pct", "line_no", "dfs_used_pct")
 
 
@@ -153,18 +176,21 @@ def utilisation_by_window(spark: SparkSession, sf_dir: str, width: str = "1 day"
 
 
 def metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Published metric points: memory use and storage use per cluster.
+    """Points of one run, written to the metric table and read back.
 
-    ``(metric, namespace, unit, value, dim_name, dim_value)``; see
-    :func:`strandline.sources.metrics.write_metrics` for the stored form with
-    a dimensions map.
+    ``(metric, namespace, unit, time, value, dim_name, dim_value)``; the run's
+    time is that of the last event.
     """
-    nodes = cluster_nodes(spark, sf_dir)  # one lookup (and size check) for both reports
-    util = ratio_of_sums(node_memory(node_report(spark, sf_dir, nodes)), ["cluster"], "used_mb", "capacity_mb")
+    nodes = cluster_nodes(spark, sf_dir)
+    util = ratio_of_sums(node_memory(listed_report(spark, sf_dir, nodes)), ["cluster"], "used_mb", "capacity_mb")
     mem = util.select(F.lit(YARN_METRIC).alias("metric"), F.col("pct").alias("value"), "cluster")
     dfs = dfs_used(storage_report(spark, sf_dir, nodes)).select(
         F.lit(DFS_METRIC).alias("metric"), F.col("dfs_used_pct").alias("value"), "cluster")
-    return mem.unionByName(dfs).select(
+    points = mem.unionByName(dfs).select(
         "metric", F.lit(NAMESPACE).alias("namespace"), F.lit(UNIT).alias("unit"), "value",
         F.lit(DIMENSION).alias("dim_name"), F.col("cluster").alias("dim_value"))
-
+    time = read_table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
+    path = scratch_path(spark, "metrics")
+    write_metrics(points, path, run="report", time=time)
+    return read_metrics(spark, path).select(
+        "metric", "namespace", "unit", "time", "value", F.explode("dimensions").alias("dim_name", "dim_value"))

@@ -1,4 +1,4 @@
-"""DuckDB statements that compute each query's rows independently of Spark.
+"""DuckDB statements that compute each query's rows without Spark.
 
 They run over the pre-registered table views (``events``, ``documents``, ...)
 and are used only to check results.
@@ -7,9 +7,7 @@ and are used only to check results.
 from __future__ import annotations
 
 from strandline.functions.logs import CLF_PATTERN, UA_CATEGORIES, UA_OTHER
-from strandline.functions.sampling import sql_hash32, sql_weighted_choice
 from strandline.plans.logs import BAD_LINE_EVERY, FIXTURE_AGENTS, FIXTURE_REFERER
-from strandline.plans.sampling import ATTRIBUTES, BYTES_SALT, MAX_BYTES
 
 
 def _q(s: str) -> str:
@@ -110,7 +108,7 @@ FROM ({_NODES})"""
 
 def _pct(num: str, den: str) -> str:
     x100 = f"CAST(coalesce(({num} * 10000) // nullif({den}, 0), 0) AS BIGINT)"
-    return f"{x100} AS pct_x100, CAST({x100} AS DOUBLE) / 100 AS pct"
+    return f"{x100} AS pct_x100, CAST(CAST({x100} AS DECIMAL(20, 0)) / 100 AS DECIMAL(20, 2)) AS pct"
 
 
 _UTIL = f"""
@@ -129,7 +127,7 @@ SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1
        {_pct('sum(used_mb)', 'sum(capacity_mb)')}
 FROM ({_SAMPLES}) GROUP BY 1, 2, 3"""
 
-_DFS = "SELECT r_name AS cluster, CAST(r_regionkey AS DOUBLE) + 0.25 AS dfs_used_pct FROM region"
+_DFS = "SELECT r_name AS cluster, CAST(r_regionkey + 0.25 AS DECIMAL(20, 2)) AS dfs_used_pct FROM region"
 
 METRICS: dict[str, str] = {
     "report_fields": _NODE_MEM,
@@ -137,31 +135,43 @@ METRICS: dict[str, str] = {
     "utilisation": _UTIL,
     "utilisation_by_window": _BY_WINDOW,
     "metric_points": f"""
-SELECT 'YarnMemUsage' AS metric, 'HadoopClusters' AS namespace, 'Percent' AS unit, pct AS value,
-       'Cluster' AS dim_name, cluster AS dim_value FROM ({_UTIL})
+SELECT 'YarnMemUsage' AS metric, 'HadoopClusters' AS namespace, 'Percent' AS unit, (SELECT max(ts) FROM events) AS time,
+       pct AS value, 'Cluster' AS dim_name, cluster AS dim_value FROM ({_UTIL})
 UNION ALL
-SELECT 'DFSUsed', 'HadoopClusters', 'Percent', dfs_used_pct, 'Cluster', cluster FROM ({_DFS})""",
+SELECT 'DFSUsed', 'HadoopClusters', 'Percent', (SELECT max(ts) FROM events), dfs_used_pct, 'Cluster', cluster FROM ({_DFS})""",
 }
 
 
-def _sampling_sql() -> str:
-    cols = [f"{sql_weighted_choice(sql_hash32('event_id', salt), items)} AS {name}"
-            for name, items, salt in ATTRIBUTES]
-    cols.append(f"CAST(({sql_hash32('event_id', BYTES_SALT)}) % {MAX_BYTES} AS BIGINT) AS bytes")
-    return "SELECT event_id, " + ",\n       ".join(cols) + " FROM events"
+# 32-bit mixing written out: multiply, fold the upper half in, multiply, fold again; the
+# start and the second factor differ by column. Then cumulative weights times 2^32.
+def _mixed(start: int, factor: int) -> str:
+    first = f"((((event_id % 4294967296 + 4294967296) % 4294967296 + {start}) % 4294967296)::HUGEINT * 2654435761) % 4294967296"
+    folded = f"xor(({first})::BIGINT, (({first})::BIGINT >> 16))"
+    second = f"(({folded})::HUGEINT * {factor}) % 4294967296"
+    return f"xor(({second})::BIGINT, (({second})::BIGINT >> 15))"
 
 
-_TITLE = "regexp_extract(html, '<title>([^<]*)</title>', 1)"
-for _ent, _ch in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]:
-    _TITLE = f"replace({_TITLE}, {_q(_ent)}, {_q(_ch)})"
-
-_UA_OF = UA_CASE.replace("user_agent", "ua")
+_WEIGHTED = f"""
+SELECT event_id,
+  CASE WHEN h1 * 85 < 214748364800 THEN 'web' WHEN h1 * 85 < 343597383680 THEN 'app' ELSE 'partner' END AS channel,
+  CASE WHEN h2 * 10 < 25769803776 THEN 'basic' WHEN h2 * 10 < 38654705664 THEN 'plus' ELSE 'pro' END AS tier,
+  CASE WHEN h3 * 725 < 858993459200 THEN 'low' WHEN h3 * 725 < 3006477107200 THEN 'normal' ELSE 'high' END AS priority,
+  CAST(h4 % 10000 AS BIGINT) AS units
+FROM (SELECT event_id, {_mixed(2654435769, 3266489917)} AS h1, {_mixed(1013904242, 668265263)} AS h2,
+             {_mixed(3668340011, 374761393)} AS h3, {_mixed(2027808484, 2246822519)} AS h4 FROM events)"""
+
+# by position instead of by one pattern over the element
+_TITLE = r"""
+SELECT page_id, CASE WHEN p > 0 AND instr(rest, '</title') > 0 THEN
+  replace(replace(replace(replace(replace(replace(replace(body, '&#39;', chr(39)), '&#x27;', chr(39)), '&lt;', '<'), '&gt;', '>'),
+    '&quot;', '"'), '&apos;', chr(39)), '&amp;', '&') END AS title
+FROM (
+  SELECT page_id, p, lower(html[p:]) AS rest,
+    substr(html, p + instr(html[p:], '>'), greatest(instr(lower(html[p:]), '</title') - instr(html[p:], '>') - 1, 0)) AS body
+  FROM (SELECT page_id, html, CASE WHEN instr(lower(html), '<title>') > 0 AND (instr(lower(html), '<title ') = 0 OR instr(lower(html), '<title>') < instr(lower(html), '<title '))
+    THEN instr(lower(html), '<title>') ELSE instr(lower(html), '<title ') END AS p FROM pages))"""
 
 TEXT_EXTRA: dict[str, str] = {
-    "weighted_assign": _sampling_sql(),
-    "traffic_categories": f"""
-SELECT {_UA_OF} AS ua_category, method, status, count(*) AS n
-FROM (SELECT method, status, user_agent AS ua FROM ({_sampling_sql()}))
-GROUP BY ALL""",
-    "page_titles": f"SELECT page_id, {_TITLE} AS title FROM pages",
+    "weighted_assign": _WEIGHTED,
+    "page_titles": _TITLE,
 }

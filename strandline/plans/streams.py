@@ -1,10 +1,10 @@
 """Registered streaming queries: run a stream to completion, return its output.
 
-Input is first published to a stream folder below the checkpoint root
-(records ordered by time across files, as they would arrive), then a
-streaming query drains it with ``availableNow`` in a few bounded
-micro-batches of one file per core each (``maxFilesPerTrigger``), and the
-returned DataFrame reads what the sink wrote.
+Input is first published to a stream folder below the checkpoint root (files
+of at most ``RECORDS_PER_FILE`` records, written where they are read), then a
+streaming query drains it with ``availableNow`` in micro-batches bounded by
+bytes, and the returned DataFrame reads what the sink wrote. A drain has no
+deadline: the result is whole or the query fails.
 """
 
 from __future__ import annotations
@@ -13,33 +13,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.plans.logs import log_lines
-from strandline.operators.partitioning import spread
 from strandline.plans.metrics import events_to_samples
-from strandline.plans.sampling import generated_lines
 from strandline.session import scratch_path
-from strandline.sources.tables import read_table
-from strandline.streaming.logstream import process_stream, read_processed, run_until_stopped, write_log_stream
-from strandline.streaming.sources import RECORD_SCHEMA, publish_lines, read_records, read_table_stream
+from strandline.sources.tables import read_table, spread
+from strandline.streaming.logstream import drain, process_stream, read_processed, write_log_stream
+from strandline.streaming.sources import (
+    BYTES_PER_BATCH,
+    RECORD_SCHEMA,
+    RECORDS_PER_FILE,
+    publish_lines,
+    read_records,
+    read_table_stream,
+)
 from strandline.streaming.utilisation import read_complete, start_utilisation_stream, state_session
 
-STREAM_BATCHES = 4  # micro-batches the published input is drained in
-STREAM_TIMEOUT_S = 3600
-
-
-def _layout(spark: SparkSession) -> tuple[int, int]:
-    """(files to publish, files per trigger): each batch gets one file per core."""
-    par = spark.sparkContext.defaultParallelism
-    return STREAM_BATCHES * par, par
+STATE_PARTITIONS = 8  # one row per open (window, cluster)
 
 
 def _run_log_stream(spark: SparkSession, sf_dir: str) -> str:
     """Publish the log lines, drain them through the streaming processor; the sink folder."""
     base = scratch_path(spark, "logstream")
     src, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
-    files, per_trigger = _layout(spark)
-    publish_lines(log_lines(spark, sf_dir), "parquet", src, files=files, order_by="event_id")
-    records = read_records(spark, "parquet", src, RECORD_SCHEMA, max_files_per_trigger=per_trigger)
-    run_until_stopped(write_log_stream(process_stream(records), out, ckpt, available_now=True), STREAM_TIMEOUT_S)
+    publish_lines(log_lines(spark, sf_dir), "parquet", src)
+    records = read_records(spark, "parquet", src, RECORD_SCHEMA, max_bytes_per_trigger=BYTES_PER_BATCH)
+    drain(write_log_stream(process_stream(records), out, ckpt, available_now=True))
     return out
 
 
@@ -55,34 +52,13 @@ def stream_log_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.where(F.col("outcome") != "valid").select("event_id", "line", "reason")
 
 
-def stream_traffic_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Generated traffic -> stream -> log processor; lines per (browser, method, status).
-
-    The generator, the stream and the stateless processor of the reference's
-    streaming system, over one generated line per event.
-    """
-    base = scratch_path(spark, "trafficstream")
-    src, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
-    events = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id"), "event_id")
-    files, per_trigger = _layout(spark)
-    publish_lines(generated_lines(events), "parquet", src, files=files, order_by="event_id")
-    records = read_records(spark, "parquet", src, RECORD_SCHEMA, max_files_per_trigger=per_trigger)
-    run_until_stopped(write_log_stream(process_stream(records), out, ckpt, available_now=True), STREAM_TIMEOUT_S)
-    done = read_processed(spark, out)
-    return done.groupBy(F.col("user_agent").alias("ua_category"), "method",
-                        F.col("status").cast("string").alias("status")).agg(F.count(F.lit(1)).alias("n"))
-
-
 def stream_utilisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Node samples from ``events`` through the streaming gauge (complete mode)."""
     base = scratch_path(spark, "utilstream")
     src, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
-    files, per_trigger = _layout(spark)
-    # time order across files; the id splits a timestamp shared by many rows
-    ev.repartitionByRange(files, "ts", "event_id").write.parquet(src)
-    stream = events_to_samples(read_table_stream(state_session(spark, per_trigger), src, ev.schema,
-                                                 max_files_per_trigger=per_trigger))
-    q = start_utilisation_stream(stream, out, ckpt, output_mode="complete", available_now=True)
-    run_until_stopped(q, STREAM_TIMEOUT_S)
+    ev = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value"))
+    ev.write.option("maxRecordsPerFile", RECORDS_PER_FILE).parquet(src)
+    stream = events_to_samples(read_table_stream(state_session(spark, STATE_PARTITIONS), src, ev.schema,
+                                                 max_bytes_per_trigger=BYTES_PER_BATCH))
+    drain(start_utilisation_stream(stream, out, ckpt, output_mode="complete", available_now=True))
     return read_complete(spark, out)

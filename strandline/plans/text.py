@@ -10,11 +10,10 @@ from strandline.functions.xml import extract_first_elements
 from strandline.operators.aggregate import count_per_key
 from strandline.operators.barrier import evaluate_once
 from strandline.operators.ordering import key_partitioned_sorted
-from strandline.operators.partitioning import spread
 from strandline.operators.quarantine import valid_rows
 from strandline.session import scratch_path
 from strandline.sources.articles import read_articles, tsv_lines, write_pages
-from strandline.sources.tables import read_table
+from strandline.sources.tables import read_table, spread
 from strandline.sources.xmldump import render_page, scan_fragments, write_dump
 
 # ---------------------------------------------------------------- dump load
@@ -27,17 +26,21 @@ def parse_pages(fragments: DataFrame) -> DataFrame:
     element is missing), ``unclosed_page`` (a head without an end tag, from
     the scan). Map-only: no shuffle.
     """
-    parsed = extract_first_elements(fragments.select("fragment", "unclosed_head"), "fragment", ["title", "text"])
-    pages = parsed.select(
-        "title", "text", "fragment",
-        F.when(~F.col("ok"), F.lit("bad_xml"))
+    # a record gives its page and, if it has one, the head of an unclosed page
+    # before it: one row each out of the same scan
+    page = F.struct(F.col("fragment").alias("fragment"), F.lit(False).alias("unclosed"))
+    head = F.struct(F.col("unclosed_head").alias("fragment"), F.lit(True).alias("unclosed"))
+    rows = fragments.select(F.inline(F.when(F.col("unclosed_head").isNull(), F.array(page)).otherwise(F.array(head, page))))
+    rows = rows.withColumn("page", F.when(~F.col("unclosed"), F.col("fragment")))
+    parsed = extract_first_elements(rows, "page", ["title", "text"])
+    return evaluate_once(parsed.select(
+        F.when(~F.col("unclosed"), F.col("title")).alias("title"),
+        F.when(~F.col("unclosed"), F.col("text")).alias("text"), "fragment",
+        F.when(F.col("unclosed"), F.lit("unclosed_page"))
+        .when(~F.col("ok"), F.lit("bad_xml"))
         .when(F.col("n_title") == 0, F.lit("no_title"))
         .when(F.col("n_text") == 0, F.lit("no_text")).alias("reason"),
-    )
-    heads = (fragments.where(F.col("unclosed_head").isNotNull())
-             .select(F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("text"),
-                     F.col("unclosed_head").alias("fragment"), F.lit("unclosed_page").alias("reason")))
-    return evaluate_once(pages).unionByName(heads)
+    ))
 
 
 def load_dump(spark: SparkSession, path: str) -> DataFrame:
@@ -84,10 +87,11 @@ def dump_load_to_table(spark: SparkSession, dump_path: str, out_path: str) -> in
 
 
 def dump_article_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles loaded by the job, counted on the write itself: ``(articles)``."""
+    """Articles in the table the loader wrote: ``(articles)``; the job's own report counts on the write."""
     dump = render_documents_dump(spark, sf_dir)
-    n = dump_load_to_table(spark, dump, scratch_path(spark, "articles"))
-    return spark.range(1).select(F.lit(n).cast("bigint").alias("articles"))
+    table = scratch_path(spark, "articles")
+    dump_load_to_table(spark, dump, table)
+    return read_articles(spark, table).agg(F.count(F.lit(1)).alias("articles"))
 
 
 # ---------------------------------------------------------------- word count
@@ -110,8 +114,7 @@ def count_words(texts: DataFrame, col: str = "text") -> DataFrame:
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word count over the document texts."""
-    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    return count_words(docs.select("text"))
+    return count_words(spread(read_table(spark, sf_dir, "documents").select("text")))
 
 
 def word_count_articles(spark: SparkSession, articles_path: str) -> DataFrame:
@@ -142,7 +145,7 @@ def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     blank run, or the one token of an empty text), so the empty count is a
     test of the first token; no per-element lambda.
     """
-    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     toks = docs.select("doc_id", tokenize(F.col("text")).alias("t"))
     return toks.select(
         "doc_id",
@@ -155,6 +158,6 @@ def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First ``<title>`` of each raw web page, entities decoded: ``(page_id, title)``."""
+    """First ``<title>`` of each raw web page, references decoded, NULL without one: ``(page_id, title)``."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "html")
     return pages.select("page_id", extract_title("html").alias("title"))

@@ -38,6 +38,10 @@ def get_spark(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # whatever the input's size: moderate splits, and shuffle partitions
+        # coalesced to a size rather than to the number of cores
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 << 20),
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.operators.quarantine import concurrent_writers
+
 
 def write_articles(df: DataFrame, path: str, counter: Observation | None = None) -> None:
     """Write ``(title, text)`` as Parquet; optionally count rows on the way.
@@ -30,7 +32,8 @@ def write_pages(parsed: DataFrame, path: str, counter: Observation | None = None
     if counter is not None:
         out = out.observe(counter, F.count_if(F.col("outcome") == "valid").alias("articles"),
                           F.count_if(F.col("outcome") != "valid").alias("quarantined"))
-    out.write.mode("overwrite").partitionBy("outcome").parquet(path)
+    with concurrent_writers(parsed.sparkSession):
+        out.write.mode("overwrite").partitionBy("outcome").parquet(path)
 
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
@@ -44,16 +47,6 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
     return df.select("title", "text")
 
 
-def write_articles_sequencefile(df: DataFrame, path: str) -> None:
-    """Hadoop SequenceFile of Text/Text pairs, for tools that still want one."""
-    df.select("title", "text").rdd.map(tuple).saveAsSequenceFile(path)
-
-
-def read_articles_sequencefile(spark: SparkSession, path: str) -> DataFrame:
-    """Read a Text/Text SequenceFile into ``(title, text)``."""
-    return spark.sparkContext.sequenceFile(path).toDF(["title", "text"])
-
-
 def tsv_lines(df: DataFrame, key: str, value: str) -> DataFrame:
     """``key<TAB>value`` lines (Hadoop text output) in a column ``value``."""
     return df.select(F.concat_ws("\t", F.col(key).cast("string"), F.col(value).cast("string")).alias("value"))

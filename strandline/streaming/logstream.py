@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strandline.functions.logs import decode_line
-from strandline.operators.quarantine import outcome
+from strandline.operators.quarantine import concurrent_writers, outcome
 from strandline.plans.logs import process_lines
 
 
@@ -27,7 +27,7 @@ def process_stream(records: DataFrame, id_cols: list[str] | None = None) -> Data
     """
     if id_cols is None:
         # what identifies a record: our file records carry event_id, Kafka
-        # records their position; with neither, equal lines share a key
+        # records their position; with neither, every record gets a random key
         kafka = ["topic", "partition", "offset"]
         id_cols = (["event_id"] if "event_id" in records.columns
                    else kafka if set(kafka) <= set(records.columns) else [])
@@ -41,7 +41,8 @@ def _batch_writer(path: str, fmt: str):
         if fmt == "text":
             # the reference layout: one folder per batch of ``key<TAB>record``
             # lines; quarantined rows go to a sibling folder. The batch is
-            # cached for the two writes so that it is parsed once.
+            # cached for the two writes so that it is parsed once; a lost
+            # block is parsed again.
             batch.persist()
             try:
                 (batch.where(F.col("outcome") == "valid")
@@ -52,7 +53,8 @@ def _batch_writer(path: str, fmt: str):
             finally:
                 batch.unpersist()
         else:
-            batch.write.mode("overwrite").partitionBy("outcome").format(fmt).save(target)
+            with concurrent_writers(batch.sparkSession):
+                batch.write.mode("overwrite").partitionBy("outcome").format(fmt).save(target)
     return write
 
 
@@ -96,17 +98,34 @@ def preview(stream: DataFrame, n: int = 10, interval_ms: int | None = None) -> S
     return w.start()
 
 
-def run_until_stopped(query: StreamingQuery, timeout_s: float | None = None) -> bool:
-    """Block until the query ends or ``timeout_s`` passes, then stop it cleanly.
+class StreamCut(RuntimeError):
+    """A bounded drain was stopped before it had read everything."""
 
-    Returns True when the query had ended by itself (e.g. ``availableNow``).
+
+def drain(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait until a bounded query (``availableNow``) has read everything.
+
+    There is no deadline unless the caller gives one, and hitting it raises
+    :class:`StreamCut`: what the sink then holds is not the whole result.
     """
     ended = query.awaitTermination(timeout_s) if timeout_s is not None else query.awaitTermination()
+    if timeout_s is not None and not ended:
+        query.stop()
+        raise StreamCut(f"stopped after {timeout_s} s with input left")
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def run_for(query: StreamingQuery, seconds: float | None = None) -> None:
+    """Run an unbounded query until it is stopped elsewhere, or for some time; then stop it cleanly."""
+    if seconds is None:
+        query.awaitTermination()
+    else:
+        query.awaitTermination(seconds)
     if query.isActive:
         query.stop()
     if query.exception() is not None:
         raise query.exception()
-    return bool(ended) if timeout_s is not None else True
 
 
 def read_processed(spark: SparkSession, path: str, which: str = "valid") -> DataFrame:

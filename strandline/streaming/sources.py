@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RECORD_SCHEMA = "key STRING, value BINARY, event_id BIGINT"
+RECORDS_PER_FILE = 500_000
+BYTES_PER_BATCH = str(4 << 30)  # of input files in a micro-batch, over all tasks
 
 
 def record_stream(lines: DataFrame, line: str = "line", key: str | None = None,
@@ -36,39 +38,44 @@ def record_stream(lines: DataFrame, line: str = "line", key: str | None = None,
 
 
 def publish_lines(lines: DataFrame, fmt: str = "parquet", path: str | None = None,
-                  options: dict[str, str] | None = None, files: int | None = None,
-                  order_by: str | None = None, **kw) -> None:
+                  options: dict[str, str] | None = None, records_per_file: int = RECORDS_PER_FILE,
+                  **kw) -> None:
     """Put records on a stream: a Kafka topic (``fmt='kafka'``) or files.
 
-    For file transport, ``files`` with ``order_by`` range-partitions the
-    records so that each file holds one stretch of the order (data arriving
-    over time); without them the input partitioning is kept.
+    Records are published where they are read, no shuffle. For file transport
+    a file holds at most ``records_per_file`` records, whatever the input's
+    size, so a reader can bound its batches.
     """
     recs = record_stream(lines, **kw)
     if fmt == "kafka":
         recs.select("key", "value").write.format("kafka").options(**(options or {})).save()
         return
-    if files and order_by:
-        recs = recs.repartitionByRange(files, order_by)
-    recs.write.mode("append").format(fmt).options(**(options or {})).save(path)
+    recs.write.mode("append").format(fmt).option("maxRecordsPerFile", records_per_file).options(**(options or {})).save(path)
 
 
 def read_records(spark: SparkSession, fmt: str = "parquet", path: str | None = None,
                  schema: str = RECORD_SCHEMA, options: dict[str, str] | None = None,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of raw records from ``fmt`` (``parquet``, ``kafka``, ...)."""
+                 max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None) -> DataFrame:
+    """Streaming DataFrame of raw records from ``fmt`` (``parquet``, ``kafka``, ...).
+
+    A micro-batch of files is bounded by their number or by their bytes.
+    """
     reader = spark.readStream.format(fmt).options(**(options or {}))
     if fmt != "kafka":
         reader = reader.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    elif max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.load(path) if path else reader.load()
 
 
-def read_table_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None
-                      ) -> DataFrame:
+def read_table_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None,
+                      max_bytes_per_trigger: str | None = None) -> DataFrame:
     """A Parquet folder as a stream (new files are new data)."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    elif max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.parquet(path)

@@ -6,11 +6,14 @@ ratio as the batch job. State is one pair of sums per open (window,
 cluster). With ``append`` (the default for a long-running job) a window is
 emitted once the watermark passes its end and its state is dropped; rows
 later than the watermark are dropped and counted in the query progress.
-``complete`` re-emits all windows every batch (bounded runs, tests).
+``complete`` re-emits all windows every batch and never drops state, so it is
+for bounded runs; a long-running gauge uses ``append``.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -46,11 +49,12 @@ def read_complete(spark: SparkSession, path: str) -> DataFrame:
     """The whole current table of a ``complete``-mode run: its last batch folder.
 
     Every batch folder holds a full table, so the previous one stays whole
-    while the next is written or replayed.
+    while the next is written or replayed. The newest is found in the file
+    listing; no other folder is read.
     """
-    df = spark.read.parquet(path)
-    last = df.agg(F.max("batch").alias("batch"))  # one row
-    return df.join(F.broadcast(last), "batch").drop("batch")
+    files = spark.read.parquet(path).inputFiles()
+    last = max(int(m[1]) for f in files if (m := re.search(r"/batch=(\d+)/", f)))
+    return spark.read.parquet(f"{path}/batch={last}")
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -55,14 +55,15 @@ def test_parsing_current_time(spark):
     assert (r.method, r.resource, r.status, r.bytes, r.user_agent) == ("GET", "/index.html", 200, 123, "MyBrowser")
 
 
-def test_with_ip_address(spark):
-    df = spark.createDataFrame([("203.0.113.101", "MyBrowser")], "ip string, user_agent string")
-    assert df.withColumn("ip", F.lit("203.0.113.102")).first().ip == "203.0.113.102"
+def test_processing_replaces_address_and_agent(spark):
 
+    from strandline.plans.logs import process_lines
 
-def test_with_user_agent(spark):
-    df = spark.createDataFrame([("203.0.113.101", "MyBrowser")], "ip string, user_agent string")
-    assert df.withColumn("user_agent", F.lit("Opera")).first().user_agent == "Opera"
+    df = spark.createDataFrame([(7, _line("05/Nov/2017:01:30:00 +0000", ua="Mozilla Firefox/1"))], "id bigint, line string")
+    r = process_lines(df, ["id"]).first()
+    ip = base64.b64encode(hashlib.md5(b"203.0.113.101").digest()).decode()
+    assert (r.ip, r.user_agent, r.reason) == (ip, "FIREFOX", None)
+    assert r.record == f"{ip} 2017-11-05T01:30Z GET /index.html 200 123 FIREFOX"
 
 
 # --- edge lines ------------------------------------------------------------------
@@ -85,17 +86,24 @@ def test_edge_lines(spark):
         _line(base_t) + "\r\n",                       # 12 CRLF end: valid (Java $)
         _line(base_t) + "\n\n",                       # 13 two newlines: no_match
         _line("05/Nov/2017:01:30:60 +0000"),          # 14 second 60: bad_time
-        _line("05/Nov/2017:24:00:00 +0000"),          # 15 hour 24: bad_time
+        _line("05/Nov/2017:24:00:00 +0000"),          # 15 end of the day: next midnight
         _line("05/Nov/2017:01:30:00 +1830"),          # 16 beyond +18:00: bad_time
         _line("05/Nov/2017:01:30:00 -1800"),          # 17 -18:00: valid
         _line("01/Jan/0000:00:00:00 +0000"),          # 18 year 0: bad_time
-        _line("29/Feb/2017:00:00:00 +0000"),          # 19 no 29 Feb: bad_time
+        _line("29/Feb/2017:00:00:00 +0000"),          # 19 no 29 Feb: the month's last day
         _line("29/Feb/2016:00:00:00 +0000"),          # 20 leap day: valid
+        _line("31/Apr/2017:23:59:59 +0000"),          # 21 the month's last day
+        _line("05/Nov/2017:24:00:01 +0000"),          # 22 past the end of the day: bad_time
+        _line("00/Nov/2017:01:00:00 +0000"),          # 23 day 0: bad_time
+        _line("31/Dec/2017:24:00:00 +0000"),          # 24 next year
     ]
     got = _parse(spark, lines)
     reasons = [got[i].reason for i in range(len(lines))]
     assert reasons == [None, None, "no_match", "no_match", "no_match", "bad_number", "bad_time", "bad_time",
-                       "bad_number", None, "no_match", "bad_time", None, "no_match", "bad_time", "bad_time", "bad_time", None, "bad_time", "bad_time", None]
+                       "bad_number", None, "no_match", "bad_time", None, "no_match", "bad_time", None, "bad_time", None, "bad_time", None, None,
+                       None, "bad_time", "bad_time", None]
+    assert got[15].ts == dt.datetime(2017, 11, 6) and got[24].ts == dt.datetime(2018, 1, 1)
+    assert got[19].ts == dt.datetime(2017, 2, 28) and got[21].ts == dt.datetime(2017, 4, 30, 23, 59, 59)
     assert got[12].user_agent == "MyBrowser"
     assert got[1].user_agent == "MyBrowser"
     assert got[9].user_agent == "with\u0001ctl" and got[9].bytes == 123
@@ -231,4 +239,4 @@ def test_cli_log_batch(spark, tmp_dir):
     assert back.where("outcome = 'valid'").count() == 980
     assert back.where("outcome = 'no_match'").count() == 20
     r = back.where("outcome = 'valid'").first()
-    assert r.user_agent in {"CHROME", "FIREFOX", "SAFARI", "OPERA", "IE", "OTHER"} and len(r.row_key) == 64
+    assert r.user_agent in {"CHROME", "FIREFOX", "SAFARI", "OPERA", "IE", "OTHER"} and len(r.row_key) == 36

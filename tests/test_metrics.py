@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import decimal
+
 from conftest import SF001
 from pyspark.sql import functions as F
 
@@ -14,7 +17,8 @@ from strandline.sources.metrics import parse_dimensions, read_metrics, write_met
 def test_percent_truncates(spark):
     df = spark.createDataFrame([(3, 7), (1, 3), (5, 0), (2, 3), (0, 0)], "u bigint, a bigint")
     got = [(r.pct_x100, r.pct) for r in pct_columns(df, "u", "a").collect()]
-    assert got == [(4285, 42.85), (3333, 33.33), (0, 0.0), (6666, 66.66), (0, 0.0)]
+    want = [(4285, "42.85"), (3333, "33.33"), (0, "0.00"), (6666, "66.66"), (0, "0.00")]
+    assert got == [(a, decimal.Decimal(b)) for a, b in want]
 
 
 def test_cut_field_semantics(spark):
@@ -60,11 +64,13 @@ def test_dimension_lookup_is_broadcast(spark):
 
 def test_metric_sink_round_trip(spark, tmp_dir):
     pts = metrics.metric_points(spark, SF001)
-    write_metrics(pts, tmp_dir)
+    when = pts.first().time
+    write_metrics(pts, tmp_dir, run="r", time=when)
     back = read_metrics(spark, tmp_dir)
+    assert {r.time for r in back.collect()} == {when}
     assert back.count() == 10
     r = back.where("metric = 'DFSUsed' AND dimensions['Cluster'] = 'ASIA'").first()
-    assert (r.namespace, r.unit, r.value) == ("HadoopClusters", "Percent", 2.25)
+    assert (r.namespace, r.unit, r.value) == ("HadoopClusters", "Percent", decimal.Decimal("2.25"))
     assert spark.range(1).select(parse_dimensions("Cluster=MyFirstCluster").alias("m")).first().m == {
         "Cluster": "MyFirstCluster"}
 
@@ -72,11 +78,13 @@ def test_metric_sink_round_trip(spark, tmp_dir):
 def test_weighted_assign_follows_weights(spark):
     df = sampling.weighted_assign(spark, "/root/testdata/sf0.01")
     n = df.count()
-    methods = dict(df.groupBy("method").count().collect())
-    assert abs(methods["GET"] / n - 6 / 9) < 0.03 and abs(methods["PUT"] / n - 1 / 9) < 0.02
-    status = dict(df.groupBy("status").count().collect())
-    assert abs(status["200"] / n - 8 / 11) < 0.03 and set(status) == {"200", "404", "401", "403"}
-    b = df.agg(F.min("bytes"), F.max("bytes")).first()
+    channel = dict(df.groupBy("channel").count().collect())
+    assert abs(channel["web"] / n - 5 / 8.5) < 0.03 and abs(channel["partner"] / n - 0.5 / 8.5) < 0.02
+    tier = dict(df.groupBy("tier").count().collect())
+    assert abs(tier["basic"] / n - 6 / 10) < 0.03 and set(tier) == {"basic", "plus", "pro"}
+    own = sampling.assign(df.select("event_id"), "event_id", {"x": [("only", 1.0)]})
+    assert own.columns == ["event_id", "x"] and own.where("x <> 'only'").count() == 0
+    b = df.agg(F.min("units"), F.max("units")).first()
     assert b[0] >= 0 and b[1] <= 9999
     again = sampling.weighted_assign(spark, "/root/testdata/sf0.01")
     assert df.exceptAll(again).count() == 0
@@ -171,19 +179,31 @@ def test_cli_utilisation_from_text_reports(spark, tmp_dir):
             fh.write(f"Node Report :\n\tMemory-Used : {used}MB\n\tMemory-Capacity : 1000MB\n")
     assert main(["utilisation", nodes, out, "--text"]) == 0
     got = {r.dimensions["Cluster"]: r.value for r in read_metrics(spark, out).collect()}
-    assert got == {"c1": 20.0, "c2": 0.7}
+    assert got == {"c1": decimal.Decimal("20.00"), "c2": decimal.Decimal("0.70")}
 
 
-def test_size_check_and_scale_settings(spark):
-    from strandline.operators.joins import broadcast_if_small, has_at_most
+def test_scale_settings():
     from strandline.session import scale_settings
 
-    nation = spark.read.parquet(f"{SF001}/nation.parquet")
-    lineitem = spark.read.parquet(f"{SF001}/lineitem.parquet")
-    assert has_at_most(nation, 25) and not has_at_most(nation, 24)
-    assert not has_at_most(lineitem, 100)
-    keys = lineitem.select("l_orderkey").distinct()
-    assert broadcast_if_small(keys, 10) is keys  # over the bound: no hint, the optimizer decides
     s = scale_settings(100 << 40, 8000)
     assert int(s["spark.sql.shuffle.partitions"]) == (100 << 40) // (512 << 20)
     assert int(scale_settings(1 << 30, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_a_repeated_run_replaces_its_points(spark, tmp_dir):
+    rows = [("M", "N", "Percent", 12.5, "Cluster", "c1")]
+    flat = "metric string, namespace string, unit string, value double, dim_name string, dim_value string"
+    df = spark.createDataFrame(rows, flat)
+    for run, hour in (("a", 1), ("b", 2), ("a", 1)):
+        write_metrics(df, tmp_dir, run=run, time=dt.datetime(2024, 1, 1, hour))
+    got = sorted((r["run"], r["time"], r["value"], r["dimensions"]) for r in read_metrics(spark, tmp_dir).collect())
+    value = decimal.Decimal("12.50")
+    assert got == [("a", dt.datetime(2024, 1, 1, 1), value, {"Cluster": "c1"}), ("b", dt.datetime(2024, 1, 1, 2), value, {"Cluster": "c1"})]
+
+
+def test_only_listed_nodes_count(spark):
+    listing = spark.createDataFrame([("c", "Total Nodes:2"), ("c", "         Node-Id\t     Node-State"), ("c", "n1:45454\t RUNNING\tn1:8042"),
+                                     ("c", ""), ("c", None), ("c", " n2:45454\t RUNNING")], "cluster string, line string")
+    assert sorted(r.node for r in metrics.listed_nodes(listing).collect()) == ["n1:45454", "n2:45454"]
+    fields = metrics.report_fields(spark, SF001)
+    assert fields.count() == spark.read.parquet(f"{SF001}/supplier.parquet").count()

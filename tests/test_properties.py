@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -126,7 +127,7 @@ def test_percent_is_truncated_like_scale_4(spark, pairs):
     got = {r.i: (r.pct_x100, r.pct) for r in pct_columns(df, "u", "a").collect()}
     for i, (u, a) in enumerate(pairs):
         want = 0 if a == 0 else (u * 10000) // a
-        assert got[i] == (want, want / 100)
+        assert got[i] == (want, Decimal(want) / 100)
 
 
 def category_model(ua: str) -> str:

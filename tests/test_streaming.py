@@ -5,15 +5,18 @@ from __future__ import annotations
 import datetime as dt
 import os
 
+import pytest
 from conftest import SF001
 from pyspark.sql import functions as F
 
 from strandline.plans import logs, metrics
 from strandline.streaming.logstream import (
+    StreamCut,
+    drain,
     preview,
     process_stream,
     read_processed,
-    run_until_stopped,
+    run_for,
     write_log_stream,
 )
 from strandline.streaming.sources import RECORD_SCHEMA, publish_lines, read_records, read_table_stream
@@ -21,14 +24,14 @@ from strandline.streaming.utilisation import read_complete, start_utilisation_st
 
 
 def _publish(spark, path):
-    publish_lines(logs.log_lines(spark, SF001), "parquet", path, files=3, order_by="event_id")
+    publish_lines(logs.log_lines(spark, SF001), "parquet", path, records_per_file=400)  # 1000 lines: 3 files
 
 
 def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_dir):
     src, out, ckpt = (os.path.join(tmp_dir, x) for x in ("in", "out", "ckpt"))
     _publish(spark, src)
     recs = read_records(spark, "parquet", src, RECORD_SCHEMA, max_files_per_trigger=1)
-    run_until_stopped(write_log_stream(process_stream(recs), out, ckpt, available_now=True), 600)
+    drain(write_log_stream(process_stream(recs), out, ckpt, available_now=True))
     cols = ["event_id", "row_key", "ip", "ts", "method", "resource", "status", "bytes", "user_agent", "record"]
     streamed = read_processed(spark, out).select(*cols)
     batch = logs.log_process(spark, SF001).select(*cols)
@@ -38,7 +41,7 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_dir):
     assert len(batches) == 3
     # restart on the same checkpoint: nothing new, nothing repeated
     recs2 = read_records(spark, "parquet", src, RECORD_SCHEMA, max_files_per_trigger=1)
-    run_until_stopped(write_log_stream(process_stream(recs2), out, ckpt, available_now=True), 600)
+    drain(write_log_stream(process_stream(recs2), out, ckpt, available_now=True))
     assert read_processed(spark, out).count() == 980
     q = spark.read.parquet(out).where(F.col("outcome") != "valid")
     assert q.count() == 20 and {r.outcome for r in q.collect()} == {"no_match"}
@@ -48,7 +51,7 @@ def test_text_layout_per_batch(spark, tmp_dir):
     src, out, ckpt = (os.path.join(tmp_dir, x) for x in ("in", "out", "ckpt"))
     _publish(spark, src)
     recs = read_records(spark, "parquet", src, RECORD_SCHEMA)
-    run_until_stopped(write_log_stream(process_stream(recs), out, ckpt, fmt="text", available_now=True), 600)
+    drain(write_log_stream(process_stream(recs), out, ckpt, fmt="text", available_now=True))
     lines = spark.read.text(os.path.join(out, "batch=*")).collect()
     assert len(lines) == 980
     q = spark.read.parquet(os.path.join(out, "quarantine"))
@@ -63,18 +66,89 @@ def test_processing_time_trigger_and_clean_stop(spark, tmp_dir):
     recs = read_records(spark, "parquet", src, RECORD_SCHEMA)
     q = write_log_stream(process_stream(recs), out, ckpt, interval_ms=200)
     q.processAllAvailable()
-    ended = run_until_stopped(q, 1)
-    assert not ended and not q.isActive
+    run_for(q, 1)
+    assert not q.isActive
     assert read_processed(spark, out).count() == 980
 
 
-def test_preview_console_sink(spark, tmp_dir):
+def test_preview_prints_the_first_rows(spark, tmp_dir, capsys):
     src = os.path.join(tmp_dir, "in")
     _publish(spark, src)
-    q = preview(read_records(spark, "parquet", src, RECORD_SCHEMA), n=10)
+    recs = read_records(spark, "parquet", src, RECORD_SCHEMA).select("event_id")
+    q = preview(recs, n=10)
     q.processAllAvailable()
     q.stop()
-    assert q.lastProgress is not None
+    printed = capsys.readouterr().out
+    assert "batch 0" in printed and "only showing top 10 rows" in printed
+    shown = [int(x.strip("| ")) for x in printed.splitlines() if x.strip("| ").isdigit()]
+    assert len(shown) == 10 and all(0 <= i < 1000 for i in shown)
+
+
+def test_a_cut_drain_is_an_error(spark, tmp_dir):
+    src, out, ckpt = (os.path.join(tmp_dir, x) for x in ("in", "out", "ckpt"))
+    _publish(spark, src)
+    recs = read_records(spark, "parquet", src, RECORD_SCHEMA, max_files_per_trigger=1)
+    q = write_log_stream(process_stream(recs), out, ckpt, available_now=True)
+    with pytest.raises(StreamCut):
+        drain(q, 0.01)
+    assert not q.isActive
+
+
+def test_cli_cut_drain_exits_non_zero(spark, tmp_dir):
+    from strandline.cli import main
+
+    src, out, ckpt = (os.path.join(tmp_dir, x) for x in ("in", "out", "ckpt"))
+    _publish(spark, src)
+    assert main(["log-process", src, out, ckpt, "--available-now", "--timeout-s", "0.01", "--max-files-per-trigger", "1"]) == 1
+
+
+def test_batches_are_bounded_by_files_and_by_bytes(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    _publish(spark, src)
+    size = max(os.path.getsize(os.path.join(src, f)) for f in os.listdir(src) if f.endswith(".parquet"))
+    for i, bound in enumerate(({"max_files_per_trigger": 1}, {"max_bytes_per_trigger": str(size + 1)})):
+        recs = read_records(spark, "parquet", src, RECORD_SCHEMA, **bound)
+        q = write_log_stream(process_stream(recs), os.path.join(tmp_dir, f"out{i}"), os.path.join(tmp_dir, f"c{i}"), available_now=True)
+        drain(q)
+        rows = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+        assert sum(rows) == 1000 and max(rows) <= 400
+
+
+def test_kafka_job_starts_at_latest_and_bounds_intake(monkeypatch):
+    from strandline import cli
+    from strandline.streaming import logstream, sources
+
+    seen = {}
+    monkeypatch.setattr(cli, "get_spark", lambda *a, **k: None)
+    monkeypatch.setattr(sources, "read_records", lambda spark, fmt, path, options, **k: seen.update(options, fmt=fmt, path=path))
+    for name in ("process_stream", "write_log_stream", "run_for"):
+        monkeypatch.setattr(logstream, name, lambda *a, **k: None)
+    assert cli.main(["log-process", "topic1", "out", "ckpt", "--format", "kafka", "--option", "maxOffsetsPerTrigger=500"]) == 0
+    assert seen == {"fmt": "kafka", "path": None, "subscribe": "topic1", "startingOffsets": "latest", "maxOffsetsPerTrigger": "500"}
+    cli.main(["log-process", "topic1", "out", "ckpt", "--format", "kafka", "--option", "startingOffsets=earliest"])
+    assert seen["startingOffsets"] == "earliest"
+
+
+def test_equal_lines_without_ids_get_keys_of_their_own(spark, tmp_dir):
+    from strandline.cli import main
+
+    line = '203.0.113.9 - - [05/Nov/2017:01:30:00 +0000] "GET /a HTTP/1.0" 200 5 "-" "Firefox"'
+    src, out = os.path.join(tmp_dir, "logs"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.log"), "w") as fh:
+        fh.write((line + "\n") * 5)
+    assert main(["log-batch", src, out]) == 0
+    rows = read_processed(spark, out)
+    assert rows.count() == 5 and rows.select("row_key").distinct().count() == 5
+    recs = spark.createDataFrame([(bytearray(line, "utf-8"),)] * 5, "value binary")
+    assert process_stream(recs).select("row_key").distinct().count() == 5
+
+
+def test_publishing_does_not_shuffle(spark):
+    from strandline.streaming.sources import record_stream
+
+    plan = record_stream(logs.log_lines(spark, SF001))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
 
 
 def test_stream_utilisation_complete_equals_batch(spark, tmp_dir):
@@ -82,7 +156,7 @@ def test_stream_utilisation_complete_equals_batch(spark, tmp_dir):
     ev = spark.read.parquet(f"{SF001}/events.parquet").select("ts", "event_type", "value")
     ev.repartitionByRange(3, "ts").write.parquet(src)
     stream = metrics.events_to_samples(read_table_stream(spark, src, ev.schema, 1))
-    run_until_stopped(start_utilisation_stream(stream, out, ckpt, "complete", available_now=True), 600)
+    drain(start_utilisation_stream(stream, out, ckpt, "complete", available_now=True))
     got = read_complete(spark, out)
     want = metrics.utilisation_by_window(spark, SF001)
     assert got.count() == want.count()
@@ -107,7 +181,7 @@ def test_stream_utilisation_append_drops_late_rows(spark, tmp_dir):
     stream = metrics.events_to_samples(
         read_table_stream(spark, os.path.join(src, "*"), schema, 1))
     q = start_utilisation_stream(stream, out, ckpt, "append", watermark="1 day", available_now=True)
-    run_until_stopped(q, 600)
+    drain(q)
     got = sorted((r.window_start, r.used_mb) for r in spark.read.parquet(out).drop("batch").collect())
     assert got == [(day, 30), (day + dt.timedelta(days=3), 35)]
     dropped = sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in q.recentProgress)
@@ -144,7 +218,7 @@ def test_failed_batch_is_replayed_without_duplicates(spark, tmp_dir):
         pass
     assert q.exception() is not None
     recs2 = read_records(spark, "parquet", src, RECORD_SCHEMA, max_files_per_trigger=1)
-    run_until_stopped(write_log_stream(process_stream(recs2), out, ckpt, available_now=True), 600)
+    drain(write_log_stream(process_stream(recs2), out, ckpt, available_now=True))
     got = read_processed(spark, out)
     assert got.count() == 980 and got.select("event_id").distinct().count() == 980
 
@@ -158,7 +232,7 @@ def test_stream_utilisation_on_rocksdb_state(spark, tmp_dir):
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
     child = state_session(spark, 2, rocksdb=True)
     stream = metrics.events_to_samples(read_table_stream(child, src, ev.schema, 1))
-    run_until_stopped(start_utilisation_stream(stream, out, ckpt, "complete", available_now=True), 600)
+    drain(start_utilisation_stream(stream, out, ckpt, "complete", available_now=True))
     got = read_complete(spark, out)
     want = metrics.utilisation_by_window(spark, SF001)
     assert got.select(*want.columns).exceptAll(want).count() == 0 and got.count() == want.count()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from conftest import SF001
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -35,23 +36,60 @@ def test_word_count_plan_has_one_exchange_and_partial_aggregate(spark):
     assert "partial_count" in plan
 
 
-def test_spread_only_when_under_partitioned(spark):
-    from strandline.operators.partitioning import spread
+def test_word_count_reads_only_text_in_one_exchange(spark):
+    plan = text.word_count(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<text:string>" in plan and plan.count("Exchange") == 1
 
-    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
-    assert spread(docs, "doc_id", min_partitions=1) is docs
-    spread_plan = spread(docs, "doc_id", min_partitions=64)._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(doc_id" in spread_plan
 
+def test_spread_is_the_callers_setting(spark):
+    from strandline.sources.tables import PARTITIONS, spread
 
-def test_word_count_reads_only_text(spark):
-    df = text.word_count(spark, SF001)
-    scan = df._jdf.queryExecution().sparkPlan().toString()
-    # doc_id is read only for the local spread; without it Catalyst prunes it
-    assert "ReadSchema: struct<doc_id:bigint,text:string>" in scan or "ReadSchema: struct<text:string>" in scan
-    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
-    pruned = text.count_words(docs.select("text"))._jdf.queryExecution().sparkPlan().toString()
-    assert "ReadSchema: struct<text:string>" in pruned
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("text")
+    assert spread(docs) is docs
+    spark.conf.set(PARTITIONS, "6")
+    try:
+        assert "RoundRobinPartitioning(6)" in spread(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(PARTITIONS)
+
+
+def test_load_dump_scans_once(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "d.xml"), "w") as fh:
+        fh.write("<page><title>A</title><text>x</text></page>")
+    for df in (text.load_dump(spark, tmp_dir), text.load_dump(spark, tmp_dir).where("reason IS NULL")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan text") == 1 and "Exchange" not in plan
+
+
+def test_split_write_does_not_sort(spark, tmp_dir):
+    from strandline.operators.quarantine import concurrent_writers, write_split
+
+    df = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, "bad").alias("reason"))
+    with concurrent_writers(spark):
+        plan = (df.withColumn("outcome", F.coalesce("reason", F.lit("valid"))))
+        plan.createOrReplaceTempView("split_rows")
+        spark.sql("CREATE OR REPLACE TEMPORARY VIEW split_view AS SELECT * FROM split_rows")
+        spark.sql(f"CREATE TABLE split_target (id BIGINT, reason STRING, outcome STRING) USING parquet PARTITIONED BY (outcome) LOCATION '{tmp_dir}/t'")
+        try:
+            shown = spark.sql("EXPLAIN INSERT OVERWRITE split_target SELECT id, reason, outcome FROM split_view").first()[0]
+        finally:
+            spark.sql("DROP TABLE split_target")
+    assert "Sort [" not in shown
+    write_split(df, f"{tmp_dir}/o")
+    assert {r["outcome"]: r["count"] for r in spark.read.parquet(f"{tmp_dir}/o").groupBy("outcome").count().collect()} == {"bad": 334, "valid": 666}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+@pytest.mark.parametrize("html,title", [
+    ("<title>A</title>", "A"), ("<TITLE>A</TITLE>", "A"), ('<title lang="en">A</title>', "A"), ("<title\nid=x>A\nB</title >", "A\nB"),
+    ("<title></title>", ""), ("<p>none</p>", None), ("<titles>x</titles>", None), ("<title>open", None), (None, None),
+    ("<title>a&#39;b</title>", "a'b"), ("<title>&#x1F642;&#233;</title>", "🙂é"), ("<title>&amp;lt; &amp;#39; &#38;lt;</title>", "&lt; &#39; &lt;"),
+    ("<title>&lt;b&gt; &quot;&apos;</title>", "<b> \"'"), ("<title>&#0;&#xD800;&#99999999;</title>", "\ufffd\ufffd\ufffd"), ("<title>A & B &c;</title>", "A & B &c;"),
+    ("<title>1</title><title>2</title>", "1"),
+])
+def test_title_of_real_markup(spark, html, title):
+    df = spark.createDataFrame([(html,)], "html string")
+    assert df.select(extract_title("html").alias("t")).first().t == title
 
 
 def test_word_count_tsv_sorted_within_files(spark, tmp_dir):
@@ -189,16 +227,6 @@ def test_cli_dump_load_then_word_count(spark, tmp_dir):
     assert lines.count() == text.word_count(spark, SF001).count()
 
 
-def test_sequencefile_interop(spark, tmp_dir):
-    from strandline.sources.articles import read_articles_sequencefile, write_articles_sequencefile
-
-    src = spark.createDataFrame([("t1", "a b"), ("t2", "c")], "title string, text string")
-    path = os.path.join(tmp_dir, "seq")
-    write_articles_sequencefile(src, path)
-    back = read_articles_sequencefile(spark, path)
-    assert sorted(tuple(r) for r in back.collect()) == [("t1", "a b"), ("t2", "c")]
-
-
 def test_dump_scan_correct_across_many_small_splits(spark):
     key = "spark.sql.files.maxPartitionBytes"
     old = spark.conf.get(key)

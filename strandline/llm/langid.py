@@ -68,7 +68,8 @@ class Grams:
         # full[k]: hash of the k characters that end at each place of the flat text; 1 for none
         self.full, run = [np.ones(len(code), np.uint64)], np.zeros(len(code), np.uint64)
         for k in range(1, ORDER + 1):
-            run[k - 1:] += (code[: len(code) - k + 1] + np.uint64(1)) * _POWERS[k - 1]
+            if k <= len(code):
+                run[k - 1:] += (code[: len(code) - k + 1] + np.uint64(1)) * _POWERS[k - 1]
             self.full.append(((run ^ (run >> np.uint64(29))) * _MIX) ^ np.uint64(k))
 
     def grams(self, k: int, at: np.ndarray | slice = slice(None)) -> np.ndarray:
@@ -215,6 +216,7 @@ def train(docs: DataFrame, per_language: int = 800) -> Models:
     """Fit on ``(doc_id, text, lang)`` rows outside the held-out fifth; a bounded sample per language."""
     spark = docs.sparkSession
     ship(spark)
+    docs = docs.select("doc_id", "text", "lang")
     w = Window.partitionBy("lang").orderBy("r", "doc_id")
     ids = (docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
            .select("doc_id", "lang", F.xxhash64("doc_id").alias("r"))

@@ -222,3 +222,62 @@ def keep_good(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFr
     """The rows of ``docs`` (all columns) that are kept."""
     kept = verdicts(docs.select("doc_id", "text", "lang"), labels, risk).where("kept")
     return matching(docs, kept.select("doc_id", "text_key").distinct(), "left_semi")
+
+
+#: The same verdicts in DuckDB. Word windows as strings, the tail by the log-gamma
+#: function, the fold by a bitwise CRC-32; the bound on labelled rows isn't reached
+#: on tables with under 8,000 of them.
+OP2_SQL = r"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, regexp_extract_all(lower(text), '\p{L}+') AS runs,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+wins AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS s FROM w, LATERAL (SELECT unnest(range(1, len(w) - 6)) AS i)),
+hit AS (SELECT doc_id, i FROM wins QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM hit, (SELECT unnest(range(8)) AS k) GROUP BY doc_id),
+fold AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295], list_transform(range(1, length(id) + 1), lambda i: CAST(ord(id[i]) AS BIGINT))),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 2 = 1 AS held
+  FROM (SELECT *, CAST(doc_id AS VARCHAR) AS id FROM labels)),
+seen AS (
+  SELECT toxic, unnest(list_distinct(list_concat(list_filter(runs, lambda r: length(r) >= 4),
+    list_transform(list_filter(runs, lambda r: length(r) >= 5), lambda r: substr(r, 1, 4) || '*')))) AS term
+  FROM w JOIN fold USING (doc_id) WHERE NOT held AND toxic IS NOT NULL AND quality = 1),
+terms AS (
+  SELECT list(term) AS l FROM (SELECT term FROM seen GROUP BY term HAVING count(*) >= 5 AND sum(toxic) >= 0.9 * count(*) ORDER BY sum(toxic) DESC, term LIMIT 200)),
+base AS (
+  SELECT doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    len(ls) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words,
+    length(regexp_replace(text, '[^\p{Lu}]+', '', 'g')) AS n_capitals,
+    coalesce(len(list_filter(runs, lambda r: list_contains(l, r) OR length(r) >= 4 AND list_contains(l, substr(r, 1, 4) || '*'))), 0) AS n_toxic
+  FROM w LEFT JOIN cov USING (doc_id), terms),
+feat AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    [n_symbols / greatest(word_chars, 1), n_repeat_words / greatest(n_words, 1), n_dup_lines / greatest(n_lines, 1),
+     n_capitals / greatest(word_chars, 1), CAST(n_toxic AS DOUBLE)] AS v FROM base),
+ratios AS (SELECT unnest([0.02, 0.04, 0.06, 0.08, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.7]::DOUBLE[]) AS cutoff),
+grid AS (
+  SELECT r AS rule, cutoff FROM (SELECT unnest([1, 2, 3, 4]) AS r), ratios
+  UNION ALL SELECT 5, unnest([1, 2, 3, 4, 6, 8]::DOUBLE[])),
+marked AS (SELECT doc_id, CASE WHEN quality = 1 AND toxic = 0 THEN 1 WHEN quality = 0 OR toxic = 1 THEN 0 END AS good FROM fold WHERE held),
+rows_ AS (
+  SELECT good, v, unnest(list_distinct([coalesce(lang, '*'), '*'])) AS stratum
+  FROM feat JOIN marked USING (doc_id) WHERE NOT base_failed AND good IS NOT NULL),
+totals AS (SELECT stratum, sum(good) AS n, sum(1 - good) AS bad, count(*) OVER () AS strata FROM rows_ GROUP BY stratum),
+hits AS (
+  SELECT stratum, rule, cutoff, sum(good) AS k, sum(1 - good) AS caught FROM rows_, grid WHERE v[rule] >= cutoff GROUP BY ALL),
+passed AS (
+  SELECT stratum, rule, cutoff, caught / greatest(bad, 1) - 5.0 * k / greatest(n, 1) AS gain
+  FROM hits JOIN totals USING (stratum)
+  WHERE k < n * 0.01 AND list_sum(list_transform(range(0, CAST(k AS BIGINT) + 1), lambda i:
+      exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99)))) <= 0.05 / (54 * strata)),
+chosen AS (
+  SELECT stratum, rule, cutoff FROM passed WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, cutoff DESC) = 1),
+judged AS (
+  SELECT f.doc_id, list(r.name ORDER BY r.rule) FILTER (WHERE f.v[r.rule] >= coalesce(o.cutoff, p.cutoff)) AS fired
+  FROM feat f, (SELECT unnest([1, 2, 3, 4, 5]) AS rule, unnest(['symbols', 'repeats', 'dup_lines', 'capitals', 'toxic_terms']) AS name) r
+  LEFT JOIN chosen o ON o.stratum = f.lang AND o.rule = r.rule AND o.stratum <> '*' LEFT JOIN chosen p ON p.stratum = '*' AND p.rule = r.rule
+  GROUP BY f.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND fired IS NULL AS kept, coalesce(array_to_string(fired, ','), '') AS fired
+FROM feat JOIN judged USING (doc_id)"""

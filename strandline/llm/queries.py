@@ -32,6 +32,7 @@ QUERIES = {
 #: against brute force, an exact round trip or held-out accuracy.
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.OP1_SQL,
+    "op2_quality_rules": quality_rules.OP2_SQL,
     "op3_warc": warc.OP3_SQL,
     "op10_chat_format": chat_format.OP10_SQL,
 }

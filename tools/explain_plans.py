@@ -1,4 +1,4 @@
-"""Write PLANS.md: the physical plan outline of every registered query.
+"""Write PLANS.md: the physical plan outline of every query of the registry.
 
 For each query: the operator tree of ``explain("formatted")``, the scans'
 ``ReadSchema`` / ``PushedFilters``, and the exchanges (shuffles) in the plan.
@@ -37,17 +37,15 @@ def main() -> None:
 
     # AQE off here only so that the static plan carries the codegen marks
     spark = get_spark("local[8]", 16, extra={"spark.sql.adaptive.enabled": "false"})
-    import __spark_entry__ as se
+    from strandline.plans.registry import QUERIES
 
     parts = [
         "# Physical plans\n",
         f"Generated by `tools/explain_plans.py` on `{sf_dir}` (local[8], 16 shuffle partitions; AQE",
         "off for display only, so that `*` marks the operators inside whole-stage codegen).",
-        "The `hashpartitioning(doc_id|event_id, 8)` exchanges are `spread`: the test tables are",
-        "single row groups; on a table of many files that step is not planned.",
         "Queries that write intermediate data (dump, streams) show the plan that reads it back.\n",
     ]
-    for name, fn in se.queries().items():
+    for name, fn in QUERIES.items():
         tree, scans, ex = outline(fn(spark, sf_dir))
         parts.append(f"## {name}\n")
         parts.append("```\n" + tree.strip() + "\n```\n")

@@ -230,7 +230,8 @@ def train(docs: DataFrame, per_language: int = 800) -> Models:
         for pdf in batches:
             for lang, part in pdf.groupby("label"):
                 n = Counter(x for t in part["text"] if t for x in letters(t))
-                yield pd.DataFrame({"lang": lang, "word": list(n), "n": list(n.values())})
+                if n:
+                    yield pd.DataFrame({"lang": lang, "word": list(n), "n": list(n.values())})
 
     counts = stored(sample.where("NOT calibrate").mapInPandas(count, "lang string, word string, n long")
                     .groupBy("lang", "word").agg(F.sum("n").alias("n")), "langid-words")

@@ -59,9 +59,16 @@ def test_near_duplicates(stages):
 def test_benchmark(spark, stages):
     _, before, after = stages[3]
     flat = lambda t: " " + " ".join(x.decode() for x in decontaminate.words(t)) + " "
-    items = [flat(r["text"]) for r in spark.read.parquet(f"{SF01}/benchmark.parquet").collect()]
-    clean = {r["doc_id"] for r in before.collect() if not any(i in flat(r["text"]) for i in items)}
-    assert {r["doc_id"] for r in after.collect()} == clean
+    items = [r["text"] for r in spark.read.parquet(f"{SF01}/benchmark.parquet").collect()]
+    kept = {r["doc_id"] for r in after.collect()}
+    for r in before.collect():
+        held = any(flat(i) in flat(r["text"]) for i in items)
+        if r["doc_id"] in kept:
+            assert not held
+        elif not held:  # an item that lost a line to the stage before
+            pieces, vocabulary = decontaminate.pieces_of(list(enumerate(items)))
+            w = [vocabulary.get(x, 0) for x in decontaminate.words(r["text"])]
+            assert max(decontaminate.common(len(p.terms), p.at, w) / len(p.terms) for p in pieces) >= decontaminate.COVER
 
 
 def test_packing(stages):

@@ -96,5 +96,7 @@ def extract_title(html: Column | str, decode: bool = True) -> Column:
     such element. With ``decode`` numeric references and the predefined
     entities are decoded, as a DOM's text content would be.
     """
-    raw = F.get(F.regexp_extract_all(_col(html), F.lit(r"(?is)<title(?:\s[^>]*)?>(.*?)</title[\s>]"), F.lit(1)), 0)
+    pattern = r"(?is)<title(?:\s[^>]*)?>(.*?)</title[\s>]"
+    element = F.regexp_extract(_col(html), pattern, 0)  # up to the first element; '' without one
+    raw = F.when(element != "", F.regexp_extract(element, pattern, 1))
     return decode_references(raw) if decode else raw

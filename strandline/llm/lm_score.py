@@ -98,6 +98,14 @@ class Network:
         z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
         return z
 
+    @staticmethod
+    def _picked(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Log softmax at one column of each row."""
+        high = z.max(axis=1)
+        picked = z[np.arange(len(z)), at] - high
+        z -= high[:, None]
+        return picked - np.log(np.exp(z, out=z).sum(axis=1))
+
     def log_prob(self, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Log probability of each token given the two on either side."""
         out = np.empty(len(at), np.float64)
@@ -106,15 +114,14 @@ class Network:
             target = flat[part]
             group = target // EACH
             h = self.hidden(self.contexts(flat, part))
-            p = self._log_softmax(h @ self.w[_IN:_IN + CLASSES].T)[np.arange(len(part)), group].astype(np.float64)
-            order = np.argsort(group, kind="stable")
+            p = self._picked(h @ self.w[_IN:_IN + CLASSES].T, group).astype(np.float64)
+            order = np.argsort(group.astype(np.int8), kind="stable")
             cut = np.searchsorted(group[order], np.arange(CLASSES + 1))
             for c in range(CLASSES):
                 i = order[cut[c]:cut[c + 1]]
                 if len(i):
                     first = _IN + CLASSES + c * EACH
-                    z = self._log_softmax(h[i] @ self.w[first:first + EACH].T)
-                    p[i] += z[np.arange(len(i)), target[i] - c * EACH]
+                    p[i] += self._picked(h[i] @ self.w[first:first + EACH].T, target[i] - c * EACH)
             out[lo:lo + SCORED] = p
         return out
 
@@ -129,7 +136,7 @@ class Network:
         d[n, group] -= 1
         back = d @ self.w[_IN:_IN + CLASSES]
         steps = [(slice(_IN, _IN + CLASSES), d.T @ h, np.bincount(group, minlength=CLASSES))]
-        order = np.argsort(group, kind="stable")
+        order = np.argsort(group.astype(np.int8), kind="stable")
         cut = np.searchsorted(group[order], np.arange(CLASSES + 1))
         for c in range(CLASSES):
             i = order[cut[c]:cut[c + 1]]
@@ -142,10 +149,9 @@ class Network:
         back *= 1 - h * h
         back[:, -1] = 0
         for r in rows:
-            u, inv = np.unique(r, return_inverse=True)
-            g = np.zeros((len(u), WIDTH), np.float32)
-            np.add.at(g, inv, back)
-            steps.append((u, g, np.bincount(inv)))
+            order = np.argsort(r, kind="stable")
+            u, first, times = np.unique(r[order], return_index=True, return_counts=True)
+            steps.append((u, np.add.reduceat(back[order], first, axis=0), times))
         for where, g, times in steps:
             squares[where] += (g * g).mean(axis=1)
             used[where] += times

@@ -110,10 +110,11 @@ def removals(docs: DataFrame) -> DataFrame:
     halves = lines.where("halves IS NOT NULL").select("h1", "h2", "first", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
     maybe = stored(halves.join(shared, "half", "left_semi").select("h1", "h2", "first").distinct(), "lines-maybe")
-    # their words, from the documents that hold their first occurrence
+    # their words, from the documents that hold their first occurrence (a repeated
+    # row gives a line twice, which changes no minimum below)
     holders = maybe.select(F.col("first.doc").alias("doc"), F.col("first.text_key").alias("text_key")).distinct()
     d = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), text_key(F.col("text")).alias("text_key"), "text")
-    found = (d.join(holders, ["doc", "text_key"], "left_semi").distinct()
+    found = (d.join(holders, ["doc", "text_key"], "left_semi")
              .select("doc", "text_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
              .select("doc", "text_key", "line_no", words_of(F.col("line")).alias("w"))
              .where(F.size("w") >= NEAR_WORDS))

@@ -32,7 +32,7 @@ from strandline.llm.common import ship, stored, table, text_key
 
 CAPACITY = 4096
 END = 1
-CACHED = 400_000  # words of which a Python worker keeps the ids
+CACHED = 700_000  # words of which a Python worker keeps the ids
 _LETTERS = "a-zªµºß-öø-ÿ"  # small letters below U+0100
 _PIECES = re.compile(f"[{_LETTERS}]+|[^{_LETTERS}]+")
 

@@ -7,9 +7,8 @@ softmax in two levels, first the token's class, then the token in its class.
 
 Vocabulary: word counts over all documents give the ``KNOWN`` most frequent
 words; the others share ``OTHER`` hash buckets. Training: every task starts from
-the same weights and goes once over its documents, learning from one token in
-``TRAIN_EVERY`` (at an offset by document), so what is learned from grows with
-the corpus. The tasks' weight changes are averaged, each row weighted by how
+the same weights and goes once over its documents, learning from every token.
+The tasks' weight changes are averaged, each row weighted by how
 often it was used, in blocks of rows and in two levels, so no group grows with
 the number of tasks beyond its square root; the driver sees one model. Scoring
 covers every token of every whole text.
@@ -40,7 +39,6 @@ EACH = TOKENS // CLASSES
 PAD = TOKENS
 PLACES = (-2, -1, 1, 2)
 WIDTH = 32               # the last one is constant 1 and carries the biases
-TRAIN_EVERY = 8
 STEP = 1024              # tokens learned from together
 SCORED = 1 << 15         # tokens scored together
 ROWS = 128               # rows of the weights in a block
@@ -149,9 +147,10 @@ class Network:
         back *= 1 - h * h
         back[:, -1] = 0
         for r in rows:
-            order = np.argsort(r, kind="stable")
-            u, first, times = np.unique(r[order], return_index=True, return_counts=True)
-            steps.append((u, np.add.reduceat(back[order], first, axis=0), times))
+            order = np.argsort(r.astype(np.int16), kind="stable")
+            r = r[order]
+            first = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
+            steps.append((r[first], np.add.reduceat(back[order], first, axis=0), np.diff(first, append=len(r))))
         for where, g, times in steps:
             squares[where] += (g * g).mean(axis=1)
             used[where] += times
@@ -200,15 +199,10 @@ def train(docs: DataFrame, known: list[str]) -> np.ndarray:
         begin = net.w.copy()
         squares, used = np.zeros(len(net.w), np.float32), np.zeros(len(net.w), np.float32)
         for b in batches:
-            for texts in _runs(b.column(0), words, STEP * TRAIN_EVERY):
-                flat, at, first = laid_out(texts)
-                # an offset per text, so that texts of a few tokens are learned from too
-                size = np.array([len(t) for t in texts])
-                shift = np.array([zlib.crc32(t[:64].tobytes()) % TRAIN_EVERY for t in texts])
-                place = at - np.repeat(first, size)
-                pick = at[place % TRAIN_EVERY == np.repeat(shift % np.maximum(np.minimum(size, TRAIN_EVERY), 1), size)]
-                for lo in range(0, len(pick), STEP):
-                    net.learn(flat, pick[lo:lo + STEP], squares, used)
+            for texts in _runs(b.column(0), words, 8 * STEP):
+                flat, at, _ = laid_out(texts)
+                for lo in range(0, len(at), STEP):
+                    net.learn(flat, at[lo:lo + STEP], squares, used)
         if used.any():
             change = (net.w - begin) * used[:, None]
             part = TaskContext.get().partitionId() // FAN

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tests_paths import SF001
 
@@ -105,6 +106,33 @@ def test_averaging_over_tasks(spark):
         assert m.score(df, known, weights).first()["mean_log_prob"] > base + 0.5
 
 
+def test_every_token_is_learned_from(spark, monkeypatch):
+    rows = [("one two three four five six seven " * 40,), ("eight",), ("nine ten",), ("one",), (None,)]
+    m.ship(spark)
+    df = spark.createDataFrame(rows, "text string").coalesce(1)
+    known = m.vocabulary(df)
+    seen: list[int] = []
+    learn = m.Network.learn
+    monkeypatch.setattr(m.Network, "learn", lambda self, flat, at, *a: (seen.extend(flat[at].tolist()), learn(self, flat, at, *a))[1])
+
+    class Rows:
+        """The table, with its tasks run here."""
+
+        sparkSession = spark
+
+        def select(self, _):
+            return self
+
+        def mapInArrow(self, run, kind):
+            monkeypatch.setattr("pyspark.TaskContext.get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+            list(run([pa.RecordBatch.from_pylist([{"text": t} for t, in rows])]))
+            monkeypatch.undo()
+            return spark.createDataFrame([], kind)
+
+    m.train(Rows(), known)
+    assert sorted(known[t] for t in seen) == sorted(w for t, in rows for w in (t or "").split())
+
+
 def test_odd_rows(spark, edge, empty):
     m.ship(spark)
     known = m.vocabulary(edge)

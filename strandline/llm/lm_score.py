@@ -6,7 +6,11 @@ embedding table per place around the token, their sum through ``tanh``, and a
 softmax in two levels, first the token's class, then the token in its class.
 
 Vocabulary: word counts over all documents give the ``KNOWN`` most frequent
-words; the others share ``OTHER`` hash buckets. Training: every task starts from
+words; the others share ``OTHER`` hash buckets. Within its bucket a word is
+predicted by its spelling: a chain over its bytes, counted over the other words of
+all documents (``BYTES`` x ``BYTES`` numbers, whatever the corpus), so every word has
+a probability of its own. A bucket is taken to hold one part in ``OTHER`` of all
+spellings. Training: every task starts from
 the same weights and goes once over its documents, learning from every token.
 The tasks' weight changes are averaged, each row weighted by how
 often it was used, in blocks of rows and in two levels, so no group grows with
@@ -44,6 +48,7 @@ SCORED = 1 << 15         # tokens scored together
 ROWS = 128               # rows of the weights in a block
 FAN = 256                # tasks summed in a group of the first level
 CACHED = 400_000
+BYTES = 256
 _IN = len(PLACES) * (TOKENS + 1)
 
 
@@ -64,6 +69,31 @@ class Words(dict):
         return np.array(list(map(self.__getitem__, (text or "").lower().split())), dtype=np.int32)
 
 
+class Spelling(dict):
+    """Word -> log probability of the word in its bucket; 0 for known words."""
+
+    def __init__(self, known: list[str], pairs: np.ndarray) -> None:
+        super().__init__((w, 0.0) for w in known)
+        self.known = len(self)
+        n = pairs + 0.1  # every spelling is possible
+        self.log = np.log(n / n.sum(axis=1, keepdims=True))
+
+    def __missing__(self, w: str) -> float:
+        x = spelled(w)
+        p = min(0.0, float(self.log[x[:-1], x[1:]].sum() + np.log(OTHER)))
+        if len(self) < self.known + CACHED and len(w) < 40:
+            self[w] = p
+        return p
+
+    def sum(self, text: str | None) -> float:
+        return sum(map(self.__getitem__, (text or "").lower().split()))
+
+
+def spelled(words: str) -> np.ndarray:
+    """Bytes of a word, or of words with line feeds between them, with a line feed at either end."""
+    return np.frombuffer(f"\n{words}\n".encode("utf-8", "surrogatepass"), np.uint8)
+
+
 class Network:
     """All weights as rows of one matrix: input tables, class rows, token rows."""
 
@@ -187,6 +217,28 @@ def vocabulary(docs: DataFrame) -> list[str]:
     return [r["w"] for r in said.orderBy(F.desc("n"), "w").limit(KNOWN).collect()]
 
 
+def spelling(docs: DataFrame, known: list[str]) -> np.ndarray:
+    """How often each byte follows each in the words of all documents that aren't known."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, n = set(shared.value), np.zeros(BYTES * BYTES, np.int64)
+        for b in batches:
+            for t in b.column(0):
+                other = [w for w in (t.as_py() or "").lower().split() if w not in known]
+                if other:
+                    x = spelled("\n".join(other)).astype(np.int64)
+                    at, times = np.unique(x[:-1] * BYTES + x[1:], return_counts=True)
+                    n[at] += times
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at])], ["pair", "n"])
+
+    out = np.zeros(BYTES * BYTES)
+    for r in docs.select("text").mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        out[r["pair"]] = r["n"]  # one row per pair of bytes at most
+    return out.reshape(BYTES, BYTES)
+
+
 def train(docs: DataFrame, known: list[str]) -> np.ndarray:
     """Weights averaged over all tasks' passes over their documents."""
     spark = docs.sparkSession
@@ -227,13 +279,14 @@ def train(docs: DataFrame, known: list[str]) -> np.ndarray:
     return weights
 
 
-def score(docs: DataFrame, known: list[str], weights: np.ndarray) -> DataFrame:
-    """``(doc_id, text)`` -> ``(doc_id, n_tokens, log_prob, mean_log_prob)``."""
-    shared = docs.sparkSession.sparkContext.broadcast((known, weights))
+def score(docs: DataFrame, known: list[str], weights: np.ndarray, pairs: np.ndarray | None = None) -> DataFrame:
+    """``(doc_id, text)`` -> ``(doc_id, n_tokens, log_prob, mean_log_prob)``; ``pairs`` as by ``spelling``."""
+    pairs = np.zeros((BYTES, BYTES)) if pairs is None else pairs
+    shared = docs.sparkSession.sparkContext.broadcast((known, weights, pairs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, weights = shared.value
-        words, net = Words(known), Network(weights)
+        known, weights, pairs = shared.value
+        words, net, letters = Words(known), Network(weights), Spelling(known, pairs)
         for b in batches:
             sums, sizes = [], []
             for texts in _runs(b.column(1), words, 16 * SCORED):
@@ -243,7 +296,8 @@ def score(docs: DataFrame, known: list[str], weights: np.ndarray) -> DataFrame:
                 end = np.cumsum(size)
                 sums += (p[end] - p[end - size]).tolist()
                 sizes += size.tolist()
-            sums, sizes = np.array(sums), np.array(sizes, dtype=np.int64)
+            sums = np.array(sums) + np.array([letters.sum(t.as_py()) for t in b.column(1)])
+            sizes = np.array(sizes, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(sizes), pa.array(sums, pa.float64()),
                  pa.array(sums / np.maximum(sizes, 1), pa.float64(), mask=sizes == 0)],
@@ -258,4 +312,4 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     known = vocabulary(docs)
-    return score(docs, known, train(docs, known))
+    return score(docs, known, train(docs, known), spelling(docs, known))

@@ -133,6 +133,20 @@ def test_every_token_is_learned_from(spark, monkeypatch):
     assert sorted(known[t] for t in seen) == sorted(w for t, in rows for w in (t or "").split())
 
 
+def test_random_strings_score_below_held_out_text(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    m.ship(spark)
+    seen, held = docs.where("doc_id % 5 <> 0").cache(), docs.where("doc_id % 5 = 0 AND length(text) > 200")
+    known = m.vocabulary(seen)
+    rng = np.random.default_rng(4)
+    noise = [(-i, " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 9))) for _ in range(120))) for i in range(1, 21)]
+    both = held.union(spark.createDataFrame(noise, "doc_id long, text string"))
+    got = m.score(both, known, m.train(seen, known), m.spelling(seen, known)).where("n_tokens > 20").collect()
+    clean = [r["mean_log_prob"] for r in got if r["doc_id"] >= 0]
+    random = [r["mean_log_prob"] for r in got if r["doc_id"] < 0]
+    assert len(random) == 20 and max(random) < np.quantile(clean, 0.05)
+
+
 def test_odd_rows(spark, edge, empty):
     m.ship(spark)
     known = m.vocabulary(edge)

@@ -7,7 +7,7 @@ import datetime as dt
 import hashlib
 
 import pytest
-from conftest import SF001
+from input_folders import SF001
 from pyspark.sql import functions as F
 
 from strandline.functions.logs import (

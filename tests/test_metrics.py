@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 
-from conftest import SF001
+from input_folders import SF001
 from pyspark.sql import functions as F
 
 from strandline.functions.metrics import cut_field, report_value

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SF001, SF01
+from input_folders import SF001, SF01
 from oracle import compare, duck
 
 import __spark_entry__ as se

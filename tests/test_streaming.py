@@ -6,7 +6,7 @@ import datetime as dt
 import os
 
 import pytest
-from conftest import SF001
+from input_folders import SF001
 from pyspark.sql import functions as F
 
 from strandline.plans import logs, metrics

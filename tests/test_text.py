@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 
 import pytest
-from conftest import SF001
+from input_folders import SF001
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 

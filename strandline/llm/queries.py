@@ -8,6 +8,7 @@ from strandline.llm import (
     langid,
     line_dedup,
     lm_score,
+    ngram_join,
     packing,
     pii_crf,
     quality_rules,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_pii": pii_crf.op8_pii,
     "op9_packing": packing.op9_packing,
     "op10_chat_format": chat_format.op10_chat_format,
+    "op11_ngram_join": ngram_join.op11_ngram_join,
 }
 
 #: The other operators learn a model or need a tokenizer; tests/llm holds them
@@ -35,4 +37,5 @@ ORACLE_SQL = {
     "op2_quality_rules": quality_rules.OP2_SQL,
     "op3_warc": warc.OP3_SQL,
     "op10_chat_format": chat_format.OP10_SQL,
+    "op11_ngram_join": ngram_join.OP11_SQL,
 }

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from strandline.llm import (
     chat_format,
+    collocations,
     decontaminate,
     langid,
+    lexical_search,
     line_dedup,
     lm_score,
     ngram_join,
@@ -28,6 +30,8 @@ QUERIES = {
     "op9_packing": packing.op9_packing,
     "op10_chat_format": chat_format.op10_chat_format,
     "op11_ngram_join": ngram_join.op11_ngram_join,
+    "op12_lexical_search": lexical_search.op12_lexical_search,
+    "op13_collocations": collocations.op13_collocations,
 }
 
 #: The other operators learn a model or need a tokenizer; tests/llm holds them
@@ -38,4 +42,6 @@ ORACLE_SQL = {
     "op3_warc": warc.OP3_SQL,
     "op10_chat_format": chat_format.OP10_SQL,
     "op11_ngram_join": ngram_join.OP11_SQL,
+    "op12_lexical_search": lexical_search.OP12_SQL,
+    "op13_collocations": collocations.OP13_SQL,
 }

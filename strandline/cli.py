@@ -4,6 +4,7 @@
     spark-submit -m strandline.cli word-count <page table> <tsv dir>
     spark-submit -m strandline.cli log-process <record source> <out dir> <checkpoint> [--interval-ms N]
     spark-submit -m strandline.cli log-batch <log text files> <out dir>
+    spark-submit -m strandline.cli compact-log <out dir of log-process>
     spark-submit -m strandline.cli publish-lines <events table> <record dir>
     spark-submit -m strandline.cli utilisation <node reports> <metric table> [--storage <reports>] [--text]
 
@@ -64,19 +65,23 @@ def _log_process(spark, a) -> int:
 
 
 def _log_batch(spark, a) -> int:
-    from strandline.operators.quarantine import write_split
-    from strandline.plans.logs import process_lines
-
     from pyspark.sql import Observation
 
-    lines = spark.read.text(a.input).select(F.input_file_name().alias("file"), F.col("value").alias("line"))
+    from strandline.plans.logs import log_batch
+
     counts = Observation("lines")
-    # a file name does not tell equal lines of a file apart: keys are random
-    write_split(process_lines(lines, [], keep=["file"]), a.output, counter=counts)
+    log_batch(spark, a.input, a.output, counts)
     print(f"VALID={counts.get['valid']} QUARANTINED={counts.get['quarantined']}")
     return 0
 
 
+def _compact_log(spark, a) -> int:
+    from strandline.streaming.manifest import compact
+
+    print(f"FOLDERS={compact(spark, a.path, file_bytes=a.file_mb << 20)}")
+    return 0
+
+
 def _publish(spark, a) -> int:
     from strandline.plans.logs import events_to_log_lines
     from strandline.streaming.sources import publish_lines
@@ -91,7 +96,7 @@ def _publish(spark, a) -> int:
 
 def _utilisation(spark, a) -> int:
     a.run = a.run or a.time.strftime("%Y%m%dT%H%M%S")
-    from strandline.operators.aggregate import ratio_of_sums
+    from strandline.operators.aggregate import ratio_of_sums, with_silent
     from strandline.plans import metrics as m
     from strandline.sources.metrics import write_metrics
 
@@ -103,6 +108,9 @@ def _utilisation(spark, a) -> int:
     # a report file is one node: pick its values in the row, no node-level exchange
     nodes = m.node_memory_from_reports(read_reports(spark, a.input)) if a.text else m.node_memory(lines(a.input))
     util = ratio_of_sums(nodes, ["cluster"], "used_mb", "capacity_mb")
+    if a.clusters:  # a cluster without a report has a point too: 0
+        names = spark.read.text(a.clusters).select(F.trim("value").alias("cluster")).where("cluster <> ''")
+        util = with_silent(util, names, ["cluster"], "used_mb", "capacity_mb")
     pts = util.select(F.lit(m.YARN_METRIC).alias("metric"), F.col("pct").alias("value"), "cluster")
     if a.storage:
         dfs = m.dfs_used(lines(a.storage))
@@ -150,6 +158,11 @@ def build_parser() -> argparse.ArgumentParser:
     lb.add_argument("output")
     lb.set_defaults(fn=_log_batch)
 
+    cl = sub.add_parser("compact-log", help="merge the committed folders of log-process, while it runs or not")
+    cl.add_argument("path")
+    cl.add_argument("--file-mb", type=int, default=128)
+    cl.set_defaults(fn=_compact_log)
+
     pb = sub.add_parser("publish-lines", help="events table -> access-log records on a stream")
     pb.add_argument("input")
     pb.add_argument("output")
@@ -161,6 +174,7 @@ def build_parser() -> argparse.ArgumentParser:
     u.add_argument("input")
     u.add_argument("output")
     u.add_argument("--storage", default=None)
+    u.add_argument("--clusters", default=None, help="text file of all cluster names; one without reports gets 0")
     u.add_argument("--time", type=dt.datetime.fromisoformat, default=dt.datetime.now(dt.UTC).replace(tzinfo=None),
                    help="time of the points (UTC, ISO 8601); now if not given")
     u.add_argument("--run", default=None, help="name of the run; a repeated run replaces its points; the time if not given")

@@ -38,6 +38,16 @@ def ratio_of_sums(df: DataFrame, keys: list[str | Column], num: str, den: str,
     return pct_columns(sums, num_out, den_out)
 
 
+def with_silent(ratios: DataFrame, roster: DataFrame, keys: list[str], num: str, den: str) -> DataFrame:
+    """``ratios`` (from :func:`ratio_of_sums`) plus a row of zeros for each row of ``roster`` without one.
+
+    Keys that the roster lacks stay. The sums are one row a key by now, so only those move.
+    """
+    full = roster.select(*keys).distinct().join(ratios, keys, "full_outer")
+    zero = F.lit(0).cast("bigint")
+    return pct_columns(full.select(*keys, F.coalesce(num, zero).alias(num), F.coalesce(den, zero).alias(den)), num, den)
+
+
 def first_by(df: DataFrame, keys: list[str], value: str, order: str, out: str | None = None) -> DataFrame:
     """Per key, ``value`` of the row with the smallest ``order`` (``grep -m 1``)."""
     return df.groupBy(*keys).agg(F.min_by(value, order).alias(out or value))

@@ -7,7 +7,7 @@ processing is narrow; the only exchange is the category count's.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions.logs import (
@@ -20,7 +20,9 @@ from strandline.functions.logs import (
     row_key,
 )
 from strandline.operators.aggregate import count_per_key
-from strandline.operators.quarantine import quarantined_rows, valid_rows
+from strandline.operators.quarantine import quarantined_rows, valid_rows, write_split
+from strandline.session import scratch_path
+from strandline.sources.loglines import read_log_lines
 from strandline.sources.tables import read_table, spread
 
 # Test fixture values: one agent per ``event_id % 7``; 0 and 6 are Chrome
@@ -36,9 +38,16 @@ FIXTURE_AGENTS = [
     "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/51.0.2704.79 Safari/537.36 Edge/14.14393",
 ]
 FIXTURE_REFERER = "http://example.com/"
+REPLAY_SPLIT = 64 << 10  # bytes of a split in the batch job's second run
 BAD_LINE_EVERY = 50  # event_id % 50 = 49 gives an unparsable line
 
 
+#: Rows that the batch job writes.
+BATCH_SCHEMA = ("file STRING, line_no BIGINT, line STRING, reason STRING, row_key STRING, ip STRING, ts TIMESTAMP_NTZ, "
+                "local_ts TIMESTAMP_NTZ, offset_min INT, method STRING, resource STRING, status INT, bytes BIGINT, "
+                "user_agent STRING, record STRING, outcome STRING")
+
+
 def events_to_log_lines(events: DataFrame) -> DataFrame:
     """``(event_id, line)``: an access-log line per event, every 50th one broken."""
     e = events
@@ -103,7 +112,8 @@ def process_lines(lines: DataFrame, id_cols: list[str], line: str = "line",
                   keep: list[str] | None = None) -> DataFrame:
     """Lines -> every row with its ``reason``; good rows fully processed.
 
-    ``id_cols`` identify a record: its key is then the same on every replay.
+    ``id_cols`` identify a record: its key is then the same on every replay
+    (an id, a place in a topic, or a file and a place in it).
     Without them (``[]``) each record gets a random key, so that equal lines
     stay apart. ``keep`` names more columns to carry along.
 
@@ -126,6 +136,27 @@ def process_lines(lines: DataFrame, id_cols: list[str], line: str = "line",
     return out.withColumn("record", F.when(good, record))
 
 
+def log_batch(spark: SparkSession, source: str, out: str, counter: Observation | None = None) -> None:
+    """The batch job over log text files: rows by outcome in one pass, keyed by file and line number.
+
+    Run again, on other splits or after a retry, it writes the same rows with the same keys.
+    """
+    write_split(process_lines(read_log_lines(spark, source), ["file", "line_no"]), out, counter=counter)
+
+
+def log_batch_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good records of the batch job over text files, found under the same key in a second run with other splits."""
+    base = scratch_path(spark, "logbatch")
+    log_lines(spark, sf_dir).select("line").write.text(f"{base}/in")
+    log_batch(spark, f"{base}/in", f"{base}/first")
+    again = spark.newSession()
+    again.conf.set("spark.sql.files.maxPartitionBytes", str(REPLAY_SPLIT))
+    log_batch(again, f"{base}/in", f"{base}/second")
+    cols = ["row_key", "ip", "ts", "method", "resource", "status", "bytes", "user_agent", "record"]
+    first, second = (spark.read.schema(BATCH_SCHEMA).parquet(f"{base}/{run}").where(F.col("outcome") == "valid") for run in ("first", "second"))
+    return first.select(*cols).join(second.select("row_key", F.col("line").alias("line")), "row_key").select(*cols[1:], "line")
+
+
 def process_records(lines: DataFrame, id_cols: list[str], line: str = "line") -> DataFrame:
     """Good lines only, as processed records."""
     return valid_rows(process_lines(lines, id_cols, line)).select(

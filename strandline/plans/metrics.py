@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions.metrics import report_value
-from strandline.operators.aggregate import first_and_last_by, first_by, ratio_of_sums
+from strandline.operators.aggregate import first_and_last_by, first_by, ratio_of_sums, with_silent
 from strandline.operators.filters import exclude_lines, include_lines
 from strandline.session import scratch_path
 from strandline.sources.metrics import read_metrics, write_metrics
@@ -29,6 +29,8 @@ DIMENSION = "Cluster"
 NODE_CAPACITY_MB = 16384
 SAMPLE_CAPACITY_MB = 4096
 ZERO_CAPACITY_CLUSTER = "signup"
+STANDBY = " STANDBY"     # a cluster beside each of the given ones, without nodes or samples
+UNLISTED_EVERY = 10      # s_suppkey % 10 = 7: a node that reports but that its cluster no longer lists
 
 
 def _lines(*pairs: tuple[int, F.Column]) -> F.Column:
@@ -150,6 +152,27 @@ def utilisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratio_of_sums(report_fields(spark, sf_dir), ["cluster"], "used_mb", "capacity_mb")
 
 
+def cluster_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(cluster)``: every region's cluster and its standby, which has no nodes."""
+    reg = read_table(spark, sf_dir, "region")
+    return reg.select(F.explode(F.array("r_name", F.concat("r_name", F.lit(STANDBY)))).alias("cluster"))
+
+
+def utilisation_all_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Memory use of every cluster of the roster: listed nodes only, zeros where a cluster lists none."""
+    nodes = cluster_nodes(spark, sf_dir)
+    listing = node_list(spark, sf_dir, nodes.where(F.pmod("s_suppkey", F.lit(UNLISTED_EVERY)) != 7))
+    report = node_report(spark, sf_dir, nodes).join(listed_nodes(listing), ["cluster", "node"], "left_semi")
+    ratios = ratio_of_sums(node_memory(report), ["cluster"], "used_mb", "capacity_mb")
+    return with_silent(ratios, cluster_roster(spark, sf_dir), ["cluster"], "used_mb", "capacity_mb")
+
+
+def sample_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(cluster)``: the clusters of the node samples and a standby of each, which sends none."""
+    names = read_table(spark, sf_dir, "events").select("event_type").distinct()
+    return names.select(F.explode(F.array("event_type", F.concat("event_type", F.lit(STANDBY)))).alias("cluster"))
+
+
 def node_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(ts, cluster, used_mb, capacity_mb)`` samples, one per event."""
     ev = read_table(spark, sf_dir, "events").select("ts", "event_type", "value")

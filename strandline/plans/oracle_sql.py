@@ -95,6 +95,7 @@ FROM ({LOG_VALID})""",
     "log_keyed": f"SELECT event_id, sha256(CAST(event_id AS VARCHAR) || '|' || line) AS row_key FROM ({LOG_VALID})",
     "log_render": f"SELECT event_id, {record_sql('ip', 'user_agent')} AS record FROM ({LOG_VALID})",
     "log_process": LOG_PROCESS,
+    "log_batch_replayed": f"SELECT p.* EXCLUDE (event_id, row_key), l.line FROM ({LOG_PROCESS}) p JOIN ({LOG_LINES}) l USING (event_id)",
 }
 
 _NODES = """
@@ -129,7 +130,30 @@ FROM ({_SAMPLES}) GROUP BY 1, 2, 3"""
 
 _DFS = "SELECT r_name AS cluster, CAST(r_regionkey + 0.25 AS DECIMAL(20, 2)) AS dfs_used_pct FROM region"
 
+_ALL_CLUSTERS = f"""
+SELECT c.cluster, CAST(coalesce(sum(used_mb), 0) AS BIGINT) AS used_mb, CAST(coalesce(sum(capacity_mb), 0) AS BIGINT) AS capacity_mb,
+       {_pct('coalesce(sum(used_mb), 0)', 'coalesce(sum(capacity_mb), 0)')}
+FROM (SELECT unnest([r_name, r_name || ' STANDBY']) AS cluster FROM region) c
+LEFT JOIN (SELECT r_name AS cluster, floor(abs(s_acctbal))::BIGINT AS used_mb, 16384 AS capacity_mb
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE s_suppkey % 10 <> 7) n USING (cluster)
+GROUP BY 1"""
+
+# windows that have ended a day before the last sample, from the first sample's on
+_ALL_WINDOWS = f"""
+WITH bounds AS (SELECT date_trunc('day', min(ts)) AS low, max(ts) - INTERVAL 1 DAY AS mark FROM events),
+windows AS (SELECT unnest(generate_series(low, mark, INTERVAL 1 DAY)) AS w FROM bounds),
+closed AS (SELECT w FROM windows, bounds WHERE w + INTERVAL 1 DAY <= mark),
+last AS (SELECT max(date_trunc('day', ts)) AS w FROM events, bounds WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= mark),
+roster AS (SELECT unnest([event_type, event_type || ' STANDBY']) AS cluster FROM (SELECT DISTINCT event_type FROM events))
+SELECT g.w AS window_start, g.w + INTERVAL 1 DAY AS window_end, g.cluster, CAST(coalesce(sum(used_mb), 0) AS BIGINT) AS used_mb,
+       CAST(coalesce(sum(capacity_mb), 0) AS BIGINT) AS capacity_mb, {_pct('coalesce(sum(used_mb), 0)', 'coalesce(sum(capacity_mb), 0)')}
+FROM (SELECT closed.w, cluster FROM closed, roster, last WHERE closed.w <= last.w) g
+LEFT JOIN ({_SAMPLES}) s ON s.cluster = g.cluster AND date_trunc('day', s.ts) = g.w
+GROUP BY 1, 2, 3"""
+
 METRICS: dict[str, str] = {
+    "utilisation_all_clusters": _ALL_CLUSTERS,
+    "stream_utilisation_all": _ALL_WINDOWS,
     "report_fields": _NODE_MEM,
     "report_first_match": _DFS,
     "utilisation": _UTIL,

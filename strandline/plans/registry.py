@@ -46,14 +46,17 @@ QUERIES: dict[str, Query] = {
     "log_keyed": logs.log_keyed,
     "log_render": logs.log_render,
     "log_process": logs.log_process,
+    "log_batch_replayed": logs.log_batch_replayed,
     "report_fields": metrics.report_fields,
     "report_first_match": metrics.report_first_match,
     "utilisation": metrics.utilisation,
+    "utilisation_all_clusters": metrics.utilisation_all_clusters,
     "utilisation_by_window": metrics.utilisation_by_window,
     "metric_points": metrics.metric_points,
     "stream_log_process": streams.stream_log_process,
     "stream_log_quarantine": streams.stream_log_quarantine,
     "stream_utilisation": streams.stream_utilisation,
+    "stream_utilisation_all": streams.stream_utilisation_all,
     "weighted_assign": sampling.weighted_assign,
 }
 

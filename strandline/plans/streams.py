@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.plans.logs import log_lines
-from strandline.plans.metrics import events_to_samples
+from strandline.plans.metrics import events_to_samples, sample_roster
 from strandline.session import scratch_path
 from strandline.sources.tables import read_table, spread
-from strandline.streaming.logstream import drain, process_stream, read_processed, write_log_stream
+from strandline.streaming.manifest import read_committed
+from strandline.streaming.logstream import drain, process_stream, read_outcomes, read_processed, write_log_stream
 from strandline.streaming.sources import (
     BYTES_PER_BATCH,
     RECORD_SCHEMA,
@@ -48,7 +49,7 @@ def stream_log_process(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_log_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same stream; the quarantined rows with their reason."""
-    df = spark.read.parquet(_run_log_stream(spark, sf_dir))
+    df = read_outcomes(spark, _run_log_stream(spark, sf_dir))
     return df.where(F.col("outcome") != "valid").select("event_id", "line", "reason")
 
 
@@ -62,3 +63,23 @@ def stream_utilisation(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  max_bytes_per_trigger=BYTES_PER_BATCH))
     drain(start_utilisation_stream(stream, out, ckpt, output_mode="complete", available_now=True))
     return read_complete(spark, out)
+
+
+GAUGE_SCHEMA = ("window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ, cluster STRING, used_mb BIGINT, capacity_mb BIGINT, "
+                "pct_x100 BIGINT, pct DECIMAL(20,2)")
+
+
+def stream_utilisation_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gauge in append mode: each closed window once, with zeros for clusters that sent nothing.
+
+    Samples are laid out by time, as a live stream brings them, so no row is later than the watermark.
+    """
+    base = scratch_path(spark, "utilall")
+    src, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    ev.repartitionByRange("ts").write.option("maxRecordsPerFile", RECORDS_PER_FILE).parquet(src)
+    stream = events_to_samples(read_table_stream(state_session(spark, STATE_PARTITIONS), src, ev.schema,
+                                                 max_bytes_per_trigger=BYTES_PER_BATCH))
+    drain(start_utilisation_stream(stream, out, ckpt, available_now=True, roster=sample_roster(spark, sf_dir)))
+    rows = read_committed(spark, out)
+    return spark.createDataFrame([], GAUGE_SCHEMA) if rows is None else rows

@@ -36,15 +36,18 @@ def write_pages(parsed: DataFrame, path: str, counter: Observation | None = None
         out.write.mode("overwrite").partitionBy("outcome").parquet(path)
 
 
+#: Columns of both table forms; the plain one has neither fragment nor outcome.
+PAGE_SCHEMA = "title STRING, text STRING, fragment STRING, outcome STRING"
+
+
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
     """Read ``(title, text)`` from :func:`write_articles` or :func:`write_pages` output.
 
-    For the partitioned form only the ``outcome=valid`` folder is read.
+    Of the partitioned form only the ``outcome=valid`` folder is read; a table
+    without a page, which has no file to take a schema from, has no rows.
     """
-    df = spark.read.parquet(path)
-    if "outcome" in df.columns:
-        df = df.where(F.col("outcome") == "valid")
-    return df.select("title", "text")
+    df = spark.read.schema(PAGE_SCHEMA).parquet(path)
+    return df.where(F.coalesce(F.col("outcome"), F.lit("valid")) == "valid").select("title", "text")
 
 
 def tsv_lines(df: DataFrame, key: str, value: str) -> DataFrame:

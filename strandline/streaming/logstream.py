@@ -2,9 +2,11 @@
 
 records -> decode -> parse -> anonymise -> categorise -> key, with the same
 DataFrame functions as the batch job, then one write per micro-batch into
-its own folder, good and quarantined rows together, partitioned by outcome.
+a folder, good and quarantined rows together, partitioned by outcome, which is
+then put on the sink's list of committed folders (:mod:`manifest`).
 Progress lives in the checkpoint; a restart resumes from the last committed
-batch, and a replayed batch overwrites its own folder (no duplicates).
+batch, and a replayed batch's folder takes the place of the earlier one on
+the list: readers see each batch whole and once.
 """
 
 from __future__ import annotations
@@ -15,7 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strandline.functions.logs import decode_line
 from strandline.operators.quarantine import concurrent_writers, outcome
-from strandline.plans.logs import process_lines
+from strandline.plans.logs import BATCH_SCHEMA, process_lines
+from strandline.streaming.manifest import Manifest, begin, commit_batch, fresh_folder, read_committed
 
 
 def process_stream(records: DataFrame, id_cols: list[str] | None = None) -> DataFrame:
@@ -27,18 +30,19 @@ def process_stream(records: DataFrame, id_cols: list[str] | None = None) -> Data
     """
     if id_cols is None:
         # what identifies a record: our file records carry event_id, Kafka
-        # records their position; with neither, every record gets a random key
-        kafka = ["topic", "partition", "offset"]
-        id_cols = (["event_id"] if "event_id" in records.columns
-                   else kafka if set(kafka) <= set(records.columns) else [])
+        # records their position, other records their place in a file where the
+        # source tells it; with none of these, every record gets a random key
+        places = [["event_id"], ["topic", "partition", "offset"], ["file", "row"]]
+        id_cols = next((p for p in places if set(p) <= set(records.columns)), [])
     lines = records.select(*id_cols, decode_line("value").alias("line"))
     return outcome(process_lines(lines, id_cols))
 
 
 def _batch_writer(path: str, fmt: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        target = f"{path}/batch={batch_id}"
+        manifest = Manifest(batch.sparkSession, path)
         if fmt == "text":
+            target = f"{path}/batch={batch_id}"
             # the reference layout: one folder per batch of ``key<TAB>record``
             # lines; quarantined rows go to a sibling folder. The batch is
             # cached for the two writes so that it is parsed once; a lost
@@ -53,8 +57,10 @@ def _batch_writer(path: str, fmt: str):
             finally:
                 batch.unpersist()
         else:
+            folder = fresh_folder(manifest, batch_id)
             with concurrent_writers(batch.sparkSession):
-                batch.write.mode("overwrite").partitionBy("outcome").format(fmt).save(target)
+                batch.write.partitionBy("outcome").format(fmt).save(f"{path}/{folder}")
+            commit_batch(manifest, batch_id, folder, batch.schema)
     return write
 
 
@@ -64,13 +70,16 @@ def write_log_stream(processed: DataFrame, path: str, checkpoint: str, fmt: str
     """Start the sink: one folder ``batch=<id>`` per micro-batch under ``path``.
 
     ``fmt="parquet"``: each batch folder holds all rows, partitioned by
-    ``outcome``. ``fmt="text"``: each batch folder holds ``key<TAB>record``
+    ``outcome``, and counts once it is on the list of committed folders (read with
+    :func:`read_processed`, merged by :func:`manifest.compact`). ``fmt="text"``: each batch folder holds ``key<TAB>record``
     lines of the good rows (read them as ``path/batch=*``), and the
     quarantined rows go to ``path/quarantine/batch=<id>`` as Parquet.
 
     ``interval_ms`` sets a processing-time trigger (the batch interval);
     ``available_now`` drains what is there in bounded batches and stops.
     """
+    if fmt != "text":
+        begin(Manifest(processed.sparkSession, path), processed.schema)  # readable before its first batch
     w = processed.writeStream.foreachBatch(_batch_writer(path, fmt)).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
@@ -128,7 +137,15 @@ def run_for(query: StreamingQuery, seconds: float | None = None) -> None:
         raise query.exception()
 
 
-def read_processed(spark: SparkSession, path: str, which: str = "valid") -> DataFrame:
-    """Read the sink's rows of one outcome (``valid`` or a reason), all batches."""
-    df = spark.read.parquet(path)
-    return df.where(F.col("outcome") == which)
+def read_outcomes(spark: SparkSession, path: str, schema: str = BATCH_SCHEMA) -> DataFrame:
+    """All rows of a log sink with their ``outcome``: a stream's committed folders, or a batch job's folder.
+
+    A stream's rows have the schema its list names; a batch job's ``schema``.
+    """
+    rows = read_committed(spark, path)
+    return spark.read.schema(schema).parquet(path) if rows is None else rows
+
+
+def read_processed(spark: SparkSession, path: str, which: str = "valid", schema: str = BATCH_SCHEMA) -> DataFrame:
+    """The rows of one outcome (``valid`` or a reason)."""
+    return read_outcomes(spark, path, schema).where(F.col("outcome") == which)

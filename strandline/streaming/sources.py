@@ -55,10 +55,13 @@ def publish_lines(lines: DataFrame, fmt: str = "parquet", path: str | None = Non
 
 def read_records(spark: SparkSession, fmt: str = "parquet", path: str | None = None,
                  schema: str = RECORD_SCHEMA, options: dict[str, str] | None = None,
-                 max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None,
+                 places: bool = False) -> DataFrame:
     """Streaming DataFrame of raw records from ``fmt`` (``parquet``, ``kafka``, ...).
 
-    A micro-batch of files is bounded by their number or by their bytes.
+    A micro-batch of files is bounded by their number or by their bytes. ``places``
+    adds each record's ``file`` and ``row`` in it (Parquet files): what
+    identifies a record that carries no id, the same on every replay.
     """
     reader = spark.readStream.format(fmt).options(**(options or {}))
     if fmt != "kafka":
@@ -67,7 +70,10 @@ def read_records(spark: SparkSession, fmt: str = "parquet", path: str | None = N
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     elif max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return reader.load(path) if path else reader.load()
+    records = reader.load(path) if path else reader.load()
+    if places:
+        records = records.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return records
 
 
 def read_table_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None,

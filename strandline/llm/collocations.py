@@ -47,7 +47,8 @@ LEAST = 30        # occurrences of a candidate
 LONGEST = 4       # words of the longest phrase
 TOP = 2000        # phrases of a language
 HELD = 2_000_000  # words a task counts in one automaton
-RANGES = 64       # ranges of the first word's hash at most
+SALTS = 64        # first-level parts of the final ranking
+RANGES = 4096     # ranges of the first word's hash at most; a third of the shuffle partitions otherwise
 _MIX = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 # A-Z small, the separators of pieces full stops, tabs blanks
@@ -57,7 +58,7 @@ _PREPARE = bytes(0x2E if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c +
 def words(text: str | None) -> list[bytes]:
     """The words of a text in turn, with ``.`` between its pieces."""
     flat = (text or "").encode("utf-8", "surrogatepass").translate(_PREPARE).replace(b".", b" . ")
-    return [w for w in flat.split(b" ") if w]
+    return flat.split()
 
 
 def _mixed(h: np.ndarray, then: np.ndarray) -> np.ndarray:
@@ -249,111 +250,120 @@ def _seed(lang: str, turn: int) -> int:
     return xxhash.xxh64_intdigest(lang, turn)
 
 
+class _Numbers(dict):
+    """Word -> its number in the order of first sight; the full stop between pieces is 0."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class _Shard:
     """Counts of the phrases of ``low`` to ``high`` words in one language's texts of a task."""
 
     def __init__(self, lang: str, low: int, high: int, turn: int, allowed: list[np.ndarray]) -> None:
         self.low, self.high, self.allowed, self.seed = low, high, allowed, _seed(lang, turn)
-        self.number: dict[bytes, int] = {b".": 0}  # 0: no word, or one that no frequent phrase has
-        self.hashes, self.row, self.n = [0], [], 0
+        self.number, self.row = _Numbers({b".": 0}), []
 
     def add(self, tokens: list[bytes]) -> None:
-        number, row = self.number, self.row
-        for w in tokens:
-            i = number.get(w)
-            if i is None:
-                h = xxhash.xxh64_intdigest(w, self.seed) or 1
-                i = 0
-                if not self.allowed or has(self.allowed[0], np.array([h], np.uint64))[0]:
-                    i = len(self.hashes)
-                    self.hashes.append(h)
-                number[w] = i
-            row.append(i)
-        row.append(0)
-        self.n += len(tokens) - tokens.count(b".")
-
-    def phrases(self) -> tuple[np.ndarray, np.ndarray]:
-        """The phrases counted, sorted by their hashes, and how often each occurs."""
-        ids, hashes = np.array(self.row, np.int64), np.array(self.hashes, np.uint64)
+        self.row.extend(map(self.number.__getitem__, tokens))
+        self.row.append(0)
+
+    def phrases(self) -> tuple[np.ndarray, np.ndarray, int, list[bytes]]:
+        """The phrases counted, sorted by their hashes, how often each occurs, the number of words, and the possible words."""
+        ids, spelt = np.array(self.row, np.int64), list(self.number)
+        words_ = int(np.count_nonzero(ids))
+        own = np.array([0, *[xxhash.xxh64_intdigest(w, self.seed) or 1 for w in spelt[1:]]], np.uint64)
+        possible = np.flatnonzero(has(self.allowed[0], own) if self.allowed else np.ones(len(own), bool))
+        possible = possible[possible > 0]
+        possible = possible[np.argsort(own[possible])]
+        # numbered anew by hash, so that phrases come out in the order of their hashes; 0: no possible word
+        again = np.zeros(len(own), np.int64)
+        again[possible] = np.arange(1, len(possible) + 1)
+        ids, hashes = again[ids], np.concatenate((np.zeros(1, np.uint64), own[possible]))
         out, counts = [np.empty((0, self.high), np.uint64)], [np.empty(0, np.int64)]
-        group, valid, h = ids.copy(), ids > 0, hashes[ids]
-        starts = ids
+        at, group, h = np.flatnonzero(ids), None, None  # where a phrase starts, its number, its hash
         for k in range(1, self.high + 1):
-            if k > 1:
-                more = len(ids) - k + 1
-                if more <= 0:
-                    break
-                valid = valid[:more] & (ids[k - 1:] > 0)
-                h = _mixed(h[:more], hashes[ids[k - 1:]])
+            if k == 1:
+                group, h = ids[at], hashes[ids[at]]
+            else:
+                before = np.zeros(len(ids) + 1, bool)
+                before[at] = True  # the phrase without its last word is possible; without its first word it must be too
+                on = np.flatnonzero(before[at + 1])
+                at, nxt = at[on], ids[np.minimum(at[on] + k - 1, len(ids) - 1)]
+                group, h = group[on] * len(hashes) + nxt, _mixed(h[on], hashes[nxt])
                 if k - 1 < len(self.allowed):  # phrases of this length were counted: only frequent ones go on
-                    valid &= has(self.allowed[k - 1], h)
-                if k > 2:  # the phrase without its first word must have been possible too
-                    valid &= before[1:more + 1]
-                group = group[:more] * len(hashes) + ids[k - 1:]
-            before = valid
-            at = np.flatnonzero(valid)
-            _, first, inverse, n = np.unique(group[at], return_index=True, return_inverse=True, return_counts=True)
+                    on = has(self.allowed[k - 1], h)
+                    at, group, h = at[on], group[on], h[on]
+            _, first, group, n = np.unique(group, return_index=True, return_inverse=True, return_counts=True)
             if k >= self.low:
                 labels = np.zeros((len(first), self.high), np.uint64)
                 for j in range(k):
-                    labels[:, j] = hashes[starts[at[first] + j]]
+                    labels[:, j] = hashes[ids[at[first] + j]]
                 out.append(labels)
                 counts.append(n.astype(np.int64))
-            group = np.zeros(len(valid), np.int64)
-            group[at] = inverse
         labels, sums = np.concatenate(out), np.concatenate(counts)
-        order = np.lexsort(labels.T[::-1])
-        return labels[order], sums[order]
+        if self.low < self.high:
+            order = np.lexsort(labels.T[::-1])
+            labels, sums = labels[order], sums[order]
+        return labels, sums, words_, [spelt[i] for i in possible.tolist()]
 
 
 def _count(docs: DataFrame, low: int, high: int, turn: int, allowed: list[np.ndarray], ranges: int) -> DataFrame:
     """``(lang, part, data)``: a task's automata, cut by range.
 
     When single words are counted, ``data`` of part -1 is their number, as text; when
-    pairs are, part -2 holds the possible words, as they are spelt.
+    pairs are, the parts below hold the possible words of each range, as they are spelt.
     """
     shared = docs.sparkSession.sparkContext.broadcast(allowed)
 
     def parts(lang: str, shard: _Shard) -> Iterator[pa.RecordBatch]:
-        labels, counts = shard.phrases()
-        own = range_of(labels[:, 0], ranges)
-        found = []
-        for part, (lo, hi) in enumerate(zip(np.searchsorted(own, np.arange(ranges)), np.searchsorted(own, np.arange(ranges), "right"))):
-            if hi > lo:
-                found.append((part, Automaton.build(labels[lo:hi], counts[lo:hi]).encode()))
+        labels, counts, n, spelt = shard.phrases()
+        cut = np.searchsorted(range_of(labels[:, 0], ranges), np.arange(ranges + 1))
+        found = [(part, Automaton.build(labels[lo:hi], counts[lo:hi]).encode()) for part, (lo, hi) in enumerate(zip(cut, cut[1:])) if hi > lo]
         if low == 1:
-            found.append((-1, str(shard.n).encode()))
-        if low == 2:
-            found.append((-2, zlib.compress(b"\n".join(w for w, i in shard.number.items() if i), 1)))
+            found.append((-1, str(n).encode()))
+        if low == 2:  # by their hashes, as the phrases
+            own = range_of(np.array([xxhash.xxh64_intdigest(w, shard.seed) or 1 for w in spelt], np.uint64), ranges)
+            cut = np.searchsorted(own, np.arange(ranges + 1)).tolist()
+            found += [(-2 - part, zlib.compress(b"\n".join(spelt[lo:hi]), 1)) for part, (lo, hi) in enumerate(zip(cut, cut[1:])) if hi > lo]
         yield pa.RecordBatch.from_pydict({"lang": [lang] * len(found), "part": [p for p, _ in found], "data": [d for _, d in found]},
                                          schema=pa.schema([("lang", pa.string()), ("part", pa.int32()), ("data", pa.binary())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards: dict[str, _Shard] = {}
+        held = 0
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
                 tokens = words(text.as_py())
                 if lang not in shards:
                     shards[lang] = _Shard(lang, low, high, turn, shared.value)
                 shards[lang].add(tokens)
-                if sum(len(s.row) for s in shards.values()) >= HELD:
-                    for key, s in shards.items():
-                        yield from parts(key, s)
-                    shards = {}
-        for key, s in shards.items():
-            yield from parts(key, s)
+                held += len(tokens)
+                if held >= HELD:
+                    while shards:
+                        yield from parts(*shards.popitem())
+                    held = 0
+        while shards:
+            yield from parts(*shards.popitem())
 
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
     return rows.mapInArrow(run, "lang string, part int, data binary")
 
 
 def _unite(counted: DataFrame, least: int) -> DataFrame:
-    """``(lang, part, data)`` -> one united automaton a range, only with phrases of ``least`` or more."""
+    """``(lang, part, data)`` -> one row a part: the united automaton of a range, only with phrases of ``least`` or
+    more; the sum of the numbers of words; the spellings of a range, each once."""
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        whole = united([Automaton.decode(d) for d in pdf["data"]], least)
-        return pd.DataFrame({"lang": [key[0]], "part": [key[1]], "data": [whole.encode()]})
+        if key[1] >= 0:
+            data = united([Automaton.decode(d) for d in pdf["data"]], least).encode()
+        elif key[1] == -1:
+            data = str(sum(int(d) for d in pdf["data"])).encode()
+        else:
+            data = zlib.compress(b"\n".join(sorted(set().union(*[zlib.decompress(d).split(b"\n") for d in pdf["data"]]))), 1)
+        return pd.DataFrame({"lang": [key[0]], "part": [key[1]], "data": [data]})
 
-    return counted.where("part >= 0").groupBy("lang", "part").applyInPandas(run, "lang string, part int, data binary")
+    return counted.groupBy("lang", "part").applyInPandas(run, "lang string, part int, data binary")
 
 
 def _phrases(automata: DataFrame) -> DataFrame:
@@ -371,11 +381,11 @@ def _phrases(automata: DataFrame) -> DataFrame:
                         [pa.array([lang] * len(some)), ids, pa.array(counts[lo:lo + 50_000]), pa.array(phrase_hash(some).view(np.int64))],
                         ["lang", "ids", "f", "h"])
 
-    return automata.select("lang", "data").mapInArrow(run, "lang string, ids array<long>, f long, h long")
+    return automata.where("part >= 0").select("lang", "data").mapInArrow(run, "lang string, ids array<long>, f long, h long")
 
 
 def _spellings(counted: DataFrame, frequent: DataFrame, turn: int) -> DataFrame:
-    """``(lang, id, word)`` of the frequent words, from the words that the tasks found possible."""
+    """``(lang, id, word)`` of the frequent words, from the words that were possible."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lang, data in zip(b.column(0).to_pylist(), b.column(1)):
@@ -384,7 +394,7 @@ def _spellings(counted: DataFrame, frequent: DataFrame, turn: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(told), pa.string()), pa.array(h.view(np.int64)),
                                                   pa.array([w.decode("utf-8", "surrogatepass") for w in told], pa.string())], ["lang", "id", "word"])
 
-    told = counted.where("part = -2").select("lang", "data").mapInArrow(run, "lang string, id long, word string").distinct()
+    told = counted.where("part <= -2").select("lang", "data").mapInArrow(run, "lang string, id long, word string")
     return told.join(frequent.select("lang", F.get("ids", F.lit(0)).alias("id")), ["lang", "id"])
 
 
@@ -416,21 +426,18 @@ def mined(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     ranges = min(RANGES, 1 << (tasks - 1).bit_length())
     turn = 0
     while True:
-        one = stored(_count(docs, 1, 1, turn, [], ranges), "phrases-1")
-        automata = stored(_unite(one, least), "phrases-united-1")
-        frequent = stored(_phrases(automata), "phrases-words")
+        one = stored(_unite(_count(docs, 1, 1, turn, [], ranges), least), "phrases-1")
+        frequent = stored(_phrases(one), "phrases-words")
         bits = [bit_set(frequent, "h")]
-        two = stored(_count(docs, 2, 2, turn, bits, ranges), "phrases-2")
+        two = stored(_unite(_count(docs, 2, 2, turn, bits, ranges), least), "phrases-2")
         spelt = stored(_spellings(two, frequent, turn), "phrases-spelt")
         if not spelt.groupBy("lang", "id").count().where("count > 1").limit(1).count():
             break
         turn += 1  # two frequent words with one hash
-    pairs = stored(_unite(two, least), "phrases-united-2")
-    found = stored(_phrases(pairs), "phrases-pairs")
+    found = stored(_phrases(two), "phrases-pairs")
     bits.append(bit_set(found, "h"))
-    more = stored(_count(docs, 3, LONGEST, turn, bits, ranges), "phrases-3")
-    longer = stored(_unite(more, least), "phrases-united-3")
-    automata = automata.union(pairs).union(longer)
+    longer = stored(_unite(_count(docs, 3, LONGEST, turn, bits, ranges), least), "phrases-3")
+    automata = one.union(two).union(longer).where("part >= 0")
     candidates = stored(found.union(_phrases(longer)), "phrases-candidates")
 
     # the counts of the parts of every cut
@@ -457,12 +464,14 @@ def mined(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     places = candidates.select("lang", F.col("h").alias("of"), F.posexplode("ids").alias("at", "id"))
     spoken = left.join(places, ["lang", "of"]).join(spelt, ["lang", "id"]).groupBy("lang", "of").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ").alias("phrase"))
-    total = one.where("part = -1").groupBy("lang").agg(F.sum(F.col("data").cast("string").cast("long")).alias("n"))
+    total = one.where("part = -1").select("lang", F.col("data").cast("string").cast("long").alias("n"))
     rows = left.join(spoken, ["lang", "of"]).join(total, "lang").select(
         "lang", "phrase", "a", F.col("s.l").alias("l"), F.col("s.r").alias("r"), "n", F.col("s.score").alias("score"))
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select(
-        "lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    rows = rows.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    for keys in (["lang", "salt"], ["lang"]):  # the best of each part, then of those
+        order = Window.partitionBy(*keys).orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
+        rows = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return rows.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from sys import getsizeof
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,8 @@ from strandline.llm.common import ship, stored, table, text_key
 
 CAPACITY = 4096
 END = 1
-CACHED = 700_000  # words of which a Python worker keeps the ids
+CACHED = 128 << 20  # bytes of words and their ids that a Python worker keeps
+SLOT = 110          # bytes of an entry in a dictionary beside its key and value
 _LETTERS = "a-zªµºß-öø-ÿ"  # small letters below U+0100
 _PIECES = re.compile(f"[{_LETTERS}]+|[^{_LETTERS}]+")
 
@@ -67,6 +69,17 @@ class _Ids(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.plain: dict[str, bytes] = {}
+        self.held = 0  # bytes of both dictionaries
+
+    def _hold(self, into: dict, word: str, ids: bytes) -> None:
+        """Keep the ids of a word; both dictionaries are emptied first when they are full."""
+        size = getsizeof(word) + getsizeof(ids) + SLOT
+        if self.held + size > CACHED:
+            self.clear()
+            self.plain.clear()
+            self.held = 0
+        into[word] = ids
+        self.held += size
 
     def encode(self, s: str) -> bytes:
         return np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -83,17 +96,15 @@ class _Ids(dict):
             for p in _PIECES.findall(low):
                 ids = plain.get(p)
                 if ids is None:
-                    ids = plain[p] = self._letters(p) if p.isalpha() else self.encode(p)
+                    ids = self._letters(p) if p.isalpha() else self.encode(p)
+                    if len(p) <= 40:
+                        self._hold(plain, p, ids)
                 out.append(ids)
             ids = b"".join(out)
         else:
             ids = self.encode(word)
-        if len(self) >= CACHED:
-            self.clear()
-        if len(self.plain) >= CACHED:
-            self.plain.clear()
         if len(word) <= 40:
-            self[word] = ids
+            self._hold(self, word, ids)
         return ids
 
 

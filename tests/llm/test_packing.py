@@ -152,3 +152,14 @@ def test_equal_sizes_over_many_parts(spark):
     rows = p.pack(spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(7), PATH).collect()
     assert check(rows, docs) == (3, 3)
     assert list(itertools.islice(sorted(Counter(r["sequence_id"] for r in rows).values()), 3)) == [952, 1024, 1024]
+
+
+def test_kept_ids_are_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(p, "CACHED", 20_000)
+    ids, whole = p._Ids(p.word_bpe()), Tokenizer.from_file(p.word_bpe())
+    for i in range(3000):
+        word = f"Wörd{i * 7919}x" + "y" * (i % 60)
+        copy = "".join(list(word))  # a string keeps its UTF-8 once it was asked for, which adds to its size
+        assert ids[word] == np.array(whole.encode(copy, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        kept = sum(p.getsizeof(k) + p.getsizeof(v) + p.SLOT for d in (ids, ids.plain) for k, v in d.items())
+        assert ids.held <= 20_000 and kept <= 1.1 * ids.held

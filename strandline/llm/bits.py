@@ -10,17 +10,40 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITS = 26
 
 
+def _word(hash_: Column) -> Column:
+    return F.shiftright(hash_.bitwiseAND(F.lit((1 << BITS) - 1)), 6).cast("int")
+
+
+def _bit(hash_: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), hash_.bitwiseAND(F.lit(63)).cast("int"))
+
+
+def bit_words(hashes: DataFrame, col: str) -> DataFrame:
+    """The bits of a column of 64-bit hashes: ``(w, b)``, a row for each word of 64 bits that isn't zero."""
+    words = hashes.select(_word(F.col(col)).alias("w"), _bit(F.col(col)).alias("b"))
+    return words.groupBy("w").agg(F.bit_or("b").alias("b"))
+
+
+def flagged(df: DataFrame, hash_: Column, words: DataFrame, name: str = "possible") -> DataFrame:
+    """``df`` and whether the hash of each row may be among those of ``words`` (from :func:`bit_words`).
+
+    ``words`` has ``2 ** (BITS - 6)`` rows at most, so it is broadcast: no row of ``df`` moves.
+    """
+    words = words.select(F.col("w").alias("_w"), F.col("b").alias("_b"))
+    at = df.withColumn("_h", hash_)
+    hit = F.coalesce(F.col("_b").bitwiseAND(_bit(F.col("_h"))) != 0, F.lit(False))
+    return at.join(F.broadcast(words), _word(F.col("_h")) == F.col("_w"), "left").withColumn(name, hit).drop("_h", "_w", "_b")
+
+
 def bit_set(df: DataFrame, col: str) -> np.ndarray:
     """The bits of a column of 64-bit hashes, as ``2 ** BITS / 64`` unsigned words."""
-    low = F.col(col).bitwiseAND(F.lit((1 << BITS) - 1))
-    words = df.select(F.shiftright(low, 6).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(`{col}` & 63 AS INT))").alias("b"))
-    found = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    found = bit_words(df, col).toArrow()
     out = np.zeros(1 << (BITS - 6), np.uint64)
     out[found.column("w").to_numpy()] = found.column("b").to_numpy().view(np.uint64)
     return out

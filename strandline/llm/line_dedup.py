@@ -34,6 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.llm.bits import bit_words, flagged
 from strandline.llm.common import ship, stored, table, text_key, with_rows, words_of
 
 MIN_WORDS = 3
@@ -110,12 +111,14 @@ def removals(docs: DataFrame) -> DataFrame:
     halves = lines.where("halves IS NOT NULL").select("h1", "h2", "first", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
     maybe = stored(halves.join(shared, "half", "left_semi").select("h1", "h2", "first").distinct(), "lines-maybe")
-    # their words, from the documents that hold their first occurrence (a repeated
+    # their words, from the place of their first occurrence (a repeated
     # row gives a line twice, which changes no minimum below)
-    holders = maybe.select(F.col("first.doc").alias("doc"), F.col("first.text_key").alias("text_key")).distinct()
+    at = F.xxhash64("doc", "text_key", "line_no")
+    places = bit_words(maybe.select(F.xxhash64("first.doc", "first.text_key", "first.line_no").alias("at")), "at")
     d = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), text_key(F.col("text")).alias("text_key"), "text")
-    found = (d.join(holders, ["doc", "text_key"], "left_semi")
-             .select("doc", "text_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    each = d.select("doc", "text_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    # only lines whose place may be wanted leave the scan; the join then decides
+    found = (flagged(each, at, places).where("possible")
              .select("doc", "text_key", "line_no", words_of(F.col("line")).alias("w"))
              .where(F.size("w") >= NEAR_WORDS))
     spots = maybe.select("h1", "h2", F.col("first.doc").alias("doc"), F.col("first.line_no").alias("line_no"),
@@ -147,11 +150,15 @@ def removals(docs: DataFrame) -> DataFrame:
 
 def _left(docs: DataFrame) -> DataFrame:
     """``row`` of each document with what is left of its text, and counts."""
-    gone = stored(removals(docs.select("doc_id", "text")), "lines-gone").groupBy("doc_id", "text_key").agg(
+    gone = stored(removals(docs.select("doc_id", "text")), "lines-gone")
+    gone = gone.groupBy("doc_id", "text_key").agg(
         F.collect_list("line_no").alias("gone"), F.sum((~F.col("near")).cast("long")).alias("n_exact"),
         F.sum(F.col("near").cast("long")).alias("n_near"))
     gone = gone.select(F.col("doc_id").alias("_id2"), F.col("text_key").alias("_key2"), "gone", "n_exact", "n_near")
-    d = with_rows(docs).join(gone, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_key") == F.col("_key2")), "left")
+    # documents that lost nothing for certain stay where they are; the others meet what they lost
+    every = flagged(with_rows(docs), F.xxhash64("_id", "_key"), bit_words(gone.select(F.xxhash64("_id2", "_key2").alias("at")), "at"))
+    lost = every.where("possible").join(gone, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_key") == F.col("_key2")), "left")
+    d = lost.unionByName(every.where("NOT possible"), allowMissingColumns=True)
     lines = F.split("row.text", "\n")
     kept = F.filter(lines, lambda x, i: ~F.array_contains("gone", i))
     long = lambda x: F.size(words_of(x)) >= MIN_WORDS

@@ -46,6 +46,8 @@ def _log_process(spark, a) -> int:
     from strandline.streaming.sources import read_records
 
     opts = dict(kv.split("=", 1) for kv in a.option)
+    if a.format == "shardlog":
+        return _log_process_shards(spark, a)
     if a.format == "kafka":
         opts.setdefault("subscribe", a.source)        # the stream name
         opts.setdefault("startingOffsets", "latest")  # start at the newest records
@@ -64,6 +66,21 @@ def _log_process(spark, a) -> int:
     return 0
 
 
+def _log_process_shards(spark, a) -> int:
+    from strandline.streaming.logstream import process_stream, run_for, write_log_stream
+    from strandline.streaming.shards import drain_shards, read_shards
+    from strandline.streaming.sources import RECORD_SCHEMA
+
+    recs = read_shards(spark, a.source, a.checkpoint, RECORD_SCHEMA, start=a.start,
+                       rows_per_batch=a.max_rows_per_trigger, rows_per_second=a.max_rows_per_second)
+    q = write_log_stream(process_stream(recs), a.output, a.checkpoint, fmt=a.sink_format, interval_ms=a.interval_ms)
+    if a.available_now:
+        drain_shards(q, a.source, a.checkpoint)
+    else:
+        run_for(q, a.timeout_s)
+    return 0
+
+
 def _log_batch(spark, a) -> int:
     from pyspark.sql import Observation
 
@@ -88,6 +105,12 @@ def _publish(spark, a) -> int:
 
     events = spark.read.parquet(a.input).select("event_id", "ts", "user_id", "event_type", "value")
     opts = dict(kv.split("=", 1) for kv in a.option)
+    if a.format == "shardlog":
+        from strandline.streaming.shards import publish_batch
+        from strandline.streaming.sources import record_stream
+
+        publish_batch(record_stream(events_to_log_lines(events)), a.output, int(opts.get("shards", 8)))
+        return 0
     if a.format == "kafka":
         opts.setdefault("topic", a.output)
     publish_lines(events_to_log_lines(events), a.format, None if a.format == "kafka" else a.output, opts)
@@ -149,6 +172,9 @@ def build_parser() -> argparse.ArgumentParser:
     lp.add_argument("--interval-ms", type=int, default=None)
     lp.add_argument("--available-now", action="store_true")
     lp.add_argument("--max-files-per-trigger", type=int, default=None)
+    lp.add_argument("--start", default="latest", choices=["latest", "earliest"], help="of a shardlog, on the first run")
+    lp.add_argument("--max-rows-per-trigger", type=int, default=None, help="of a shardlog")
+    lp.add_argument("--max-rows-per-second", type=float, default=None, help="of a shardlog")
     lp.add_argument("--sink-format", default="parquet", choices=["parquet", "text"])
     lp.add_argument("--timeout-s", type=float, default=None)
     lp.set_defaults(fn=_log_process)

@@ -55,6 +55,8 @@ QUERIES: dict[str, Query] = {
     "metric_points": metrics.metric_points,
     "stream_log_process": streams.stream_log_process,
     "stream_log_quarantine": streams.stream_log_quarantine,
+    "stream_log_shards": streams.stream_log_shards,
+    "stream_log_latest": streams.stream_log_latest,
     "stream_utilisation": streams.stream_utilisation,
     "stream_utilisation_all": streams.stream_utilisation_all,
     "weighted_assign": sampling.weighted_assign,
@@ -84,4 +86,9 @@ ORACLE_SQL.update(TEXT_EXTRA)
 ORACLE_SQL["dump_word_count"] = ORACLE_SQL["word_count"].replace("FROM documents", f"FROM documents WHERE {_SQL_XML_TEXT}")
 ORACLE_SQL["stream_log_process"] = ORACLE_SQL["log_process"]
 ORACLE_SQL["stream_log_quarantine"] = ORACLE_SQL["log_quarantine"]
+ORACLE_SQL["stream_log_shards"] = ORACLE_SQL["log_process"]
+ORACLE_SQL["stream_log_latest"] = f"""
+SELECT p.* FROM ({ORACLE_SQL["log_process"]}) p JOIN events e USING (event_id),
+  (SELECT min(CAST(ts AS DATE)) AS low, max(CAST(ts AS DATE)) AS high FROM events)
+WHERE CAST(e.ts AS DATE) >= low + CAST((high - low) // 2 AS INTEGER)"""
 ORACLE_SQL["stream_utilisation"] = ORACLE_SQL["utilisation_by_window"]

@@ -1,0 +1,170 @@
+"""The sharded record log: start positions, bounds, restarts, and publications that count once."""
+
+from __future__ import annotations
+
+import time
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from strandline.streaming.shards import (
+    PLANNED,
+    Folder,
+    Log,
+    deal,
+    drain_shards,
+    publish,
+    publish_batch,
+    publish_stream,
+    read_shards,
+)
+
+SCHEMA = "key STRING, value BINARY, event_id BIGINT"
+
+
+def records(spark, low, high, partitions=3, key="event_id"):
+    ids = spark.range(low, high, 1, partitions).select(F.col("id").alias("event_id"))
+    return ids.select(F.col(key).cast("string").alias("key"), F.encode(F.concat(F.lit("row "), "event_id"), "UTF-8").alias("value"), "event_id")
+
+
+def sink(stream, out, ckpt):
+    return (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+            .trigger(processingTime="0 seconds").start())
+
+
+def ids(spark, out):
+    return sorted(r[0] for r in spark.read.parquet(out).select("event_id").collect())
+
+
+def run(spark, log, out, ckpt, **kw):
+    q = sink(read_shards(spark, log, ckpt, SCHEMA, **kw), out, ckpt)
+    drain_shards(q, log, ckpt)
+    return [p.numInputRows for p in q.recentProgress if p.numInputRows]
+
+
+def test_batches_stay_below_the_bound_and_every_row_arrives(spark, tmp_dir):
+    log, out, ckpt = f"{tmp_dir}/log", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    publish_batch(records(spark, 0, 1000), log, shards=3)  # files of some hundred rows
+    sizes = run(spark, log, out, ckpt, start="earliest", rows_per_batch=170, rows_per_task=50)
+    assert max(sizes) <= 170 and sum(sizes) == 1000
+    assert ids(spark, out) == list(range(1000))
+    rows = spark.read.parquet(out)
+    assert rows.select("topic", "partition", "offset").distinct().count() == 1000
+    ends = {r["partition"]: r["m"] + 1 for r in rows.groupBy("partition").agg(F.max("offset").alias("m")).collect()}
+    assert sum(ends.values()) == 1000  # places are gapless
+    assert rows.where(F.col("value").cast("string") != F.concat(F.lit("row "), "event_id")).isEmpty()
+
+
+def test_latest_skips_what_was_there_and_a_restart_resumes(spark, tmp_dir):
+    log, out, ckpt = f"{tmp_dir}/log", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    publish_batch(records(spark, 0, 100), log)
+    q = sink(read_shards(spark, log, ckpt, SCHEMA, rows_per_batch=30), out, ckpt)
+    q.processAllAvailable()
+    publish_batch(records(spark, 100, 200), log)
+    drain_shards(q, log, ckpt)
+    assert ids(spark, out) == list(range(100, 200))
+    publish_batch(records(spark, 200, 300), log)  # while nothing runs
+    run(spark, log, out, ckpt, rows_per_batch=30)
+    assert ids(spark, out) == list(range(100, 300))
+
+
+def test_an_end_planned_but_not_noted_is_planned_again(spark, tmp_dir):
+    log, out, ckpt = f"{tmp_dir}/log", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    publish_batch(records(spark, 0, 100), log, shards=1)
+    run(spark, log, out, ckpt, start="earliest", rows_per_batch=60)
+    publish_batch(records(spark, 100, 300), log, shards=1)
+    kept, ends = Folder(f"{ckpt}/shards"), Log(log)
+    ends.refresh()
+    planned = kept.read(PLANNED)  # stopped between planning the next 60 rows and noting them
+    planned.update({p: {"0": 60} for p in ends.ends() if p not in planned})
+    kept.write(PLANNED, planned)
+    sizes = run(spark, log, out, ckpt, start="earliest", rows_per_batch=60)
+    assert max(sizes) <= 60 and ids(spark, out) == list(range(300))
+
+
+def test_rows_per_second(spark, tmp_dir):
+    log, out, ckpt = f"{tmp_dir}/log", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    publish_batch(records(spark, 0, 600), log, shards=2)
+    begin = time.monotonic()
+    run(spark, log, out, ckpt, start="earliest", rows_per_second=200)
+    assert time.monotonic() - begin >= 2.9
+    assert ids(spark, out) == list(range(600))
+
+
+def test_shards_are_read_by_tasks_of_their_own(spark, tmp_dir):
+    log, out, ckpt = f"{tmp_dir}/log", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    publish_batch(records(spark, 0, 400, partitions=1), log, shards=4)
+    with_task = read_shards(spark, log, ckpt, SCHEMA, start="earliest").withColumn("task", F.spark_partition_id())
+    drain_shards(sink(with_task, out, ckpt), log, ckpt)
+    assert spark.read.parquet(out).select("task").distinct().count() == 4
+
+
+def test_a_publication_that_fails_adds_nothing_and_a_retry_adds_it_once(spark, tmp_dir):
+    log = f"{tmp_dir}/log"
+    broken = records(spark, 0, 100, partitions=4).withColumn(
+        "value", F.when(F.col("event_id") == 99, F.raise_error(F.lit("broken")).cast("binary")).otherwise(F.col("value")))
+    with pytest.raises((PySparkException, Exception), match="broken"):
+        publish_batch(broken, log)
+    assert Folder(log).names("log") == []
+    publish_batch(records(spark, 0, 100, partitions=4), log)
+    out, ckpt = f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    run(spark, log, out, ckpt, start="earliest")
+    assert ids(spark, out) == list(range(100))
+
+
+def test_a_stream_batch_published_twice_counts_once(spark, tmp_dir):
+    log, src, out, ckpt = (f"{tmp_dir}/{n}" for n in ("log", "src", "out", "ckpt"))
+    records(spark, 0, 50).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    first = f"{tmp_dir}/publish"
+    q = publish_stream(spark.readStream.schema(schema).parquet(src), log, first, available_now=True)
+    q.awaitTermination()
+    # Spark lost its note of batch 0: the same batch again under the same producer
+    import os
+    for name in ("0", ".0.crc"):
+        os.unlink(f"{first}/commits/{name}")
+    records(spark, 50, 80).write.mode("append").parquet(src)
+    q = publish_stream(spark.readStream.schema(schema).parquet(src), log, first, available_now=True)
+    q.awaitTermination()
+    run(spark, log, out, ckpt, start="earliest")
+    assert ids(spark, out) == list(range(80))
+
+
+def test_positions_continue_over_publications(tmp_dir):
+    folder = Folder(f"{tmp_dir}/log")
+    publish(folder, "p", 0, [{"shard": "0", "file": "data/a", "rows": 5}, {"shard": "1", "file": "data/b", "rows": 2}])
+    publish(folder, "p", 1, [{"shard": "0", "file": "data/c", "rows": 4}])
+    publish(folder, "p", 1, [{"shard": "0", "file": "data/d", "rows": 9}])  # again: not added
+    log = Log(f"{tmp_dir}/log")
+    log.refresh()
+    assert log.ends() == {"p": {"0": 9, "1": 2}}
+    got = sorted(log.slices("p", {"0": 3}, {"0": 7, "1": 2}))
+    assert got == [("0", "data/a", 0, 3, 5), ("0", "data/c", 5, 0, 2), ("1", "data/b", 0, 0, 2)]
+
+
+@pytest.mark.parametrize("lag, allowed, total", [({"a": 10, "b": 1000}, 100, 100), ({"a": 1, "b": 1, "c": 1}, 2, 2),
+                                                 ({"a": 5}, 9, 5), ({}, 5, 0)])
+def test_deal(lag, allowed, total):
+    out = deal(lag, allowed)
+    assert sum(out.values()) == total and all(0 <= out[k] <= lag[k] for k in lag)
+
+
+def test_unknown_start(spark, tmp_dir):
+    publish_batch(records(spark, 0, 10), f"{tmp_dir}/log")
+    with pytest.raises(Exception, match="start is"):
+        q = sink(read_shards(spark, f"{tmp_dir}/log", f"{tmp_dir}/c", SCHEMA, start="middle"), f"{tmp_dir}/o", f"{tmp_dir}/c")
+        q.processAllAvailable()
+
+
+def test_command_line_publishes_and_processes(spark, tmp_dir):
+    from input_folders import SF001
+
+    from strandline.cli import main
+    from strandline.streaming.logstream import read_outcomes
+
+    log, out, ckpt = f"{tmp_dir}/log", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    assert main(["publish-lines", f"{SF001}/events.parquet", log, "--format", "shardlog", "--option", "shards=3"]) == 0
+    assert main(["log-process", log, out, ckpt, "--format", "shardlog", "--start", "earliest", "--available-now",
+                 "--max-rows-per-trigger", "400"]) == 0
+    assert read_outcomes(spark, out).count() == spark.read.parquet(f"{SF001}/events.parquet").count()

@@ -4,12 +4,15 @@ A row's key is hashed to 32 bits with integer arithmetic only (two
 multiply-mod rounds with an xor-shift between them), so the result is the
 same on every run, on every retry, and in any SQL engine that has 64-bit
 integers. A category is chosen by comparing the hash against cumulative
-integer weights: ``h * total < cum_k * 2^32``, no floating point.
+integer weights: ``h * total < cum_k * 2^32``, no floating point. For lists
+read from a table an alias table takes the place of the comparisons.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import json
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TWO32 = 1 << 32
@@ -64,3 +67,61 @@ def weighted_choice(h: Column, items: list[tuple[str, float]]) -> Column:
 def bounded_uniform(h: Column, n: int) -> Column:
     """Integer in ``[0, n)`` from a 32-bit hash."""
     return F.pmod(h, F.lit(n))
+
+
+MAX_VALUES = 1_000_000  # of a weight list from a table: its arrays go to every task
+
+
+def alias_table(weights: list[int]) -> tuple[list[int], list[int]]:
+    """Walker's table: per slot the bound of a 32-bit coin below which the slot's own value is
+    taken, and the slot whose value is taken otherwise.
+
+    All slots are worth the same, the sum of weights ``W`` when a weight counts ``n``-fold. Slots
+    below that lay their deficits end to end on a line, slots above it their
+    surpluses. A deficit is filled by the surplus at its start; the surplus
+    slot that is overdrawn there is itself filled by the next one. Exact in
+    integers, and the same in any engine that has running sums.
+    """
+    n, total = len(weights), sum(weights)
+    keep, alias = [total] * n, list(range(n))
+    low = [i for i in range(n) if weights[i] * n < total]
+    high = [i for i in range(n) if weights[i] * n > total]
+    at, end, k = 0, 0, 0  # the deficits laid so far, the end of the surplus of high[k]
+    if high:
+        end = weights[high[0]] * n - total
+    for i in low:
+        keep[i], alias[i] = weights[i] * n, high[k]
+        at += total - weights[i] * n
+        while at >= end and k + 1 < len(high):
+            if at > end:
+                keep[high[k]], alias[high[k]] = total - (at - end), high[k + 1]
+            k += 1
+            end += weights[high[k]] * n - total
+    return [-(-t * TWO32 // total) for t in keep], alias
+
+
+def weighted_choice_from(key: Column, weights: DataFrame, salt: int) -> Column:
+    """A value of the table ``(value, weight)`` for each key, with probability ``weight / sum``.
+
+    Weights are whole numbers of at least 0; rows without one count as 0. Values are taken in ascending
+    order, so the choice doesn't depend on the table's layout. Two hash streams
+    (``salt`` and the next) pick a slot and toss its coin: constant time a row, whatever the number of
+    values. The list is read by the driver, at most :data:`MAX_VALUES` rows. NULL where no weight is above 0.
+    """
+    rows = (weights.where(F.col("weight") > 0).groupBy("value").agg(F.sum(F.col("weight").cast("bigint")).alias("weight"))
+            .orderBy("value").limit(MAX_VALUES + 1).collect())
+    if len(rows) > MAX_VALUES:
+        raise ValueError(f"more than {MAX_VALUES} values with a weight: join a table of ranges instead")
+    kind = weights.schema["value"].dataType
+    if not rows:
+        return F.lit(None).cast(kind)
+    bounds, alias = alias_table([r["weight"] for r in rows])
+
+    def constant(values: list, spark_type: str) -> Column:  # one literal in the plan, not one per value
+        return F.from_json(F.lit(json.dumps(values)), f"array<{spark_type}>")
+
+    n = len(rows)
+    slot = F.floor(hash32(key, salt) * F.lit(n) / F.lit(TWO32)).cast("int")
+    own = hash32(key, salt + 1) < F.get(constant(bounds, "bigint"), slot)
+    names = constant([str(r["value"]) for r in rows], "string")
+    return F.get(names, F.when(own, slot).otherwise(F.get(constant(alias, "int"), slot))).cast(kind)

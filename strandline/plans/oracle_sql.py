@@ -184,6 +184,24 @@ SELECT event_id,
 FROM (SELECT event_id, {_mixed(2654435769, 3266489917)} AS h1, {_mixed(1013904242, 668265263)} AS h2,
              {_mixed(3668340011, 374761393)} AS h3, {_mixed(2027808484, 2246822519)} AS h4 FROM events)"""
 
+# the alias table by running sums: deficits and surpluses laid on one line, met by ASOF joins
+_SUPPLIER = f"""
+WITH w AS (SELECT s_suppkey AS v, row_number() OVER (ORDER BY s_suppkey) - 1 AS i, floor(abs(s_acctbal))::HUGEINT * count(*) OVER () AS x,
+                  sum(floor(abs(s_acctbal))::HUGEINT) OVER () AS t, count(*) OVER () AS n
+           FROM supplier WHERE floor(abs(s_acctbal)) > 0),
+low AS (SELECT *, sum(t - x) OVER (ORDER BY i) AS up_to, sum(t - x) OVER (ORDER BY i) - (t - x) AS start FROM w WHERE x < t),
+high AS (SELECT *, sum(x - t) OVER (ORDER BY i) AS up_to, sum(x - t) OVER (ORDER BY i) - (x - t) AS start,
+                lead(i) OVER (ORDER BY i) AS next FROM w WHERE x > t),
+slots AS (
+  SELECT low.i, low.v, low.x AS kept, high.i AS other, low.t, low.n FROM low ASOF JOIN high ON low.start >= high.start
+  UNION ALL
+  SELECT high.i, high.v, high.t - (low.up_to - high.up_to), high.next, high.t, high.n FROM high ASOF JOIN low ON high.up_to <= low.up_to
+  UNION ALL
+  SELECT i, v, t, i, t, n FROM w WHERE x = t),
+hashes AS (SELECT event_id, {_mixed(387276957, 3266489917)} AS h, {_mixed(3041712726, 668265263)} AS coin FROM events)
+SELECT event_id, CASE WHEN coin::HUGEINT * a.t < a.kept * 4294967296 THEN a.v ELSE b.v END AS s_suppkey
+FROM hashes LEFT JOIN slots a ON a.i = (h::HUGEINT * a.n) // 4294967296 LEFT JOIN slots b ON b.i = a.other"""
+
 # by position instead of by one pattern over the element
 _TITLE = r"""
 SELECT page_id, CASE WHEN p > 0 AND instr(rest, '</title') > 0 THEN
@@ -197,5 +215,6 @@ FROM (
 
 TEXT_EXTRA: dict[str, str] = {
     "weighted_assign": _WEIGHTED,
+    "weighted_supplier": _SUPPLIER,
     "page_titles": _TITLE,
 }

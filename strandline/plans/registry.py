@@ -60,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "stream_utilisation": streams.stream_utilisation,
     "stream_utilisation_all": streams.stream_utilisation_all,
     "weighted_assign": sampling.weighted_assign,
+    "weighted_supplier": sampling.weighted_supplier,
 }
 
 ORACLE_SQL: dict[str, str] = {

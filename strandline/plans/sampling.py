@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.functions.sampling import bounded_uniform, hash32, weighted_choice
+from strandline.functions.sampling import bounded_uniform, hash32, weighted_choice, weighted_choice_from
 from strandline.sources.tables import read_table
 
 Weighted = dict[str, list[tuple[str, float]]]
@@ -22,6 +22,7 @@ EVENT_ATTRIBUTES: Weighted = {
     "priority": [("low", 2.0), ("normal", 5.0), ("high", 0.25)],
 }
 UNITS = 10000
+WEIGHT_SALT = 5
 
 
 def assign(df: DataFrame, key: str, attributes: Weighted, units: int | None = None) -> DataFrame:
@@ -39,3 +40,11 @@ def assign(df: DataFrame, key: str, attributes: Weighted, units: int | None = No
 def weighted_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events").select("event_id")
     return assign(events, "event_id", EVENT_ATTRIBUTES, UNITS)
+
+
+def weighted_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A supplier for each event, drawn with the suppliers' balances as weights (a list of any length from a table)."""
+    weights = read_table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("value"), F.floor(F.abs("s_acctbal")).cast("bigint").alias("weight"))
+    events = read_table(spark, sf_dir, "events").select("event_id")
+    return events.select("event_id", weighted_choice_from(F.col("event_id"), weights, WEIGHT_SALT).alias("s_suppkey"))

@@ -24,8 +24,12 @@ from strandline.session import get_spark, scale_settings
 
 
 def _dump_load(spark, a) -> int:
-    from strandline.plans.text import dump_load_to_table
+    from strandline.plans.text import articles, dump_load_to_table, load_dump
+    from strandline.sources.articles import write_article_pairs
 
+    if a.pairs:
+        write_article_pairs(articles(load_dump(spark, a.input)), a.output)
+        return 0
     n = dump_load_to_table(spark, a.input, a.output)
     print(f"ARTICLES={n}")
     return 0
@@ -33,10 +37,10 @@ def _dump_load(spark, a) -> int:
 
 def _word_count(spark, a) -> int:
     from strandline.operators.ordering import key_partitioned_sorted
-    from strandline.plans.text import word_count_articles
-    from strandline.sources.articles import write_tsv
+    from strandline.plans.text import count_words, word_count_articles
+    from strandline.sources.articles import read_article_pairs, write_tsv
 
-    counts = word_count_articles(spark, a.input)
+    counts = count_words(read_article_pairs(spark, a.input)) if a.pairs else word_count_articles(spark, a.input)
     write_tsv(key_partitioned_sorted(counts, "word", a.partitions), a.output, "word", "n")
     return 0
 
@@ -155,12 +159,14 @@ def build_parser() -> argparse.ArgumentParser:
     d = sub.add_parser("dump-load", help="XML dump -> page table (articles under outcome=valid)")
     d.add_argument("input")
     d.add_argument("output")
+    d.add_argument("--pairs", action="store_true", help="write the good articles as key/value files of Hadoop jobs")
     d.set_defaults(fn=_dump_load)
 
     w = sub.add_parser("word-count", help="page or article table -> word<TAB>count files")
     w.add_argument("input")
     w.add_argument("output")
     w.add_argument("--partitions", type=int, default=None)
+    w.add_argument("--pairs", action="store_true", help="the input is key/value files of Hadoop jobs")
     w.set_defaults(fn=_word_count)
 
     lp = sub.add_parser("log-process", help="stream of log records -> per-batch folders")

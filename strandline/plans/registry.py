@@ -36,6 +36,7 @@ QUERIES: dict[str, Query] = {
     "dump_load": text.dump_load,
     "dump_article_count": text.dump_article_count,
     "dump_word_count": text.dump_word_count,
+    "dump_article_pairs": text.dump_article_pairs,
     "page_titles": text.page_titles,
     "log_lines": logs.log_lines,
     "log_parse": logs.log_parse,
@@ -85,6 +86,7 @@ ORACLE_SQL.update(LOGS)
 ORACLE_SQL.update(METRICS)
 ORACLE_SQL.update(TEXT_EXTRA)
 ORACLE_SQL["dump_word_count"] = ORACLE_SQL["word_count"].replace("FROM documents", f"FROM documents WHERE {_SQL_XML_TEXT}")
+ORACLE_SQL["dump_article_pairs"] = ORACLE_SQL["dump_load"]
 ORACLE_SQL["stream_log_process"] = ORACLE_SQL["log_process"]
 ORACLE_SQL["stream_log_quarantine"] = ORACLE_SQL["log_quarantine"]
 ORACLE_SQL["stream_log_shards"] = ORACLE_SQL["log_process"]

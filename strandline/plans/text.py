@@ -12,7 +12,7 @@ from strandline.operators.barrier import evaluate_once
 from strandline.operators.ordering import key_partitioned_sorted
 from strandline.operators.quarantine import valid_rows
 from strandline.session import scratch_path
-from strandline.sources.articles import read_articles, tsv_lines, write_pages
+from strandline.sources.articles import read_article_pairs, read_articles, tsv_lines, write_article_pairs, write_pages
 from strandline.sources.tables import read_table, spread
 from strandline.sources.xmldump import render_page, scan_fragments, write_dump
 
@@ -130,6 +130,13 @@ def dump_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_count_articles(spark, table)
 
 
+def dump_article_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loader's articles through key/value files of Hadoop jobs: written by one job, read back by the next."""
+    path = scratch_path(spark, "article_pairs")
+    write_article_pairs(dump_load(spark, sf_dir), path)
+    return read_article_pairs(spark, path)
+
+
 def word_count_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write ``word<TAB>n`` files hash-partitioned and sorted by word; read back ``line``."""
     counts = key_partitioned_sorted(word_count(spark, sf_dir), "word")

@@ -1,13 +1,14 @@
 """Personal data: exact patterns, and a linear-chain conditional random field that adds to them.
 
 The patterns (email, ip, card, phone) are fixed rules. The random field labels
-tokens with begin/inside tags from word-shape features; its weights are fitted
-in numpy on a small labelled table (:data:`EXAMPLES`, or any table of the same
-form) and go to the tasks as two small arrays. A token that holds no digit, no
-``@`` and no written-out ``(at)`` admits only the label "outside", so Viterbi
-decoding splits exactly at such tokens; the segments between them are decoded
-in numpy batches of equal length. Its spans are added where they overlap no
-pattern's span; pattern spans always stay.
+every token of every line with begin/inside tags from word-shape features of the
+token and the words around it; its weights are fitted in numpy on a small
+labelled table (:data:`EXAMPLES`, or any table of the same form) and go to the
+tasks as two small arrays. Lines are decoded by Viterbi in numpy batches; a line
+over :data:`WINDOW` tokens in windows that overlap, of which the middle counts. A window in
+which no token can gain by leaving "outside", whatever the moves, is outside as
+a whole and needs no decoding (a bound, not a guess). The field's spans are added
+where they overlap no pattern's span; pattern spans always stay.
 
 Each document is read once, whole, in Arrow batches; nothing is shuffled.
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +33,9 @@ from strandline.llm.common import ship, table
 
 KINDS = ("email", "ip", "card", "phone")
 MORE = ("secret",)  # found by the random field only
+WINDOW, STEP = 128, 96  # tokens decoded as one chain; windows of longer lines begin every STEP
+TOKENS = 200_000  # decoded together, unless one line is longer
+OFTEN = 4  # labelled tokens that have a feature, for it to be learned
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS + MORE for p in "BI"))
 
 # --- patterns -------------------------------------------------------------------------------
@@ -88,33 +93,21 @@ def pattern_spans(text: str) -> list[tuple[int, int, str]]:
 
 # --- tokens and features --------------------------------------------------------------------
 
-_HOT = re.compile(r"(?<!\S)\S*?(?:[0-9@]|\(at\)|\[at\])\S*")
+_TOKEN = re.compile(r"\S+")
 _SHAPE = ((re.compile(r"[0-9]+"), "9"), (re.compile(r"[A-Z]+"), "A"), (re.compile(r"[^\W\d_A-Z]+"), "a"))
 _OPEN, _CLOSE = "\"'`<[{", "\"'`>]},;:!?."
 
 
-def segments(text: str) -> list[list[tuple[int, int, str]]]:
-    """Runs of neighbouring tokens that may be personal data, as ``(start, end, token before)``."""
-    out: list[list[tuple[int, int, str]]] = []
-    last = -2
-    for m in _HOT.finditer(text):
-        a, b = m.span()
-        before = text[max(0, a - 40):a].split()
-        token = (a, b, before[-1].lower() if before else "")
-        if last >= 0 and text[last:a].strip(" \t") == "":
-            out[-1].append(token)
-        else:
-            out.append([token])
-        last = b
-    return out
-
-
 def _bucket(n: int, edges: tuple[int, ...]) -> int:
     return sum(n >= e for e in edges)
 
 
-def features(token: str, before: str, first: bool, last: bool) -> list[str]:
-    """Names of a token's features; all describe its shape but the word before it."""
+def _word(token: str) -> str:
+    return token[:60].strip(_OPEN + _CLOSE).lower()[:12]
+
+
+def features(token: str) -> list[str]:
+    """Names of a token's own features; all describe its shape but the word itself, if it is one."""
     core = token.strip(_OPEN + _CLOSE)
     shape = core[:80]
     for pattern, letter in _SHAPE:
@@ -124,11 +117,12 @@ def features(token: str, before: str, first: bool, last: bool) -> list[str]:
     out = [
         "bias", f"shape={shape[:24]}", f"digits={_bucket(len(digits), (1, 2, 3, 4, 5, 7, 8, 10, 14, 16, 17, 20))}",
         f"length={_bucket(len(core), (2, 4, 6, 8, 12, 18, 24, 36))}", f"dots={min(core.count('.'), 4)}",
-        f"before={before.strip(_OPEN + _CLOSE)[:12]}", f"first={first}", f"last={last}",
         f"at={'@' in core or '(at)' in core or '[at]' in core}", f"eq={'=' in core}",
         f"plus={core.startswith('+')}", f"paren={core.startswith('(')}", f"dashes={min(core.count('-'), 3)}",
-        f"mixed={bool(digits) and bool(alpha)}", f"only={core.isdigit()}",
+        f"mixed={bool(digits) and bool(alpha)}", f"only={core.isdigit()}", f"ends={token[-1:] in _CLOSE}",
     ]
+    if not digits:
+        out.append(f"word={_word(token)}")
     if 14 <= len(digits) <= 19 and not alpha:
         out.append(f"luhn={luhn(digits)}")
     parts = core.split(".")
@@ -142,10 +136,22 @@ def features(token: str, before: str, first: bool, last: bool) -> list[str]:
     return out
 
 
+#: A word of letters with a mark or two around it.
+_PLAIN = re.compile(r"([\"'`<\[{]{0,2})([A-Z]?)([^\W\d_A-Z]+)([\"'`>\]},;:!?.]{0,2})")
+#: What a token tells its neighbours, as (prefix, place of the neighbour it is seen from).
+CONTEXT = (("before", 1), ("before2", 2), ("after", -1), ("after2", -2), ("after3", -3))
+
+
+def seen_from(token: str, prefix: str) -> str:
+    """The feature that a token, or the line's edge (an empty token), gives to a neighbour."""
+    mark = ":" if token[-1:] in (":", "=") else ""  # a value follows
+    return f"{prefix}={_word(token)}{mark}"
+
+
 # --- the small labelled table ---------------------------------------------------------------
 
 #: Labelled lines. ``{kind|text}`` marks a span; every 9 stands for a digit
-#: and every # for a hexadecimal digit that varies between the copies of a line.
+#: and every # for a hexadecimal digit, every ~ for a word, that varies between the copies of a line.
 EXAMPLES = (
     "write to {email|a.99@mail9.example.com} soon",
     "mail {email|john.smith99@corp.example.org}, or call",
@@ -203,18 +209,99 @@ EXAMPLES = (
     "see section 9(a) and 9(b)",
     "range 9999-9999 in 2099/99",
     "length 99.9 cm, weight 9.99 kg",
+    "write to {email|~ at ~ dot com} soon",
+    "mail {email|~ at ~ dot org}, or call",
+    "reach ~ under {email|~ dot ~ at ~ dot net}.",
+    "{email|~ at ~ dot ~ dot com} is the address of ~",
+    "contact {email|~ (at) ~ (dot) com} for more",
+    "send ~ to {email|~ [at] ~ [dot] org} today",
+    "ask {email|~ dot ~ at ~ dot edu}",
+    "password: {secret|~} works",
+    "the password is {secret|~}, keep it",
+    "login ~ with password: {secret|~}",
+    "{secret|password=~} was in the file",
+    "~ uses {secret|pwd=~} for it",
+    "pwd: {secret|~~} and more",
+    "passphrase: {secret|~~} or ~",
+    "the api key is {secret|~~~} now",
+    "token: {secret|~~~} expired",
+    "secret = {secret|~~~} there",
+    "~ meets ~ at ~ on the dot",
+    "look at ~ and ~, then at ~.",
+    "the dot com boom of ~",
+    "a dot on ~ at the end",
+    "she sat at ~ with ~ ~",
+    "forgot the password again",
+    "change the password of ~ now",
+    "a secret ~ of ~",
+    "the key to ~ is in ~",
+    "a token of ~ for ~",
+    "note: ~ ~ and ~",
+    "names: ~, ~, ~.",
+    "~ ~ ~ ~ ~ ~ ~ ~",
+    "~ ~, ~ ~ ~. ~ ~ ~",
+    "~~ ~ ~~~ ~ ~~",
+    "the ~ is ~ and the ~ was ~",
+    "~ = ~ and ~ = ~",
+    "~ ~ at ~ ~ ~ ~ and ~ ~ or ~ ~ ~ ~ ~",
+    "At ~ the ~ of ~ ~ ~, ~ ~ ~ at ~.",
+    "~ and ~ or ~ with ~. Is ~ at ~? ~ ~ ~ in ~ to ~ ~ ~",
+    "Or ~ ~ ~ ~, with ~ ~ is ~; ~ to ~ ~ ~, at ~",
+    "~, or ~. ~ with ~ ~ for ~ is ~, and ~ at the ~",
+    "~ at ~ at ~ ~. At the ~ ~ ~ ~, ~ ~ or, ~",
+    "With ~, ~ at, ~ ~ or ~ ~ ~ is. ~ ~ ~ this ~ ~",
+    "~ ~ in at ~ ~ the, of ~ and or with ~ ~ is ~ at.",
+    "~ ~ ~ password: {secret|~} ~ ~ ~",
+    "~ wrote password: {secret|~} on the ~",
+    "password: {secret|~} in ~ and ~",
+    "~ ~ the password is {secret|~} ~ ~",
+    "so the password is {secret|~} again, ~ at ~",
+    "~ ~ pwd: {secret|~~} ~ ~ ~",
+    "pwd: {secret|~} by the ~ and ~",
+    "~ ~ passphrase: {secret|~~} ~",
+    "~ ~ {email|~ at ~ dot com} ~ ~",
+    "~ ~ {email|~ at ~ dot com} or ~ and ~",
+    "{email|~ at ~ dot org} is ~ in the ~",
+    "~ {email|~ [at] ~ [dot] org} ~ ~ ~",
+    "{email|~ [at] ~ [dot] com} is the ~",
+    "~ {email|~ at ~ dot edu} ~ the ~",
+    "the {email|~ dot ~ at ~ dot com} of ~ and ~",
+    "~ was ~ by the ~ and ~ on the ~",
+    "~ is ~ by ~, and is ~ on ~ by the ~",
+    "~ with ~ ~ is ~ again, ~ on the ~ by ~",
+    "the ~ is ~ for now, ~ wrote ~ on the ~ and ~ is ~ again",
+    "is ~ by ~ with ~ in ~ and ~ or ~ by the ~",
+    "the password is {secret|~}.",
+    "~ the password is {secret|~}, ~ ~",
+    "phone: {phone|(999) 555-9999} ~ ~",
+    "~: {phone|(999) 555-9999}, ~",
+    "~ is ~ was ~ and is ~ was ~, with ~ was ~",
+    "the the the the to to to to",
+    "~ the the the the the",
+    "at at at at at at at at",
+    "~ is is is is is is is",
+    "on ~ at ~ ~, net ~ of ~ org ~ com ~ and ~ edu ~",
 )
 
 
 def labelled(lines: tuple[str, ...] = EXAMPLES, copies: int = 8, seed: int = 7) -> list[tuple[str, list[tuple[int, int, str]]]]:
     """``(text, [(start, end, kind)])`` rows, each line repeated with other digits; card numbers pass Luhn."""
     rng, rows = random.Random(seed), []
-    for line in lines:
-        for _ in range(copies):
+
+    def word() -> str:
+        out = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzäéñßó", k=rng.choice((1, 2, 3, 4, 5, 6, 7, 8, 9, 11, 14))))
+        return out.capitalize() if rng.random() < 0.15 else out
+
+    # prose of unseen words, with marks and the words that written-out addresses are made of
+    prose = [" ".join(rng.choice(("~", "~", "~", "~", "~", "~", "~.", "~,", "~ at", "~:", "~ dot ~,", "com", "~;", '"~"'))
+                      for _ in range(rng.choice((8, 16)))) for _ in range(8 * len(lines) // 5)]
+    for line in (*lines, *prose):
+        for _ in range(copies if line in lines else 1):
             text, spans = "", []
             for part in re.split(r"(\{\w+\|[^}]*\})", line):
                 kind, body = part[1:-1].split("|", 1) if part.startswith("{") else ("", part)
-                body = "".join(rng.choice("0123456789") if c == "9" else rng.choice("0123456789abcdef") if c == "#" and kind else c for c in body)
+                body = "".join(rng.choice("0123456789") if c == "9" else rng.choice("0123456789abcdef") if c == "#" and kind
+                               else word() if c == "~" else c for c in body)
                 if kind == "secret" and "AKIA" in body:
                     body = body.upper()
                 if kind == "ip":
@@ -239,28 +326,64 @@ class Field:
     """Weights of a linear-chain conditional random field over :data:`LABELS`."""
 
     def __init__(self, names: dict[str, int], emit: np.ndarray, move: np.ndarray) -> None:
-        self.names, self.emit, self.move = names, emit, move  # move[0] enters a segment
-        self.known = (-1, "", False, False)
-
-    def scores(self, feats: list[list[str]]) -> np.ndarray:
-        out = np.zeros((len(feats), len(LABELS)))
-        for i, f in enumerate(feats):
-            ids = [self.names[x] for x in f if x in self.names]
-            out[i] = self.emit[ids].sum(axis=0)
+        self.names, self.emit, self.move = names, emit.astype(np.float32), move.astype(np.float32)  # move[0] enters a line
+        self.words = {n.split("=", 1)[1].rstrip(":") for n in names if n.startswith(("word=", *(f"{c}=" for c, _ in CONTEXT)))}
+        self.plain: dict[tuple, np.ndarray] = {}  # by shape, length and marks around: words that no feature names
+        # the most that one token off "outside" can gain by the two moves it changes
+        self.gain = 2 * max(0.0, float((self.move[1:] - self.move[1, 0]).max()), float((self.move[0] - self.move[0, 0]).max()))
+
+    def _sum(self, feats: list[str]) -> np.ndarray:
+        return self.emit[[self.names[f] for f in feats if f in self.names]].sum(axis=0)
+
+    def vectors(self, token: str) -> np.ndarray:
+        """A token's own scores and those it gives to each neighbour of :data:`CONTEXT`."""
+        plain = _PLAIN.fullmatch(token)
+        key = None
+        if plain and _word(token) not in self.words:
+            key = (plain[1], bool(plain[2]), min(len(plain[2]) + len(plain[3]), 40), plain[4])
+            if key in self.plain:
+                return self.plain[key]
+        out = np.zeros((1 + len(CONTEXT), len(LABELS)), np.float32)
+        out[0] = self._sum(features(token))
+        if _word(token) in self.words:
+            for i, (c, _) in enumerate(CONTEXT, 1):
+                out[i] = self._sum([seen_from(token, c)])
+        if key is not None:
+            self.plain[key] = out
         return out
 
-    def decode(self, emit: np.ndarray) -> np.ndarray:
-        """Viterbi over a batch ``(segments, length, labels)`` of equal length."""
-        n, length, _ = emit.shape
-        best, back = emit[:, 0] + self.move[0], np.zeros((length, n, len(LABELS)), np.int8)
+    def scores(self, lines: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of all tokens of some lines, one after another, and where each line begins (and the last ends)."""
+        index: dict[str, int] = {"": 0}
+        sizes = np.array([len(x) for x in lines])
+        begin = np.concatenate(([0], np.cumsum(sizes)))
+        ids = np.fromiter((index.setdefault(t, len(index)) for x in lines for t in x), np.int64, begin[-1])
+        table = np.stack([np.zeros((1 + len(CONTEXT), len(LABELS)), np.float32) if not t else self.vectors(t) for t in index])
+        table[0, 1:] = [self._sum([seen_from("", c)]) for c, _ in CONTEXT]
+        place = np.arange(len(ids)) - np.repeat(begin[:-1], sizes)
+        left = np.repeat(sizes, sizes) - place - 1
+        out = table[ids, 0]
+        for i, (_, d) in enumerate(CONTEXT, 1):
+            inside = place >= d if d > 0 else left >= -d
+            out += table[np.where(inside, ids[(np.arange(len(ids)) - d) % max(len(ids), 1)], 0), i]
+        return out, begin
+
+    def decode(self, emit: np.ndarray, sizes: np.ndarray | None = None) -> np.ndarray:
+        """Viterbi over a batch ``(lines, length, labels)``; ``sizes``, falling, are the lengths of shorter lines."""
+        n, length, k = emit.shape
+        sizes = np.full(n, length) if sizes is None else sizes
+        live = [int((sizes > t).sum()) for t in range(length)]
+        best, back = emit[:, 0] + self.move[0], np.zeros((length, n, k), np.int8)
         for t in range(1, length):
-            step = best[:, :, None] + self.move[None, 1:]
-            back[t] = step.argmax(axis=1)
-            best = step.max(axis=1) + emit[:, t]
+            m = live[t]
+            step = best[:m, :, None] + self.move[None, 1:]
+            back[t, :m] = step.argmax(axis=1)
+            best[:m] = step.max(axis=1) + emit[:m, t]
         path = np.zeros((n, length), np.int64)
-        path[:, -1] = best.argmax(axis=1)
+        path[np.arange(n), sizes - 1] = best.argmax(axis=1)
         for t in range(length - 1, 0, -1):
-            path[:, t - 1] = back[t][np.arange(n), path[:, t]]
+            m = live[t]
+            path[:m, t - 1] = back[t, np.arange(m), path[:m, t]]
         return path
 
 
@@ -274,32 +397,35 @@ def _allowed() -> np.ndarray:
     return out
 
 
-def _tagged(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[list[list[str]], list[int]]]:
-    out = []
-    for seg in segments(text):
-        feats, tags, inside = [], [], None
-        for i, (a, b, before) in enumerate(seg):
-            feats.append(features(text[a:b], before, i == 0, i == len(seg) - 1))
-            hit = next((s for s in spans if s[0] < b and a < s[1]), None)
-            tags.append(LABELS.index("O" if hit is None else ("I-" if hit is inside else "B-") + hit[2]))
-            inside = hit
-        out.append((feats, tags))
-    return out
+def _tagged(text: str, spans: list[tuple[int, int, str]]) -> tuple[list[list[str]], list[int]]:
+    places = [m.span() for m in _TOKEN.finditer(text)]
+    tokens, tags, inside = [text[a:b] for a, b in places], [], None
+    feats = []
+    for i, (a, b) in enumerate(places):
+        around = [(c, tokens[i - d] if 0 <= i - d < len(tokens) else "") for c, d in CONTEXT]
+        feats.append(features(tokens[i]) + [seen_from(t, c) for c, t in around])
+        hit = next((s for s in spans if s[0] < b and a < s[1]), None)
+        tags.append(LABELS.index("O" if hit is None else ("I-" if hit is inside else "B-") + hit[2]))
+        inside = hit
+    return feats, tags
 
 
-def train(rows: list[tuple[str, list[tuple[int, int, str]]]], rounds: int = 150, ridge: float = 0.02) -> Field:
+def train(rows: list[tuple[str, list[tuple[int, int, str]]]], rounds: int = 100, ridge: float = 0.02) -> Field:
     """Fit by gradient steps (Adam) on the exact conditional log-likelihood of the labelled rows."""
-    data = [s for text, spans in rows for s in _tagged(text, spans)]
-    names = {f: i for i, f in enumerate(sorted({f for feats, _ in data for t in feats for f in t}))}
+    data = [_tagged(text, spans) for text, spans in rows if text.split()]
+    often = Counter(f for feats, _ in data for t in feats for f in t)
+    names = {f: i for i, f in enumerate(sorted(f for f, n in often.items() if n >= OFTEN))}
     allowed, k = _allowed(), len(LABELS)
     by: dict[int, list] = {}
+    wide = max((len(t) for feats, _ in data for t in feats), default=1)
     for feats, tags in data:
-        x = np.zeros((len(feats), len(names)))
+        x = np.full((len(feats), wide), len(names))  # the last row of the weights stays 0
         for t, f in enumerate(feats):
-            x[t, [names[v] for v in f]] = 1
+            ids = [names[v] for v in f if v in names]
+            x[t, :len(ids)] = ids
         by.setdefault(len(feats), []).append((x, tags))
     batches = [(np.stack([x for x, _ in v]), np.array([y for _, y in v])) for v in by.values()]
-    emit, move = np.zeros((len(names), k)), np.zeros((k + 1, k))
+    emit, move = np.zeros((len(names) + 1, k)), np.zeros((k + 1, k))
     moments = [np.zeros_like(emit), np.zeros_like(emit), np.zeros_like(move), np.zeros_like(move)]
 
     def lse(a: np.ndarray, axis: int) -> np.ndarray:
@@ -311,7 +437,7 @@ def train(rows: list[tuple[str, list[tuple[int, int, str]]]], rounds: int = 150,
         m = move + allowed
         for x, y in batches:
             n, length, _ = x.shape
-            e = x @ emit
+            e = emit[x].sum(axis=2)
             fwd, bwd = np.zeros((length, n, k)), np.zeros((length, n, k))
             fwd[0] = e[:, 0] + m[0]
             for t in range(1, length):
@@ -321,16 +447,18 @@ def train(rows: list[tuple[str, list[tuple[int, int, str]]]], rounds: int = 150,
             z = lse(fwd[-1], 1)
             one = np.eye(k)[y]
             d = one - np.exp(fwd + bwd - z[None, :, None]).transpose(1, 0, 2)
-            ge += np.einsum("ntf,ntk->fk", x, d)
+            for y_ in range(k):
+                ge[:, y_] += np.bincount(x.ravel(), np.repeat(d[:, :, y_].ravel(), wide), len(emit))
             gm[0] += d[:, 0].sum(axis=0)
             for t in range(1, length):
                 pair = np.exp(fwd[t - 1][:, :, None] + m[None, 1:] + (e[:, t] + bwd[t])[:, None, :] - z[:, None, None])
                 gm[1:] += np.einsum("na,nb->ab", one[:, t - 1], one[:, t]) - pair.sum(axis=0)
+        ge[-1] = 0
         for w, g, i in ((emit, ge, 0), (move, gm, 2)):
             moments[i] = 0.9 * moments[i] + 0.1 * g
             moments[i + 1] = 0.999 * moments[i + 1] + 0.001 * g * g
             w += 0.1 * (moments[i] / (1 - 0.9**r)) / (np.sqrt(moments[i + 1] / (1 - 0.999**r)) + 1e-8)
-    return Field(names, emit, move + allowed)
+    return Field(names, emit[:-1], move + allowed)
 
 
 def _trim(text: str, a: int, b: int) -> tuple[int, int]:
@@ -341,29 +469,76 @@ def _trim(text: str, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
+def _windows(size: int) -> Iterator[tuple[int, int, int, int]]:
+    """``(start, end, first, last)``: windows of a line, and the part of each whose labels count."""
+    margin = (WINDOW - STEP) // 2
+    for start in range(0, max(size - 2 * margin, 1), STEP):
+        end = min(start + WINDOW, size)
+        yield start, end, start + margin if start else 0, start + STEP + margin if end < size else size
+
+
+def line_labels(lines: list[list[str]], field: Field) -> dict[int, dict[int, int]]:
+    """Labels other than "outside" by line and token."""
+    if not lines:
+        return {}
+    emit, begin = field.scores(lines)
+    hope = np.append(emit[:, 1:].max(axis=1) - emit[:, 0] + field.gain, -1.0)  # what leaving "outside" can gain
+    spans = [(i, begin[i] + a, b - a, f - a, e - a) for i, x in enumerate(lines) for a, b, f, e in _windows(len(x)) if x]
+    if not spans:
+        return {}
+    cuts = np.array([(lo, lo + size) for _, lo, size, _, _ in spans]).ravel()
+    open_ = np.maximum.reduceat(hope, cuts)[::2] >= 0
+    todo = sorted((s for s, o in zip(spans, open_) if o), key=lambda s: -s[2])
+    found: dict[int, dict[int, int]] = {}
+    for at in range(0, len(todo), 2048):
+        part = todo[at:at + 2048]
+        sizes = np.array([s[2] for s in part])
+        batch = np.zeros((len(part), sizes[0], len(LABELS)), np.float32)
+        for row, (_, lo, size, _, _) in zip(batch, part):
+            row[:size] = emit[lo:lo + size]
+        path = field.decode(batch, sizes)
+        for r, t in zip(*np.nonzero(path)):
+            i, lo, size, first, last = part[r]
+            if first <= t < last and t < size:
+                found.setdefault(i, {})[int(lo - begin[i] + t)] = int(path[r, t])
+    return found
+
+
 def added_spans(texts: list[str], field: Field) -> list[list[tuple[int, int, str]]]:
-    """Spans the random field finds in each text; all segments of a batch are decoded together."""
+    """Spans the random field finds in each text; the lines of many texts are decoded together."""
     found: list[list[tuple[int, int, str]]] = [[] for _ in texts]
-    by: dict[int, list[tuple[int, list]]] = {}
-    for i, text in enumerate(texts):
-        for seg in segments(text):
-            by.setdefault(len(seg), []).append((i, seg))
-    for length, group in by.items():
-        step = max(1, (1 << 16) // length)
-        for lo in range(0, len(group), step):
-            part = group[lo:lo + step]
-            feats = [features(texts[i][a:b], before, t == 0, t == length - 1)
-                     for i, seg in part for t, (a, b, before) in enumerate(seg)]
-            tags = field.decode(field.scores(feats).reshape(len(part), length, -1))
-            for (i, seg), path in zip(part, tags.tolist()):
-                for t, y in enumerate(path):
-                    label = LABELS[y]
-                    if label == "O":
-                        continue
-                    a, b, _ = seg[t]
-                    if label[0] == "I" and found[i]:
-                        a = found[i].pop()[0]
-                    found[i].append((*_trim(texts[i], a, b), label[2:]))
+    lines: list[list[str]] = []
+    places: list[tuple[int, int, int]] = []
+
+    def flush() -> None:
+        for i, labels in sorted(line_labels(lines, field).items()):
+            doc, lo, hi = places[i]
+            at = [m.span() for m in _TOKEN.finditer(texts[doc], lo, hi)]
+            run: list[list] = []
+            for t in sorted(labels):
+                label = LABELS[labels[t]]
+                if label[0] == "I" and run and run[-1][0] == label[2:] and run[-1][2] == t - 1:
+                    run[-1][2] = t
+                else:
+                    run.append([label[2:], t, t])
+            found[doc] += [(*_trim(texts[doc], at[a][0], at[b][1]), kind) for kind, a, b in run]
+        lines.clear()
+        places.clear()
+
+    held = 0
+    for doc, text in enumerate(texts):
+        lo = 0
+        for line in text.split("\n"):
+            tokens = line.split()
+            if tokens:
+                lines.append(tokens)
+                places.append((doc, lo, lo + len(line)))
+                held += len(tokens)
+                if held >= TOKENS:
+                    flush()
+                    held = 0
+            lo += len(line) + 1
+    flush()
     return found
 
 

@@ -50,10 +50,79 @@ def test_long_runs_are_linear(text, field):
 
 
 def test_unseen_digits(field):
-    for text, spans in p.labelled(seed=1234):
+    digits = tuple(x for x in p.EXAMPLES if "~" not in x)
+    for text, spans in p.labelled(digits, seed=1234)[:8 * len(digits)]:
         assert p.added_spans([text], field)[0] == [(*p._trim(text, a, b), k) for a, b, k in spans], text
 
 
+def test_unseen_words(field):
+    rows = p.labelled(tuple(x for x in p.EXAMPLES if "~" in x), seed=1234)  # any word can stand there
+    right = sum(p.added_spans([text], field)[0] == [(*p._trim(text, a, b), k) for a, b, k in spans] for text, spans in rows)
+    assert right >= 0.98 * len(rows)
+
+
+#: Lines of other wording than the labelled table's.
+HELD = (
+    "you can reach our office via {email|~ at ~ dot com} or by post",
+    "~ answers under {email|~ dot ~ at ~ dot org}.",
+    "new address: {email|~ at ~ dot ~ dot net}, please note",
+    "questions go to {email|~ (at) ~ (dot) com} only",
+    "{email|~ [at] ~ [dot] org} was closed",
+    "the old one was {email|~ at ~ dot edu} until spring",
+    "for ~ the password is {secret|~} again",
+    "he wrote password: {secret|~} on paper",
+    "log says {secret|password=~} at start",
+    "stored as pwd: {secret|~~} by ~",
+    "his passphrase: {secret|~~} leaked",
+    "our api key is {secret|~~~} for now",
+    "a line with token: {secret|~~~} in it",
+    "dial {phone|(999) 555-9999} for help",
+    "found {secret|AKIA9#9#9#9#9#9#9#9#} in the logs",
+    "they booked with {card|4999 9999 9999 9999} last week",
+    "somebody at ~ saw the dot on ~ and left",
+    "nobody at the ~ knows ~ or ~, not at ~",
+    "a password should be long and a key should fit",
+    "~ ~ ~, ~ ~ at ~ ~. ~ ~ ~ ~ ~; ~ ~",
+    "in 2099 there were 9,999 of them at ~",
+)
+
+
+def test_recall_on_other_wording(field):
+    wanted = found = added = 0
+    for text, spans in p.labelled(HELD, copies=20, seed=99):
+        want = {(*p._trim(text, a, b), k) for a, b, k in spans}
+        got = set(p.added_spans([text], field)[0])
+        wanted, found, added = wanted + len(want), found + len(want & got), added + len(got - want)
+    print(f"found {found} of {wanted}, {added} more")
+    assert found >= 0.9 * wanted and added <= 0.1 * wanted
+
+
+def test_windows_cover_every_token_once():
+    for size in range(1, 600):
+        parts = [(f, e) for a, b, f, e in p._windows(size)]
+        assert parts[0][0] == 0 and parts[-1][1] == size and all(x[1] == y[0] for x, y in zip(parts, parts[1:]))
+        assert all(a <= f < e <= b <= size and b - a <= p.WINDOW for a, b, f, e in p._windows(size))
+
+
+def test_skipped_windows_are_outside_and_batches_change_nothing(field):
+    lines = [text.split() for text, _ in p.labelled(HELD, copies=6, seed=5)] + [["word"] * 300 + ["a", "at", "b", "dot", "com"]]
+    got = p.line_labels(lines, field)
+    for i, line in enumerate(lines[:-1]):
+        emit, _ = field.scores([line])
+        path = field.decode(emit[None])[0]
+        assert got.get(i, {}) == {t: y for t, y in enumerate(path.tolist()) if y}
+    assert set(got.get(len(lines) - 1, {})) <= set(range(300, 305))
+
+
+def test_scores_are_the_sum_of_the_features(field):
+    tokens = 'Password: Xyz, "at" (a) 1.2.3.4 Änder ÄB é. at the dot com token = x'.split()
+    emit, _ = field.scores([["other"], tokens])
+    for t, token in enumerate(tokens):
+        around = [p.seen_from(tokens[t - d] if 0 <= t - d < len(tokens) else "", c) for c, d in p.CONTEXT]
+        names = [f for f in p.features(token) + around if f in field.names]
+        assert np.allclose(emit[1 + t], field.emit[[field.names[f] for f in names]].sum(axis=0), atol=1e-4), token
+
+
 def test_viterbi_is_the_best_path(field):
     rng = np.random.default_rng(0)
     emit = rng.normal(0, 3, (6, 4, len(p.LABELS)))

@@ -40,6 +40,7 @@ UNDETERMINED = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _POWERS = [np.uint64(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in range(ORDER)]
+SALTS = 256  # parts of a language while its sample is chosen
 BATCH = 8_000_000  # characters looked up together, unless one text is longer
 
 
@@ -217,10 +218,12 @@ def train(docs: DataFrame, per_language: int = 800) -> Models:
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select("doc_id", "text", "lang")
-    w = Window.partitionBy("lang").orderBy("r", "doc_id")
+    # the lowest of each language are among the lowest of its parts: no task reads more than a part of a language
+    part, whole = (Window.partitionBy("lang", *more).orderBy("r", "doc_id") for more in ([F.pmod("r", F.lit(SALTS))], []))
     ids = (docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
            .select("doc_id", "lang", F.xxhash64("doc_id").alias("r"))
-           .withColumn("n", F.row_number().over(w)).where(F.col("n") <= per_language)
+           .withColumn("n", F.row_number().over(part)).where(F.col("n") <= per_language)
+           .withColumn("n", F.row_number().over(whole)).where(F.col("n") <= per_language)
            .select("doc_id", F.col("lang").alias("label"), (F.col("n") % 4 == 0).alias("calibrate")))
     ids = stored(ids, "langid-sample").dropDuplicates(["doc_id", "label"])  # small: Spark broadcasts it by its size
     sample = stored(docs.join(ids, (docs["doc_id"] == ids["doc_id"]) & (docs["lang"] == ids["label"]), "inner")

@@ -6,11 +6,13 @@ embedding table per place around the token, their sum through ``tanh``, and a
 softmax in two levels, first the token's class, then the token in its class.
 
 Vocabulary: word counts over all documents give the ``KNOWN`` most frequent
-words; the others share ``OTHER`` hash buckets. Within its bucket a word is
-predicted by its spelling: a chain over its bytes, counted over the other words of
-all documents (``BYTES`` x ``BYTES`` numbers, whatever the corpus), so every word has
-a probability of its own. A bucket is taken to hold one part in ``OTHER`` of all
-spellings. Training: every task starts from
+words; the others share ``OTHER`` buckets, dealt by their first two bytes. Within its
+bucket a word is predicted by its spelling: a chain over its bytes, counted over the
+other words of all documents (``BYTES`` x ``BYTES`` numbers, whatever the corpus), so
+every word has a probability of its own. The chain's mass in a bucket is known exactly,
+the first two bytes being its first two steps, so a chain divided by the mass that the
+known words leave of its bucket is a distribution over the bucket: all words in a
+context add up to 1. Words are split at ASCII white space. Training: every task starts from
 the same weights and goes once over its documents, learning from every token.
 The tasks' weight changes are averaged, each row weighted by how
 often it was used, in blocks of rows and in two levels, so no group grows with
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import ship, table, words_of
+from strandline.llm.common import ship, stored, table, words_of
 
 KNOWN, OTHER = 1984, 64
 TOKENS = KNOWN + OTHER
@@ -52,46 +54,75 @@ BYTES = 256
 _IN = len(PLACES) * (TOKENS + 1)
 
 
+def split(text: str | None) -> list[bytes]:
+    """The words of a text, lower-cased, as UTF-8; ``bytes.split`` cuts where ``WORD`` does."""
+    return (text or "").lower().encode("utf-8", "surrogatepass").split()
+
+
+def bucket(w: bytes) -> int:
+    """Bucket of a spelling (a word and a line feed) by its first two bytes."""
+    return zlib.crc32(w[:2]) % OTHER
+
+
 class Words(dict):
-    """Word -> token; unknown words go to a bucket by their hash."""
+    """Word -> token; unknown words go to a bucket."""
 
     def __init__(self, known: list[str]) -> None:
-        super().__init__((w, i) for i, w in enumerate(known))
+        super().__init__((w.encode("utf-8", "surrogatepass"), i) for i, w in enumerate(known))
         self.known = len(self)
 
-    def __missing__(self, w: str) -> int:
-        t = KNOWN + zlib.crc32(w.encode("utf-8", "surrogatepass")) % OTHER
+    def __missing__(self, w: bytes) -> int:
+        t = KNOWN + bucket(w + b"\n")
         if len(self) < self.known + CACHED and len(w) < 40:
             self[w] = t
         return t
 
-    def tokens(self, text: str | None) -> np.ndarray:
-        return np.array(list(map(self.__getitem__, (text or "").lower().split())), dtype=np.int32)
+    def tokens(self, words: list[bytes]) -> np.ndarray:
+        return np.array(list(map(self.__getitem__, words)), dtype=np.int32)
 
 
 class Spelling(dict):
     """Word -> log probability of the word in its bucket; 0 for known words."""
 
     def __init__(self, known: list[str], pairs: np.ndarray) -> None:
-        super().__init__((w, 0.0) for w in known)
-        self.known = len(self)
+        self.known = [w.encode("utf-8", "surrogatepass") for w in known]
         n = pairs + 0.1  # every spelling is possible
-        self.log = np.log(n / n.sum(axis=1, keepdims=True))
-
-    def __missing__(self, w: str) -> float:
-        x = spelled(w)
-        p = min(0.0, float(self.log[x[:-1], x[1:]].sum() + np.log(OTHER)))
-        if len(self) < self.known + CACHED and len(w) < 40:
-            self[w] = p
-        return p
-
-    def sum(self, text: str | None) -> float:
-        return sum(map(self.__getitem__, (text or "").lower().split()))
-
-
-def spelled(words: str) -> np.ndarray:
-    """Bytes of a word, or of words with line feeds between them, with a line feed at either end."""
-    return np.frombuffer(f"\n{words}\n".encode("utf-8", "surrogatepass"), np.uint8)
+        p = n / n.sum(axis=1, keepdims=True)
+        self.log = np.log(p)
+        two = p[10][:, None] * p  # first two bytes; an empty word belongs to no bucket
+        two[10] = 0
+        own = np.array([[bucket(bytes((a, b))) for b in range(BYTES)] for a in range(BYTES)])
+        mass = np.bincount(own.ravel(), two.ravel(), minlength=OTHER)
+        taken = np.bincount([bucket(w + b"\n") for w in self.known], np.exp(self.chains(self.known)), minlength=OTHER)
+        self.mass = np.log(np.maximum(mass - taken, 1e-9 * mass))
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.update((w, 0.0) for w in self.known)
+
+    def chains(self, words: list[bytes]) -> np.ndarray:
+        """Log probability of each spelling among all."""
+        if not words:
+            return np.zeros(0)
+        x = spelled(words)
+        return np.add.reduceat(self.log[x[:-1], x[1:]], np.flatnonzero(x[:-1] == 10))
+
+    def add(self, words: set[bytes]) -> None:
+        """Make all of ``words`` known to the lookup, which keeps ``CACHED`` of them and those of one call."""
+        if len(self) > len(self.known) + CACHED:
+            self.forget()
+        new = list(words.difference(self))
+        own = np.array([bucket(w + b"\n") for w in new], dtype=np.int64)
+        self.update(zip(new, np.minimum(self.chains(new) - self.mass[own], 0.0).tolist()))
+
+    def sum(self, words: list[bytes]) -> float:
+        return sum(map(self.__getitem__, words))
+
+
+def spelled(words: list[bytes]) -> np.ndarray:
+    """Bytes of words with line feeds between them and at either end."""
+    return np.frombuffer(b"\n%b\n" % b"\n".join(words), np.uint8)
 
 
 class Network:
@@ -197,12 +228,12 @@ def laid_out(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return flat, np.flatnonzero(flat != PAD), begin
 
 
-def _runs(column: pa.Array, words: Words, most: int) -> Iterator[list[np.ndarray]]:
-    """Texts as tokens, about ``most`` tokens at a time."""
-    texts: list[np.ndarray] = []
+def _runs(column: pa.Array, most: int) -> Iterator[list[list[bytes]]]:
+    """Texts as words, about ``most`` words at a time."""
+    texts: list[list[bytes]] = []
     size = 0
     for t in column:
-        texts.append(words.tokens(t.as_py()))
+        texts.append(split(t.as_py()))
         size += len(texts[-1])
         if size >= most:
             yield texts
@@ -211,30 +242,36 @@ def _runs(column: pa.Array, words: Words, most: int) -> Iterator[list[np.ndarray
         yield texts
 
 
-def vocabulary(docs: DataFrame) -> list[str]:
-    """The most frequent words of all documents; ties by the word itself."""
-    said = docs.select(F.explode(words_of(F.lower("text"))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+def counted(docs: DataFrame) -> DataFrame:
+    """``(w, n)``: how often each word is in all documents."""
+    return docs.select(F.explode(words_of(F.lower("text"))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+
+
+def vocabulary(docs: DataFrame, said: DataFrame | None = None) -> list[str]:
+    """The most frequent words of all documents; ties by the word itself. ``said`` as by ``counted``."""
+    said = counted(docs) if said is None else said
     return [r["w"] for r in said.orderBy(F.desc("n"), "w").limit(KNOWN).collect()]
 
 
-def spelling(docs: DataFrame, known: list[str]) -> np.ndarray:
+def spelling(docs: DataFrame, known: list[str], said: DataFrame | None = None) -> np.ndarray:
     """How often each byte follows each in the words of all documents that aren't known."""
+    said = counted(docs) if said is None else said
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, n = set(shared.value), np.zeros(BYTES * BYTES, np.int64)
+        known, n = {w.encode("utf-8", "surrogatepass") for w in shared.value}, np.zeros(BYTES * BYTES, np.int64)
         for b in batches:
-            for t in b.column(0):
-                other = [w for w in (t.as_py() or "").lower().split() if w not in known]
-                if other:
-                    x = spelled("\n".join(other)).astype(np.int64)
-                    at, times = np.unique(x[:-1] * BYTES + x[1:], return_counts=True)
-                    n[at] += times
+            other = [(w.as_py().encode("utf-8", "surrogatepass"), k.as_py()) for w, k in zip(b.column(0), b.column(1))]
+            other = [(w, k) for w, k in other if w not in known]
+            if other:
+                x = spelled([w for w, _ in other]).astype(np.int64)
+                times = np.repeat([k for _, k in other], [len(w) + 1 for w, _ in other])
+                np.add.at(n, x[:-1] * BYTES + x[1:], times)
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at])], ["pair", "n"])
 
     out = np.zeros(BYTES * BYTES)
-    for r in docs.select("text").mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+    for r in said.select("w", "n").mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
         out[r["pair"]] = r["n"]  # one row per pair of bytes at most
     return out.reshape(BYTES, BYTES)
 
@@ -251,8 +288,8 @@ def train(docs: DataFrame, known: list[str]) -> np.ndarray:
         begin = net.w.copy()
         squares, used = np.zeros(len(net.w), np.float32), np.zeros(len(net.w), np.float32)
         for b in batches:
-            for texts in _runs(b.column(0), words, 8 * STEP):
-                flat, at, _ = laid_out(texts)
+            for texts in _runs(b.column(0), 8 * STEP):
+                flat, at, _ = laid_out([words.tokens(t) for t in texts])
                 for lo in range(0, len(at), STEP):
                     net.learn(flat, at[lo:lo + STEP], squares, used)
         if used.any():
@@ -289,15 +326,15 @@ def score(docs: DataFrame, known: list[str], weights: np.ndarray, pairs: np.ndar
         words, net, letters = Words(known), Network(weights), Spelling(known, pairs)
         for b in batches:
             sums, sizes = [], []
-            for texts in _runs(b.column(1), words, 16 * SCORED):
-                flat, at, first = laid_out(texts)
+            for texts in _runs(b.column(1), 4 * SCORED):
+                letters.add(set().union(*texts))
+                flat, at, _ = laid_out([words.tokens(t) for t in texts])
                 p = np.concatenate(([0.0], np.cumsum(net.log_prob(flat, at))))
                 size = np.array([len(t) for t in texts])
                 end = np.cumsum(size)
-                sums += (p[end] - p[end - size]).tolist()
+                sums += (p[end] - p[end - size] + [letters.sum(t) for t in texts]).tolist()
                 sizes += size.tolist()
-            sums = np.array(sums) + np.array([letters.sum(t.as_py()) for t in b.column(1)])
-            sizes = np.array(sizes, dtype=np.int64)
+            sums, sizes = np.array(sums), np.array(sizes, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(sizes), pa.array(sums, pa.float64()),
                  pa.array(sums / np.maximum(sizes, 1), pa.float64(), mask=sizes == 0)],
@@ -311,5 +348,6 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pseudo-likelihood of every document."""
     ship(spark)
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    known = vocabulary(docs)
-    return score(docs, known, train(docs, known), spelling(docs, known))
+    said = stored(counted(docs), "lm-words")
+    known = vocabulary(docs, said)
+    return score(docs, known, train(docs, known), spelling(docs, known, said))

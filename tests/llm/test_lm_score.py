@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -89,7 +91,7 @@ def test_scores_equal_plain_sums(spark):
     got = {r["doc_id"]: r for r in m.score(df, known, net.w).collect()}
     words = m.Words(known)
     for i, t in rows:
-        flat, at, _ = m.laid_out([words.tokens(t)])
+        flat, at, _ = m.laid_out([words.tokens(m.split(t))])
         assert got[i]["log_prob"] == pytest.approx(net.log_prob(flat, at).sum() if len(at) else 0.0)
     assert got[3]["n_tokens"] == 0 and got[3]["mean_log_prob"] is None
 
@@ -147,6 +149,54 @@ def test_random_strings_score_below_held_out_text(spark):
     assert len(random) == 20 and max(random) < np.quantile(clean, 0.05)
 
 
+def test_words_of_a_bucket_are_a_distribution():
+    pairs = np.zeros((m.BYTES, m.BYTES))
+    for a in b"abc\n":
+        for b in b"abc":
+            pairs[a, b] = 1e7 * (1 + (a + 2 * b) % 3)
+        pairs[a, 10] = 0 if a == 10 else 5e7
+    known = ["a", "ab", "cab"]
+    letters = m.Spelling(known, pairs)
+    words = {bytes(w) for n in range(1, 10) for w in itertools.product(b"abc", repeat=n)} - set(letters)
+    letters.add(words)
+    in_bucket = np.zeros(m.OTHER)
+    for w in words:
+        in_bucket[m.bucket(w + b"\n")] += np.exp(letters[w])
+    used = {m.bucket(w + b"\n") for w in words}
+    assert all(0.95 < in_bucket[b] <= 1 + 1e-9 for b in used)
+    letters.add({b"zeb"})
+    assert letters.sum([b"ab", b"a"]) == 0 and letters[b"zeb"] < -10
+
+
+def test_chains_step_by_step_and_a_full_cache(monkeypatch):
+    rng = np.random.default_rng(5)
+    letters = m.Spelling([], rng.integers(0, 50, (m.BYTES, m.BYTES)))
+    words = ["é".encode(), b"x", b"ab", b"abc" * 50]
+    for w, p in zip(words, letters.chains(words)):
+        x = b"\n" + w + b"\n"
+        assert p == pytest.approx(sum(letters.log[a, b] for a, b in zip(x, x[1:])))
+    letters.add(set(words))
+    before = {w: letters[w] for w in words}
+    monkeypatch.setattr(m, "CACHED", 2)
+    letters.add({b"new"})
+    assert set(letters) == {b"new"}
+    letters.add(set(words))
+    assert {w: letters[w] for w in words} == before
+
+
+def test_spelling_counts_every_occurrence(spark):
+    rows = [("aa b aa\u00a0c known",), ("b b b",), (None,), ("",)]
+    m.ship(spark)
+    n = m.spelling(spark.createDataFrame(rows, "text string"), ["known"])
+    want = np.zeros((m.BYTES, m.BYTES))
+    for t, in rows:
+        for w in m.split(t):
+            if w != b"known":
+                x = b"\n" + w + b"\n"
+                np.add.at(want, (list(x[:-1]), list(x[1:])), 1)
+    assert np.array_equal(n, want) and n.sum() > 0
+
+
 def test_odd_rows(spark, edge, empty):
     m.ship(spark)
     known = m.vocabulary(edge)

@@ -45,7 +45,7 @@ EACH = TOKENS // CLASSES
 PAD = TOKENS
 PLACES = (-2, -1, 1, 2)
 WIDTH = 32               # the last one is constant 1 and carries the biases
-STEP = 1024              # tokens learned from together
+STEP = 4096              # tokens learned from together
 SCORED = 1 << 15         # tokens scored together
 ROWS = 128               # rows of the weights in a block
 FAN = 256                # tasks summed in a group of the first level
@@ -152,9 +152,10 @@ class Network:
         return h
 
     @staticmethod
-    def _log_softmax(z: np.ndarray) -> np.ndarray:
+    def _softmax(z: np.ndarray) -> np.ndarray:
         z -= z.max(axis=1, keepdims=True)
-        z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+        np.exp(z, out=z)
+        z /= z.sum(axis=1, keepdims=True)
         return z
 
     @staticmethod
@@ -191,20 +192,22 @@ class Network:
         rows = self.contexts(flat, at)
         h = self.hidden(rows)
         n = np.arange(len(at))
-        d = np.exp(self._log_softmax(h @ self.w[_IN:_IN + CLASSES].T))
+        d = self._softmax(h @ self.w[_IN:_IN + CLASSES].T)
         d[n, group] -= 1
         back = d @ self.w[_IN:_IN + CLASSES]
         steps = [(slice(_IN, _IN + CLASSES), d.T @ h, np.bincount(group, minlength=CLASSES))]
         order = np.argsort(group.astype(np.int8), kind="stable")
-        cut = np.searchsorted(group[order], np.arange(CLASSES + 1))
+        cut = np.searchsorted(group[order], np.arange(CLASSES + 1)).tolist()
+        near, column, more = h[order], target[order] % EACH, np.empty_like(back)  # tokens by class
         for c in range(CLASSES):
-            i = order[cut[c]:cut[c + 1]]
-            if len(i):
+            i = slice(cut[c], cut[c + 1])
+            if cut[c] < cut[c + 1]:
                 own = slice(_IN + CLASSES + c * EACH, _IN + CLASSES + (c + 1) * EACH)
-                e = np.exp(self._log_softmax(h[i] @ self.w[own].T))
-                e[np.arange(len(i)), target[i] - c * EACH] -= 1
-                back[i] += e @ self.w[own]
-                steps.append((own, e.T @ h[i], np.full(EACH, len(i) / EACH)))
+                e = self._softmax(near[i] @ self.w[own].T)
+                e[n[:len(e)], column[i]] -= 1
+                more[i] = e @ self.w[own]
+                steps.append((own, e.T @ near[i], np.full(EACH, len(e) / EACH)))
+        back[order] += more
         back *= 1 - h * h
         back[:, -1] = 0
         for r in rows:

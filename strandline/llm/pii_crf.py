@@ -35,6 +35,7 @@ KINDS = ("email", "ip", "card", "phone")
 MORE = ("secret",)  # found by the random field only
 WINDOW, STEP = 128, 96  # tokens decoded as one chain; windows of longer lines begin every STEP
 TOKENS = 200_000  # decoded together, unless one line is longer
+KEPT = 1 << 25  # bytes of tokens and scores kept from one batch to the next
 OFTEN = 4  # labelled tokens that have a feature, for it to be learned
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS + MORE for p in "BI"))
 
@@ -328,38 +329,55 @@ class Field:
     def __init__(self, names: dict[str, int], emit: np.ndarray, move: np.ndarray) -> None:
         self.names, self.emit, self.move = names, emit.astype(np.float32), move.astype(np.float32)  # move[0] enters a line
         self.words = {n.split("=", 1)[1].rstrip(":") for n in names if n.startswith(("word=", *(f"{c}=" for c, _ in CONTEXT)))}
-        self.plain: dict[tuple, np.ndarray] = {}  # by shape, length and marks around: words that no feature names
+        self.forget()
         # the most that one token off "outside" can gain by the two moves it changes
         self.gain = 2 * max(0.0, float((self.move[1:] - self.move[1, 0]).max()), float((self.move[0] - self.move[0, 0]).max()))
 
     def _sum(self, feats: list[str]) -> np.ndarray:
         return self.emit[[self.names[f] for f in feats if f in self.names]].sum(axis=0)
 
-    def vectors(self, token: str) -> np.ndarray:
-        """A token's own scores and those it gives to each neighbour of :data:`CONTEXT`."""
-        plain = _PLAIN.fullmatch(token)
+    def forget(self) -> None:
+        """Empty what is kept between batches; row 0 is the place beside a line."""
+        beside = np.zeros((1 + len(CONTEXT), len(LABELS)), np.float32)
+        beside[1:] = [self._sum([seen_from("", c)]) for c, _ in CONTEXT]
+        self.rows = [beside]
+        self.row: dict[str, int] = {}
+        self.plain: dict[tuple, int] = {}  # by shape, length and marks around: words that no feature names
+        self.held = 0  # bytes, about
+
+    def vectors(self, token: str) -> int:
+        """Row of a token's own scores and those it gives to each neighbour of :data:`CONTEXT`."""
+        self.held += 100 + 4 * len(token)
         key = None
-        if plain and _word(token) not in self.words:
+        if token.isalpha() and token.islower():  # most tokens
+            if token[:12] not in self.words:
+                key = ("", False, min(len(token), 40), "")
+        elif (plain := _PLAIN.fullmatch(token)) and _word(token) not in self.words:
             key = (plain[1], bool(plain[2]), min(len(plain[2]) + len(plain[3]), 40), plain[4])
-            if key in self.plain:
-                return self.plain[key]
+        if key in self.plain:
+            self.row[token] = at = self.plain[key]
+            return at
         out = np.zeros((1 + len(CONTEXT), len(LABELS)), np.float32)
         out[0] = self._sum(features(token))
         if _word(token) in self.words:
             for i, (c, _) in enumerate(CONTEXT, 1):
                 out[i] = self._sum([seen_from(token, c)])
+        self.row[token] = at = len(self.rows)
+        self.rows.append(out)
+        self.held += 2 * out.nbytes
         if key is not None:
-            self.plain[key] = out
-        return out
+            self.plain[key] = at
+        return at
 
     def scores(self, lines: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Scores of all tokens of some lines, one after another, and where each line begins (and the last ends)."""
-        index: dict[str, int] = {"": 0}
+        if self.held > KEPT:
+            self.forget()
+        row = self.row.get
         sizes = np.array([len(x) for x in lines])
         begin = np.concatenate(([0], np.cumsum(sizes)))
-        ids = np.fromiter((index.setdefault(t, len(index)) for x in lines for t in x), np.int64, begin[-1])
-        table = np.stack([np.zeros((1 + len(CONTEXT), len(LABELS)), np.float32) if not t else self.vectors(t) for t in index])
-        table[0, 1:] = [self._sum([seen_from("", c)]) for c, _ in CONTEXT]
+        ids = np.fromiter((self.vectors(t) if (r := row(t)) is None else r for x in lines for t in x), np.int64, begin[-1])
+        table = np.stack(self.rows)
         place = np.arange(len(ids)) - np.repeat(begin[:-1], sizes)
         left = np.repeat(sizes, sizes) - place - 1
         out = table[ids, 0]

@@ -38,7 +38,8 @@ FIXTURE_AGENTS = [
     "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/51.0.2704.79 Safari/537.36 Edge/14.14393",
 ]
 FIXTURE_REFERER = "http://example.com/"
-REPLAY_SPLIT = 64 << 10  # bytes of a split in the batch job's second run
+REPLAY_SPLIT = 64 << 10  # bytes of a split in the batch job's second run, at least
+REPLAY_CUTS = 3          # splits of the second run for one of the first
 BAD_LINE_EVERY = 50  # event_id % 50 = 49 gives an unparsable line
 
 
@@ -144,13 +145,26 @@ def log_batch(spark: SparkSession, source: str, out: str, counter: Observation |
     write_split(process_lines(read_log_lines(spark, source), ["file", "line_no"]), out, counter=counter)
 
 
+def replay_split(spark: SparkSession, source: str) -> int:
+    """Bytes of a split that cuts the files elsewhere than a plain read does, into about ``REPLAY_CUTS`` times as many.
+
+    It follows the plain read's splits, so the number of tasks, and of the files they write, doesn't
+    grow faster than a plain read's. Only the files' lengths are read.
+    """
+    n, total, longest = spark.read.format("binaryFile").load(source).agg(F.count("length"), F.sum("length"), F.max("length")).first()
+    if not n:
+        return REPLAY_SPLIT
+    plain = spark.read.text(source).rdd.getNumPartitions()
+    return max(REPLAY_SPLIT, min(longest, total // max(1, plain)) // REPLAY_CUTS)
+
+
 def log_batch_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Good records of the batch job over text files, found under the same key in a second run with other splits."""
     base = scratch_path(spark, "logbatch")
     log_lines(spark, sf_dir).select("line").write.text(f"{base}/in")
     log_batch(spark, f"{base}/in", f"{base}/first")
     again = spark.newSession()
-    again.conf.set("spark.sql.files.maxPartitionBytes", str(REPLAY_SPLIT))
+    again.conf.set("spark.sql.files.maxPartitionBytes", str(replay_split(spark, f"{base}/in")))
     log_batch(again, f"{base}/in", f"{base}/second")
     cols = ["row_key", "ip", "ts", "method", "resource", "status", "bytes", "user_agent", "record"]
     first, second = (spark.read.schema(BATCH_SCHEMA).parquet(f"{base}/{run}").where(F.col("outcome") == "valid") for run in ("first", "second"))

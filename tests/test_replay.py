@@ -237,3 +237,23 @@ def test_cli_zero_point_for_a_silent_cluster(spark, tmp_dir):
     assert main(["utilisation", report, out, "--clusters", names, "--run", "r", "--time", "2024-01-01T00:00:00"]) == 0
     points = {r.dimensions["Cluster"]: r.value for r in read_metrics(spark, out).collect()}
     assert set(points) == {"ASIA", "MOON"} and points["MOON"] == 0 < points["ASIA"]
+
+
+def test_second_run_cuts_files_elsewhere_into_few_more_tasks(spark, tmp_dir, monkeypatch):
+    """The number of tasks and files of the second run follows the first run's, whatever the input's size."""
+    base, src = os.path.join(tmp_dir, "job"), os.path.join(tmp_dir, "in")
+    spark.range(70_000).selectExpr(
+        "id AS event_id", "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts", "id % 900 AS user_id",
+        "'purchase' AS event_type", "id / 10 AS value").coalesce(1).write.parquet(os.path.join(src, "events.parquet"))
+    monkeypatch.setattr(logs, "scratch_path", lambda *_: base)
+    rows = logs.log_batch_replayed(spark, src)
+    files = {run: sum(n.endswith(".parquet") for n in os.listdir(os.path.join(base, run, "outcome=valid"))) for run in ("first", "second")}
+    assert files["first"] < files["second"] <= 5 * files["first"], files
+    assert rows.count() == 70_000 * 49 // 50
+    # small files are cut too, and an empty folder has a split size
+    one, none = os.path.join(tmp_dir, "one"), os.path.join(tmp_dir, "none")
+    os.makedirs(one), os.makedirs(none)
+    with open(os.path.join(one, "a.log"), "w") as fh:
+        fh.write((LINE + "\n") * 2500)
+    assert logs.replay_split(spark, one) < os.path.getsize(os.path.join(one, "a.log")) // 2
+    assert logs.replay_split(spark, none) == logs.REPLAY_SPLIT

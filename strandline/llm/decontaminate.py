@@ -3,10 +3,12 @@
 Benchmark items are cut into pieces of at most ``PIECE`` words. Passages are
 TF-IDF vectors over the words the pieces use (other words cannot meet one),
 with document frequencies counted over all documents. A distributed randomised
-SVD of the pieces and of a bounded sample of corpus passages
-(``SAMPLE_DOCS`` documents of lowest hash) gives a latent space of ``RANK``
+SVD of all passages of all documents (64 words each) and of the pieces, which
+together weigh like all passages together, gives a latent space of ``RANK``
 dimensions: tasks multiply their rows and return partial products by block of
-terms, which are summed by block; only terms x rank numbers reach the driver.
+terms, which are summed by block in two levels; only terms x rank numbers reach
+the driver. Texts are turned into term numbers once and stored; counts, products
+and search read those.
 
 Every document is then searched whole: overlapping windows of 32 and 64 words
 are projected, counted from each document's first word, and a window whose cosine
@@ -27,10 +29,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,12 +42,15 @@ from strandline.llm.common import matching, ship, stored, table, text_key
 
 PIECE = 48
 ITEMS = 5000
-SAMPLE_DOCS = 1000
+PASSAGE = 64             # words of a corpus passage
 RANK, EXTRA, ROUNDS = 128, 16, 2
 COSINE = 0.5
 COVER = 0.5
 STEP = 8                 # words of a block; windows are 4 and 8 blocks and start at every block
 TERMS = 64               # terms of a block of the products
+PARTS = 64               # groups in which tasks' blocks are summed first
+CHUNK = 2048             # passages multiplied together
+DENSE = 512              # most frequent terms, in a matrix of a chunk
 BATCH = 400_000          # words projected together, unless one text is longer
 # letters and digits stay, other ASCII characters separate words; text is lower-cased before
 _SPLIT = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -116,64 +123,137 @@ def leaks(piece: Piece, region: list[int]) -> float:
 # --- statistics and latent space ------------------------------------------------------------
 
 
-def document_frequencies(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, int]:
-    """Documents that hold each term, over all documents, and the number of documents."""
+def encoded(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
+    """``(doc_id, text_key, terms)``: every whole text as term numbers, 0 for words of no piece. Written once, read by all passes."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        get = shared.value.get
+        for b in batches:
+            cut, terms = [0], []
+            for t in b.column(2):
+                w = words(t.as_py())
+                terms.append(np.fromiter(map(get, w, repeat(0)), np.int32, len(w)))
+                cut.append(cut[-1] + len(w))
+            flat = np.concatenate(terms) if terms else np.zeros(0, np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists], ["doc_id", "text_key", "terms"])
+
+    rows = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
+    return stored(rows.mapInArrow(run, f"doc_id {kind}, text_key long, terms array<int>"), "leaks-terms")
+
+
+def flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists' values behind each other, and where each list begins (one more for the end)."""
+    cut = lists.offsets.to_numpy()
+    return lists.flatten().to_numpy(zero_copy_only=False), (cut - cut[0]).astype(np.int64)
+
+
+def document_frequencies(texts: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """Documents that hold each of ``size`` terms, over all documents, and the number of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get, n = shared.value.get, np.zeros(len(shared.value) + 1, np.int64)
+        n = np.zeros(size + 1, np.int64)
         for b in batches:
-            for t in b.column(0):
-                seen = {get(w, 0) for w in set(words(t.as_py()))}
-                seen.discard(0)
-                n[0] += 1
-                n[list(seen)] += 1
+            ids, cut = flat(b.column(0))
+            key = np.repeat(np.arange(len(cut) - 1), np.diff(cut)) * (size + 1) + ids
+            n += np.bincount(np.unique(key[ids > 0]) % (size + 1), minlength=size + 1)
+            n[0] += len(cut) - 1
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at])], ["term", "n"])
 
-    out = np.zeros(len(vocabulary) + 1, np.int64)
-    for r in docs.select("text").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+    out = np.zeros(size + 1, np.int64)
+    for r in texts.select("terms").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
         out[r["term"]] = r["n"]  # one row per term of the block at most
     return out[1:], int(out[0])
 
 
-def _times(passages: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """``A' A q`` for the passages' matrix ``A``, summed by blocks of terms."""
-    shared = passages.sparkSession.sparkContext.broadcast((idf, q))
+def products(ids: np.ndarray, cut: np.ndarray, idf: np.ndarray, q: np.ndarray, dense: int = DENSE) -> tuple[np.ndarray, int]:
+    """``A' A q`` for the texts' passages as rows of ``A``, TF-IDF of length 1; and how many rows aren't zero.
+
+    The ``dense`` terms of least idf, most of the words, go through a matrix, the others one by one.
+    """
+    sizes, v = np.diff(cut), len(idf)
+    first = np.concatenate(([0], np.cumsum(-(-sizes // PASSAGE))))
+    passage = np.repeat(first[:-1], sizes) + (np.arange(len(ids)) - np.repeat(cut[:-1], sizes)) // PASSAGE
+    known = ids > 0
+    passage, terms = passage[known], ids[known].astype(np.int64) - 1
+    often = np.argsort(idf, kind="stable")[:dense]
+    column = np.full(v, -1)
+    column[often] = np.arange(len(often))
+    z, n, q_often = np.zeros(q.shape), 0, q[often]
+    edges = np.searchsorted(passage, np.arange(0, first[-1] + CHUNK, CHUNK))
+    for k, (lo, hi) in enumerate(zip(edges, edges[1:])):
+        key, count = np.unique((passage[lo:hi] - k * CHUNK) * v + terms[lo:hi], return_counts=True)
+        row, t = np.divmod(key, v)
+        w = count * idf[t]
+        norm = np.sqrt(np.bincount(row, w * w, minlength=CHUNK))
+        n += np.count_nonzero(norm)
+        w = (w / norm[row]).astype(np.float32)
+        in_matrix = column[t] >= 0
+        a = np.zeros((CHUNK, len(often)), np.float32)
+        a[row[in_matrix], column[t[in_matrix]]] = w[in_matrix]
+        y = a @ q_often
+        row, t, w = row[~in_matrix], t[~in_matrix], w[~in_matrix, None]
+        if len(row):
+            begin = np.flatnonzero(np.diff(row, prepend=-1))
+            y[row[begin]] += np.add.reduceat(w * q[t], begin)
+        z[often] += a.T @ y
+        if len(row):
+            by_term = np.argsort(t, kind="stable")
+            row, t, w = row[by_term], t[by_term], w[by_term]
+            begin = np.flatnonzero(np.diff(t, prepend=-1))
+            z[t[begin]] += np.add.reduceat(w * y[row], begin)
+    return z, n
+
+
+def _times(texts: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """``A' A q`` divided by the number of rows, over the passages of all texts, summed by blocks of terms."""
+    shared = texts.sparkSession.sparkContext.broadcast((idf, q.astype(np.float32)))
+    schema = "at int, part int, z binary, n long"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, q = shared.value
-        z = np.zeros_like(q)
-        for pdf in batches:
-            for lo in range(0, len(pdf), 256):
-                rows = [np.asarray(x) for x in pdf["terms"].iloc[lo:lo + 256]]
-                a = np.zeros((len(rows), len(idf) + 1))
-                for i, x in enumerate(rows):
-                    np.add.at(a[i], x, 1.0)
-                a = a[:, 1:] * idf
-                norm = np.linalg.norm(a, axis=1, keepdims=True)
-                a /= np.where(norm > 0, norm, 1)
-                z += a.T @ (a @ q)
-        for lo in range(0, len(z), TERMS):
-            yield pd.DataFrame({"at": [lo], "z": [z[lo:lo + TERMS].tobytes()]})
+        z, n, part = np.zeros(q.shape), 0, TaskContext.get().partitionId() % PARTS
+        for b in batches:
+            more, rows = products(*flat(b.column(0)), idf, q)
+            z += more
+            n += rows
+        at = list(range(0, len(z), TERMS)) if n else []
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at, pa.int32()), pa.array([part] * len(at), pa.int32()),
+             pa.array([z[lo:lo + TERMS].astype(np.float32).tobytes() for lo in at], pa.binary()), pa.array([n] * len(at), pa.int64())],
+            ["at", "part", "z", "n"])
 
     def total(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = sum(np.frombuffer(x) for x in pdf["z"])
-        return pd.DataFrame({"at": [pdf["at"].iloc[0]], "z": [parts.tobytes()]})
+        z = sum(np.frombuffer(x, np.float32).astype(float) for x in pdf["z"])
+        return pd.DataFrame({"at": pdf["at"].iloc[:1], "part": pdf["part"].iloc[:1], "z": [z.astype(np.float32).tobytes()], "n": [pdf["n"].sum()]})
 
-    out = np.zeros_like(q)
-    for r in passages.mapInPandas(run, "at int, z binary").groupBy("at").applyInPandas(total, "at int, z binary").collect():
-        out[r["at"]:r["at"] + TERMS] = np.frombuffer(bytes(r["z"])).reshape(-1, q.shape[1])
+    sums = texts.select("terms").mapInArrow(run, schema).groupBy("at", "part").applyInPandas(total, schema)
+    out = np.zeros(q.shape)
+    for r in sums.groupBy("at").applyInPandas(total, schema).collect():
+        out[r["at"]:r["at"] + TERMS] = np.frombuffer(bytes(r["z"]), np.float32).reshape(-1, q.shape[1]) / r["n"]
     return out
 
 
-def latent_space(passages: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
-    """Term vectors of a randomised SVD: terms x rank, scaled by idf."""
+def latent_space(texts: DataFrame, idf: np.ndarray, rank: int = RANK, own: list[list[int]] = ()) -> np.ndarray:
+    """Term vectors of a randomised SVD of the passages of all texts: terms x rank, scaled by idf.
+
+    The runs ``own`` (the pieces) together weigh like all passages of the texts together.
+    """
     width = min(rank + EXTRA, len(idf))
+    ids = np.array([x for r in own for x in r], np.int32)
+    cut = np.concatenate(([0], np.cumsum([len(r) for r in own], dtype=np.int64)))
+
+    def times(q: np.ndarray) -> np.ndarray:
+        z, n = products(ids, cut, idf, q.astype(np.float32))
+        return _times(texts, idf, q) + z / max(n, 1)
+
     q = np.linalg.qr(np.random.default_rng(0).standard_normal((len(idf), width)))[0]
     for _ in range(ROUNDS):
-        q = np.linalg.qr(_times(passages, idf, q))[0]
-    value, vector = np.linalg.eigh(q.T @ _times(passages, idf, q))
+        q = np.linalg.qr(times(q))[0]
+    value, vector = np.linalg.eigh(q.T @ times(q))
     best = np.argsort(-value)[:rank]
     return (q @ vector[:, best]) * idf[:, None]
 
@@ -206,7 +286,7 @@ def verbatim(ids: np.ndarray, pieces: list[Piece], terms: int) -> Iterator[tuple
                 yield j, begin
 
 
-def _search(texts: list[list[int]], vectors: np.ndarray, queries: np.ndarray, pieces: list[Piece], cosine: float) -> list[tuple]:
+def _search(texts: list[list[int] | np.ndarray], vectors: np.ndarray, queries: np.ndarray, pieces: list[Piece], cosine: float) -> list[tuple]:
     """``(text, piece, covered, cosine, first word, last word)`` of the leaks in some texts of term numbers."""
     sizes = [-(-len(t) // STEP) + 8 for t in texts]  # blocks, with room for a window past the end
     begin = np.concatenate(([0], np.cumsum(sizes)))
@@ -249,7 +329,7 @@ def _search(texts: list[list[int]], vectors: np.ndarray, queries: np.ndarray, pi
         best = (0.0, 0.0, 0, 0)
         for lo, hi, c in runs:
             lo, hi = max(0, lo * STEP - 2 * STEP), min(len(texts[d]), hi * STEP + 2 * STEP)
-            got = leaks(pieces[j], texts[d][lo:hi])
+            got = leaks(pieces[j], ids[begin[d] * STEP + lo:begin[d] * STEP + hi].tolist())
             best = max(best, (got, c, lo, hi))
         if best[0]:
             out.append((d, j, *best))
@@ -280,38 +360,24 @@ def _block_leaks(docs: DataFrame, items: list[tuple[int, str | None]], cosine: f
     schema = f"doc_id {kind}, text_key long, item_id long, covered double, cosine double, first_word int, last_word int"
     if not pieces:
         return spark.createDataFrame([], schema)
-    df, n = document_frequencies(docs, vocabulary)
+    texts = encoded(docs, vocabulary)
+    df, n = document_frequencies(texts, len(vocabulary))
     idf = np.log((n + 1) / (df + 1)) + 0.1
-
-    sample = stored(docs.select("doc_id").where("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS), "leaks-sample")
-    shared = spark.sparkContext.broadcast(vocabulary)
-
-    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get = shared.value.get
-        for pdf in batches:
-            for text in pdf["text"]:
-                ids = [get(w, 0) for w in words(text)]
-                if ids:
-                    yield pd.DataFrame({"terms": [ids[i:i + 64] for i in range(0, len(ids), 64)]})
-
-    corpus = docs.join(sample, "doc_id", "left_semi").select("text").mapInPandas(windows, "terms array<int>")
-    # every piece counts as often as it takes for the pieces to weigh like the sample
-    own = spark.createDataFrame([(p.terms,) for p in pieces for _ in range(8)], "terms array<int>")
-    passages = stored(corpus.union(own), "leaks-passages")
-    terms = latent_space(passages, idf)
+    terms = latent_space(texts, idf, own=[p.terms for p in pieces])
     vectors = np.concatenate((np.zeros((1, terms.shape[1])), terms)).astype(np.float32)
     queries = np.stack([vectors[p.terms].sum(axis=0) for p in pieces])
     queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-9)
     model = spark.sparkContext.broadcast((vectors, queries, pieces))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get, (vectors, queries, pieces) = shared.value.get, model.value
+        vectors, queries, pieces = model.value
         for b in batches:
             out: list[tuple] = []
-            texts: list[list[int]] = []
+            texts: list[np.ndarray] = []
             first, size = 0, 0
-            for i, t in enumerate(b.column(2)):
-                texts.append([get(w, 0) for w in words(t.as_py())])
+            ids, cut = flat(b.column(2))
+            for i, (lo, hi) in enumerate(zip(cut, cut[1:])):
+                texts.append(ids[lo:hi])
                 size += len(texts[-1])
                 if size >= BATCH or i == b.num_rows - 1:
                     out += [(first + d, *r) for d, *r in _search(texts, vectors, queries, pieces, cosine)]
@@ -327,7 +393,7 @@ def _block_leaks(docs: DataFrame, items: list[tuple[int, str | None]], cosine: f
                  *[pa.array([x[k] for x in v], kind) for k, kind in ((0, pa.float64()), (1, pa.float64()), (2, pa.int32()), (3, pa.int32()))]],
                 ["doc_id", "text_key", "item_id", "covered", "cosine", "first_word", "last_word"])
 
-    return docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text").mapInArrow(run, schema)
+    return texts.mapInArrow(run, schema)
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

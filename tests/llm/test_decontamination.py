@@ -116,3 +116,42 @@ def test_odd_rows(spark, edge, empty, benchmark):
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 1, 2, 3, 4, 5, 6, 7, 9]
     assert c.drop_leaks(empty, benchmark).count() == 0
     assert c.find_leaks(edge, benchmark.limit(0)).count() == 0 and c.drop_leaks(edge, benchmark.limit(0)).count() == edge.count()
+
+
+def _gram(rows, idf):
+    a = np.zeros((len(rows), len(idf) + 1))
+    for i, r in enumerate(rows):
+        np.add.at(a[i], r, 1.0)
+    a = a[:, 1:] * idf
+    a = a[a.any(axis=1)]
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    return a.T @ a / max(1, len(a)), len(a)
+
+
+def test_products_with_rare_terms_and_long_texts():
+    rng = np.random.default_rng(4)
+    idf = rng.uniform(0.1, 6, 90)
+    texts = [rng.integers(0, 91, n) * (rng.random(n) < 0.6) for n in (0, 1, 63, 64, 65, 500, 3, 0, 130, 5000)] + [np.zeros(70, int)]
+    want, n = _gram([t[i:i + c.PASSAGE] for t in texts for i in range(0, len(t), c.PASSAGE)], idf)
+    ids, cut = np.concatenate(texts).astype(np.int32), np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    q = rng.standard_normal((90, 7)).astype(np.float32)
+    for dense in (0, 20, 90):
+        z, rows = c.products(ids, cut, idf, q, dense)
+        assert rows == n and np.allclose(z / n, want @ q, atol=1e-4)
+
+
+def test_latent_space_is_of_all_documents(spark, monkeypatch):
+    """The space is fitted on every passage of every document, not on some; a repeated document id loses none."""
+    rng = random.Random(6)
+    rows = [(i // 2, " ".join(f"w{rng.randint(0, 40)}" for _ in range(rng.choice((0, 5, 90))))) for i in range(2600)]
+    items = [(0, " ".join(f"w{i}" for i in range(41)))]
+    fits = []
+    times = c._times
+    monkeypatch.setattr(c, "_times", lambda texts, idf, q: fits.append((idf, q, times(texts, idf, q))) or fits[-1][2])
+    c.find_leaks(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), spark.createDataFrame(items, "item_id long, text string"))
+    vocabulary = c.pieces_of(items)[1]
+    ids = [[vocabulary.get(w, 0) for w in c.words(t)] for _, t in rows]
+    assert len(fits) == c.ROUNDS + 1
+    for idf, q, z in fits:
+        want, n = _gram([t[i:i + c.PASSAGE] for t in ids for i in range(0, len(t), c.PASSAGE)], idf)
+        assert n > 2000 and np.allclose(z, want @ q, atol=1e-4)

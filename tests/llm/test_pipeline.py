@@ -91,3 +91,12 @@ def test_odd_documents(spark, edge, empty):
             docs = stored(f(spark, docs, SF001), "test-odd")
         assert "sequence_id" in docs.columns
     assert docs.count() == 0
+
+
+def test_benchmark_stage_fits_on_every_document_it_is_given(spark, monkeypatch):
+    """Its latent space is a model of all documents that reach the stage, more of them than any sample's size."""
+    docs = spark.range(2500).selectExpr("id AS doc_id", "concat('seven tall trees and ', id % 50, ' more words') AS text")
+    seen, times = [], decontaminate._times
+    monkeypatch.setattr(decontaminate, "_times", lambda texts, idf, q: seen.append(texts.count()) or times(texts, idf, q))
+    assert cp.benchmark(spark, docs, SF001).columns == docs.columns
+    assert seen == [2500] * (decontaminate.ROUNDS + 1)

@@ -10,7 +10,9 @@ terms, which are summed by block in two levels; only terms x rank numbers reach
 the driver. Texts are turned into term numbers once and stored; counts, products
 and search read those.
 
-Every document is then searched whole: overlapping windows of 32 and 64 words
+Every document is then searched whole. Pairs of a text and a piece that the check
+below cannot accept, because no stretch of the text holds enough of the piece's
+words, are left out first (``reachable``, lossless). Overlapping windows of 32 and 64 words
 are projected, counted from each document's first word, and a window whose cosine
 with a piece reaches ``COSINE`` is a candidate; so is every place where a piece of
 three words or more stands word for word, whatever is around it. A candidate counts as a leak when the longest common subsequence of
@@ -27,6 +29,7 @@ empty benchmark gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -51,7 +54,9 @@ TERMS = 64               # terms of a block of the products
 PARTS = 64               # groups in which tasks' blocks are summed first
 CHUNK = 2048             # passages multiplied together
 DENSE = 512              # most frequent terms, in a matrix of a chunk
-BATCH = 400_000          # words projected together, unless one text is longer
+BATCH = 400_000          # words searched together, unless one text is longer
+TOGETHER = 8192          # words projected together, unless one text is longer
+STRETCHES = 2_000_000    # numbers held while a batch's texts are sorted out, unless one stretch takes more
 # letters and digits stay, other ASCII characters separate words; text is lower-cased before
 _SPLIT = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -158,7 +163,7 @@ def document_frequencies(texts: DataFrame, size: int) -> tuple[np.ndarray, int]:
         for b in batches:
             ids, cut = flat(b.column(0))
             key = np.repeat(np.arange(len(cut) - 1), np.diff(cut)) * (size + 1) + ids
-            n += np.bincount(np.unique(key[ids > 0]) % (size + 1), minlength=size + 1)
+            n += np.bincount(distinct(key[ids > 0]) % (size + 1), minlength=size + 1)
             n[0] += len(cut) - 1
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at])], ["term", "n"])
@@ -169,6 +174,18 @@ def document_frequencies(texts: DataFrame, size: int) -> tuple[np.ndarray, int]:
     return out[1:], int(out[0])
 
 
+def sums(w: np.ndarray, x: np.ndarray, row: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Sums of ``w * x[row]`` over the runs that begin at ``begin``, all runs of a length in one product."""
+    size = np.diff(begin, append=len(row))
+    order = np.argsort(size, kind="stable")
+    out = np.empty((len(begin), x.shape[1]), x.dtype)
+    for runs in np.split(order, np.flatnonzero(np.diff(size[order])) + 1):
+        if len(runs):
+            at = begin[runs, None] + np.arange(size[runs[0]])
+            out[runs] = np.matmul(w[at][:, None], x[row[at]])[:, 0]
+    return out
+
+
 def products(ids: np.ndarray, cut: np.ndarray, idf: np.ndarray, q: np.ndarray, dense: int = DENSE) -> tuple[np.ndarray, int]:
     """``A' A q`` for the texts' passages as rows of ``A``, TF-IDF of length 1; and how many rows aren't zero.
 
@@ -195,16 +212,14 @@ def products(ids: np.ndarray, cut: np.ndarray, idf: np.ndarray, q: np.ndarray, d
         a = np.zeros((CHUNK, len(often)), np.float32)
         a[row[in_matrix], column[t[in_matrix]]] = w[in_matrix]
         y = a @ q_often
-        row, t, w = row[~in_matrix], t[~in_matrix], w[~in_matrix, None]
-        if len(row):
-            begin = np.flatnonzero(np.diff(row, prepend=-1))
-            y[row[begin]] += np.add.reduceat(w * q[t], begin)
+        row, t, w = row[~in_matrix], t[~in_matrix], w[~in_matrix]
+        begin = np.flatnonzero(np.diff(row, prepend=-1))
+        y[row[begin]] += sums(w, q, t, begin)
         z[often] += a.T @ y
-        if len(row):
-            by_term = np.argsort(t, kind="stable")
-            row, t, w = row[by_term], t[by_term], w[by_term]
-            begin = np.flatnonzero(np.diff(t, prepend=-1))
-            z[t[begin]] += np.add.reduceat(w * y[row], begin)
+        by_term = np.argsort(t, kind="stable")
+        row, t, w = row[by_term], t[by_term], w[by_term]
+        begin = np.flatnonzero(np.diff(t, prepend=-1))
+        z[t[begin]] += sums(w, y, row, begin)
     return z, n
 
 
@@ -286,13 +301,71 @@ def verbatim(ids: np.ndarray, pieces: list[Piece], terms: int) -> Iterator[tuple
                 yield j, begin
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted distinct numbers; by sorting, which costs less here than the hash table of ``np.unique``."""
+    x = np.sort(x)
+    return x[np.diff(x, prepend=-1) != 0] if len(x) else x
+
+
+def reachable(ids: np.ndarray, cut: np.ndarray, pieces: list[Piece], terms: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(text, piece)`` pairs, sorted, of the texts ``ids[cut[i]:cut[i + 1]]`` that can hold a leak; no other pair can.
+
+    ``leaks`` looks at no more than twice the piece and two blocks at a time, and wants ``need`` of the piece's
+    places matched there, so the terms found in some stretch of that length must fill as many places.
+    """
+    half = 2 * (max(len(p.terms) for p in pieces) + STEP)  # two neighbours hold any stretch ``leaks`` looks at
+    sizes = np.diff(cut)
+    count = -(-sizes // half)
+    first = np.concatenate(([0], np.cumsum(count)))
+    text_of = np.repeat(np.arange(len(sizes)), count)
+    known = np.flatnonzero(ids > 0)
+    text = np.repeat(np.arange(len(sizes)), sizes)[known]
+    key = distinct((first[text] + (known - cut[text]) // half) * terms + ids[known])
+    at, term = np.divmod(key, terms)
+    before = at > first[text_of[at]] if len(at) else np.zeros(0, bool)  # a half ends the stretch before, too
+    at, term = np.divmod(distinct(np.concatenate((key, key[before] - terms))), terms)
+    users = sorted((t, j, x) for j, p in enumerate(pieces) for t, x in Counter(p.terms).items())
+    user_term, user, times = (np.array(c, np.int64) for c in zip(*users))
+    begin = np.searchsorted(user_term, np.arange(terms + 1))
+    many = begin[term + 1] - begin[term]
+    need = np.array([len(p.terms) * (COVER if len(p.terms) >= 8 else 1.0) for p in pieces]) - 1e-6
+    # some stretches at a time, by the numbers they take
+    work = np.cumsum(np.bincount(at, many, minlength=len(text_of)) + len(pieces))
+    out, lo = [np.zeros(0, np.int64)], 0
+    while lo < len(text_of):
+        hi = max(lo + 1, int(np.searchsorted(work, (work[lo - 1] if lo else 0) + STRETCHES)))
+        a, b = np.searchsorted(at, (lo, hi))
+        n = many[a:b]
+        i = np.arange(n.sum()) + np.repeat(begin[term[a:b]] - np.cumsum(n) + n, n)
+        filled = np.bincount(np.repeat(at[a:b] - lo, n) * len(pieces) + user[i], times[i], minlength=(hi - lo) * len(pieces))
+        row, j = np.nonzero(filled.reshape(hi - lo, -1) >= need)
+        out.append(text_of[lo + row] * len(pieces) + j)
+        lo = hi
+    return np.divmod(distinct(np.concatenate(out)), len(pieces))
+
+
 def _search(texts: list[list[int] | np.ndarray], vectors: np.ndarray, queries: np.ndarray, pieces: list[Piece], cosine: float) -> list[tuple]:
     """``(text, piece, covered, cosine, first word, last word)`` of the leaks in some texts of term numbers."""
+    cut = np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64)))
+    pair_text, pair_piece = reachable(np.concatenate([np.asarray(t, np.int32) for t in texts]), cut, pieces, len(vectors))
+    wanted, edge = np.unique(pair_text, return_index=True)  # only these are projected, and compared with their pieces
+    if not len(wanted):
+        return []
+    own_pieces = np.split(pair_piece, edge[1:])
+    group = np.cumsum(np.diff(cut)[wanted]) // TOGETHER  # small enough for a core's cache, unless one text is longer
+    out = []
+    for lo, hi in zip(*(e.tolist() for e in (np.searchsorted(group, np.unique(group), side) for side in ("left", "right")))):
+        found = _compare([texts[i] for i in wanted[lo:hi]], own_pieces[lo:hi], vectors, queries, pieces, cosine)
+        out += [(int(wanted[lo + d]), *r) for d, *r in found]
+    return out
+
+
+def _compare(texts: list, own_pieces: list[np.ndarray], vectors: np.ndarray, queries: np.ndarray, pieces: list[Piece], cosine: float) -> list[tuple]:
+    """``_search`` for some texts, each compared with its own pieces only."""
     sizes = [-(-len(t) // STEP) + 8 for t in texts]  # blocks, with room for a window past the end
     begin = np.concatenate(([0], np.cumsum(sizes)))
     text_of = np.repeat(np.arange(len(texts)), sizes)
     place = np.arange(len(text_of)) - begin[text_of]  # of a block in its text
-    own = place < np.array(sizes, np.int64)[text_of] - 8
     ids = np.zeros(int(begin[-1]) * STEP, np.int32)
     for t, b in zip(texts, begin):
         ids[b * STEP:b * STEP + len(t)] = t
@@ -300,19 +373,17 @@ def _search(texts: list[list[int] | np.ndarray], vectors: np.ndarray, queries: n
     half = blocks[:-3] + blocks[1:-2] + blocks[2:-1] + blocks[3:]
     whole = half[:-4] + half[4:]
     hits: dict[tuple[int, int], list[tuple[int, int, float]]] = {}
-    at = np.flatnonzero(own)
     for w, width in ((half, 4), (whole, 8)):
-        for lo in range(0, len(at), 1 << 15):
-            part = at[lo:lo + (1 << 15)]
-            v = w[part]
-            norm = np.sqrt(np.einsum("ij,ij->i", v, v))
-            full = norm > 1e-6
-            part, v = part[full], v[full] / norm[full, None]
-            near = v @ queries.T
-            i, j = np.divmod(np.flatnonzero(near >= cosine), near.shape[1])
-            for key, *window in zip(zip(text_of[part[i]].tolist(), j.tolist()), place[part[i]].tolist(), near[i, j].tolist()):
-                hits.setdefault(key, []).append((window[0], width, window[1]))
-    for j, first in verbatim(ids, pieces, len(vectors)):
+        norm = np.sqrt(np.einsum("ij,ij->i", w, w))
+        unit = w / np.where(norm > 1e-6, norm, np.inf).astype(np.float32)[:, None]
+        for d, js in enumerate(own_pieces):
+            near = unit[begin[d]:begin[d + 1] - 8] @ queries[js].T
+            i, j = np.divmod(np.flatnonzero(near >= cosine), len(js))
+            for at, j, c in zip(i.tolist(), js[j].tolist(), near[i, j].tolist()):
+                hits.setdefault((d, j), []).append((at, width, c))
+    tried = distinct(np.concatenate(own_pieces))
+    for k, first in verbatim(ids, [pieces[j] for j in tried], len(vectors)):
+        j = int(tried[k])
         at = np.unique(first // STEP)
         near = whole[at] @ queries[j] / np.maximum(np.linalg.norm(whole[at], axis=1), 1e-6)
         for d, *window in zip(text_of[at].tolist(), place[at].tolist(), near.tolist()):

@@ -155,3 +155,45 @@ def test_latent_space_is_of_all_documents(spark, monkeypatch):
     for idf, q, z in fits:
         want, n = _gram([t[i:i + c.PASSAGE] for t in ids for i in range(0, len(t), c.PASSAGE)], idf)
         assert n > 2000 and np.allclose(z, want @ q, atol=1e-4)
+
+
+def test_pairs_that_cannot_leak_are_left_out_and_no_other():
+    rng = np.random.default_rng(5)
+    runs = [rng.integers(1, 300, n).tolist() for n in (1, 2, 3, 7, 8, 15, 30, 48)] * 3
+    items = [c.Piece(i, r, r) for i, r in enumerate(runs)]
+    texts = [rng.integers(0, 300, n) for n in (0, 1, 40, 111, 112, 113, 225, 3000)]
+    for i, r in enumerate(runs):  # a piece, wholly or with a word between each two, anywhere in a text
+        wide = np.zeros(2 * len(r) if len(r) >= 8 else len(r), int)
+        wide[::len(wide) // len(r)] = r
+        t = rng.integers(300, 600, 400)
+        at = rng.integers(0, 400 - len(wide))
+        t[at:at + len(wide)] = wide
+        texts.append(t)
+    cut = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    got = set(zip(*(x.tolist() for x in c.reachable(np.concatenate(texts).astype(np.int32), cut, items, 600))))
+    size = lambda p: 2 * len(p.terms) + 2 * c.STEP
+    can = {(i, j) for i, t in enumerate(texts) for j, p in enumerate(items)
+           if any(c.leaks(p, t[lo:lo + size(p)].tolist()) for lo in range(max(1, len(t) - len(p.terms))))}
+    assert can <= got and {(8 + i, i) for i in range(len(runs))} <= can
+    assert len(got) < len(texts) * len(items) / 2
+
+
+def test_only_texts_that_can_leak_are_projected(monkeypatch):
+    rng = np.random.default_rng(6)
+    piece = list(range(1, 21))
+    texts = [rng.integers(21, 400, 300).tolist() for _ in range(50)]
+    texts[17][100:120] = piece
+    vectors = np.concatenate((np.zeros((1, 16)), rng.standard_normal((400, 16)))).astype(np.float32)
+    query = vectors[piece].sum(axis=0, keepdims=True)
+    seen, compare = [], c._compare
+    monkeypatch.setattr(c, "_compare", lambda texts, *rest: seen.extend(texts) or compare(texts, *rest))
+    found = c._search(texts, vectors, query / np.linalg.norm(query), [c.Piece(3, piece, piece)], c.COSINE)
+    assert [h[:3] for h in found] == [(17, 0, 1.0)] and len(seen) == 1
+
+
+def test_sums_over_runs():
+    rng = np.random.default_rng(7)
+    row, w, x = rng.integers(0, 40, 500), rng.random(500).astype(np.float32), rng.random((40, 9)).astype(np.float32)
+    begin = np.concatenate(([0], np.sort(rng.choice(np.arange(1, 500), 60, replace=False))))
+    assert np.allclose(c.sums(w, x, row, begin), np.add.reduceat(w[:, None] * x[row], begin), rtol=1e-5)
+    assert c.sums(w[:0], x, row[:0], begin[:0]).shape == (0, 9)

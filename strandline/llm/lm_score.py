@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -46,7 +47,7 @@ PAD = TOKENS
 PLACES = (-2, -1, 1, 2)
 WIDTH = 32               # the last one is constant 1 and carries the biases
 STEP = 4096              # tokens learned from together
-SCORED = 1 << 15         # tokens scored together
+SCORED = 1 << 12         # tokens scored together
 ROWS = 128               # rows of the weights in a block
 FAN = 256                # tasks summed in a group of the first level
 CACHED = 400_000
@@ -64,21 +65,24 @@ def bucket(w: bytes) -> int:
     return zlib.crc32(w[:2]) % OTHER
 
 
+#: Bucket of each pair of first bytes.
+_OWN = np.array([[bucket(bytes((a, b))) for b in range(BYTES)] for a in range(BYTES)], np.int32)
+
+
 class Words(dict):
-    """Word -> token; unknown words go to a bucket."""
+    """Known word -> token; other words go to a bucket."""
 
     def __init__(self, known: list[str]) -> None:
         super().__init__((w.encode("utf-8", "surrogatepass"), i) for i, w in enumerate(known))
-        self.known = len(self)
-
-    def __missing__(self, w: bytes) -> int:
-        t = KNOWN + bucket(w + b"\n")
-        if len(self) < self.known + CACHED and len(w) < 40:
-            self[w] = t
-        return t
 
-    def tokens(self, words: list[bytes]) -> np.ndarray:
-        return np.array(list(map(self.__getitem__, words)), dtype=np.int32)
+    def tokens(self, words: list[bytes], x: np.ndarray | None = None) -> np.ndarray:
+        """Token of each word; ``x`` is ``spelled(words)``, if at hand."""
+        x = spelled(words) if x is None else x
+        out = np.fromiter(map(self.get, words, repeat(-1)), np.int32, len(words))
+        other = np.flatnonzero(out < 0)
+        first = np.flatnonzero(x == 10)[other] + 1
+        out[other] = KNOWN + _OWN[x[first], x[first + 1]]
+        return out
 
 
 class Spelling(dict):
@@ -91,8 +95,7 @@ class Spelling(dict):
         self.log = np.log(p)
         two = p[10][:, None] * p  # first two bytes; an empty word belongs to no bucket
         two[10] = 0
-        own = np.array([[bucket(bytes((a, b))) for b in range(BYTES)] for a in range(BYTES)])
-        mass = np.bincount(own.ravel(), two.ravel(), minlength=OTHER)
+        mass = np.bincount(_OWN.ravel(), two.ravel(), minlength=OTHER)
         taken = np.bincount([bucket(w + b"\n") for w in self.known], np.exp(self.chains(self.known)), minlength=OTHER)
         self.mass = np.log(np.maximum(mass - taken, 1e-9 * mass))
         self.forget()
@@ -103,10 +106,18 @@ class Spelling(dict):
 
     def chains(self, words: list[bytes]) -> np.ndarray:
         """Log probability of each spelling among all."""
-        if not words:
+        return self._chains(spelled(words)) if words else np.zeros(0)
+
+    def _chains(self, x: np.ndarray) -> np.ndarray:
+        pair = x[:-1].astype(np.intp) * BYTES + x[1:]
+        return np.add.reduceat(self.log.ravel().take(pair), np.flatnonzero(x[:-1] == 10))
+
+    def of(self, tokens: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Log probability in its bucket of each of the words ``x`` (by ``spelled``) with these tokens."""
+        if not len(tokens):
             return np.zeros(0)
-        x = spelled(words)
-        return np.add.reduceat(self.log[x[:-1], x[1:]], np.flatnonzero(x[:-1] == 10))
+        own = tokens - KNOWN
+        return np.where(own < 0, 0.0, np.minimum(self._chains(x) - self.mass[np.maximum(own, 0)], 0.0))
 
     def add(self, words: set[bytes]) -> None:
         """Make all of ``words`` known to the lookup, which keeps ``CACHED`` of them and those of one call."""
@@ -144,9 +155,9 @@ class Network:
         return [k * (TOKENS + 1) + flat[at + p] for k, p in enumerate(PLACES)]
 
     def hidden(self, rows: list[np.ndarray]) -> np.ndarray:
-        h = self.w[rows[0]]
+        h = self.w.take(rows[0], axis=0)
         for r in rows[1:]:
-            h += self.w[r]
+            h += self.w.take(r, axis=0)
         np.tanh(h, out=h)
         h[:, -1] = 1
         return h
@@ -176,12 +187,13 @@ class Network:
             h = self.hidden(self.contexts(flat, part))
             p = self._picked(h @ self.w[_IN:_IN + CLASSES].T, group).astype(np.float64)
             order = np.argsort(group.astype(np.int8), kind="stable")
-            cut = np.searchsorted(group[order], np.arange(CLASSES + 1))
-            for c in range(CLASSES):
-                i = order[cut[c]:cut[c + 1]]
-                if len(i):
+            cut = np.searchsorted(group[order], np.arange(CLASSES + 1)).tolist()
+            near, z = h.take(order, axis=0), np.empty((len(part), EACH), h.dtype)
+            for c, (b, e) in enumerate(zip(cut, cut[1:])):
+                if b < e:
                     first = _IN + CLASSES + c * EACH
-                    p[i] += self._picked(h[i] @ self.w[first:first + EACH].T, target[i] - c * EACH)
+                    np.matmul(near[b:e], self.w[first:first + EACH].T, out=z[b:e])
+            p[order] += self._picked(z, target[order] % EACH)
             out[lo:lo + SCORED] = p
         return out
 
@@ -198,29 +210,43 @@ class Network:
         steps = [(slice(_IN, _IN + CLASSES), d.T @ h, np.bincount(group, minlength=CLASSES))]
         order = np.argsort(group.astype(np.int8), kind="stable")
         cut = np.searchsorted(group[order], np.arange(CLASSES + 1)).tolist()
-        near, column, more = h[order], target[order] % EACH, np.empty_like(back)  # tokens by class
-        for c in range(CLASSES):
-            i = slice(cut[c], cut[c + 1])
-            if cut[c] < cut[c + 1]:
-                own = slice(_IN + CLASSES + c * EACH, _IN + CLASSES + (c + 1) * EACH)
-                e = self._softmax(near[i] @ self.w[own].T)
-                e[n[:len(e)], column[i]] -= 1
-                more[i] = e @ self.w[own]
-                steps.append((own, e.T @ near[i], np.full(EACH, len(e) / EACH)))
+        near, column, more = h.take(order, axis=0), target[order] % EACH, np.empty_like(back)  # tokens by class
+        seen = [(slice(cut[c], cut[c + 1]), slice(c * EACH, (c + 1) * EACH)) for c in range(CLASSES) if cut[c] < cut[c + 1]]
+        rows_of, e = self.w[_IN + CLASSES:], np.empty((len(at), EACH), h.dtype)
+        for i, own in seen:
+            np.matmul(near[i], rows_of[own].T, out=e[i])
+        e = self._softmax(e)
+        e[n, column] -= 1
+        g = np.zeros((TOKENS, WIDTH), h.dtype)  # classes without a token change nothing
+        for i, own in seen:
+            np.matmul(e[i], rows_of[own], out=more[i])
+            np.matmul(e[i].T, near[i], out=g[own])
+        steps.append((slice(_IN + CLASSES, None), g, np.repeat(np.diff(cut) / EACH, EACH)))
         back[order] += more
         back *= 1 - h * h
         back[:, -1] = 0
-        for r in rows:
-            order = np.argsort(r.astype(np.int16), kind="stable")
-            r = r[order]
-            first = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
-            steps.append((r[first], np.add.reduceat(back[order], first, axis=0), np.diff(first, append=len(r))))
+        r = np.concatenate(rows)
+        order = np.argsort(r.astype(np.int16), kind="stable")
+        r = r[order]
+        first = np.flatnonzero(np.diff(r, prepend=-1))
+        steps.append((r[first], added(back, order % len(at), first), np.diff(first, append=len(r))))
         for where, g, times in steps:
             squares[where] += (g * g).mean(axis=1)
             used[where] += times
             self.w[where] -= rate * g / np.sqrt(squares[where] + 1e-8)[:, None]
 
 
+def added(x: np.ndarray, row: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of ``x[row]`` over the runs that begin at ``first``, all runs of a length together."""
+    size = np.diff(first, append=len(row))
+    order = np.argsort(size, kind="stable")
+    out = np.empty((len(first), x.shape[1]), x.dtype)
+    for runs in np.split(order, np.flatnonzero(np.diff(size[order])) + 1):
+        if len(runs):
+            out[runs] = x.take(row[first[runs, None] + np.arange(size[runs[0]])], axis=0).sum(axis=1)
+    return out
+
+
 def laid_out(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Token runs one after another with two pads around each; places of the tokens; first place per text."""
     size = np.array([len(t) for t in texts], dtype=np.int64)
@@ -231,6 +257,15 @@ def laid_out(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return flat, np.flatnonzero(flat != PAD), begin
 
 
+def numbered(texts: list[list[bytes]], words: Words) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Tokens of each text; of all texts one after another; all words as by ``spelled``."""
+    flat = list(chain.from_iterable(texts))
+    x = spelled(flat)
+    tokens = words.tokens(flat, x)
+    end = np.cumsum([len(t) for t in texts])
+    return [tokens[e - len(t):e] for e, t in zip(end.tolist(), texts)], tokens, x
+
+
 def _runs(column: pa.Array, most: int) -> Iterator[list[list[bytes]]]:
     """Texts as words, about ``most`` words at a time."""
     texts: list[list[bytes]] = []
@@ -292,7 +327,7 @@ def train(docs: DataFrame, known: list[str]) -> np.ndarray:
         squares, used = np.zeros(len(net.w), np.float32), np.zeros(len(net.w), np.float32)
         for b in batches:
             for texts in _runs(b.column(0), 8 * STEP):
-                flat, at, _ = laid_out([words.tokens(t) for t in texts])
+                flat, at, _ = laid_out(numbered(texts, words)[0])
                 for lo in range(0, len(at), STEP):
                     net.learn(flat, at[lo:lo + STEP], squares, used)
         if used.any():
@@ -329,13 +364,13 @@ def score(docs: DataFrame, known: list[str], weights: np.ndarray, pairs: np.ndar
         words, net, letters = Words(known), Network(weights), Spelling(known, pairs)
         for b in batches:
             sums, sizes = [], []
-            for texts in _runs(b.column(1), 4 * SCORED):
-                letters.add(set().union(*texts))
-                flat, at, _ = laid_out([words.tokens(t) for t in texts])
-                p = np.concatenate(([0.0], np.cumsum(net.log_prob(flat, at))))
+            for texts in _runs(b.column(1), 32 * SCORED):
+                each, tokens, x = numbered(texts, words)
+                flat, at, _ = laid_out(each)
+                p = np.concatenate(([0.0], np.cumsum(net.log_prob(flat, at) + letters.of(tokens, x))))
                 size = np.array([len(t) for t in texts])
                 end = np.cumsum(size)
-                sums += (p[end] - p[end - size] + [letters.sum(t) for t in texts]).tolist()
+                sums += (p[end] - p[end - size]).tolist()
                 sizes += size.tolist()
             sums, sizes = np.array(sums), np.array(sizes, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(

@@ -206,3 +206,25 @@ def test_odd_rows(spark, edge, empty):
     assert m.vocabulary(empty) == []
     weights = m.train(empty, [])
     assert np.array_equal(weights, m.Network.start()) and m.score(empty, [], weights).count() == 0
+
+
+def test_texts_are_numbered_and_spelled_together():
+    known = ["ab", "a", "zoo"]
+    words = m.Words(known)
+    letters = m.Spelling(known, np.random.default_rng(3).integers(0, 50, (m.BYTES, m.BYTES)))
+    texts = [m.split(t) for t in (None, "ab c Zoo \x85x", "", "q ß日 a\n\ta qq " + "long" * 30)]
+    each, tokens, x = m.numbered(texts, words)
+    number = lambda w: known.index(w.decode()) if w.decode() in known else m.KNOWN + m.bucket(w + b"\n")
+    assert [t.tolist() for t in each] == [[number(w) for w in t] for t in texts]
+    flat = [w for t in texts for w in t]
+    letters.add(set(flat))
+    assert letters.of(tokens, x) == pytest.approx([letters[w] for w in flat])
+    each, tokens, x = m.numbered([[], []], words)
+    assert [len(t) for t in each] == [0, 0] and letters.of(tokens, x).shape == (0,)
+
+
+def test_added_rows():
+    rng = np.random.default_rng(8)
+    x, row = rng.random((30, 5)), rng.integers(0, 30, 400)
+    first = np.concatenate(([0], np.sort(rng.choice(np.arange(1, 400), 70, replace=False))))
+    assert np.allclose(m.added(x, row, first), np.add.reduceat(x[row], first))

@@ -28,6 +28,8 @@ gives no rows; other columns are kept or ignored, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm.bits import bit_words, flagged
 from strandline.llm.common import ship, stored, table, text_key, with_rows, words_of
+from strandline.operators.barrier import evaluate_once
 
 MIN_WORDS = 3
 NEAR_WORDS = 8
@@ -44,11 +47,14 @@ _LAST = 2**63 - 1
 
 def occurrences(docs: DataFrame) -> DataFrame:
     """``(doc_id, text)`` -> one row per line of at least ``MIN_WORDS`` words, with its hashes; no text."""
+    # a document's key once, not for each of its lines; Spark splits three times for an explode that isn't outer
+    each = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), F.split("text", "\n").alias("ls"))
+    lines = each.select("doc_id", "text_key", F.posexplode_outer("ls").alias("line_no", "line"))
     # words joined by single spaces, so that a line's first or last words are a piece of one string
-    flat = F.regexp_replace("text", r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]", " ")
-    lines = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), F.posexplode(F.split(flat, "\n")).alias("line_no", "line"))
-    lines = lines.select("doc_id", "text_key", "line_no", F.trim("line").alias("w"))
-    lines = lines.withColumn("n", F.length("w") - F.length(F.replace("w", F.lit(" "))) + 1)
+    odd = reduce(or_, [F.contains("line", F.lit(x)) for x in ("  ", "\t", "\x0b", "\x0c", "\r")])
+    flat = F.when(odd, F.regexp_replace("line", r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]", " ")).otherwise(F.col("line"))
+    lines = lines.select("doc_id", "text_key", "line_no", F.trim(flat).alias("w"))
+    lines = evaluate_once(lines.withColumn("n", F.octet_length("w") - F.octet_length(F.replace("w", F.lit(" "))) + 1))
     short, long = F.floor(F.col("n") / 2).cast("int"), F.floor((F.col("n") + 1) / 2).cast("int")
     ends = lambda k: F.call_function("substring_index", F.col("w"), F.lit(" "), k)
     halves = F.array_distinct(F.array(
@@ -116,14 +122,13 @@ def removals(docs: DataFrame) -> DataFrame:
     at = F.xxhash64("doc", "text_key", "line_no")
     places = bit_words(maybe.select(F.xxhash64("first.doc", "first.text_key", "first.line_no").alias("at")), "at")
     d = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), text_key(F.col("text")).alias("text_key"), "text")
-    each = d.select("doc", "text_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    each = d.select("doc", "text_key", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
     # only lines whose place may be wanted leave the scan; the join then decides
     found = (flagged(each, at, places).where("possible")
-             .select("doc", "text_key", "line_no", words_of(F.col("line")).alias("w"))
-             .where(F.size("w") >= NEAR_WORDS))
+             .select("doc", "text_key", "line_no", "line"))
     spots = maybe.select("h1", "h2", F.col("first.doc").alias("doc"), F.col("first.line_no").alias("line_no"),
                          F.col("first.text_key").alias("text_key"))
-    texts = stored(found.join(spots, ["doc", "text_key", "line_no"]).select("h1", "h2", "doc", "line_no", "w"), "lines-words")
+    texts = stored(found.join(spots, ["doc", "text_key", "line_no"]).select("h1", "h2", "doc", "line_no", words_of(F.col("line")).alias("w")), "lines-words")
     keyed = texts.select("h1", "doc", "line_no", F.transform("w", lambda x: F.xxhash64(x)).alias("wh"))
     variants = stored(keyed.mapInPandas(_variants, "v long, at int, h1 long, doc long, line_no int"), "lines-variants")
     # the smallest line of each (variant, deleted place); groups of one say nothing

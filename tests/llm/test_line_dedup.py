@@ -122,3 +122,19 @@ def test_length_follows(spark):
     df = spark.createDataFrame([(1, "one two three\nfour five six", 27), (2, "one two three\nseven eight nine", 31)], "doc_id long, text string, n_chars long")
     assert sorted((r["doc_id"], r["text"], r["n_chars"]) for r in d.clean_lines(df).collect()) == [
         (1, "one two three\nfour five six", 27), (2, "seven eight nine", 16)]
+
+
+def test_a_text_is_split_once_and_a_line_put_in_order_once(spark):
+    df = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    plan = d.occurrences(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count("regexp_replace(") == 1
+
+
+def test_white_space_between_words_does_not_count(spark):
+    line = "one two three four five six seven eight nine"
+    odd = ["  one  two three four five six seven eight nine ", line.replace(" ", "\t"), line.replace(" ", "\x0b", 2),
+           line.replace(" ", "\x0c\r"), line + "\r", line.replace("two", "\u00a0two")]
+    rows = [(0, line), *((i + 1, x) for i, x in enumerate(odd)), (90, None), (91, ""), (92, "\n\n \t\n")]
+    got = {r["doc_id"]: r for r in d.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(got[i]["n_exact"], got[i]["n_near"]) for i in range(7)] == [(0, 0), *5 * [(1, 0)], (0, 1)]  # a no-break space is part of a word
+    assert [got[i]["n_lines"] for i in (90, 91, 92)] == [0, 0, 0]

@@ -12,7 +12,7 @@ and search read those.
 
 Every document is then searched whole. Pairs of a text and a piece that the check
 below cannot accept, because no stretch of the text holds enough of the piece's
-words, are left out first (``reachable``, lossless). Overlapping windows of 32 and 64 words
+words in the piece's order, are left out first (``reachable``, lossless). Overlapping windows of 32 and 64 words
 are projected, counted from each document's first word, and a window whose cosine
 with a piece reaches ``COSINE`` is a candidate; so is every place where a piece of
 three words or more stands word for word, whatever is around it. A candidate counts as a leak when the longest common subsequence of
@@ -32,7 +32,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -55,6 +54,8 @@ PARTS = 64               # groups in which tasks' blocks are summed first
 CHUNK = 2048             # passages multiplied together
 DENSE = 512              # most frequent terms, in a matrix of a chunk
 BATCH = 400_000          # words searched together, unless one text is longer
+NUMBERED = 1 << 17       # characters whose words are numbered together, unless one text is longer
+ALIGNED = 2048           # stretches compared with their pieces at a time
 TOGETHER = 8192          # words projected together, unless one text is longer
 STRETCHES = 2_000_000    # numbers held while a batch's texts are sorted out, unless one stretch takes more
 # letters and digits stay, other ASCII characters separate words; text is lower-cased before
@@ -128,31 +129,103 @@ def leaks(piece: Piece, region: list[int]) -> float:
 # --- statistics and latent space ------------------------------------------------------------
 
 
+class Numbers:
+    """Numbers of the words of many texts at once: a trie of eight bytes a step, its steps in a hash table."""
+
+    def __init__(self, vocabulary: dict[bytes, int]) -> None:
+        steps: dict[tuple[int, bytes], int] = {}  # (step before, bytes) -> step
+        last = {}
+        for w, x in vocabulary.items():
+            at = 0
+            for i in range(0, len(w), 8):
+                at = steps.setdefault((at, w[i:i + 8]), len(steps) + 1)
+            last[at] = x
+        self.number = np.array([last.get(i, 0) for i in range(len(steps) + 1)], np.int32)
+        before = np.array([b for b, _ in steps], np.uint64)
+        spelled = np.frombuffer(b"".join(x.ljust(8, b"\0") for _, x in steps), "<u8")
+        self.bits = (8 * len(steps)).bit_length()
+        slot = self.slots(before, spelled)
+        order = np.argsort(slot, kind="stable")
+        self.begin = np.searchsorted(slot[order], np.arange((1 << self.bits) + 1)).astype(np.int32)
+        self.before, self.spelled, self.step = before[order], spelled[order], order + 1
+
+    def slots(self, before: np.ndarray, spelled: np.ndarray) -> np.ndarray:
+        mixed = (spelled ^ before * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def next(self, before: np.ndarray, spelled: np.ndarray) -> np.ndarray:
+        """The step that each of these bytes makes; 0 for none."""
+        out = np.zeros(len(spelled), np.int64)
+        slot = self.slots(before, spelled)
+        at, end = self.begin[slot], self.begin[slot + 1]
+        todo = np.flatnonzero(at < end)
+        while len(todo):
+            k = at[todo]
+            same = (self.spelled[k] == spelled[todo]) & (self.before[k] == before[todo])
+            out[todo[same]] = self.step[k[same]]
+            todo = todo[~same]
+            at[todo] += 1
+            todo = todo[at[todo] < end[todo]]
+        return out
+
+    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the ``words`` of the texts behind each other, 0 for other words; and how many words each text has."""
+        if not texts:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        texts = [(t or "").lower().encode("utf-8", "surrogatepass") for t in texts]
+        edge = np.cumsum([0] + [len(t) + 1 for t in texts])
+        data = b" %b%b" % (b" ".join(texts).translate(_SPLIT), b" " * (16 + -int(edge[-1]) % 8))
+        inside = np.frombuffer(data, np.uint8) != 32
+        turns = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        at, left = turns[::2], turns[1::2] - turns[::2]
+        sizes = np.diff(np.searchsorted(at, edge + 1))
+        eight = np.frombuffer(data, "<u8")
+        step = np.zeros(len(at), np.int64)
+        todo = np.arange(len(at))
+        while len(todo):
+            k, shift = at >> 3, ((at & 7) << 3).astype(np.uint64)
+            spelled = eight[k] >> shift | eight[k + 1] << np.uint64(1) << np.uint64(63) - shift
+            spelled &= np.uint64(2 ** 64 - 1) >> ((8 - np.minimum(left, 8)) << 3).astype(np.uint64)
+            step[todo] = found = self.next(step[todo].astype(np.uint64), spelled)
+            on = np.flatnonzero((found > 0) & (left > 8))
+            todo, at, left = todo[on], at[on] + 8, left[on] - 8
+        return self.number[step], sizes
+
+
 def encoded(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
-    """``(doc_id, text_key, terms)``: every whole text as term numbers, 0 for words of no piece. Written once, read by all passes."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    """``(doc_id, text_key, terms)``: every whole text as term numbers of 4 bytes, 0 for words of no piece. Written once, read by all passes."""
+    shared = docs.sparkSession.sparkContext.broadcast(Numbers(vocabulary))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = shared.value.get
+        numbers = shared.value
         for b in batches:
-            cut, terms = [0], []
+            out, texts, size = [], [], 0
             for t in b.column(2):
-                w = words(t.as_py())
-                terms.append(np.fromiter(map(get, w, repeat(0)), np.int32, len(w)))
-                cut.append(cut[-1] + len(w))
-            flat = np.concatenate(terms) if terms else np.zeros(0, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists], ["doc_id", "text_key", "terms"])
+                texts.append(t.as_py())
+                size += len(texts[-1] or "")
+                if size >= NUMBERED:
+                    out.append(numbers.of(texts))
+                    texts, size = [], 0
+            out.append(numbers.of(texts))
+            ids, sizes = (np.concatenate(x) for x in zip(*out))
+            ends = pa.array(np.concatenate(([0], np.cumsum(4 * sizes))), pa.int32())
+            terms = pa.Array.from_buffers(pa.binary(), len(sizes), [None, ends.buffers()[1], pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), terms], ["doc_id", "text_key", "terms"])
 
     rows = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
-    return stored(rows.mapInArrow(run, f"doc_id {kind}, text_key long, terms array<int>"), "leaks-terms")
+    return stored(rows.mapInArrow(run, f"doc_id {kind}, text_key long, terms binary"), "leaks-terms")
 
 
-def flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """The lists' values behind each other, and where each list begins (one more for the end)."""
-    cut = lists.offsets.to_numpy()
-    return lists.flatten().to_numpy(zero_copy_only=False), (cut - cut[0]).astype(np.int64)
+def flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The term numbers of lists, or of their 4 bytes each, behind each other, and where each list begins (one more for the end)."""
+    if pa.types.is_list(lists.type):
+        cut, ids = lists.offsets.to_numpy(), lists.flatten().to_numpy(zero_copy_only=False)
+    else:
+        _, ends, data = lists.buffers()
+        cut = np.frombuffer(ends, np.int32)[lists.offset:lists.offset + len(lists) + 1] // 4
+        ids = np.frombuffer(data or b"", np.int32)[cut[0]:cut[-1]]
+    return ids, (cut - cut[0]).astype(np.int64)
 
 
 def document_frequencies(texts: DataFrame, size: int) -> tuple[np.ndarray, int]:
@@ -308,10 +381,11 @@ def distinct(x: np.ndarray) -> np.ndarray:
 
 
 def reachable(ids: np.ndarray, cut: np.ndarray, pieces: list[Piece], terms: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(text, piece)`` pairs, sorted, of the texts ``ids[cut[i]:cut[i + 1]]`` that can hold a leak; no other pair can.
+    """``(text, piece)`` pairs, sorted, of the texts ``ids[cut[i]:cut[i + 1]]`` that can hold a leak; no other text or pair can.
 
     ``leaks`` looks at no more than twice the piece and two blocks at a time, and wants ``need`` of the piece's
-    places matched there, so the terms found in some stretch of that length must fill as many places.
+    places matched there, so the terms found in some stretch of that length must fill as many places. A text's pairs
+    are left out if none of them has the terms in order, too.
     """
     half = 2 * (max(len(p.terms) for p in pieces) + STEP)  # two neighbours hold any stretch ``leaks`` looks at
     sizes = np.diff(cut)
@@ -331,7 +405,7 @@ def reachable(ids: np.ndarray, cut: np.ndarray, pieces: list[Piece], terms: int)
     need = np.array([len(p.terms) * (COVER if len(p.terms) >= 8 else 1.0) for p in pieces]) - 1e-6
     # some stretches at a time, by the numbers they take
     work = np.cumsum(np.bincount(at, many, minlength=len(text_of)) + len(pieces))
-    out, lo = [np.zeros(0, np.int64)], 0
+    out, can, lo = [np.zeros(0, np.int64)], np.zeros(len(sizes), bool), 0
     while lo < len(text_of):
         hi = max(lo + 1, int(np.searchsorted(work, (work[lo - 1] if lo else 0) + STRETCHES)))
         a, b = np.searchsorted(at, (lo, hi))
@@ -339,9 +413,56 @@ def reachable(ids: np.ndarray, cut: np.ndarray, pieces: list[Piece], terms: int)
         i = np.arange(n.sum()) + np.repeat(begin[term[a:b]] - np.cumsum(n) + n, n)
         filled = np.bincount(np.repeat(at[a:b] - lo, n) * len(pieces) + user[i], times[i], minlength=(hi - lo) * len(pieces))
         row, j = np.nonzero(filled.reshape(hi - lo, -1) >= need)
-        out.append(text_of[lo + row] * len(pieces) + j)
+        by_piece = np.argsort(j, kind="stable")
+        row, j = lo + row[by_piece], j[by_piece]
+        out.append(text_of[row] * len(pieces) + j)
+        start = cut[text_of[row]] + (row - first[text_of[row]]) * half
+        end = np.minimum(start + 2 * half, cut[text_of[row] + 1])
+        fits = in_order(ids, start, end, j, pieces, terms) >= need[j]
+        row, j, start, end = row[fits], j[fits], start[fits], end[fits]
+        own = 2 * np.array([len(p.terms) + STEP for p in pieces])[j]  # so do two neighbours of the piece's own length
+        count = np.maximum(1, -(-(end - start) // own) - 1)
+        nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        row, j, own = np.repeat(row, count), np.repeat(j, count), np.repeat(own, count)
+        start = np.repeat(start, count) + nth * own
+        fits = in_order(ids, start, np.minimum(start + 2 * own, np.repeat(end, count)), j, pieces, terms) >= need[j]
+        can[text_of[row[fits]]] = True
         lo = hi
-    return np.divmod(distinct(np.concatenate(out)), len(pieces))
+    text, j = np.divmod(distinct(np.concatenate(out)), len(pieces))
+    return text[can[text]], j[can[text]]
+
+
+def in_order(ids: np.ndarray, begin: np.ndarray, end: np.ndarray, js: np.ndarray, pieces: list[Piece], terms: int) -> np.ndarray:
+    """``common`` of each stretch ``ids[begin:end]`` with its piece, the pieces ascending; the size of pieces too long for a number's bits."""
+    out = np.array([len(p.terms) for p in pieces], np.int64)[js]
+    short = np.flatnonzero(out < 64)
+    if not len(short):
+        return out
+    width = int((end - begin)[short].max())
+    stretches = np.lib.stride_tricks.sliding_window_view(np.concatenate((ids, np.zeros(width, ids.dtype))), width)
+    bits = np.zeros(terms, np.uint64)
+    for part in np.split(short, range(ALIGNED, len(short), ALIGNED)):
+        seen = stretches[begin[part]]
+        at = np.empty(seen.shape, np.uint64)  # bits of a word's places in the piece
+        edge = np.flatnonzero(np.diff(js[part], prepend=-1, append=-1))
+        for lo, hi in zip(edge.tolist(), edge[1:].tolist()):
+            p = pieces[js[part[lo]]]
+            bits[list(p.at)] = list(p.at.values())
+            at[lo:hi] = bits.take(seen[lo:hi])
+            bits[p.run] = 0
+        row, column = np.divmod(np.flatnonzero(at), width)
+        inside = column < (end - begin)[part[row]]
+        row, column = row[inside], column[inside]
+        nth = np.arange(len(row)) - np.searchsorted(row, np.arange(len(part)))[row]
+        met = np.zeros((nth.max(initial=-1) + 1, len(part)), np.uint64)
+        met[nth, row] = at[row, column]
+        full = (np.uint64(1) << out[part].astype(np.uint64)) - np.uint64(1)
+        v = full.copy()
+        for m in met:
+            y = m & v
+            v = v + y | v - y  # sums carry upwards only
+        out[part] -= np.bitwise_count(v & full)
+    return out
 
 
 def _search(texts: list[list[int] | np.ndarray], vectors: np.ndarray, queries: np.ndarray, pieces: list[Piece], cosine: float) -> list[tuple]:

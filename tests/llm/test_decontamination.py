@@ -197,3 +197,60 @@ def test_sums_over_runs():
     begin = np.concatenate(([0], np.sort(rng.choice(np.arange(1, 500), 60, replace=False))))
     assert np.allclose(c.sums(w, x, row, begin), np.add.reduceat(w[:, None] * x[row], begin), rtol=1e-5)
     assert c.sums(w[:0], x, row[:0], begin[:0]).shape == (0, 9)
+
+
+def test_numbers_are_those_of_single_lookups():
+    rng = random.Random(9)
+    letters = "abcABCxyz019 .,'\n\tÄßéΣİKя漢\x00\x7f"
+    texts = [None, "", " ", "a", "ΑΣ'Α ΟΔΟΣ. İstanbul", "abcdefgh abcdefghi abcdefg abcdefghabcdefgh " + "abcdefgh" * 9]
+    texts += ["".join(rng.choices(letters, k=rng.randint(0, 120))) for _ in range(400)]
+    vocabulary = {}
+    for t in texts[::3] + ["abcdefghabcdefghx", texts[5]]:
+        for w in c.words(t)[::2]:
+            vocabulary.setdefault(w, len(vocabulary) + 1)
+    numbers = c.Numbers(vocabulary)
+    for part in ([], [None], [""], texts[:6], texts, texts[::-1]):
+        ids, sizes = numbers.of(part)
+        assert sizes.tolist() == [len(c.words(t)) for t in part]
+        assert ids.tolist() == [vocabulary.get(w, 0) for t in part for w in c.words(t)]
+    assert len(set(numbers.of(texts)[0].tolist())) == len(vocabulary)  # all but the one that no text holds, and 0
+
+
+def test_texts_are_stored_as_the_bytes_of_their_numbers(spark):
+    c.ship(spark)
+    rows = [(i % 7, t) for i, t in enumerate([None, "", "one two", "Two, three ONE one", "  ", "four " * 50, "one"] * 3)]
+    texts = c.encoded(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), {b"one": 1, b"two": 2})
+    assert dict(texts.dtypes)["terms"] == "binary"
+    got = sorted((r["doc_id"], np.frombuffer(r["terms"], np.int32).tolist()) for r in texts.collect())
+    assert got == sorted((d, [{"one": 1, "two": 2}.get(w.decode(), 0) for w in c.words(t)]) for d, t in rows)
+    frequency, n = c.document_frequencies(texts, 2)
+    assert frequency.tolist() == [9, 6] and n == 21
+
+
+def test_in_order_is_the_common_subsequence(monkeypatch):
+    monkeypatch.setattr(c, "ALIGNED", 7)
+    rng = np.random.default_rng(11)
+    runs = [rng.integers(1, 9, n).tolist() for n in (1, 2, 7, 30, 48, 63, 64, 90)]
+    items = [c.Piece(i, r, r) for i, r in enumerate(runs)]
+    ids = rng.integers(0, 9, 500).astype(np.int32)
+    js = np.sort(rng.integers(0, len(items), 60))
+    begin = rng.integers(0, 500, 60)
+    end = np.minimum(begin + rng.integers(0, 120, 60), 500)
+    got = c.in_order(ids, begin, end, js, items, 9).tolist()
+    for g, lo, hi, j in zip(got, begin, end, js):
+        n = len(runs[j])
+        assert g == (c.common(n, items[j].at, ids[lo:hi].tolist()) if n < 64 else n)
+    assert c.in_order(ids, begin[:0], end[:0], js[:0], items, 9).tolist() == []
+
+
+def test_texts_with_a_pieces_words_out_of_order_or_far_apart_are_not_projected(monkeypatch):
+    piece, longer = list(range(1, 21)), list(range(21, 69))
+    apart = np.zeros(300, np.int32)
+    apart[:260:13] = piece  # half of them in a stretch for the longer piece, not in one for this
+    texts = [piece[::-1] * 3, apart.tolist(), [0] * 90 + piece + [0] * 90]
+    vectors = np.concatenate((np.zeros((1, 68)), np.eye(68))).astype(np.float32)
+    queries = np.stack([vectors[p].sum(axis=0) / len(p) ** 0.5 for p in (piece, longer)])
+    seen, compare = [], c._compare
+    monkeypatch.setattr(c, "_compare", lambda texts, *rest: seen.extend(texts) or compare(texts, *rest))
+    found = c._search(texts, vectors, queries, [c.Piece(3, piece, piece), c.Piece(4, longer, longer)], c.COSINE)
+    assert [h[:3] for h in found] == [(2, 0, 1.0)] and [len(t) for t in seen] == [200]

@@ -12,8 +12,11 @@ is reachable by links. Equal sets are one set from the start.
    miss is out. That ends sets that merely quote a common passage.
 2. **Candidates.** Of the sets left, each keeps its prefix in one global order (looked-at
    shingles by rising frequency, then the others by hash). Linked sets share
-   a shingle of their prefixes, so the components of "shares one" hold every link;
-   sets are dealt by them, each once.
+   a shingle of their prefixes, so the components of "shares one" hold every link.
+   These grow together with the input (a chance shingle is enough), so each is narrowed: the hashes are cut into
+   one segment more than linked sets of such a size can differ in shingles, and some spare ones; linked sets
+   have an equal segment even without each one's spare segments with the fewest
+   shingles. Sets are dealt by the components of "shares a segment", each once.
 3. **Prefix tree.** Within such a group the shingles are ordered by falling
    frequency and the sets stored in a trie of path-compressed nodes. A set
    probes the whole trie at once, level by level: the overlap counted on a path is
@@ -51,6 +54,7 @@ from strandline.llm.components import components
 GROUP = 2_000_000   # shingles that a task holds of one part of a group
 CACHED = 300_000    # words of which a Python worker keeps the hash
 STEP = 32           # shingles read of a path before its bound is looked at again
+SPARE = 8           # segments for each one that is left out
 LOOKED_AT = -(1 << 63) + (1 << 62)  # signed hashes below are the lowest quarter
 
 # every byte as a small letter, white space as a blank
@@ -173,6 +177,68 @@ def whole_sets(docs: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
     return texts.join(chosen, "rk").select("sid", "root", F.size("tokens").alias("n"), "tokens")
 
 
+def size_classes(percent: int, most: int) -> np.ndarray:
+    """First sizes of classes up to ``most`` and beyond: linked sets are of one class or of two that follow each other."""
+    first = [1, 2]
+    while first[-2] <= most:
+        first.append(max(first[-1] + 1, 100 * (first[-1] - 1) // percent + 1))
+    return np.array(first)
+
+
+def segments(size: np.ndarray, flat: np.ndarray, group: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sets (sizes, sorted hashes one after the other, group of each) -> ``(row, key)``; linked sets of a group have an equal key.
+
+    A set takes part with the sets of its class and the next, and with those of its class and the one before. Of linked sets with
+    sizes up to ``u`` and ``100 u / percent``, at most ``differ`` shingles are in only one; so of ``differ + 1 + spare``
+    segments ``1 + spare`` are equal at least, and one of them is left when each set leaves out the ``spare`` last ones in one order.
+    """
+    first = size_classes(percent, int(size.max(initial=1)))
+    own = np.searchsorted(first, size, side="right") - 1
+    row = np.repeat(np.arange(len(size)), size)
+    place = flat.view(np.uint64) ^ np.uint64(1 << 63)  # rises within a set
+    place >>= np.uint64(32)
+    out = []
+    with np.errstate(over="ignore"):
+        mixed = flat.view(np.uint64) ^ (flat.view(np.uint64) >> np.uint64(31))
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed * np.uint64(0x9E3779B97F4A7C15))))
+        for low in (own, own - 1):
+            u = first[low + 1] - 1
+            differ = np.where(low < 0, 0, (u + 100 * u // percent) * (100 - percent) // (100 + percent))
+            spare = differ // SPARE + 1
+            many = differ + 1 + spare
+            start = np.cumsum(many) - many
+            cell = start[row] + (place * many[row].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+            count = np.bincount(cell, minlength=many.sum())
+            end = np.cumsum(count)
+            of = np.repeat(np.arange(len(size)), many)
+            key = sums[end] - sums[end - count]
+            for x in (np.arange(len(of)) - start[of], low[of], group[of]):
+                key = (key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + x.astype(np.int64).view(np.uint64)
+            key = (key ^ (key >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            order = np.lexsort((key, -count, of))
+            # sets that differ in no shingle are one
+            order = order[((np.arange(len(of)) - start[of] <= differ[of]) & (differ[of] > 0))]
+            out.append((of[order], key[order].view(np.int64)))
+    return np.concatenate([r for r, _ in out]), np.concatenate([k for _, k in out])
+
+
+def narrowed(sets: DataFrame, percent: int) -> DataFrame:
+    """``(sid, root, n, tokens)`` -> ``(sid, root)`` of the sets that share a segment with another of their group, by component."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 500):
+                b = whole.slice(lo, 500)
+                size = b.column(2).value_lengths().to_numpy().astype(np.int64)
+                row, key = segments(size, b.column(2).flatten().to_numpy(), b.column(1).to_numpy(), percent)
+                yield pa.RecordBatch.from_arrays([pa.array(b.column(0).to_numpy()[row]), pa.array(key)], ["sid", "key"])
+
+    keys = stored(sets.select("sid", "root", "tokens").mapInArrow(run, "sid long, key long"), "ngram-segments")
+    least = keys.groupBy("key").agg(F.min("sid").alias("b"), F.max("sid").alias("other")).where("b <> other").select("key", "b")
+    edges = keys.join(least, "key").where("sid <> b").select(F.col("sid").alias("a"), "b").distinct()
+    found = components(edges, "ngram-narrowed")
+    return stored(found.select(F.col("a").alias("sid"), "root").union(found.select("root", "root").distinct()), "ngram-groups")
+
+
 # --- the prefix tree of one group -----------------------------------------------------------
 
 
@@ -349,17 +415,19 @@ def _dealt(sets: DataFrame, label, probe, low, high) -> DataFrame:
     return sets.select("root", low.alias("low"), high.alias("high"), "sid", label.alias("label"), probe.alias("probe"), "tokens")
 
 
-def links(sets: DataFrame, percent: int, group: int = GROUP) -> DataFrame:
-    """``(sid, root, n, tokens)`` -> edges whose components are those of all links."""
+def links(sets: DataFrame, groups: DataFrame, percent: int, group: int = GROUP) -> DataFrame:
+    """``(sid, n, tokens)`` and the groups ``(sid, root)`` of sets -> edges whose components are those of all links."""
     yes, none = F.lit(True), F.lit(0)
-    weight = sets.groupBy("root").agg(F.sum("n").alias("weight"))
+    sized = groups.join(sets.select("sid", "n").distinct(), "sid")
+    weight = sized.groupBy("root").agg(F.sum("n").alias("weight"))
     parts = weight.select("root", F.ceil(F.col("weight") / group).cast("int").alias("parts"))
-    sets = stored(sets.join(parts, "root"), "ngram-sets")
+    to = stored(groups.join(parts, "root"), "ngram-dealt")
+    sets = sets.select("sid", "n", "tokens").join(to, "sid")
     part = F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int")
     edges = stored(group_edges(_dealt(sets, F.col("sid"), yes, part, none), percent), "ngram-edges")
-    split = sets.where("parts > 1")
-    if not split.limit(1).count():
+    if not to.where("parts > 1").limit(1).count():
         return edges
+    split = stored(sets.where("parts > 1"), "ngram-split")
 
     def labelled(edges: DataFrame) -> DataFrame:
         found = components(edges, "ngram-parts").select(F.col("a").alias("sid"), F.col("root").alias("label"))
@@ -394,7 +462,8 @@ def linked(docs: DataFrame, words: int = 4, percent: int = 85, group: int = GROU
     some = stored(possible(sets, percent), "ngram-partners")
     clusters = candidates(some.select("sid", "n", "m", "keys"), percent)
     chosen = stored(some.select("sid", "rk").join(clusters, "sid"), "ngram-chosen")
-    edges = stored(links(whole_sets(docs, chosen, words), percent, group), "ngram-links")
+    whole = stored(whole_sets(docs, chosen, words), "ngram-sets")
+    edges = stored(links(whole, narrowed(whole, percent), percent, group), "ngram-links")
     found = components(edges, "ngram").select(F.col("a").alias("sid"), "root")
     each = sets.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("first"))
     rooted = each.join(found, "sid", "left").withColumn("root", F.coalesce("root", "sid"))

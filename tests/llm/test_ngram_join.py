@@ -125,3 +125,42 @@ def test_steps_of_long_paths():
     for at, label in zip(trie.order, got):
         groups.setdefault(label, set()).add(int(at))
     assert sorted(map(sorted, groups.values())) == [[0, 1, 4], [2], [3]]
+
+
+def test_sets_of_shared_passages_are_dealt_once(spark, monkeypatch):
+    """Texts put together from common passages share prefixes with all others and are near copies of few."""
+    rng = random.Random(8)
+    passages = [[f"w{rng.randrange(3000)}" for _ in range(40)] for _ in range(60)]
+    rows = []
+    for _ in range(90):
+        text = [w for p in rng.sample(passages, 5) for w in p]
+        rows.append((len(rows), " ".join(text)))
+        if len(rows) % 9 == 0:
+            rows.append((len(rows), " ".join(text[1:])))
+    dealt, edges = [], nj.group_edges
+
+    def group_edges(df, percent):
+        dealt.append(df.count())
+        return edges(df, percent)
+
+    monkeypatch.setattr(nj, "group_edges", group_edges)
+    assert found(spark.createDataFrame(rows, "doc_id long, text string"), group=1500) == brute(rows)
+    assert sum(dealt) <= len(rows)
+
+
+@pytest.mark.parametrize("percent", [40, 60, 85, 99])
+def test_linked_sets_have_an_equal_segment(percent):
+    rng = np.random.default_rng(percent)
+    pairs = []
+    while len(pairs) < 400:
+        n = int(rng.integers(1, 40) if rng.random() < 0.5 else rng.integers(1, 800))
+        pool = rng.integers(-(1 << 63), 1 << 63, 3 * n, dtype=np.int64)
+        gone, more = (int(rng.integers(0, n * (100 - percent) // 50 + 2)) for _ in range(2))
+        a, b = np.unique(pool[:n]), np.unique(np.concatenate((pool[gone:n], pool[n:n + more])))
+        both = len(np.intersect1d(a, b))
+        if len(b) and both < max(len(a), len(b)) and 100 * both >= percent * (len(a) + len(b) - both):
+            pairs.append((a, b))
+    sets = [s for p in pairs for s in p]
+    row, key = nj.segments(np.array([len(s) for s in sets]), np.concatenate(sets), np.repeat(np.arange(400), 2), percent)
+    for i in range(400):
+        assert len(np.intersect1d(key[row == 2 * i], key[row == 2 * i + 1]))
